@@ -11,15 +11,14 @@ from pyspark.sql import functions as F
 PART_SIZE = 10_000
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all keys; still an equi-join for the planner."""
-    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     matches = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, matches, how).drop(*[f"_r_{k}" for k in keys])
+    joined = left.join(renamed, matches, how)
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(k, f"_r_{k}") for k in keys})
+    return joined.drop(*[f"_r_{k}" for k in keys])
 
 
 def list_parts(

@@ -7,32 +7,33 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from agorakit.operators import events as ev
+from agorakit.operators import graph as gr
+from agorakit.operators import kpis, segments
 from agorakit.operators import users as us
-from agorakit.sources.bindings import BASE_TABLES, VIEWS, needed_views
+from agorakit.operators.pairs import HUB_SIZE
+from agorakit.sources.bindings import VIEWS, placeholders
 from agorakit.sources.schemas import fixture_schema
 
 AS_OF = "2001-08-02 12:00:00"
 
 
 class Inputs:
-    """Input frames by view name. Views are registered once per folder; everything stays lazy."""
+    """Input frames by view name. Everything stays lazy and no session-wide view is registered."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self._frames: dict[str, DataFrame] = {}
-        for name in BASE_TABLES:
-            frame = spark.read.schema(fixture_schema(name)).parquet(f"{self.folder}/{name}.parquet")
-            frame.createOrReplaceTempView(name)
-            self._frames[name] = frame
 
     def frame(self, name: str) -> DataFrame:
         if name not in self._frames:
-            for view in needed_views([name]):
-                if view not in self._frames:
-                    self._frames[view] = self.spark.sql(VIEWS[view])
-                    self._frames[view].createOrReplaceTempView(view)
+            if name in VIEWS:
+                sql, used = placeholders(VIEWS[name])
+                self._frames[name] = self.spark.sql(sql, **{table: self.frame(table) for table in used})
+            else:
+                path = f"{self.folder}/{name}.parquet"
+                self._frames[name] = self.spark.read.schema(fixture_schema(name)).parquet(path)
         return self._frames[name]
 
     __getitem__ = frame
@@ -53,3 +54,41 @@ class Inputs:
     def events(self) -> DataFrame:
         names = "posts comments votes collections views".split()
         return ev.activity_events(*[self[f"fx_{n}"] for n in names], self.users)
+
+    @cached_property
+    def levels(self) -> DataFrame:
+        return segments.engagement_levels(self.users, AS_OF)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return kpis.daily_metrics(self.users, self.events, AS_OF)
+
+    @cached_property
+    def graph(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self["fx_edges"], self["fx_nodes"], self.users
+
+    @cached_property
+    def company_members(self) -> DataFrame:
+        return gr.company_members(*self.graph)
+
+    @cached_property
+    def school_members(self) -> DataFrame:
+        return gr.school_members(*self.graph)
+
+    @cached_property
+    def location_members(self) -> DataFrame:
+        return gr.location_members(*self.graph)
+
+    @cached_property
+    def project_members(self) -> DataFrame:
+        return gr.project_members(*self.graph)
+
+    def relationships(self, hub_size: int = HUB_SIZE) -> tuple[DataFrame, DataFrame]:
+        """Listed pairs and hub members of both relationship kinds."""
+        kinds = (gr.WORKED, gr.STUDIED)
+        listed = [gr.shared_target_pairs(*self.graph, kind, hub_size=hub_size) for kind in kinds]
+        hubs = [gr.shared_target_hubs(*self.graph, kind, hub_size=hub_size) for kind in kinds]
+        return listed[0].unionByName(listed[1]), hubs[0].unionByName(hubs[1])
+
+    def chat(self, *names: str) -> list[DataFrame]:
+        return [self[f"fx_{name}"] for name in names]

@@ -255,7 +255,7 @@ BASE_TABLES = (
 ).split()
 
 
-def needed_views(names: list[str]) -> list[str]:
+def needed_views(names: list[str], views: dict[str, str] = VIEWS) -> list[str]:
     """The given views and every view they use, in definition order."""
     wanted, todo = set(), list(names)
     while todo:
@@ -263,19 +263,23 @@ def needed_views(names: list[str]) -> list[str]:
         if name in wanted:
             continue
         wanted.add(name)
-        todo += [other for other in VIEWS if other != name and re.search(rf"\b{other}\b", VIEWS[name])]
-    return [name for name in VIEWS if name in wanted]
+        todo += [other for other in views if other != name and re.search(rf"\b{other}\b", views[name])]
+    return [name for name in views if name in wanted]
 
 
-def with_clause(sql: str) -> str:
+def with_clause(sql: str, views: dict[str, str] = VIEWS) -> str:
     """Prefix ``sql`` with common table expressions for the views it mentions."""
-    used = needed_views([name for name in VIEWS if re.search(rf"\b{name}\b", sql)])
-    head = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in used)
+    used = needed_views([name for name in views if re.search(rf"\b{name}\b", sql)], views)
     body = sql.strip()
+    keyword = "WITH RECURSIVE" if body.upper().startswith("WITH RECURSIVE") else "WITH"
+    own = body[len(keyword):].strip() if body.upper().startswith("WITH") else None
+    head = ",\n".join(f"{name} AS ({views[name].strip()})" for name in used)
     if not head:
         return body
-    if body.upper().startswith("WITH RECURSIVE"):
-        return f"WITH RECURSIVE {head},\n{body[len('WITH RECURSIVE'):].strip()}"
-    if body.upper().startswith("WITH"):
-        return f"WITH {head},\n{body[len('WITH'):].strip()}"
-    return f"WITH {head}\n{body}"
+    return f"{keyword} {head},\n{own}" if own else f"{keyword} {head}\n{body}"
+
+
+def placeholders(sql: str) -> tuple[str, list[str]]:
+    """``sql`` with its tables as ``{name}`` placeholders for ``spark.sql``, and their names."""
+    pattern = re.compile(r"\b(FROM|JOIN)\s+([A-Za-z_]\w*)")
+    return pattern.sub(r"\1 {\2}", sql), sorted({m.group(2) for m in pattern.finditer(sql)})
