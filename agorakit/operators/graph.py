@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agorakit.functions.exprs import clock, json_text, loose_timestamp, whole_years
 from agorakit.operators import pairs
+from agorakit.session import cut
 from agorakit.operators.lists import PART_SIZE, list_parts, null_safe_join
 
 # Edge types and node labels behind each relationship.
@@ -82,24 +83,28 @@ def _context_titles(edges: DataFrame, nodes: DataFrame, users: DataFrame, kind:
     )
 
 
-def shared_target_pairs(
+def relationship_members(
     edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, *, hop: str = "two",
     hub_size: int = pairs.HUB_SIZE, max_hubs: int = pairs.MAX_HUBS,
 ) -> DataFrame:
+    """Stored memberships from which the listed pairs and the hub members of one kind are read."""
+    members = cut(target_members(edges, nodes, users, kind, hop=hop))
+    return pairs.annotate(members, hub_size=hub_size, max_hubs=max_hubs)
+
+
+def shared_target_pairs(edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, members: DataFrame) -> DataFrame:
     """User pairs that share a company (``WORKED``) or a school (``STUDIED``), with strength, context and first date.
 
-    Lists every pair except those that meet only in targets with more than ``hub_size`` members; ``shared_target_hubs``
-    holds these in linear form, ``relationships_of`` lists them for chosen users, and the summaries in
-    ``networks`` take both. ``hub_strength`` is the part of the strength the hub frame repeats.
+    ``members`` comes from ``relationship_members``. Lists every pair except those that meet only in targets above its
+    hub size; ``shared_target_hubs`` holds these in linear form, ``relationships_of`` lists them for chosen users, and
+    the summaries in ``networks`` take both. ``hub_strength`` is the part of the strength the hub frame repeats.
     """
-    members = target_members(edges, nodes, users, kind, hop=hop)
-    found = pairs.listed_pairs(members, hub_size=hub_size, max_hubs=max_hubs)
     titles = _context_titles(edges, nodes, users, kind).withColumnRenamed("user_id", "first")
     targets, extras = kind["names"]
     context = F.struct(
         F.col("labels").alias(targets), F.coalesce("titles", F.array().cast("array<string>")).alias(extras)
     )
-    return found.join(titles, "first", "left").select(
+    return pairs.listed_pairs(members).join(titles, "first", "left").select(
         F.col("first").alias("user_id"),
         F.col("second").alias("related_user_id"),
         F.lit(kind["type"]).alias("relationship_type"),
@@ -110,14 +115,11 @@ def shared_target_pairs(
     )
 
 
-def shared_target_hubs(
-    edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, *,
-    hub_size: int = pairs.HUB_SIZE, max_hubs: int = pairs.MAX_HUBS,
-) -> DataFrame:
+def shared_target_hubs(kind: dict, members: DataFrame) -> DataFrame:
     """Members of the targets too large to list pairs of: (relationship_type, user_id, ord, hubs)."""
-    members = target_members(edges, nodes, users, kind, hop="direct")
-    found = pairs.hub_members(members, hub_size=hub_size, max_hubs=max_hubs)
-    return found.select(F.lit(kind["type"]).alias("relationship_type"), F.col("member").alias("user_id"), "ord", "hubs")
+    return pairs.hub_members(members).select(
+        F.lit(kind["type"]).alias("relationship_type"), F.col("member").alias("user_id"), "ord", "hubs"
+    )
 
 
 def relationships_of(edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, focus: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from agorakit.functions.exprs import clock, whole_years
 from agorakit.operators import pairs
 from agorakit.operators.graph import education_networks
+from agorakit.session import cut
 from agorakit.operators.lists import PART_SIZE, list_parts, null_safe_join
 
 # Reasons, score factor, caps and constants of the published reports.
@@ -218,9 +219,9 @@ def company_network_map(
 
     Companies of one employee pair up as users of one company do; an employee of very many companies is the hub.
     """
-    employment = members.select("company_id", "user_id").distinct()
+    employment = cut(members.select("company_id", "user_id").distinct())
     by_user = employment.select(F.col("user_id").cast("string").alias("grp"), F.col("company_id").alias("member"))
-    top = pairs.top_pairs(by_user, k, hub_size=hub_size)
+    top = cut(pairs.top_pairs(pairs.annotate(by_user, hub_size=hub_size), k))
     shared = _shared_staff(employment, top)
     lists = list_parts(
         shared, ["low", "high"], "user_id", list_col="employee_ids", count_col="shared_employee_count", part_size=part_size

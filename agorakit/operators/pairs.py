@@ -19,6 +19,8 @@ handles them exactly:
 
 Members of more than ``MAX_HUBS`` hubs, or with a hub they do not lead, are "wide": there are few, and their pairs are
 listed, one join row per partner.
+
+``annotate`` stores the memberships once with what the other functions need; these take its result.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agorakit.session import cut
+
 HUB_SIZE = 1_000
 MAX_HUBS = 6
 RANGE_BUCKETS = 256
@@ -64,24 +68,28 @@ def with_defaults(members: DataFrame) -> DataFrame:
     return members
 
 
-def listed_pairs(members: DataFrame, *, hub_size: int = HUB_SIZE, max_hubs: int = MAX_HUBS) -> DataFrame:
+def annotate(members: DataFrame, *, hub_size: int = HUB_SIZE, max_hubs: int = MAX_HUBS) -> DataFrame:
+    """Stored memberships with ``in_hub`` and the member's ``hubs``, ``led`` and ``wide`` on every row."""
+    members = with_defaults(members)
+    hubs = _hubs(members, hub_size).withColumn("_hub", F.lit(True))
+    marked = members.join(hubs, "grp", "left").withColumn("in_hub", F.coalesce("_hub", F.lit(False))).drop("_hub")
+    profiles = _hub_profiles(marked.where("in_hub"), max_hubs)
+    return cut(marked.join(profiles, "member", "left").withColumn("wide", F.coalesce("wide", F.lit(False))))
+
+
+def listed_pairs(annotated: DataFrame) -> DataFrame:
     """Pairs that share an ordinary group or involve a wide member, with their full strength.
 
     ``strength`` counts all shared groups, hubs included. ``hub_strength`` is the part that ``hub_members`` also
     describes (0 if either member is wide), so that consumers of both never count a pair twice.
     """
-    members = with_defaults(members)
-    hubs = _hubs(members, hub_size)
-    ordinary = members.join(hubs, "grp", "left_anti")
-    in_hub = members.join(hubs, "grp", "left_semi")
-    profiles = _hub_profiles(in_hub, max_hubs)
 
     def side(df: DataFrame, name: str) -> DataFrame:
         columns = ["member", "ord", "leads", "label", "since", "hubs", "led", "wide"]
         return df.select("grp", *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
-    rows = ordinary.join(profiles, "member", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
-    hub_rows = in_hub.join(profiles, "member")
+    rows = annotated.where(~F.col("in_hub"))
+    hub_rows = annotated.where("in_hub")
     wide_rows = hub_rows.where("wide")
     meets = (F.col("a_ord") < F.col("b_ord")) & F.col("a_leads") & (F.col("a_member") != F.col("b_member"))
     through_ordinary = side(rows, "a").join(side(rows, "b"), "grp").where(meets).withColumn("ordinary", F.lit(1))
@@ -118,12 +126,11 @@ def listed_pairs(members: DataFrame, *, hub_size: int = HUB_SIZE, max_hubs: int
     )
 
 
-def hub_members(members: DataFrame, *, hub_size: int = HUB_SIZE, max_hubs: int = MAX_HUBS) -> DataFrame:
+def hub_members(annotated: DataFrame) -> DataFrame:
     """The pairs inside hubs in linear form: one row per member that is in a hub and not wide, with its hub list."""
-    members = with_defaults(members)
-    in_hub = members.join(_hubs(members, hub_size), "grp", "left_semi")
-    orders = in_hub.groupBy("member").agg(F.min("ord").alias("ord"))
-    return _hub_profiles(in_hub, max_hubs).where(~F.col("wide")).join(orders, "member").select("member", "ord", "hubs")
+    return annotated.where(F.col("in_hub") & ~F.col("wide")).groupBy("member").agg(
+        F.min("ord").alias("ord"), F.any_value("hubs").alias("hubs")
+    )
 
 
 def hub_subsets(profiles: DataFrame) -> DataFrame:
@@ -209,17 +216,16 @@ def top_hub_pairs(profiles: DataFrame, k: int) -> DataFrame:
     )
 
 
-def top_pairs(members: DataFrame, k: int, *, hub_size: int = HUB_SIZE, max_hubs: int = MAX_HUBS) -> DataFrame:
+def top_pairs(annotated: DataFrame, k: int) -> DataFrame:
     """The ``k`` strongest pairs (low, high, strength), ties by ids. Exact: hubs contribute their own best pairs.
 
     A pair found in both inputs keeps its larger, full strength.
     """
-    listed = listed_pairs(members, hub_size=hub_size, max_hubs=max_hubs).select(
+    listed = listed_pairs(annotated).select(
         F.least("first", "second").alias("low"), F.greatest("first", "second").alias("high"), "strength"
     )
-    candidates = top_hub_pairs(hub_members(members, hub_size=hub_size, max_hubs=max_hubs), k)
     return (
-        listed.unionByName(candidates)
+        listed.unionByName(top_hub_pairs(hub_members(annotated), k))
         .groupBy("low", "high")
         .agg(F.max("strength").alias("strength"))
         .orderBy(F.desc("strength"), "low", "high")
@@ -227,7 +233,7 @@ def top_pairs(members: DataFrame, k: int, *, hub_size: int = HUB_SIZE, max_hubs:
     )
 
 
-def pairs_of(members: DataFrame, focus: DataFrame, *, hub_size: int = HUB_SIZE) -> DataFrame:
+def pairs_of(members: DataFrame, focus: DataFrame) -> DataFrame:
     """Every pair of the members in ``focus``, hub partners included: one row per (focus member, partner)."""
     members = with_defaults(members)
     mine = members.join(focus.select("member").distinct(), "member", "left_semi")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorakit.functions.exprs import hex_key, json_text
+from agorakit.functions.exprs import hex_key
 from agorakit.operators import cohorts, events, graph, graphprofile, kpis, messaging, networks, segments, users
 from agorakit.operators.graph import STUDIED, WORKED
 from agorakit.plans.inputs import AS_OF, Inputs
@@ -410,19 +410,24 @@ def _(i: Inputs) -> DataFrame:
 # Graph
 
 
+def _listed(i: Inputs, kind: dict, **options) -> DataFrame:
+    members = graph.relationship_members(*i.graph, kind, **options)
+    return graph.shared_target_pairs(*i.graph, kind, members).drop("hub_strength")
+
+
 @_query("n1_worked_together")
 def _(i: Inputs) -> DataFrame:
-    return graph.shared_target_pairs(*i.graph, WORKED).drop("hub_strength")
+    return _listed(i, WORKED)
 
 
 @_query("n1_worked_together_direct")
 def _(i: Inputs) -> DataFrame:
-    return graph.shared_target_pairs(*i.graph, WORKED, hop="direct").drop("hub_strength")
+    return _listed(i, WORKED, hop="direct")
 
 
 @_query("n2_studied_together")
 def _(i: Inputs) -> DataFrame:
-    return graph.shared_target_pairs(*i.graph, STUDIED).drop("hub_strength")
+    return _listed(i, STUDIED)
 
 
 @_query("n3_company_networks")

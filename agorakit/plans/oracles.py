@@ -14,12 +14,22 @@ TODAY = "DATE '2001-08-02'"
 SNAP_DAY = "DATE '2001-08-01'"
 
 
+def _half_up(part: str, whole: str, factor: int) -> str:
+    """factor * part / whole to two places, halves away from zero, in whole numbers; NULL for whole 0."""
+    p, w = f"({part})::HUGEINT", f"nullif(({whole})::HUGEINT, 0)"
+    return f"(sign({p}) * ((200 * {factor} * abs({p}) + {w}) // (2 * {w})))::DOUBLE / 100"
+
+
 def _pct(part: str, whole: str) -> str:
-    return f"round(100.0::DOUBLE * ({part}) / nullif(({whole}), 0), 2)"
+    return _half_up(part, whole, 100)
 
 
 def _ratio(part: str, whole: str) -> str:
-    return f"round(({part})::DOUBLE / nullif(({whole}), 0), 2)"
+    return _half_up(part, whole, 1)
+
+
+def _mean(value: str, where: str = "TRUE") -> str:
+    return _half_up(f"sum({value}) FILTER (WHERE {where})", f"count({value}) FILTER (WHERE {where})", 1)
 
 
 def _spell_date(text: str) -> str:
@@ -170,7 +180,7 @@ LEFT JOIN o_by_type t ON t.activity_date = d.metric_date JOIN o_cumulative c ON
 PARTS["o_rollup"] = """
 SELECT CAST(date_trunc('month', metric_date) AS DATE) AS metric_month, CAST(sum(new_signups) AS BIGINT) AS new_signups,
   max(total_users_cumulative) AS total_users_end_of_month, count(DISTINCT CASE WHEN dau > 0 THEN metric_date END) AS active_days,
-  count(DISTINCT metric_date) AS total_days, avg(dau) AS avg_dau, CAST(sum(posts_created) AS BIGINT) AS total_posts,
+  count(DISTINCT metric_date) AS total_days, avg(dau) AS avg_dau, CAST(sum(dau) AS BIGINT) AS sum_dau, CAST(sum(posts_created) AS BIGINT) AS total_posts,
   CAST(sum(comments_created) AS BIGINT) AS total_comments, CAST(sum(votes_cast) AS BIGINT) AS total_votes,
   CAST(sum(collections_created) AS BIGINT) AS total_collections, max(finder_active) AS finder_mau, max(standard_active) AS standard_mau
 FROM o_daily GROUP BY 1
@@ -457,11 +467,11 @@ SQL["e8_hex_id"] = "SELECT s.id, CAST('0x' || substr(replace(s.id, '-', ''), 1,
 SQL["e9_event_day"] = "SELECT user_id, activity_type, source_id, days_since_signup FROM o_events"
 SQL["c1_user_cohorts"] = f"""
 SELECT CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month, count(*) AS total_users, count(*) FILTER (WHERE has_finder) AS finder_users,
-  count(*) FILTER (WHERE NOT has_finder) AS standard_users, round(avg(profile_completion_score), 2) AS avg_profile_completion,
-  round(avg(experience_count), 2) AS avg_experience_count, round(avg(education_count), 2) AS avg_education_count,
+  count(*) FILTER (WHERE NOT has_finder) AS standard_users, {_mean('profile_completion_score')} AS avg_profile_completion,
+  {_mean('experience_count')} AS avg_experience_count, {_mean('education_count')} AS avg_education_count,
   count(*) FILTER (WHERE activation_status) AS activated_users,
   {_pct("count(*) FILTER (WHERE activation_status)", "count(*)")} AS activation_rate,
-  round(avg(days_to_first_activity) FILTER (WHERE days_to_first_activity < 10000), 2) AS avg_days_to_activation,
+  {_mean('days_to_first_activity', 'days_to_first_activity < 10000')} AS avg_days_to_activation,
   {", ".join(f"count(*) FILTER (WHERE last_activity_date >= signup_date + INTERVAL {d} DAY) AS retained_{d}d" for d in (30, 60, 90))},
   {", ".join(_pct(f"count(*) FILTER (WHERE last_activity_date >= signup_date + INTERVAL {d} DAY)", "count(*)") + f" AS retention_rate_{d}d" for d in (30, 60, 90))}
 FROM o_std GROUP BY 1
@@ -475,7 +485,7 @@ SQL["d3_daily_active_by_type"] = "SELECT * FROM o_by_type"
 SQL["d4_date_series"] = "SELECT * FROM o_dates"
 SQL["n5_cumulative_users"] = "SELECT * FROM o_cumulative"
 SQL["d5_daily_metrics"] = "SELECT * FROM o_daily"
-SQL["m1_monthly_rollup"] = "SELECT * REPLACE (round(avg_dau, 4) AS avg_dau) FROM o_rollup"
+SQL["m1_monthly_rollup"] = "SELECT * EXCLUDE (sum_dau) REPLACE (round(avg_dau, 4) AS avg_dau) FROM o_rollup"
 SQL["m2_monthly_active"] = "SELECT * FROM o_mau"
 SQL["m3_monthly_activation"] = "SELECT * FROM o_activation"
 SQL["m4_retained_from_previous"] = _retained(SNAP_DAY)
@@ -485,7 +495,7 @@ WITH joined AS (SELECT r.*, m.mau, m.total_activities, a.cohort_users, a.activat
   FROM o_rollup r LEFT JOIN o_mau m USING (metric_month) LEFT JOIN o_activation a USING (metric_month) LEFT JOIN o_retained t USING (metric_month))
 SELECT metric_month, new_signups, total_users_end_of_month,
   CASE WHEN before_total > 0 THEN {_pct('total_users_end_of_month - before_total', 'before_total')} ELSE 0.0 END AS growth_rate_pct,
-  coalesce(mau, 0) AS mau, round(avg_dau, 2) AS avg_dau, total_posts, total_comments, total_votes, total_collections,
+  coalesce(mau, 0) AS mau, {_ratio('sum_dau', 'total_days')} AS avg_dau, total_posts, total_comments, total_votes, total_collections,
   CASE WHEN cohort_users > 0 THEN {_pct('activated_users', 'cohort_users')} ELSE 0.0 END AS activation_rate,
   CASE WHEN mau > 0 THEN {_ratio('total_activities', 'mau')} ELSE 0.0 END AS avg_activities_per_user,
   CASE WHEN mau > 0 THEN {_ratio('3 * total_posts + 2 * total_comments + total_votes + 5 * total_collections', 'mau')} ELSE 0.0 END AS avg_engagement_score,
@@ -499,10 +509,10 @@ SQL["r1_cohort_weeks"] = "SELECT cohort_month, weeks_since_signup, user_id, sign
 SQL["r2_cohort_activity"] = "SELECT * FROM o_week_activity"
 SQL["r3_cohort_retention"] = f"""
 WITH grid AS (SELECT cohort_month, weeks_since_signup, count(*) AS total_users, count(*) FILTER (WHERE activities > 0) AS retained_users,
-    CAST(sum(activities) AS BIGINT) AS total_activities, avg(activities) FILTER (WHERE activities > 0) AS mean
+    CAST(sum(activities) AS BIGINT) AS total_activities, {_mean('activities', 'activities > 0')} AS mean
   FROM o_week_activity GROUP BY 1, 2)
 SELECT g.cohort_month, g.weeks_since_signup, g.total_users, g.retained_users, {_pct('g.retained_users', 'g.total_users')} AS retention_rate,
-  {_pct('g.retained_users', 'b.total_users')} AS cumulative_retention, round(g.mean, 2) AS avg_activities_per_user, g.total_activities
+  {_pct('g.retained_users', 'b.total_users')} AS cumulative_retention, g.mean AS avg_activities_per_user, g.total_activities
 FROM grid g JOIN grid b ON b.cohort_month = g.cohort_month AND b.weeks_since_signup = (SELECT min(z.weeks_since_signup) FROM grid z WHERE z.cohort_month = g.cohort_month)
 """
 SQL["r4_week_bucket"] = """
@@ -539,7 +549,7 @@ SELECT {SNAP_DAY} AS metric_date,
   (SELECT count(*) FROM fx_persons WHERE deleted_at IS NULL AND updated_at::DATE = {SNAP_DAY} AND updated_at IS DISTINCT FROM created_at) AS profiles_updated,
   (SELECT count(*) FROM fx_work WHERE deleted_at IS NULL AND created_at::DATE = {SNAP_DAY}) AS experiences_added,
   (SELECT count(*) FROM fx_study WHERE deleted_at IS NULL AND created_at::DATE = {SNAP_DAY}) AS education_added,
-  round(avg(u.profile_completion_score), 2) AS avg_profile_completion_score, count(p.headline_description) AS profiles_with_headline,
+  {_mean('u.profile_completion_score')} AS avg_profile_completion_score, count(p.headline_description) AS profiles_with_headline,
   count(p.linked_in_url) AS profiles_with_linkedin, count(p.location_id) AS profiles_with_location,
   count(CASE WHEN u.experience_count > 0 THEN 1 END) AS profiles_with_experience, count(CASE WHEN u.education_count > 0 THEN 1 END) AS profiles_with_education
 FROM o_std u, fx_persons p WHERE p.id = u.user_id
@@ -796,5 +806,4 @@ SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS even
 
 def oracle_sql() -> dict[str, str]:
     """Complete statements over the raw tables; the driver registers those as views."""
-    views = {name: sql.replace("CAST(id AS STRING)", "CAST(id AS STRING)") for name, sql in VIEWS.items()}
-    return {name: with_clause(sql, {**views, **PARTS}) for name, sql in SQL.items()}
+    return {name: with_clause(sql, {**VIEWS, **PARTS}) for name, sql in SQL.items()}

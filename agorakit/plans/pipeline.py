@@ -60,19 +60,23 @@ def _users(w: Warehouse) -> DataFrame:
     return users.unified_users(*[w[n] for n in names.split()], as_of=w.as_of, test_emails=w.test_emails)
 
 
-def _relationships(w: Warehouse) -> DataFrame:
-    sides = (graph.shared_target_pairs(w["graph_edges"], w["graph_nodes"], w["unified_users"], kind) for kind in (WORKED, STUDIED))
-    worked, studied = sides
-    return worked.unionByName(studied)
+def _relationship_members(w: Warehouse, kind: dict) -> DataFrame:
+    return graph.relationship_members(w["graph_edges"], w["graph_nodes"], w["unified_users"], kind)
 
 
-def _relationship_hubs(w: Warehouse) -> DataFrame:
+def _relationships(w: Warehouse) -> DataFrame:
     worked, studied = (
-        graph.shared_target_hubs(w["graph_edges"], w["graph_nodes"], w["unified_users"], kind) for kind in (WORKED, STUDIED)
+        graph.shared_target_pairs(w["graph_edges"], w["graph_nodes"], w["unified_users"], kind, w[stored])
+        for kind, stored in ((WORKED, "work_relationship_members"), (STUDIED, "study_relationship_members"))
     )
     return worked.unionByName(studied)
 
 
+def _relationship_hubs(w: Warehouse) -> DataFrame:
+    worked = graph.shared_target_hubs(WORKED, w["work_relationship_members"])
+    return worked.unionByName(graph.shared_target_hubs(STUDIED, w["study_relationship_members"]))
+
+
 def _graph_stage(build: Callable[..., DataFrame]) -> Callable[[Warehouse], DataFrame]:
     return lambda w: build(w["graph_edges"], w["graph_nodes"], w["unified_users"])
 
@@ -88,8 +92,10 @@ STAGES: tuple[Stage, ...] = (
         ("unified_users",),
     ),
     Stage("user_cohorts", lambda w: cohorts.user_cohorts(w["unified_users"]), ("unified_users",)),
-    Stage("user_relationships", _relationships, _GRAPH),
-    Stage("relationship_hubs", _relationship_hubs, _GRAPH),
+    Stage("work_relationship_members", lambda w: _relationship_members(w, WORKED), _GRAPH),
+    Stage("study_relationship_members", lambda w: _relationship_members(w, STUDIED), _GRAPH),
+    Stage("user_relationships", _relationships, (*_GRAPH, "work_relationship_members", "study_relationship_members")),
+    Stage("relationship_hubs", _relationship_hubs, ("work_relationship_members", "study_relationship_members")),
     Stage("company_members", _graph_stage(graph.company_members), _GRAPH),
     Stage("company_networks", lambda w: graph.company_networks(w["company_members"]), ("company_members",)),
     Stage("school_members", _graph_stage(graph.school_members), _GRAPH),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -44,3 +44,13 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for one written table under the shared scratch folder."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write a frame to the checkpoint folder and return the stored copy.
+
+    For frames that a plan reads many times: later stages scan the stored rows, plans stay small, and a lost executor
+    costs a rescan, not a recomputation.
+    """
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
