@@ -93,3 +93,14 @@ def standard_population(users: DataFrame) -> DataFrame:
 def optional(df: DataFrame, name: str, dtype: str = "string") -> Column:
     """The column if the frame has it, else a typed NULL."""
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
+
+
+def key_type(*keys: tuple[DataFrame, str]) -> str:
+    """Type in which the given (frame, column) keys can be compared: their own if they agree, else string.
+
+    Keeping numeric keys numeric makes joins cheaper and lets a partitioning on the id be used again.
+    """
+    found = {df.schema[name].dataType.simpleString() for df, name in keys}
+    if found <= {"int", "bigint"}:
+        return "bigint"
+    return found.pop() if len(found) == 1 else "string"

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agorakit.functions.exprs import hex_key, json_text, optional, whole_days
+from agorakit.functions.exprs import hex_key, json_text, key_type, optional, whole_days
 
 # Metadata fields of each activity type, with their types.
 METADATA_FIELDS = {
@@ -52,7 +52,7 @@ def _metadata(kind: str, values: dict[str, Column]) -> Column:
 
 def _rows(kind: str, source: DataFrame, owner: str, database: str, source_id: Column, values: dict[str, Column]) -> DataFrame:
     return source.select(
-        F.col(owner).cast("string").alias("_owner_key"),
+        F.col(owner).alias("_owner_key"),
         F.lit(kind).alias("activity_type"),
         F.col("created_at").alias("activity_date"),
         F.lit(database).alias("source_database"),
@@ -69,7 +69,9 @@ def _attach(rows: DataFrame, users: DataFrame, user_key: str) -> DataFrame:
     One small row per owner and type carries both the signup and the owner's first activity, so the
     event rows are joined once and never windowed; a hot owner is left to adaptive skew splitting.
     """
-    owners = users.select(F.col(user_key).cast("string").alias("_owner_key"), "user_id", "signup_date")
+    dtype = key_type((rows, "_owner_key"), (users, user_key))
+    rows = rows.withColumn("_owner_key", F.col("_owner_key").cast(dtype))
+    owners = users.select(F.col(user_key).cast(dtype).alias("_owner_key"), "user_id", "signup_date")
     firsts = (
         rows.where(F.col("_owner_key").isNotNull())
         .groupBy("_owner_key", "activity_type")

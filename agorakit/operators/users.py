@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agorakit.functions.exprs import blank_to_null, clock, optional, whole_days
+from agorakit.functions.exprs import blank_to_null, clock, key_type, optional, whole_days
 from agorakit.sources.scans import dedupe_first
 
 # Lifecycle thresholds in days and completion weights in points.
@@ -37,10 +37,11 @@ OUTPUT_COLUMNS = (
 def merge_identity(persons: DataFrame, social: DataFrame, link: tuple[str, str] = ("id", "external_id")) -> DataFrame:
     """Live profiles left-joined with their social person; profile values win over social values."""
     ours, theirs = link
+    link_type = key_type((persons, ours), (social, theirs))
     matched = dedupe_first(
         social.select(
-            F.col(theirs).cast("string").alias("_link"),
-            F.col("id").cast("string").alias("engagement_person_id"),
+            F.col(theirs).cast(link_type).alias("_link"),
+            F.col("id").alias("engagement_person_id"),
             optional(social, "email").alias("_email"),
             optional(social, "first_name").alias("_first"),
             optional(social, "last_name").alias("_last"),
@@ -50,7 +51,7 @@ def merge_identity(persons: DataFrame, social: DataFrame, link: tuple[str, str]
     )
     return (
         persons.where(F.col("deleted_at").isNull())
-        .withColumn("_link", F.col(ours).cast("string"))
+        .withColumn("_link", F.col(ours).cast(link_type))
         .join(matched, "_link", "left")
         .withColumn("user_id", F.col("id"))
         .withColumn("email", F.coalesce("email", "_email"))
@@ -68,23 +69,27 @@ def user_type(df: DataFrame) -> DataFrame:
     )
 
 
-def _tagged(kind: str, df: DataFrame, key: str) -> DataFrame:
+def _tagged(kind: str, df: DataFrame, key: str, dtype: str) -> DataFrame:
     return df.select(
-        F.col(key).cast("string").alias("_key"),
+        F.col(key).cast(dtype).alias("_key"),
         F.lit(kind).alias("_kind"),
         optional(df, "created_at", "timestamp").cast("timestamp").alias("_at"),
         F.col("deleted_at").isNull().alias("_live"),
     )
 
 
-def _rollup(tagged: Sequence[DataFrame], kinds: Sequence[str]) -> DataFrame:
+def _rollup(sources: dict[str, tuple[DataFrame, str]], users: DataFrame, user_key: str) -> DataFrame:
+    """Counts and dates of several sources per owner, keyed by ``user_key``."""
+    dtype = key_type((users, user_key), *sources.values())
+    tagged = [_tagged(kind, df, key, dtype) for kind, (df, key) in sources.items()]
     rows = reduce(DataFrame.unionByName, tagged).where(F.col("_key").isNotNull())
-    of_kind = {kind: F.col("_kind") == kind for kind in kinds}
-    aggregates = [F.count_if(of_kind[k] & F.col("_live")).alias(COUNT_COLUMNS[k]) for k in kinds]
-    for kind in (k for k in kinds if k in DATED_KINDS):
+    of_kind = {kind: F.col("_kind") == kind for kind in sources}
+    aggregates = [F.count_if(of_kind[k] & F.col("_live")).alias(COUNT_COLUMNS[k]) for k in sources]
+    for kind in (k for k in sources if k in DATED_KINDS):
         aggregates.append(F.min(F.when(of_kind[kind], F.col("_at"))).alias(f"first_{kind}_at"))
         aggregates.append(F.max(F.when(of_kind[kind], F.col("_at"))).alias(f"last_{kind}_at"))
-    return rows.groupBy("_key").agg(*aggregates)
+    totals = rows.groupBy("_key").agg(*aggregates)
+    return users.join(totals, F.col(user_key).cast(dtype) == F.col("_key"), "left").drop("_key")
 
 
 def activity_counts(
@@ -96,27 +101,15 @@ def activity_counts(
     The sources that share a key are unioned and aggregated once, so nine lookups cost two
     map-side-combined shuffles and two joins, whatever one key's share of the rows.
     """
-    by_profile = _rollup(
-        [
-            _tagged("experience", experiences, "person_id"), _tagged("education", education, "person_id"),
-            _tagged("vote", votes, "voter_id"), _tagged("collection", collections, "person_id"),
-            _tagged("view", views, "person_id"),
-        ],
-        ("experience", "education", "vote", "collection", "view"),
-    )
-    by_social = _rollup(
-        [
-            _tagged("post", posts, "person_id"), _tagged("comment", comments, "person_id"),
-            _tagged("mention", mentions, "mentioned_person_id"), _tagged("member", members, "person_id"),
-        ],
-        ("post", "comment", "mention", "member"),
-    )
-    joined = (
-        identities.withColumn("_profile_key", F.col("user_id").cast("string"))
-        .join(by_profile.withColumnRenamed("_key", "_profile_key"), "_profile_key", "left")
-        .join(by_social.withColumnRenamed("_key", "engagement_person_id"), "engagement_person_id", "left")
-        .drop("_profile_key")
-    )
+    of_profile = {
+        "experience": (experiences, "person_id"), "education": (education, "person_id"), "vote": (votes, "voter_id"),
+        "collection": (collections, "person_id"), "view": (views, "person_id"),
+    }
+    of_social = {
+        "post": (posts, "person_id"), "comment": (comments, "person_id"),
+        "mention": (mentions, "mentioned_person_id"), "member": (members, "person_id"),
+    }
+    joined = _rollup(of_social, _rollup(of_profile, identities, "user_id"), "engagement_person_id")
     return joined.fillna(0, list(COUNT_COLUMNS.values()))
 
 

@@ -168,7 +168,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("a12_export_activation")
 def _(i: Inputs) -> DataFrame:
-    training = segments.activation_training(i.users, AS_OF)
+    training = segments.activation_training(i.lazy_users, AS_OF)
     path = sinks.export_activation(training, AS_OF, scratch_path(i.spark, "export"))
     schema = segments.activation_export_frame(training, AS_OF).schema
     return i.spark.read.schema(schema).option("header", True).csv(path)
@@ -227,12 +227,12 @@ def _(i: Inputs) -> DataFrame:
 
 
 for _name, _columns in _USER_QUERIES.items():
-    _QUERIES[_name] = lambda i, columns=_columns: i.users.select("user_id", *columns)
+    _QUERIES[_name] = lambda i, columns=_columns: i.lazy_users.select("user_id", *columns)
 
 
 @_query("u12_unified_users")
 def _(i: Inputs) -> DataFrame:
-    return i.users
+    return i.lazy_users
 
 
 @_query("g1_glossary")
@@ -275,7 +275,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("c1_user_cohorts")
 def _(i: Inputs) -> DataFrame:
-    return cohorts.user_cohorts(i.users)
+    return cohorts.user_cohorts(i.lazy_users)
 
 
 # KPIs
@@ -283,7 +283,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("d1_daily_signups")
 def _(i: Inputs) -> DataFrame:
-    return kpis.daily_signups(i.users)
+    return kpis.daily_signups(i.lazy_users)
 
 
 @_query("d2_daily_activity")
@@ -298,7 +298,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("d4_date_series")
 def _(i: Inputs) -> DataFrame:
-    return kpis.date_series(i.users, AS_OF)
+    return kpis.date_series(i.lazy_users, AS_OF)
 
 
 @_query("n5_cumulative_users")
@@ -323,7 +323,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("m3_monthly_activation")
 def _(i: Inputs) -> DataFrame:
-    return kpis.monthly_activation(i.users)
+    return kpis.monthly_activation(i.lazy_users)
 
 
 @_query("m4_retained_from_previous")
@@ -333,7 +333,8 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("m5_monthly_metrics")
 def _(i: Inputs) -> DataFrame:
-    return kpis.monthly_metrics(i.daily, i.events, i.users, AS_OF)
+    daily = kpis.daily_metrics(i.users, i.stored_events, AS_OF)
+    return kpis.monthly_metrics(daily, i.stored_events, i.users, AS_OF)
 
 
 @_query("r1_cohort_weeks")
@@ -386,7 +387,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("k5_funnel_metrics")
 def _(i: Inputs) -> DataFrame:
-    return kpis.funnel_metrics(i.users, AS_OF)
+    return kpis.funnel_metrics(i.lazy_users, AS_OF)
 
 
 # Segments and features
@@ -399,7 +400,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("f1_activation_training")
 def _(i: Inputs) -> DataFrame:
-    return segments.activation_training(i.users, AS_OF)
+    return segments.activation_training(i.lazy_users, AS_OF)
 
 
 @_query("f2_engagement_training")

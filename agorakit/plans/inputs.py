@@ -18,6 +18,9 @@ from agorakit.sources.schemas import fixture_schema
 AS_OF = "2001-08-02 12:00:00"
 
 
+_PLANS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 class Inputs:
     """Input frames by view name. Everything stays lazy and no session-wide view is registered."""
 
@@ -25,13 +28,13 @@ class Inputs:
         self.spark = spark
         self.folder = folder.rstrip("/")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self._frames: dict[str, DataFrame] = {}
+        # Plans of the bound inputs are shared by all queries of a session; nothing computed is.
+        self._frames = _PLANS.setdefault((spark.sparkContext.applicationId, self.folder), {})
 
     def frame(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in VIEWS:
-                sql, used = placeholders(VIEWS[name])
-                self._frames[name] = self.spark.sql(sql, **{table: self.frame(table) for table in used})
+                self._frames[name] = self._bound(name, {})
             else:
                 path = f"{self.folder}/{name}.parquet"
                 self._frames[name] = self.spark.read.schema(fixture_schema(name)).parquet(path)
@@ -39,6 +42,10 @@ class Inputs:
 
     __getitem__ = frame
 
+    def _bound(self, name: str, given: dict[str, DataFrame]) -> DataFrame:
+        sql, used = placeholders(VIEWS[name])
+        return self.spark.sql(sql, **{table: given[table] if table in given else self.frame(table) for table in used})
+
     @cached_property
     def test_emails(self) -> DataFrame:
         return self["fx_persons"].where("id % 50 = 0").select("email")
@@ -48,14 +55,23 @@ class Inputs:
         return us.unified_users(*[self[f"fx_{n}"] for n in names], as_of=as_of, test_emails=self.test_emails)
 
     @cached_property
-    def users(self) -> DataFrame:
+    def lazy_users(self) -> DataFrame:
         return self.users_as_of(AS_OF)
 
+    @cached_property
+    def users(self) -> DataFrame:
+        """The unified user table, stored once: every consumer below reads it at least twice."""
+        return cut(self.lazy_users, "unified-users")
+
     @cached_property
     def events(self) -> DataFrame:
         names = "posts comments votes collections views".split()
         return ev.activity_events(*[self[f"fx_{n}"] for n in names], self.users)
 
+    @cached_property
+    def stored_events(self) -> DataFrame:
+        return cut(self.events, "activity-events")
+
     @cached_property
     def levels(self) -> DataFrame:
         return segments.engagement_levels(self.users, AS_OF)
@@ -66,23 +82,27 @@ class Inputs:
 
     @cached_property
     def graph(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self["fx_edges"], self["fx_nodes"], self.users
+        """Edge and node tables as extraction stores them, and the users they map to."""
+        people = self.lazy_users.select("user_id", "email")
+        # Experiences and education feed most union branches of both tables.
+        spells = {name: cut(self[name], name) for name in ("fx_experiences", "fx_education")}
+        return cut(self._bound("fx_edges", spells), "graph-edges"), cut(self._bound("fx_nodes", spells), "graph-nodes"), people
 
     @cached_property
     def company_members(self) -> DataFrame:
-        return gr.company_members(*self.graph)
+        return cut(gr.company_members(*self.graph), "company-members")
 
     @cached_property
     def school_members(self) -> DataFrame:
-        return gr.school_members(*self.graph)
+        return cut(gr.school_members(*self.graph), "school-members")
 
     @cached_property
     def location_members(self) -> DataFrame:
-        return gr.location_members(*self.graph)
+        return cut(gr.location_members(*self.graph), "location-members")
 
     @cached_property
     def project_members(self) -> DataFrame:
-        return gr.project_members(*self.graph)
+        return cut(gr.project_members(*self.graph), "project-members")
 
     def relationships(self, hub_size: int = HUB_SIZE) -> tuple[DataFrame, DataFrame]:
         """Listed pairs and hub members of both relationship kinds."""

@@ -46,11 +46,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write a frame to the checkpoint folder and return the stored copy.
+def cut(df: DataFrame, label: str = "stored") -> DataFrame:
+    """Write a frame as Parquet to the shared scratch folder and return the stored table.
 
-    For frames that a plan reads many times: later stages scan the stored rows, plans stay small, and a lost executor
-    costs a rescan, not a recomputation.
+    For frames that a plan reads several times: later scans prune columns and push filters, plans stay small, and a
+    lost executor costs a rescan, not a recomputation.
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

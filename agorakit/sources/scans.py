@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorakit.functions.exprs import json_text
+from agorakit.functions.exprs import json_text, key_type
 
 # Id properties of graph nodes in the order they are tried.
 NODE_ID_PROPERTIES = (
@@ -58,8 +58,9 @@ def scan_active(df: DataFrame, cols: Sequence[str], deleted_col: str = "deleted_
 
 def keep_owned(child: DataFrame, owners: DataFrame, child_key: str, owner_key: str) -> DataFrame:
     """Keep child rows whose owner exists among ``owners``."""
-    known = owners.select(F.col(owner_key).cast("string").alias("_owner")).distinct()
-    return child.join(known, F.col(child_key).cast("string") == F.col("_owner"), "left_semi")
+    dtype = key_type((child, child_key), (owners, owner_key))
+    known = owners.select(F.col(owner_key).cast(dtype).alias("_owner")).distinct()
+    return child.join(known, F.col(child_key).cast(dtype) == F.col("_owner"), "left_semi")
 
 
 def json_column(df: DataFrame, col: str) -> DataFrame:
