@@ -70,10 +70,10 @@ def hubs(nodes: DataFrame, edges: DataFrame, k: int = HUBS) -> DataFrame:
 
 def samples(nodes: DataFrame, n: int = SAMPLES, labels: int = SAMPLE_LABELS) -> DataFrame:
     """The first ``n`` nodes by id of each of the first labels in alphabetical order."""
-    first = nodes.select("node_type").distinct().orderBy("node_type").limit(labels)
+    last_label = nodes.select("node_type").distinct().orderBy("node_type").limit(labels).agg(F.max("node_type")).scalar()
     place = F.row_number().over(Window.partitionBy("node_type").orderBy("node_id"))
     return (
-        nodes.join(first, "node_type", "left_semi")
+        nodes.where(F.col("node_type") <= last_label)
         .withColumn("_place", place)
         .where(F.col("_place") <= n)
         .select("node_type", "node_id", "name")

@@ -184,8 +184,10 @@ def monthly_metrics(daily: DataFrame, events: DataFrame, users: DataFrame, as_of
         monthly_rollup(daily)
         .join(monthly_active(events, users), "metric_month", "left")
         .join(monthly_activation(users), "metric_month", "left")
-        .join(retained_from_previous(events, as_of), "metric_month", "left")
     )
+    # Only the clock's month has a retained count, so it is one value, not a join.
+    retained_now = retained_from_previous(events, as_of).select("retained_from_prev").scalar()
+    retained = F.when(F.col("metric_month") == month_of(clock(as_of)), retained_now)
     # One partition of months, whose number does not grow with the data.
     by_month = Window.orderBy("metric_month")
     previous_total = F.lag("total_users_end_of_month").over(by_month)
@@ -203,8 +205,8 @@ def monthly_metrics(daily: DataFrame, events: DataFrame, users: DataFrame, as_of
         zero_unless(mau > 0, ratio(score, mau)).alias("avg_engagement_score"),
         zero_if_null("finder_mau"), zero_if_null("standard_mau"),
         zero_unless(total > 0, pct(F.col("finder_mau"), total)).alias("finder_adoption_pct"),
-        F.coalesce("retained_from_prev", F.lit(0).cast("bigint")).alias("retained_from_prev_month"),
-        zero_unless(previous_mau > 0, pct(F.col("retained_from_prev"), previous_mau)).alias("retention_rate"),
+        F.coalesce(retained, F.lit(0).cast("bigint")).alias("retained_from_prev_month"),
+        zero_unless(previous_mau > 0, pct(retained, previous_mau)).alias("retention_rate"),
     )
 
 
