@@ -74,25 +74,29 @@ def connection_summary(relationships: DataFrame, hubs: DataFrame | None = None)
 
 
 def _distinct_partners(relationships: DataFrame, hubs: DataFrame | None) -> DataFrame:
-    """Distinct related users per user over all relationship types."""
-    has_hubs = hubs is not None and "hub_strength" in relationships.columns
-    through_hub = F.max("hub_strength") if has_hubs else F.lit(0)
-    listed = (
-        relationships.groupBy("user_id", "related_user_id")
-        .agg(through_hub.alias("_hub"))
-        .groupBy("user_id")
-        .agg(F.count_if(F.col("_hub") == 0).alias("partners"))
-    )
-    if not has_hubs:
-        return listed
+    """Distinct related users per user over all relationship types.
+
+    A pair listed for one type may meet in a hub of another, where the rank counts include it. So listed pairs count
+    here only if the two users share no hub of any type.
+    """
+    listed = relationships.select("user_id", "related_user_id").distinct()
+    if hubs is None:
+        return listed.groupBy("user_id").agg(F.count(F.lit(1)).alias("partners"))
     tagged = F.transform("hubs", lambda h: F.concat("relationship_type", F.lit("/"), h))
     combined = hubs.groupBy(F.col("user_id").alias("member")).agg(
         F.min("ord").alias("ord"), F.sort_array(F.flatten(F.collect_list(tagged))).alias("hubs")
     )
+    mine = combined.select(F.col("member").alias("user_id"), F.col("hubs").alias("_mine"))
+    theirs = combined.select(F.col("member").alias("related_user_id"), F.col("hubs").alias("_theirs"))
+    meet = F.coalesce(F.arrays_overlap("_mine", "_theirs"), F.lit(False))
+    outside = (
+        listed.join(mine, "user_id", "left").join(theirs, "related_user_id", "left")
+        .groupBy("user_id").agg(F.count_if(~meet).alias("partners"))
+    )
     counted = pairs.hub_partner_counts(combined).select(
         F.col("member").alias("user_id"), F.col("hub_partners").alias("partners")
     )
-    return listed.unionByName(counted).groupBy("user_id").agg(F.sum("partners").alias("partners"))
+    return outside.unionByName(counted).groupBy("user_id").agg(F.sum("partners").alias("partners"))
 
 
 def top_connected(

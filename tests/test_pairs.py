@@ -81,3 +81,50 @@ def test_rows_after_is_a_reverse_rank(spark):
     df = spark.range(500).select(F.lit("k").alias("key"), F.col("id").alias("ord"))
     got = {r.ord: r.after for r in pairs.rows_after(df, "key", "ord", "after").collect()}
     assert got == {i: 499 - i for i in range(500)}
+
+
+def test_summaries_over_two_relationship_types(spark):
+    """Pairs may be listed for one type and meet only in a hub of the other."""
+    from agorakit.operators import networks
+
+    kinds = {"WORKED_TOGETHER": 5, "STUDIED_TOGETHER": 6}
+    rng = random.Random(9)
+    order = {m: f"n{rng.random():.6f}" for m in range(40)}
+    strengths, listed, hubs = {}, [], []
+    for kind, seed in kinds.items():
+        rows = [(g, m, order[m], leads) for g, m, _, leads in _memberships(seed, False)]
+        for pair, s in _brute(rows).items():
+            strengths[(kind, *pair)] = s
+        annotated = pairs.annotate(spark.createDataFrame(rows, "grp string, member bigint, ord string, leads boolean"), hub_size=4)
+        listed += [(r.first, r.second, kind, r.strength, r.hub_strength) for r in pairs.listed_pairs(annotated).collect()]
+        hubs += [(kind, r.member, r.ord, r.hubs) for r in pairs.hub_members(annotated).collect()]
+    relationships = spark.createDataFrame(
+        listed, "user_id long, related_user_id long, relationship_type string, relationship_strength long, hub_strength long"
+    )
+    members = spark.createDataFrame(hubs, "relationship_type string, user_id long, ord string, hubs array<string>")
+    assert len(listed) < len(strengths)
+
+    people = spark.range(40).select(
+        F.col("id").alias("user_id"), *[F.lit("x").alias(c) for c in ("email", "first_name", "last_name")],
+        F.lit(None).cast("timestamp").alias("deleted_at"),
+    )
+    found = {r.user_id: r for r in networks.top_connected(people, relationships, members).collect()}
+    summary = {r.user_id: r for r in networks.connection_summary(relationships, members).collect()}
+    for user in range(40):
+        mine = {(k, b): s for (k, a, b), s in strengths.items() if a == user}
+        assert found[user].connection_count == len({b for _, b in mine})
+        if mine:
+            assert found[user].avg_connection_strength == pytest.approx(sum(mine.values()) / len(mine))
+            assert summary[user].total_connections == len(mine)
+            assert summary[user].work_connections == sum(k == "WORKED_TOGETHER" for k, _ in mine)
+
+    best = {}
+    for (kind, a, b), s in strengths.items():
+        key = (min(a, b), max(a, b))
+        top, worked = best.get(key, (0, False))
+        best[key] = (max(top, s), worked or kind == "WORKED_TOGETHER")
+    want = sorted((-10.0 * s, a, b, worked) for (a, b), (s, worked) in best.items())
+    for k in (20, 400):
+        got = networks.connection_recommendations(relationships, members, k=k).collect()
+        rows = sorted((-r.recommendation_score, r.user_id, r.recommended_user_id, r.recommendation_reason == networks.REASON_WORKED) for r in got)
+        assert rows == want[:k]
