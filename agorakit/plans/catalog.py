@@ -176,7 +176,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("a13_export_engagement")
 def _(i: Inputs) -> DataFrame:
-    training = segments.engagement_training(i.users, i.events, i.levels, AS_OF)
+    training = segments.engagement_training(i.users, i.events, segments.engagement_levels(i.users, AS_OF), AS_OF)
     path = sinks.export_engagement(training, AS_OF, scratch_path(i.spark, "export"))
     schema = segments.engagement_export_frame(training, AS_OF).schema
     return i.spark.read.schema(schema).option("header", True).csv(path)
@@ -249,7 +249,7 @@ for _name, _build, _source in (
     ("e4_collection_events", events.collection_events, "fx_collections"),
     ("e5_view_events", events.view_events, "fx_views"),
 ):
-    _QUERIES[_name] = lambda i, build=_build, source=_source: events.metadata_json(build(i[source], i.users))
+    _QUERIES[_name] = lambda i, build=_build, source=_source: events.metadata_json(build(i[source], i.lazy_users))
 
 
 @_query("e6_activity_events")
@@ -293,7 +293,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("d3_daily_active_by_type")
 def _(i: Inputs) -> DataFrame:
-    return kpis.daily_active_by_type(i.events, i.users)
+    return kpis.daily_active_by_type(i.events, i.lazy_users)
 
 
 @_query("d4_date_series")
@@ -303,7 +303,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("n5_cumulative_users")
 def _(i: Inputs) -> DataFrame:
-    return kpis.cumulative_users(i.users, AS_OF)
+    return kpis.cumulative_users(i.lazy_users, AS_OF)
 
 
 @_query("d5_daily_metrics")
@@ -318,7 +318,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("m2_monthly_active")
 def _(i: Inputs) -> DataFrame:
-    return kpis.monthly_active(i.events, i.users)
+    return kpis.monthly_active(i.events, i.lazy_users)
 
 
 @_query("m3_monthly_activation")
@@ -333,23 +333,23 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("m5_monthly_metrics")
 def _(i: Inputs) -> DataFrame:
-    daily = kpis.daily_metrics(i.users, i.stored_events, AS_OF)
-    return kpis.monthly_metrics(daily, i.stored_events, i.users, AS_OF)
+    daily = kpis.daily_metrics(i.lazy_users, i.stored_events, AS_OF)
+    return kpis.monthly_metrics(daily, i.stored_events, i.lazy_users, AS_OF)
 
 
 @_query("r1_cohort_weeks")
 def _(i: Inputs) -> DataFrame:
-    return cohorts.cohort_weeks(i.users, AS_OF)
+    return cohorts.cohort_weeks(i.lazy_users, AS_OF)
 
 
 @_query("r2_cohort_activity")
 def _(i: Inputs) -> DataFrame:
-    return cohorts.cohort_activity(i.users, i.events, AS_OF)
+    return cohorts.cohort_activity(i.lazy_users, i.events, AS_OF)
 
 
 @_query("r3_cohort_retention")
 def _(i: Inputs) -> DataFrame:
-    return cohorts.cohort_retention(i.users, i.events, AS_OF)
+    return cohorts.cohort_retention(i.lazy_users, i.events, AS_OF)
 
 
 @_query("r4_week_bucket")
@@ -358,7 +358,7 @@ def _(i: Inputs) -> DataFrame:
     shifted = F.col("activity_date") - F.expr("INTERVAL '5' HOUR")
     week = cohorts.week_bucket(shifted, F.col("signup_date"))
     return (
-        i.events.join(i.users.select("user_id", "signup_date"), "user_id")
+        i.events.join(i.lazy_users.select("user_id", "signup_date"), "user_id")
         .select(week.alias("week"))
         .groupBy("week").agg(F.count(F.lit(1)).alias("events"))
     )
@@ -405,7 +405,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("f2_engagement_training")
 def _(i: Inputs) -> DataFrame:
-    return segments.engagement_training(i.users, i.events, i.levels, AS_OF)
+    return segments.engagement_training(i.users, i.events, segments.engagement_levels(i.users, AS_OF), AS_OF)
 
 
 # Graph
@@ -473,7 +473,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("l3_skills_matching")
 def _(i: Inputs) -> DataFrame:
-    return _joined(networks.skills_matching(i.company_members, i.users, AS_OF), "similar_user_ids")
+    return _joined(networks.skills_matching(i.company_members, i.lazy_users, AS_OF), "similar_user_ids")
 
 
 @_query("l4_career_path_patterns")
@@ -519,13 +519,13 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("v3_top_connected")
 def _(i: Inputs) -> DataFrame:
-    top = networks.top_connected(i.users, *i.relationships())
+    top = networks.top_connected(i.lazy_users, *i.relationships())
     return top.withColumn("avg_connection_strength", F.round("avg_connection_strength", 4))
 
 
 @_query("v3_top_connected_small_hubs")
 def _(i: Inputs) -> DataFrame:
-    top = networks.top_connected(i.users, *i.relationships(SMALL_HUB))
+    top = networks.top_connected(i.lazy_users, *i.relationships(SMALL_HUB))
     return top.withColumn("avg_connection_strength", F.round("avg_connection_strength", 4))
 
 

@@ -56,17 +56,18 @@ class Inputs:
 
     @cached_property
     def lazy_users(self) -> DataFrame:
+        """The unified user table as a plan: queries that read few of its columns compute only those."""
         return self.users_as_of(AS_OF)
 
     @cached_property
     def users(self) -> DataFrame:
-        """The unified user table, stored once: every consumer below reads it at least twice."""
+        """The unified user table, stored once, for queries that read its counts more than once."""
         return cut(self.lazy_users, "unified-users")
 
     @cached_property
     def events(self) -> DataFrame:
         names = "posts comments votes collections views".split()
-        return ev.activity_events(*[self[f"fx_{n}"] for n in names], self.users)
+        return ev.activity_events(*[self[f"fx_{n}"] for n in names], self.lazy_users)
 
     @cached_property
     def stored_events(self) -> DataFrame:
@@ -74,11 +75,11 @@ class Inputs:
 
     @cached_property
     def levels(self) -> DataFrame:
-        return segments.engagement_levels(self.users, AS_OF)
+        return segments.engagement_levels(self.lazy_users, AS_OF)
 
     @cached_property
     def daily(self) -> DataFrame:
-        return kpis.daily_metrics(self.users, self.events, AS_OF)
+        return kpis.daily_metrics(self.lazy_users, self.events, AS_OF)
 
     @cached_property
     def graph(self) -> tuple[DataFrame, DataFrame, DataFrame]:
