@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorakit.llm import exactdedup, linededup, sharding
+from agorakit.llm import exactdedup, linededup, pieces, sharding, simhash
 from agorakit.llm.common import documents
 
 _MODULES = {
+    "op1_sentencepiece": pieces,
     "op3_sharding": sharding,
     "op5_exact_dedup": exactdedup,
     "op8_line_dedup": linededup,
+    "op10_simhash": simhash,
 }
 
 
