@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorakit.llm import exactdedup, linededup, pieces, sharding, simhash
+from agorakit.llm import exactdedup, langid, linededup, pieces, sharding, simhash
 from agorakit.llm.common import documents
 
 _MODULES = {
@@ -14,6 +14,7 @@ _MODULES = {
     "op3_sharding": sharding,
     "op5_exact_dedup": exactdedup,
     "op8_line_dedup": linededup,
+    "op9_language_id": langid,
     "op10_simhash": simhash,
 }
 
