@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorakit.llm import exactdedup, langid, linededup, pieces, secrets, sharding, simhash
+from agorakit.llm import exactdedup, fingerprints, langid, linededup, pieces, secrets, sharding, simhash, tokenfiles
 from agorakit.llm.common import documents
 
 _MODULES = {
     "op1_sentencepiece": pieces,
+    "op2_token_files": tokenfiles,
     "op3_sharding": sharding,
     "op4_secret_scan": secrets,
     "op5_exact_dedup": exactdedup,
+    "op6_fingerprints": fingerprints,
     "op8_line_dedup": linededup,
     "op9_language_id": langid,
     "op10_simhash": simhash,
