@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorakit.llm import exactdedup, fingerprints, langid, linededup, pieces, secrets, sharding, simhash, tokenfiles
+from agorakit.llm import exactdedup, fingerprints, langid, linededup, mixing, pieces, secrets, sharding, simhash, tokenfiles
 from agorakit.llm.common import documents
 
 _MODULES = {
@@ -16,6 +16,7 @@ _MODULES = {
     "op4_secret_scan": secrets,
     "op5_exact_dedup": exactdedup,
     "op6_fingerprints": fingerprints,
+    "op7_mixing": mixing,
     "op8_line_dedup": linededup,
     "op9_language_id": langid,
     "op10_simhash": simhash,

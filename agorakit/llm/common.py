@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-RANK_BUCKETS = 256
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
@@ -30,22 +28,22 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def dense_rank_in(df: DataFrame, group: list[str], spread: Column, order: list[Column], out: str, buckets: int = RANK_BUCKETS) -> DataFrame:
+def dense_rank_in(df: DataFrame, group: list[str], bucket: Column, order: list[Column], out: str) -> DataFrame:
     """A gapless number from 0 within each group, without a task that holds a whole group.
 
-    `spread` is hashed to `buckets` buckets; rows are numbered by (bucket, order). Each bucket is numbered by itself
-    and starts where the buckets before it end, so a group with a third of all rows is worked on by as many tasks as
-    there are buckets. The starts are one row per group and bucket.
+    Rows are numbered by (bucket, order). Each bucket of a group is numbered by itself and starts where the buckets before it
+    end, so a group with a third of all rows is worked on by as many tasks as there are buckets. The starts are one row
+    per group and bucket.
     """
-    bucket, start, size = fresh(df, "_bucket", "_start", "_size")
-    dealt = df.withColumn(bucket, F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int"))
-    sizes = dealt.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias(size))
-    before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*[F.col(g).alias(f"{start}{i}") for i, g in enumerate(group)], F.col(bucket).alias(f"{bucket}b"),
+    part, start, size = fresh(df, "_bucket", "_start", "_size")
+    dealt = df.withColumn(part, bucket)
+    sizes = dealt.groupBy(*group, part).agg(F.count(F.lit(1)).alias(size))
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(g).alias(f"{start}{i}") for i, g in enumerate(group)], F.col(part).alias(f"{part}b"),
                           F.coalesce(F.sum(size).over(before), F.lit(0)).alias(start))
-    own = Window.partitionBy(*group, bucket).orderBy(*order)
+    own = Window.partitionBy(*group, part).orderBy(*order)
     numbered = dealt.withColumn(size, F.row_number().over(own) - 1)
-    match = F.col(bucket) == F.col(f"{bucket}b")
+    match = F.col(part) == F.col(f"{part}b")
     for i, g in enumerate(group):
         match = match & F.col(g).eqNullSafe(F.col(f"{start}{i}"))
     return numbered.join(starts, match).select(*df.columns, (F.col(start) + F.col(size)).cast("long").alias(out))

@@ -11,6 +11,8 @@ from agorakit.llm.common import dense_rank_in, fresh, text_of
 
 #: Fixed value: the multiplier of the published generator.
 MULTIPLIER = 2862933555777941757
+#: Parts in which the rows of a shard are numbered.
+BUCKETS = 1024
 
 
 def jump(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -53,8 +55,8 @@ def shard(df: DataFrame, key: str, shards: int) -> DataFrame:
     (mixed,) = fresh(df, "_mixed")
     hashed = df.withColumn(mixed, F.xxhash64(F.col(key)))
     placed = hashed.select(*kept, shard_of(F.col(mixed), shards).alias("shard"), shard_of(F.col(mixed), shards + 1).alias("grown_shard"))
-    spread = F.struct(*[F.col(c) for c in kept])
-    return dense_rank_in(placed, ["shard"], spread, [F.col(c) for c in [key, *[c for c in kept if c != key]]], "slot")
+    bucket = F.pmod(F.xxhash64(*kept), F.lit(BUCKETS)).cast("int")
+    return dense_rank_in(placed, ["shard"], bucket, [F.col(c) for c in [key, *[c for c in kept if c != key]]], "slot")
 
 
 def query(docs: DataFrame, shards: int = 16) -> DataFrame:
