@@ -228,12 +228,15 @@ def encode(df: DataFrame, model: str, text: str = "text") -> DataFrame:
     return with_columns_of_text(df, text, make, ID_COLUMNS, keep, rows=64)
 
 
+def digests(encoded: DataFrame, *keep: str) -> DataFrame:
+    """The columns `keep`, the number of ids, and digests of the ids and of the text they decode to."""
+    return encoded.select(
+        *keep, F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def query(docs: DataFrame) -> DataFrame:
-    """Per document the number of ids, and digests of the ids and of the text they decode to."""
     import public_tokenizers
 
-    found = encode(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
-    return found.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return digests(encode(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")), "doc_id")
