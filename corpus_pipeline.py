@@ -1,23 +1,54 @@
-"""From raw documents to token counts of a training mix. Each stage reads what its predecessor kept, as Parquet."""
+"""From raw documents to the token ids of a training mix. Each stage reads what its predecessor kept, as Parquet."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from agorakit.llm import linededup
+from agorakit.llm import langid, linededup, mixing, pieces, simhash
 from agorakit.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+MODEL = "piece_bpe_32k.model"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay; those without a letter, or that no learned language shortens, go."""
+    return langid.in_language(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return linededup.line_dedup(docs).select(*COLUMNS)
+    """Lines that stand in too many documents of a source are taken out; all documents stay, also if no line is left."""
+    found = linededup.line_dedup(docs)
+    length = F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return found.withColumn("n_chars", length).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, that with the least doc_id."""
+    return simhash.representatives(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's weight asks, once at least."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each whole text, and digests of the ids and of the text they decode to."""
+    return pieces.digests(pieces.encode(docs.select("doc_id", "source", "text"), public_tokenizers.path(MODEL)), "doc_id", "source", "ids")
 
 
-STAGES: list[tuple[str, Stage]] = [("line dedup", line_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("mixing to target weights", mixing_stage),
+    ("SentencePiece encoding", sentencepiece),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Tokenizers and trained models have no SQL form.
+#: Trained models, fingerprints by XXH64 and tokenizers have no SQL form.
 ORACLE_SQL = None
