@@ -75,9 +75,10 @@ def daily_active_by_type(events: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def date_series(users: DataFrame, as_of) -> DataFrame:
-    """Every date from the first signup of any user to the clock's date."""
-    span = users.agg(F.min(F.to_date("signup_date")).alias("first_date"))
-    return span.select(F.explode(F.sequence("first_date", F.to_date(clock(as_of)))).alias("metric_date"))
+    """Every date from the first signup of any user to the clock's date; none if the clock is before it."""
+    today = F.to_date(clock(as_of))
+    span = users.agg(F.min(F.to_date("signup_date")).alias("first_date")).where(F.col("first_date") <= today)
+    return span.select(F.explode(F.sequence("first_date", today)).alias("metric_date"))
 
 
 def _signups_on_series(users: DataFrame, as_of) -> DataFrame:

@@ -25,9 +25,10 @@ COUNT_COLUMNS = {
     "comment": "comments_made", "vote": "votes_cast", "collection": "collections_created",
     "mention": "mentions_received", "member": "groups_joined", "view": "views_given",
 }
+NULL_SPREAD = 1_024
 DATED_KINDS = ("post", "comment", "vote", "collection")
 OUTPUT_COLUMNS = (
-    "user_id engagement_person_id email first_name last_name has_finder user_type experience_count education_count "
+    "user_id engagement_person_id person_id email first_name last_name has_finder user_type experience_count education_count "
     "profile_completion_score posts_created comments_made votes_cast collections_created mentions_received groups_joined "
     "views_given signup_date last_activity_date first_post_date first_vote_date days_since_signup days_to_first_activity "
     "user_lifecycle_stage activation_status activated_at is_test_account created_at updated_at deleted_at"
@@ -54,6 +55,7 @@ def merge_identity(persons: DataFrame, social: DataFrame, link: tuple[str, str]
         .withColumn("_link", F.col(ours).cast(link_type))
         .join(matched, "_link", "left")
         .withColumn("user_id", F.col("id"))
+        .withColumn("person_id", optional(persons, "person_id"))
         .withColumn("email", F.coalesce("email", "_email"))
         .withColumn("first_name", F.coalesce("first_name", "_first"))
         .withColumn("last_name", F.coalesce("last_name", "_last"))
@@ -88,8 +90,12 @@ def _rollup(sources: dict[str, tuple[DataFrame, str]], users: DataFrame, user_ke
     for kind in (k for k in sources if k in DATED_KINDS):
         aggregates.append(F.min(F.when(of_kind[kind], F.col("_at"))).alias(f"first_{kind}_at"))
         aggregates.append(F.max(F.when(of_kind[kind], F.col("_at"))).alias(f"last_{kind}_at"))
-    totals = rows.groupBy("_key").agg(*aggregates)
-    return users.join(totals, F.col(user_key).cast(dtype) == F.col("_key"), "left").drop("_key")
+    totals = rows.groupBy("_key").agg(*aggregates).withColumn("_spread", F.lit(0))
+    # Users without this key match nothing; dealt by a second key they do not meet in one task.
+    spread = F.when(F.col(user_key).isNull(), F.pmod(F.xxhash64("user_id"), F.lit(NULL_SPREAD)).cast("int") + 1).otherwise(0)
+    found = users.withColumn("_spread_of", spread)
+    match = (F.col(user_key).cast(dtype) == F.col("_key")) & (F.col("_spread_of") == F.col("_spread"))
+    return found.join(totals, match, "left").drop("_key", "_spread", "_spread_of")
 
 
 def activity_counts(

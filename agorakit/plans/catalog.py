@@ -707,10 +707,8 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("x1_stream_daily_users")
 def _(i: Inputs) -> DataFrame:
-    counts = streams.stream_daily_users(streams.event_stream(i.spark, i.folder))
-    return streams.run_to_table(
-        counts, scratch_path(i.spark, "daily-users"), ["metric_date"],
-        checkpoint=scratch_path(i.spark, "daily-users-state"), mode="append",
+    return streams.stream_daily_users(
+        streams.event_stream(i.spark, i.folder), scratch_path(i.spark, "daily-users"), checkpoint=scratch_path(i.spark, "daily-users-state"),
     )
 
 

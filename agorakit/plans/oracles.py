@@ -49,7 +49,7 @@ def _summary(view: str, key: str) -> str:
 PARTS: dict[str, str] = {}
 
 PARTS["o_people"] = f"""
-SELECT p.id AS user_id, s.id AS engagement_person_id, coalesce(p.email, s.email) AS email, p.first_name, p.last_name,
+SELECT p.id AS user_id, s.id AS engagement_person_id, p.person_id, coalesce(p.email, s.email) AS email, p.first_name, p.last_name,
   p.has_finder IS TRUE AS has_finder, CASE WHEN p.has_finder IS TRUE THEN 'FINDER' ELSE 'STANDARD' END AS user_type,
   coalesce(wk.n, 0) AS experience_count, coalesce(ed.n, 0) AS education_count, coalesce(po.n, 0) AS posts_created,
   coalesce(co.n, 0) AS comments_made, coalesce(vo.n, 0) AS votes_cast, coalesce(cl.n, 0) AS collections_created,
@@ -72,7 +72,7 @@ WHERE p.deleted_at IS NULL
 """
 
 PARTS["o_users"] = f"""
-SELECT user_id, engagement_person_id, email, first_name, last_name, has_finder, user_type, experience_count, education_count,
+SELECT user_id, engagement_person_id, person_id, email, first_name, last_name, has_finder, user_type, experience_count, education_count,
   CAST((10 * (coalesce(first_name, '') <> '')::INT) + (10 * (coalesce(last_name, '') <> '')::INT) + (10 * (email IS NOT NULL)::INT)
     + (15 * (length(coalesce(headline_description, '')) > 10)::INT) + (10 * (linked_in_url IS NOT NULL)::INT)
     + (20 * (experience_count > 0)::INT) + (15 * (education_count > 0)::INT) + (10 * (location_id IS NOT NULL)::INT) AS BIGINT)
@@ -797,7 +797,6 @@ SELECT '{PATH_ENDS[0]}' AS source_node_id, '{PATH_ENDS[1]}' AS target_node_id, m
 SQL["x1_stream_daily_activity"] = "SELECT CAST(ts AS DATE) AS metric_date, event_type, count(*) AS events FROM events GROUP BY 1, 2"
 SQL["x1_stream_daily_users"] = """
 SELECT CAST(ts AS DATE) AS metric_date, count(DISTINCT user_id) AS dau FROM events GROUP BY 1
-HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
 """
 SQL["x2_stream_upsert"] = """
 SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1

@@ -30,10 +30,12 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The checkpoint folder the session names; a fresh local one only where none is named (tests)."""
+    """The shared checkpoint folder that the session names. A local session without one gets a fresh folder; a cluster must name one."""
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="agorakit-checkpoint-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)

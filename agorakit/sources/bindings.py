@@ -11,7 +11,7 @@ import re
 VIEWS: dict[str, str] = {}
 
 VIEWS["fx_persons"] = """
-SELECT c_custkey AS id,
+SELECT c_custkey AS id, CASE WHEN c_custkey % 23 <> 0 THEN md5(CAST(c_custkey AS STRING)) END AS person_id,
   CAST(DATE '1995-01-01' + CAST((c_custkey * 253) % 2404 AS INT) AS TIMESTAMP) AS created_at,
   COALESCE(o.last_order, CAST(DATE '1995-01-01' + CAST((c_custkey * 253) % 2404 AS INT) AS TIMESTAMP)) AS updated_at,
   CASE WHEN c_custkey % 97 = 5 THEN TIMESTAMP '2001-08-01 00:00:00' END AS deleted_at,
@@ -44,19 +44,19 @@ SELECT o_orderkey AS id, o_custkey AS person_id, o_orderdate AS created_at,
   CASE WHEN o_orderkey % 5 = 1 THEN 'k' || CAST(o_orderkey AS STRING) END AS media_keys,
   CASE WHEN o_orderkey % 3 = 0 THEN 'PRIVATE' ELSE 'PUBLIC' END AS privacy
 FROM orders
-WHERE o_orderdate >= CAST(DATE '1995-01-01' + CAST((o_custkey * 253) % 2404 AS INT) AS TIMESTAMP) AND o_custkey % 7 <> 0
+WHERE o_orderdate >= CAST(DATE '1995-01-01' + CAST((o_custkey * 253) % 2404 AS INT) AS TIMESTAMP)
 """
 
 VIEWS["fx_mentions"] = """
 SELECT 'e' || CAST(l_partkey AS STRING) AS mentioned_person_id, l_shipdate AS created_at,
   CASE WHEN l_orderkey % 29 = 0 THEN l_shipdate END AS deleted_at
-FROM lineitem WHERE l_linenumber = 2 AND l_returnflag = 'R'
+FROM lineitem WHERE l_returnflag = 'R'
 """
 
 VIEWS["fx_group_members"] = """
 SELECT l_suppkey AS group_id, 'e' || CAST(l_partkey AS STRING) AS person_id,
   CASE WHEN l_orderkey % 31 = 0 THEN l_shipdate END AS deleted_at
-FROM lineitem WHERE l_linenumber = 3 AND l_returnflag = 'A'
+FROM lineitem WHERE l_returnflag <> 'R'
 """
 
 VIEWS["fx_experiences"] = """
@@ -137,9 +137,9 @@ FROM fx_messages WHERE message_type = 'FILE'
 """
 
 VIEWS["fx_glossary"] = """
-SELECT doc_id AS id, CASE WHEN doc_id % 5 = 0 THEN '  ' ELSE ' ' || substring(text, 1, 12) || ' ' END AS term,
+SELECT doc_id AS id, CASE WHEN doc_id % 5 = 0 THEN '  ' ELSE ' ' || source || ' entry ' || CAST(doc_id AS STRING) || ' ' END AS term,
   CASE WHEN doc_id % 7 = 0 THEN NULL ELSE lang END AS meaning, source AS category,
-  CASE WHEN doc_id % 10 = 0 THEN '   ' WHEN doc_id % 10 = 1 THEN NULL ELSE substring(text, 1, 80) END AS description
+  CASE WHEN doc_id % 10 = 0 THEN '   ' WHEN doc_id % 10 = 1 THEN NULL ELSE text END AS description
 FROM documents
 """
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -19,16 +20,30 @@ def write_full(
 ) -> int:
     """Replace the table at ``path`` and return the rows written. Empty input leaves old data unless told otherwise.
 
-    The count is observed during the write; the emptiness test stops at the first row.
+    The frame is computed once, into a folder beside the table, and counted on the way. Only a whole new table takes the old one's place, so
+    a write that fails leaves the old one as it was.
     """
-    if keep_old_if_empty and df.isEmpty():
-        return 0
+    spark, path = df.sparkSession, path.rstrip("/")
+    new, old = (f"{path}.{name}-{uuid.uuid4().hex}" for name in ("new", "old"))
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    return int(seen.get["rows"])
+    writer.save(new)
+    rows = int(seen.get["rows"])
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not rows and keep_old_if_empty:
+        files.delete(at(new), True)
+        return 0
+    had = files.exists(at(path))
+    if had and not files.rename(at(path), at(old)):
+        raise OSError(f"{path} cannot be moved; the new table is at {new}")
+    if not files.rename(at(new), at(path)):
+        raise OSError(f"{new} cannot take its place; the old table is at {old}")
+    if had:
+        files.delete(at(old), True)
+    return rows
 
 
 def latest_per_key(incoming: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
@@ -49,6 +64,14 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order:
     return fresh.unionByName(current.join(fresh.select(*keys), list(keys), "left_anti"))
 
 
+def newest(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """One row per key: that with the largest ``order``, stored or incoming; of equals an incoming one. NULL is the smallest."""
+    rows = current.withColumn("_in", F.lit(0)).unionByName(incoming.withColumn("_in", F.lit(1)))
+    rest = [c for c in incoming.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, "_in")).alias("_row"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in incoming.columns])
+
+
 def prune(current: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop rows whose key no longer exists at the source."""
     return current.join(source_keys.select(*keys).distinct(), list(keys), "left_semi")

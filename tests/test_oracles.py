@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from agorakit.plans import catalog, oracles
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +28,10 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
     assert not problems
 
 
+def test_entry_has_these_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry_is_the_daily_table(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "metric_date" and len(df.columns) == 20

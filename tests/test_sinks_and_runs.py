@@ -74,3 +74,86 @@ def test_streaming_upsert_over_several_batches(spark, tmp_path):
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source).select("id", "v")
     got = streams.run_to_table(rows, str(tmp_path / "out"), ["id"], checkpoint=str(tmp_path / "state"), order="v")
     assert sorted(tuple(r) for r in got.collect()) == [(1, 3), (2, 2), (3, 2)]
+
+
+def _events(spark, folder, *files):
+    """Event files in the order given, whatever their times."""
+    import os
+
+    for k, rows in enumerate(files):
+        out = f"{folder}/in-{k}"
+        spark.createDataFrame(rows, "user_id bigint, event_id bigint, ts string").selectExpr(
+            "event_id", "user_id", "'view' AS event_type", "CAST(ts AS timestamp) AS ts", "CAST(event_id AS double) AS value",
+        ).coalesce(1).write.parquet(out)
+        (part,) = [f for f in os.listdir(out) if f.startswith("part-")]
+        os.makedirs(f"{folder}/events", exist_ok=True)
+        os.replace(f"{out}/{part}", f"{folder}/events/events-{k}.parquet")
+        os.utime(f"{folder}/events/events-{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    return spark.readStream.schema("event_id bigint, user_id bigint, event_type string, ts timestamp, value double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+
+
+OUT_OF_ORDER = (
+    [(1, 5, "2024-01-20 10:00:00"), (2, 1, "2024-01-20 11:00:00")], [(1, 3, "2024-01-01 10:00:00"), (None, 9, "2024-01-01 10:00:00")],
+    [(1, 4, "2024-01-20 12:00:00"), (2, 7, "2024-01-01 09:00:00"), (1, 3, "2024-01-01 10:00:00")],
+)
+
+
+def test_streams_do_not_depend_on_the_order_of_files(spark, tmp_path):
+    stream = _events(spark, str(tmp_path), *OUT_OF_ORDER)
+    for _ in range(2):  # the second run has no new input
+        users = streams.stream_daily_users(stream, str(tmp_path / "users"), checkpoint=str(tmp_path / "users-state"))
+        assert {(str(r.metric_date), r.dau) for r in users.collect()} == {("2024-01-20", 2), ("2024-01-01", 2)}
+        last = streams.run_to_table(
+            stream.select("user_id", "event_id"), str(tmp_path / "last"), ["user_id"], checkpoint=str(tmp_path / "last-state"), order="event_id")
+        assert {tuple(r) for r in last.collect()} == {(1, 5), (2, 7), (None, 9)}
+        days = streams.run_to_table(
+            streams.stream_daily_activity(stream), str(tmp_path / "days"), ["metric_date", "event_type"], checkpoint=str(tmp_path / "days-state"), mode="update")
+        assert {(str(r.metric_date), r.events) for r in days.collect()} == {("2024-01-20", 3), ("2024-01-01", 4)}
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    schema = "id int, v int"
+    table = streams.UpsertTable(str(tmp_path / "t"), ["id"], spark.createDataFrame([], schema).schema, "v")
+    first, second = spark.createDataFrame([(1, 5)], schema), spark.createDataFrame([(1, 3), (2, 2)], schema)
+    assert table.read(spark).count() == 0
+    for batch, batch_id in ((first, 0), (second, 1), (second, 1)):
+        table.merge(batch, batch_id)
+    assert {tuple(r) for r in table.read(spark).collect()} == {(1, 5), (2, 2)}
+
+
+def test_a_failed_full_refresh_keeps_the_old_table(spark, tmp_path):
+    import pytest
+
+    path = str(tmp_path / "full")
+    assert sinks.write_full(spark.range(3), path) == 3
+    with pytest.raises(Exception):
+        sinks.write_full(spark.range(3).selectExpr("CAST(assert_true(id < 2) IS NULL AS bigint) AS id"), path)
+    assert spark.read.parquet(path).count() == 3
+    assert sinks.write_full(spark.range(0), path) == 0 and spark.read.parquet(path).count() == 3
+    assert sinks.write_full(spark.range(0), path, keep_old_if_empty=False) == 0 and spark.read.parquet(path).count() == 0
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    import pytest
+
+    from agorakit import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    with pytest.raises(ValueError):
+        session.scratch_root(Session)
+
+
+def test_no_dates_before_the_first_signup(spark):
+    from agorakit.operators import kpis
+
+    users = spark.sql("SELECT TIMESTAMP '2024-01-05 10:00:00' AS signup_date")
+    assert kpis.date_series(users, "2024-01-03 12:00:00").count() == 0
+    assert [str(r.metric_date) for r in kpis.date_series(users, "2024-01-06 12:00:00").orderBy("metric_date").collect()] == ["2024-01-05", "2024-01-06"]
