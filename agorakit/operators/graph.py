@@ -122,6 +122,22 @@ def shared_target_hubs(kind: dict, members: DataFrame) -> DataFrame:
     )
 
 
+def relationship_groups(edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, *, hop: str = "two") -> DataFrame:
+    """The whole relation of one kind, whatever the size of its groups: one row per (group, member), no pair.
+
+    Two members of a group are related through it if the one that is first by ``member_key`` has ``leads``. ``later_members`` is the number of
+    members after this one in the group, so a leading member is first in that many pairs of the group. ``relationships_of`` lists the
+    pairs of chosen users with their strength.
+    """
+    titles = _context_titles(edges, nodes, users, kind).withColumnRenamed("user_id", "member")
+    members = pairs.later_members(target_members(edges, nodes, users, kind, hop=hop))
+    return members.join(titles, "member", "left").select(
+        F.lit(kind["type"]).alias("relationship_type"), F.col("grp").alias("group_id"), F.col("label").alias("group_name"), F.col("member").alias("user_id"),
+        F.col("ord").alias("member_key"), "leads", F.col("since").alias("first_connected_at"), F.array_join("titles", ",").alias("titles"),
+        "group_size", "later_members",
+    )
+
+
 def relationships_of(edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, focus: DataFrame) -> DataFrame:
     """Every relationship of the users in ``focus`` (column user_id), partners in large targets included."""
     members = target_members(edges, nodes, users, kind, hop="direct")

@@ -233,6 +233,23 @@ def top_pairs(annotated: DataFrame, k: int) -> DataFrame:
     )
 
 
+def later_members(members: DataFrame) -> DataFrame:
+    """members with ``group_size`` and ``later_members``, the number of members of the group with a larger ``ord``.
+
+    Rows are dealt by ranges of (grp, ord), so a large group fills many ranges. Each range is numbered by itself; what is in later ranges
+    is one number per group and range.
+    """
+    rows = with_defaults(members)
+    ranged = cut(rows.repartitionByRange("grp", "ord").withColumn("_range", F.spark_partition_id()), "ranges")
+    parts = Window.partitionBy("grp")
+    behind = parts.orderBy("_range").rowsBetween(1, Window.unboundedFollowing)
+    sizes = ranged.groupBy("grp", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select("grp", "_range", F.sum("_n").over(parts).alias("group_size"), F.coalesce(F.sum("_n").over(behind), F.lit(0)).alias("_behind"))
+    own = Window.partitionBy("grp", "_range").orderBy(F.col("ord").desc())
+    found = ranged.withColumn("_own", F.row_number().over(own) - 1).join(sizes, ["grp", "_range"])
+    return found.withColumn("later_members", F.col("_own") + F.col("_behind")).drop("_own", "_behind", "_range")
+
+
 def pairs_of(members: DataFrame, focus: DataFrame) -> DataFrame:
     """Every pair of the members in ``focus``, hub partners included: one row per (focus member, partner)."""
     members = with_defaults(members)

@@ -417,6 +417,16 @@ def _listed(i: Inputs, kind: dict, **options) -> DataFrame:
 
 
 @_query("n1_worked_together")
+def _(i: Inputs) -> DataFrame:
+    return graph.relationship_groups(*i.graph, WORKED)
+
+
+@_query("n1_relationships_of")
+def _(i: Inputs) -> DataFrame:
+    return graph.relationships_of(*i.graph, WORKED, i.lazy_users.where("user_id % 20 = 0"))
+
+
+@_query("n1_listed_pairs")
 def _(i: Inputs) -> DataFrame:
     return _listed(i, WORKED)
 
@@ -427,6 +437,16 @@ def _(i: Inputs) -> DataFrame:
 
 
 @_query("n2_studied_together")
+def _(i: Inputs) -> DataFrame:
+    return graph.relationship_groups(*i.graph, STUDIED)
+
+
+@_query("n2_relationships_of")
+def _(i: Inputs) -> DataFrame:
+    return graph.relationships_of(*i.graph, STUDIED, i.lazy_users.where("user_id % 20 = 0"))
+
+
+@_query("n2_listed_pairs")
 def _(i: Inputs) -> DataFrame:
     return _listed(i, STUDIED)
 

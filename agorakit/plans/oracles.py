@@ -313,6 +313,28 @@ FROM (SELECT ua.user_id, ub.user_id AS related_user_id, min(a.source_node_id) AS
 """
 
 
+def _memberships(target: str, own_types: str, spell_edge: str, spell_target_edge: str, context_edge: str, label: str, kind: str) -> str:
+    return f"""
+WITH member AS (
+  SELECT e.target_node_id AS grp, u.user_id, bool_or(e.relationship_type IN ({own_types})) AS leads
+  FROM fx_edges e JOIN o_nodes_of u ON u.node_id = e.source_node_id WHERE e.target_node_type = '{target}' GROUP BY ALL
+), entry AS (SELECT user_id, min(node_id) AS member_key FROM o_nodes_of GROUP BY ALL),
+spell AS (
+  SELECT t.target_node_id AS grp, u.user_id, min({_spell_date('s.name')}) AS first_connected_at
+  FROM fx_edges t JOIN fx_edges h ON h.target_node_id = t.source_node_id AND h.relationship_type = '{spell_edge}'
+  JOIN o_nodes_of u ON u.node_id = h.source_node_id JOIN fx_nodes s ON s.node_id = t.source_node_id
+  WHERE t.relationship_type = '{spell_target_edge}' AND t.target_node_type = '{target}' GROUP BY ALL
+), title AS (
+  SELECT u.user_id, string_agg(DISTINCT n.name, ',' ORDER BY n.name) AS titles
+  FROM fx_edges e JOIN fx_nodes n ON n.node_id = e.target_node_id AND n.node_type = '{label}' JOIN o_nodes_of u ON u.node_id = e.source_node_id
+  WHERE e.relationship_type = '{context_edge}' GROUP BY ALL
+)
+SELECT '{kind}' AS relationship_type, grp AS group_id, c.name AS group_name, user_id, member_key, leads, first_connected_at, titles,
+  count(*) OVER (PARTITION BY grp) AS group_size, count(*) OVER (PARTITION BY grp ORDER BY member_key DESC) - 1 AS later_members
+FROM member JOIN entry USING (user_id) JOIN fx_nodes c ON c.node_id = grp LEFT JOIN spell USING (grp, user_id) LEFT JOIN title USING (user_id)
+"""
+
+
 PARTS["o_worked"] = _pairs(
     "Company", "'EXPERIENCED_IN', 'WORKED_AT'", "EXPERIENCED_IN", "WORKED_AT", "WORKED_AS", "Role", ("companies", "roles"), "WORKED_TOGETHER"
 )
@@ -569,9 +591,16 @@ SQL["f2_engagement_training"] = "SELECT * FROM o_f2"
 
 # Graph
 
-SQL["n1_worked_together"] = "SELECT * FROM o_worked"
+SQL["n1_listed_pairs"] = "SELECT * FROM o_worked"
+SQL["n1_worked_together"] = _memberships("Company", "'EXPERIENCED_IN', 'WORKED_AT'", "EXPERIENCED_IN", "WORKED_AT", "WORKED_AS", "Role", "WORKED_TOGETHER")
+SQL["n2_studied_together"] = _memberships("School", "'EDUCATED_IN', 'STUDIED_AT'", "EDUCATED_IN", "STUDIED_AT", "EARNED", "Degree", "STUDIED_TOGETHER")
+for _n, _part in (("n1", "o_worked"), ("n2", "o_studied")):
+    SQL[f"{_n}_relationships_of"] = f"""
+    WITH ends AS (SELECT user_id AS a, related_user_id AS b, * FROM {_part} UNION ALL SELECT related_user_id, user_id, * FROM {_part})
+    SELECT a AS user_id, b AS related_user_id, relationship_type, relationship_strength FROM ends WHERE a % 20 = 0
+    """
 SQL["n1_worked_together_direct"] = "SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS first_connected_at) FROM o_worked"
-SQL["n2_studied_together"] = "SELECT * FROM o_studied"
+SQL["n2_listed_pairs"] = "SELECT * FROM o_studied"
 SQL["n3_company_networks"] = """
 SELECT company_id, company_name, role_id, role_title, 0::BIGINT AS part_no, array_to_string(ids, ',') AS user_ids, user_count FROM o_groups
 """
