@@ -11,6 +11,22 @@ from pyspark.sql import types as T
 ROWS = 256
 
 
+class Recent:
+    """What a worker knows about words: `known`, the newer half of `most` entries, and the older half, from which words in use come back."""
+
+    def __init__(self, most: int):
+        self.most, self.known, self.older = most // 2, {}, {}
+
+    def missing(self, words: set[str]) -> set[str]:
+        """The words that are not known; the others are in `known` now."""
+        if len(self.known) > self.most:
+            self.older, self.known = self.known, {}
+        new = words.difference(self.known)
+        again = {w: self.older[w] for w in new if w in self.older}
+        self.known.update(again)
+        return new.difference(again)
+
+
 def with_columns_of_text(
     df: DataFrame, text: str, make: Callable[[], Callable[[list[str]], list[pa.Array]]], fields: list[tuple[str, T.DataType]], keep: list[str], rows: int = ROWS,
 ) -> DataFrame:
