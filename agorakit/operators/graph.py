@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from agorakit.functions.exprs import clock, json_text, loose_timestamp, whole_years
 from agorakit.operators import pairs
 from agorakit.session import cut
-from agorakit.operators.lists import PART_SIZE, list_parts, null_safe_join
+from agorakit.operators.lists import listed, null_safe_join
 
 # Edge types and node labels behind each relationship.
 WORKED = {"type": "WORKED_TOGETHER", "target": "Company", "edges": ("EXPERIENCED_IN", "WORKED_AT"),
@@ -163,10 +163,10 @@ def company_members(edges: DataFrame, nodes: DataFrame, users: DataFrame) -> Dat
     )
 
 
-def company_networks(members: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Users per (company, role). Groups above ``part_size`` users take several rows, numbered by ``part_no``."""
+def company_networks(members: DataFrame) -> DataFrame:
+    """Users per (company, role), one row each, with the size of the group."""
     keys = ["company_id", "company_name", "role_id", "role_title"]
-    return list_parts(members, keys, "user_id", list_col="user_ids", count_col="user_count", part_size=part_size)
+    return listed(members, keys, "user_id", "user_count")
 
 
 def school_members(edges: DataFrame, nodes: DataFrame, users: DataFrame) -> DataFrame:
@@ -189,13 +189,13 @@ def school_members(edges: DataFrame, nodes: DataFrame, users: DataFrame) -> Data
     )
 
 
-def education_networks(members: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
+def education_networks(members: DataFrame) -> DataFrame:
     keys = ["school_id", "school_name", "degree_id", "degree_name"]
     years = members.groupBy(*keys).agg(
         F.min("graduation_year").alias("graduation_year_min"), F.max("graduation_year").alias("graduation_year_max")
     )
-    lists = list_parts(members, keys, "user_id", list_col="user_ids", count_col="user_count", part_size=part_size)
-    return null_safe_join(lists, years, keys)
+    people = listed(members, keys, "user_id", "user_count")
+    return null_safe_join(people, years, keys)
 
 
 def location_members(edges: DataFrame, nodes: DataFrame, users: DataFrame) -> DataFrame:
@@ -208,9 +208,9 @@ def location_members(edges: DataFrame, nodes: DataFrame, users: DataFrame) -> Da
     )
 
 
-def location_networks(members: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
+def location_networks(members: DataFrame) -> DataFrame:
     keys = ["location_id", "country"]
-    return list_parts(members, keys, "user_id", list_col="user_ids", count_col="user_count", part_size=part_size)
+    return listed(members, keys, "user_id", "user_count")
 
 
 def project_members(edges: DataFrame, nodes: DataFrame, users: DataFrame) -> DataFrame:
@@ -235,18 +235,13 @@ def project_members(edges: DataFrame, nodes: DataFrame, users: DataFrame) -> Dat
     )
 
 
-def project_collaborations(members: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Users and role titles per (project, company). Either list may need more parts than the other."""
+def project_collaborations(members: DataFrame) -> DataFrame:
+    """Users and role titles per (project, company): a row for each user and one for each title, with the number of users."""
     keys = ["project_id", "project_name", "company_id"]
-    people = list_parts(members, keys, "user_id", list_col="user_ids", count_col="_users", part_size=part_size)
-    titles = list_parts(members, keys, "role_title", list_col="role_titles", count_col="_titles", part_size=part_size)
-    sizes = people.groupBy(*keys).agg(F.max("_users").alias("user_count"))
-    parts = null_safe_join(people.drop("_users"), titles.drop("_titles"), [*keys, "part_no"], "full")
-    empty_titles, empty_ids = F.expr("cast(array() as array<string>)"), F.expr("cast(array() as array<bigint>)")
-    return null_safe_join(parts, sizes, keys).select(
-        *keys, "part_no", F.coalesce("user_ids", empty_ids).alias("user_ids"), "user_count",
-        F.coalesce("role_titles", empty_titles).alias("role_titles"),
-    )
+    people = listed(members, keys, "user_id", "user_count")
+    titles = listed(members, keys, "role_title", "_titles").drop("_titles")
+    titles = null_safe_join(titles, people.select(*keys, "user_count").distinct(), keys)
+    return people.unionByName(titles, allowMissingColumns=True).select(*keys, "user_count", "user_id", "role_title")
 
 
 def career_paths(edges: DataFrame, nodes: DataFrame, users: DataFrame, as_of) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agorakit.session import scratch_root
+from agorakit.session import cut
 
 HUBS, SAMPLES, SAMPLE_LABELS, PATTERN_ROWS = 20, 3, 5, 10
 
@@ -128,34 +128,24 @@ def _undirected(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(ways)).where(F.col("a") != F.col("b")).distinct()
 
 
-def shortest_path_length(edges: DataFrame, src: str, dst: str, max_hops: int = 15) -> DataFrame:
-    """Length of the shortest undirected path, NULL if there is none within ``max_hops``.
+def shortest_path_length(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """Length of the shortest undirected path, NULL if there is none. No number of hops is set.
 
-    Breadth-first search by frontier joins. Each hop's frontier and the visited set go to reliable checkpoints, so
-    plans stay short and a lost executor does not replay the search. Only counts reach the driver.
+    Breadth-first search from both ends: the side with the smaller frontier takes the next step, until a step reaches what the other side
+    has seen or finds nothing new. Links, frontiers and seen nodes are stored tables; counts alone reach the driver.
     """
     spark = edges.sparkSession
-    scratch_root(spark)
-    links = _undirected(edges).checkpoint()
-    frontier = spark.createDataFrame([(src,)], "node string")
-    visited = frontier
-    length = 0 if src == dst else None
-    for hop in range(1, max_hops + 1):
-        if length is not None:
-            break
-        frontier = (
-            links.join(frontier, links["a"] == frontier["node"], "left_semi")
-            .select(F.col("b").alias("node"))
-            .distinct()
-            .join(visited, "node", "left_anti")
-            .checkpoint()
-        )
-        found = frontier.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("node") == dst).alias("hit")).first()
-        if found.hit:
-            length = hop
-        if not found.n:
-            break
-        visited = visited.unionByName(frontier)
-        if hop % 5 == 0:
-            visited = visited.checkpoint()
+    links = cut(_undirected(edges), "links")
+    fronts = [spark.createDataFrame([(end,)], "node string") for end in (src, dst)]
+    seen, sizes, length = list(fronts), [1, 1], 0 if src == dst else None
+    steps = 0
+    while length is None and all(sizes):
+        k = int(sizes[1] < sizes[0])
+        step = links.join(fronts[k], links["a"] == fronts[k]["node"], "left_semi").select(F.col("b").alias("node")).distinct()
+        fronts[k] = cut(step.join(seen[k], "node", "left_anti"), "front")
+        steps += 1
+        sizes[k] = fronts[k].count()
+        if not fronts[k].join(seen[1 - k], "node", "left_semi").isEmpty():
+            length = steps
+        seen[k] = cut(seen[k].unionByName(fronts[k]), "seen") if steps % 8 == 0 else seen[k].unionByName(fronts[k])
     return spark.createDataFrame([(src, dst, length)], "source_node_id string, target_node_id string, path_length bigint")

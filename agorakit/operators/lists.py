@@ -1,4 +1,4 @@
-"""Per-group lists whose size is bounded however large the group is."""
+"""Members of groups in row form, and joins on keys that may be NULL."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PART_SIZE = 10_000
-
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys match each other."""
@@ -21,41 +19,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
-def list_parts(
-    members: DataFrame, keys: Sequence[str], value: str, *, list_col: str, count_col: str, part_size: int = PART_SIZE,
-) -> DataFrame:
-    """Distinct sorted values per group, split over rows of about ``part_size`` values.
-
-    A group of up to ``part_size`` values is one row with ``part_no`` 0. A larger one is hashed into as
-    many parts as it needs, each its own reduce key, so no task ever holds a whole hot group and no
-    value is dropped. ``count_col`` is the size of the whole group on every part.
-    """
+def listed(members: DataFrame, keys: Sequence[str], value: str, count_col: str) -> DataFrame:
+    """The distinct values of each group, one row each, with the size of the group. The shape is the same for a group of any size."""
     keys = list(keys)
     distinct = members.where(F.col(value).isNotNull()).select(*keys, value).distinct()
-    # At most total / part_size rows.
-    large = (
-        distinct.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_large"))
-        .where(F.col("_large") > part_size)
-    )
-    parts = F.ceil(F.col("_large") / part_size)
-    part_no = F.coalesce(F.pmod(F.xxhash64(value), parts), F.lit(0)).cast("bigint")
-    return (
-        null_safe_join(distinct, large, keys, "left")
-        .withColumn("part_no", part_no)
-        .groupBy(*keys, "part_no")
-        .agg(F.array_sort(F.collect_list(value)).alias(list_col), F.any_value("_large").alias("_large"))
-        .withColumn(count_col, F.coalesce("_large", F.size(list_col).cast("bigint")))
-        .select(*keys, "part_no", list_col, count_col)
-    )
-
-
-def short_lists(rows: DataFrame, key: str, value: Column, *, list_col: str, count_col: str, limit: int = PART_SIZE) -> DataFrame:
-    """One row per key: its row count, and its values as a sorted list where there are at most ``limit``.
-
-    Longer lists are NULL here, never cut; the rows themselves stay available in the source table.
-    """
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
-    small = sizes.where(F.col(count_col) <= limit).select(key)
-    lists = rows.join(small, key, "left_semi").groupBy(key).agg(F.array_sort(F.collect_list(value)).alias(list_col))
-    return sizes.join(lists, key, "left")
+    sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    return null_safe_join(distinct, sizes, keys)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorakit.functions.exprs import contains_ignoring_case
-from agorakit.operators.lists import PART_SIZE, short_lists
 
 # Folders, notification levels and message types.
 RESTRICTED, REQUEST, MAIN = "RESTRICTED", "REQUEST", "MAIN"
@@ -92,21 +91,19 @@ def inbox(
 def thread(
     messages: DataFrame, persons: DataFrame, reads: DataFrame, reactions: DataFrame, attachments: DataFrame, reader: str
 ) -> DataFrame:
-    """Messages with sender name, the reader's read flag, reactions and the first attachment.
+    """Messages with sender name, the reader's read flag, reaction counts by type and the first attachment.
 
-    A message with more reactions than one list holds has its count here and NULL for the list.
+    Who reacted is in ``reactions`` itself, row by row; here is one count for each of the few types.
     """
     mine = reads.where(F.col("person_id") == reader).select(F.col("message_id").alias("id"), F.lit(True).alias("_read")).distinct()
-    reacted = short_lists(
-        reactions, "message_id", F.struct("person_id", F.col("reaction_type").alias("reaction")),
-        list_col="reactions", count_col="reaction_count", limit=PART_SIZE,
-    ).withColumnRenamed("message_id", "id")
+    by_type = reactions.groupBy(F.col("message_id").alias("id"), F.col("reaction_type").alias("reaction")).agg(F.count(F.lit(1)).alias("n"))
+    reacted = by_type.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("reaction", "n"))).alias("reactions"), F.sum("n").alias("reaction_count"))
     first = attachments.groupBy(F.col("message_id").alias("id")).agg(
         F.min_by(F.struct("storage_key", "mime_type"), "id").alias("_file")
     )
     senders = persons.select(F.col("id").alias("sender_id"), full_name().alias("sender_name"))
-    nothing = F.expr("cast(array() as array<struct<person_id:string,reaction:string>>)")
-    listed = F.when(F.col("reaction_count").isNull(), nothing).otherwise(F.col("reactions"))
+    nothing = F.expr("cast(array() as array<struct<reaction:string,n:bigint>>)")
+    counts = F.coalesce("reactions", nothing)
     return (
         messages.join(senders, "sender_id")
         .join(mine, "id", "left")
@@ -114,7 +111,7 @@ def thread(
         .join(first, "id", "left")
         .select(
             "id", "conversation_id", "sender_id", "body", "message_type", "created_at", "sender_name",
-            F.coalesce("_read", F.lit(False)).alias("is_read"), listed.alias("reactions"),
+            F.coalesce("_read", F.lit(False)).alias("is_read"), counts.alias("reactions"),
             F.coalesce("reaction_count", F.lit(0)).cast("bigint").alias("reaction_count"),
             F.col("_file.storage_key").alias("storage_key"), F.col("_file.mime_type").alias("mime_type"),
         )

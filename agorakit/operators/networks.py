@@ -11,7 +11,7 @@ from agorakit.functions.exprs import clock, whole_years
 from agorakit.operators import pairs
 from agorakit.operators.graph import education_networks
 from agorakit.session import cut
-from agorakit.operators.lists import PART_SIZE, list_parts, null_safe_join
+from agorakit.operators.lists import listed, null_safe_join
 
 # Reasons, score factor, caps and constants of the published reports.
 REASON_WORKED, REASON_STUDIED = "Worked at the same companies", "Studied at the same schools"
@@ -217,9 +217,9 @@ def _shared_staff(employment: DataFrame, top: DataFrame) -> DataFrame:
 
 
 def company_network_map(
-    members: DataFrame, k: int = TOP_COMPANY_PAIRS, *, hub_size: int = pairs.HUB_SIZE, part_size: int = PART_SIZE
+    members: DataFrame, k: int = TOP_COMPANY_PAIRS, *, hub_size: int = pairs.HUB_SIZE
 ) -> DataFrame:
-    """Company pairs with the most shared employees, and who these are.
+    """Company pairs with the most shared employees, one row for each of these.
 
     Companies of one employee pair up as users of one company do; an employee of very many companies is the hub.
     """
@@ -227,28 +227,25 @@ def company_network_map(
     by_user = employment.select(F.col("user_id").cast("string").alias("grp"), F.col("company_id").alias("member"))
     top = cut(pairs.top_pairs(pairs.annotate(by_user, hub_size=hub_size), k))
     shared = _shared_staff(employment, top)
-    lists = list_parts(
-        shared, ["low", "high"], "user_id", list_col="employee_ids", count_col="shared_employee_count", part_size=part_size
-    )
+    staff = listed(shared, ["low", "high"], "user_id", "shared_employee_count")
     names = members.groupBy("company_id").agg(F.min("company_name").alias("name"))
     return (
-        lists.join(names.select(F.col("company_id").alias("low"), F.col("name").alias("company_name_1")), "low")
+        staff.join(names.select(F.col("company_id").alias("low"), F.col("name").alias("company_name_1")), "low")
         .join(names.select(F.col("company_id").alias("high"), F.col("name").alias("company_name_2")), "high")
         .select(
             F.col("low").alias("company_id_1"), F.col("high").alias("company_id_2"), "company_name_1", "company_name_2",
-            "part_no", "shared_employee_count", "employee_ids",
+            "shared_employee_count", F.col("user_id").alias("employee_id"),
             F.col("shared_employee_count").cast("double").alias("network_strength_score"),
         )
     )
 
 
 def skills_matching(
-    members: DataFrame, users: DataFrame, as_of, k: int = TOP_SKILLS, part_size: int = PART_SIZE
+    members: DataFrame, users: DataFrame, as_of, k: int = TOP_SKILLS
 ) -> DataFrame:
-    """One row per (user, role), the first ``k`` by ids, with the user group that holds the role at one company.
+    """One row per (user, role), the first ``k`` by ids, with the size of the user group that holds the role at one company.
 
-    The company is the least one. Groups too large for one list have NULL here and stay in ``company_networks`` under
-    the same company and role.
+    The company is the least one. Who is in the group is in ``company_networks`` under the same company and role.
     """
     roles = members.where(F.col("role_id").isNotNull())
     picked = (
@@ -260,27 +257,22 @@ def skills_matching(
         .select("*", "_group.company_id", "_group.role_title")
     )
     wanted = picked.select("company_id", "role_id").distinct()
-    groups = list_parts(
-        roles.join(wanted, ["company_id", "role_id"], "left_semi"), ["company_id", "role_id"], "user_id",
-        list_col="similar_user_ids", count_col="similar_user_count", part_size=part_size,
-    ).where(F.col("part_no") == 0)
-    whole = F.when(F.col("similar_user_count") <= part_size, F.col("similar_user_ids"))
+    held = roles.join(wanted, ["company_id", "role_id"], "left_semi").select("company_id", "role_id", "user_id").distinct()
+    groups = held.groupBy("company_id", "role_id").agg(F.count(F.lit(1)).alias("similar_user_count"))
     years = whole_years(F.col("signup_date"), F.to_date(clock(as_of)).cast("timestamp"))
     proficiency = F.col("experience_count") * 10 + F.expr("profile_completion_score div 10")
     return picked.join(groups, ["company_id", "role_id"], "left").select(
         "user_id", "role_id", "role_title",
         F.least(years, F.lit(EXPERIENCE_YEARS_CAP)).cast("double").alias("experience_years"),
         F.least(proficiency, F.lit(PROFICIENCY_CAP)).cast("double").alias("proficiency_score"),
-        "company_id", whole.alias("similar_user_ids"), "similar_user_count",
+        "company_id", "similar_user_count",
     )
 
 
-def career_path_patterns(
-    members: DataFrame, k: int = TOP_PATHS, min_users: int = 2, part_size: int = PART_SIZE
-) -> DataFrame:
-    """Role sets of the companies with the most users, role titles in alphabetical order.
+def career_path_patterns(members: DataFrame, k: int = TOP_PATHS, min_users: int = 2) -> DataFrame:
+    """Role sets of the companies with the most users, role titles in alphabetical order, one row for each user.
 
-    Companies are ranked by their counts first; lists are then put together for the ``k`` kept only.
+    Companies are ranked by their counts first; titles are then put together for the ``k`` kept only.
     """
     titled = members.where(F.col("role_title").isNotNull()).select("company_id", "role_title", "user_id")
     top = (
@@ -295,11 +287,11 @@ def career_path_patterns(
     titles = kept.select("company_id", "role_title").distinct().groupBy("company_id").agg(
         F.array_sort(F.collect_list("role_title")).alias("role_sequence")
     )
-    people = list_parts(kept, ["company_id"], "user_id", list_col="user_ids", count_col="user_count", part_size=part_size)
+    people = listed(kept, ["company_id"], "user_id", "user_count")
     vector = F.array_join("role_sequence", PATH_SEPARATOR)
     return people.join(titles, "company_id").select(
         "company_id", vector.alias("path_vector"), F.md5(F.encode(vector, "UTF-8")).alias("path_hash"), "role_sequence",
-        "part_no", "user_count", "user_ids", F.lit(YEARS_PER_ROLE).alias("avg_years_per_role"),
+        "user_count", "user_id", F.lit(YEARS_PER_ROLE).alias("avg_years_per_role"),
     )
 
 
@@ -340,12 +332,12 @@ def _overlapping_groups(members: DataFrame, companies: DataFrame, keys: list[str
 
 
 def location_based_networks(
-    members: DataFrame, companies: DataFrame, n: int = TOP_NAMES, *, by_count: bool = False, part_size: int = PART_SIZE
+    members: DataFrame, companies: DataFrame, n: int = TOP_NAMES, *, by_count: bool = False
 ) -> DataFrame:
     """Users per location with the diversity of their companies and roles and two lists of names."""
     keys = ["location_id", "country"]
     overlaps = _overlapping_groups(members, companies, keys)
-    result = list_parts(members, keys, "user_id", list_col="user_ids", count_col="user_count", part_size=part_size)
+    result = listed(members, keys, "user_id", "user_count")
     for extra in (
         _distinct_count(overlaps, keys, "company_id", "company_diversity_score"),
         _distinct_count(overlaps, keys, "role_id", "role_diversity_score"),
@@ -357,12 +349,12 @@ def location_based_networks(
 
 
 def alumni_networks(
-    members: DataFrame, companies: DataFrame, n: int = TOP_NAMES, *, by_count: bool = False, part_size: int = PART_SIZE
+    members: DataFrame, companies: DataFrame, n: int = TOP_NAMES, *, by_count: bool = False
 ) -> DataFrame:
     """Alumni per (school, degree) with their companies and roles; a missing degree reads ``ALL``."""
     keys = ["school_id", "school_name", "degree_id", "degree_name"]
     overlaps = _overlapping_groups(members, companies, keys)
-    result = education_networks(members, part_size)
+    result = education_networks(members)
     for extra in (
         _leading_names(overlaps, keys, "company_name", "current_companies", n, by_count),
         _leading_names(overlaps, keys, "role_title", "current_roles", n, by_count),
@@ -375,19 +367,19 @@ def project_graph(projects: DataFrame, companies: DataFrame) -> DataFrame:
     """Project groups with a company name and the group size as strength."""
     names = companies.groupBy("company_id").agg(F.min("company_name").alias("company_name"))
     return projects.join(names, "company_id", "left").select(
-        "project_id", "project_name", "company_id", "company_name", "part_no", "user_ids", "user_count", "role_titles",
+        "project_id", "project_name", "company_id", "company_name", "user_id", "user_count", "role_title",
         F.col("user_count").cast("double").alias("collaboration_strength"),
     )
 
 
-def talent_pools(members: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Distinct employees and roles per company."""
+def talent_pools(members: DataFrame) -> DataFrame:
+    """Distinct employees and roles per company, one row for each role title (one without a title if there is none)."""
     keys = ["company_id", "company_name"]
     staff = members.select(*keys, "user_id").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("total_employees"))
     role_ids = _distinct_count(members, keys, "role_id", "role_diversity")
-    titles = list_parts(members, keys, "role_title", list_col="roles_available", count_col="_titles", part_size=part_size)
-    joined = null_safe_join(null_safe_join(staff, role_ids, keys, "left"), titles.drop("_titles"), keys, "left")
+    titles = members.where(F.col("role_title").isNotNull()).select(*keys, F.col("role_title").alias("role_available")).distinct()
+    joined = null_safe_join(null_safe_join(staff, role_ids, keys, "left"), titles, keys, "left")
     return joined.select(
-        *keys, F.coalesce("part_no", F.lit(0).cast("bigint")).alias("part_no"), "total_employees", "roles_available",
+        *keys, "total_employees", "role_available",
         F.coalesce("role_diversity", F.lit(0)).cast("bigint").alias("role_diversity"),
     )

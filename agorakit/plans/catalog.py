@@ -22,7 +22,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SNAPSHOT_AS_OF = "2001-08-01 12:00:00"
 SMALL_HUB = 4
 PATH_ENDS = ("P1", "P2")
-PATH_HOPS = 8
 SEARCHES = (("user-1", "user-1"), ("ASSIST", "user-2"), ("no3", "user-3"), ("@chat", "system-4"), ("x", "user-5"))
 READERS = ("user-1", "assistant-1")
 
@@ -453,22 +452,22 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("n3_company_networks")
 def _(i: Inputs) -> DataFrame:
-    return _joined(graph.company_networks(i.company_members), "user_ids")
+    return graph.company_networks(i.company_members)
 
 
 @_query("n4_education_networks")
 def _(i: Inputs) -> DataFrame:
-    return _joined(graph.education_networks(i.school_members), "user_ids")
+    return graph.education_networks(i.school_members)
 
 
 @_query("n6_location_networks")
 def _(i: Inputs) -> DataFrame:
-    return _joined(graph.location_networks(i.location_members), "user_ids")
+    return graph.location_networks(i.location_members)
 
 
 @_query("n7_project_collaborations")
 def _(i: Inputs) -> DataFrame:
-    return _joined(graph.project_collaborations(i.project_members), "user_ids", "role_titles")
+    return graph.project_collaborations(i.project_members)
 
 
 @_query("n8_career_paths")
@@ -488,41 +487,41 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("l2_company_network_map")
 def _(i: Inputs) -> DataFrame:
-    return _joined(networks.company_network_map(i.company_members), "employee_ids")
+    return networks.company_network_map(i.company_members)
 
 
 @_query("l3_skills_matching")
 def _(i: Inputs) -> DataFrame:
-    return _joined(networks.skills_matching(i.company_members, i.lazy_users, AS_OF), "similar_user_ids")
+    return networks.skills_matching(i.company_members, i.lazy_users, AS_OF)
 
 
 @_query("l4_career_path_patterns")
 def _(i: Inputs) -> DataFrame:
-    return _joined(networks.career_path_patterns(i.company_members), "role_sequence", "user_ids")
+    return _joined(networks.career_path_patterns(i.company_members), "role_sequence")
 
 
 @_query("l5_location_based_networks")
 def _(i: Inputs) -> DataFrame:
     found = networks.location_based_networks(i.location_members, i.company_members)
-    return _joined(found, "user_ids", "top_companies", "top_roles")
+    return _joined(found, "top_companies", "top_roles")
 
 
 @_query("l5_location_networks_by_count")
 def _(i: Inputs) -> DataFrame:
     found = networks.location_based_networks(i.location_members, i.company_members, by_count=True)
-    return _joined(found, "user_ids", "top_companies", "top_roles")
+    return _joined(found, "top_companies", "top_roles")
 
 
 @_query("l6_alumni_networks")
 def _(i: Inputs) -> DataFrame:
     found = networks.alumni_networks(i.school_members, i.company_members)
-    return _joined(found, "user_ids", "current_companies", "current_roles")
+    return _joined(found, "current_companies", "current_roles")
 
 
 @_query("l7_project_graph")
 def _(i: Inputs) -> DataFrame:
     projects = graph.project_collaborations(i.project_members)
-    return _joined(networks.project_graph(projects, i.company_members), "user_ids", "role_titles")
+    return networks.project_graph(projects, i.company_members)
 
 
 @_query("v2_connection_summary")
@@ -551,7 +550,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("v4_talent_pools")
 def _(i: Inputs) -> DataFrame:
-    return _joined(networks.talent_pools(i.company_members), "roles_available")
+    return networks.talent_pools(i.company_members)
 
 
 # Messaging
@@ -565,10 +564,15 @@ def _(i: Inputs) -> DataFrame:
 @_query("h2_thread")
 def _(i: Inputs) -> DataFrame:
     frames = i.chat("messages", "chat_people", "message_reads", "reactions", "attachments")
-    shown = F.transform("reactions", lambda r: F.concat(r["person_id"], F.lit(":"), r["reaction"]))
+    shown = F.transform("reactions", lambda r: F.concat(r["reaction"], F.lit(":"), r["n"].cast("string")))
     return messaging.thread(*frames, READERS[0]).withColumn("reactions", F.array_join(shown, ","))
 
 
+@_query("h2_reactions")
+def _(i: Inputs) -> DataFrame:
+    return i["fx_reactions"].select("message_id", "person_id", "reaction_type")
+
+
 @_query("h3_read_matrix")
 def _(i: Inputs) -> DataFrame:
     return messaging.read_matrix(*i.chat("messages", "message_reads", "chat_people"), READERS)
@@ -710,7 +714,7 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("q11_shortest_path")
 def _(i: Inputs) -> DataFrame:
-    return graphprofile.shortest_path_length(i["fx_edges"], *PATH_ENDS, PATH_HOPS)
+    return graphprofile.shortest_path_length(i["fx_edges"], *PATH_ENDS)
 
 
 # Streaming

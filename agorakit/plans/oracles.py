@@ -6,7 +6,7 @@ none of these shapes, so agreement means something.
 
 from __future__ import annotations
 
-from agorakit.plans.catalog import PATH_ENDS, PATH_HOPS, READERS, SEARCHES
+from agorakit.plans.catalog import PATH_ENDS, READERS, SEARCHES
 from agorakit.sources.bindings import VIEWS, with_clause
 
 NOW = "TIMESTAMP '2001-08-02 12:00:00'"
@@ -347,9 +347,6 @@ SELECT company_id, company_name, role_id, role_title, list_sort(list(DISTINCT us
 FROM o_company GROUP BY 1, 2, 3, 4
 """
 
-_IDS = "array_to_string(list_sort(list(DISTINCT user_id)), ',')"
-
-
 def _leading(owner: str, name: str, out: str, by_count: bool = False) -> str:
     """Per owner group: the first ten names, largest overlapping group first."""
     choose = "size DESC, nm" if by_count else "nm"
@@ -360,7 +357,7 @@ def _leading(owner: str, name: str, out: str, by_count: bool = False) -> str:
 
 def _location_sql(by_count: bool) -> str:
     return f"""
-SELECT l.location_id, l.country, 0::BIGINT AS part_no, array_to_string(l.ids, ',') AS user_ids, l.user_count,
+SELECT l.location_id, l.country, unnest(l.ids) AS user_id, l.user_count,
   CAST((SELECT count(DISTINCT g.company_id) FROM o_groups g WHERE list_has_any(g.ids, l.ids)) AS DOUBLE) AS company_diversity_score,
   CAST((SELECT count(DISTINCT g.role_id) FROM o_groups g WHERE list_has_any(g.ids, l.ids)) AS DOUBLE) AS role_diversity_score,
   {_leading('l', 'company_name', 'top_companies', by_count)}, {_leading('l', 'role_title', 'top_roles', by_count)}
@@ -602,19 +599,20 @@ for _n, _part in (("n1", "o_worked"), ("n2", "o_studied")):
 SQL["n1_worked_together_direct"] = "SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS first_connected_at) FROM o_worked"
 SQL["n2_listed_pairs"] = "SELECT * FROM o_studied"
 SQL["n3_company_networks"] = """
-SELECT company_id, company_name, role_id, role_title, 0::BIGINT AS part_no, array_to_string(ids, ',') AS user_ids, user_count FROM o_groups
+SELECT DISTINCT company_id, company_name, role_id, role_title, user_id, user_count FROM (SELECT *, unnest(ids) AS user_id FROM o_groups)
 """
 SQL["n4_education_networks"] = f"""
-SELECT school_id, school_name, degree_id, degree_name, 0::BIGINT AS part_no, {_IDS} AS user_ids, count(DISTINCT user_id) AS user_count,
-  min(yr) AS graduation_year_min, max(yr) AS graduation_year_max FROM o_school GROUP BY 1, 2, 3, 4
+SELECT * EXCLUDE ids, unnest(ids) AS user_id FROM (SELECT school_id, school_name, degree_id, degree_name, list(DISTINCT user_id) AS ids,
+  count(DISTINCT user_id) AS user_count, min(yr) AS graduation_year_min, max(yr) AS graduation_year_max FROM o_school GROUP BY 1, 2, 3, 4)
 """
 SQL["n6_location_networks"] = f"""
-SELECT location_id, country, 0::BIGINT AS part_no, {_IDS} AS user_ids, count(DISTINCT user_id) AS user_count FROM o_location GROUP BY 1, 2
+SELECT DISTINCT location_id, country, user_id, count(user_id) OVER (PARTITION BY location_id, country) AS user_count FROM o_location
 """
 PARTS["o_project_groups"] = f"""
-SELECT project_id, project_name, company_id, 0::BIGINT AS part_no, {_IDS} AS user_ids, count(DISTINCT user_id) AS user_count,
-  coalesce(array_to_string(list_sort(list(DISTINCT role_title) FILTER (WHERE role_title IS NOT NULL)), ','), '') AS role_titles
-FROM o_project GROUP BY 1, 2, 3
+WITH g AS (SELECT project_id, project_name, company_id, list(DISTINCT user_id) AS ids, count(DISTINCT user_id) AS user_count,
+  list(DISTINCT role_title) FILTER (WHERE role_title IS NOT NULL) AS titles FROM o_project GROUP BY 1, 2, 3)
+SELECT project_id, project_name, company_id, user_count, unnest(ids) AS user_id, NULL::VARCHAR AS role_title FROM g
+UNION ALL SELECT project_id, project_name, company_id, user_count, NULL, unnest(titles) FROM g
 """
 SQL["n7_project_collaborations"] = "SELECT * FROM o_project_groups"
 SQL["n8_career_paths"] = f"""
@@ -637,16 +635,17 @@ FROM o_relations GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 100000
 """
 SQL["l1_connection_recommendations"] = SQL["l1_recommendations_small_hubs"] = _RECOMMENDATIONS
 SQL["l2_company_network_map"] = """
+SELECT * EXCLUDE ids, unnest(ids) AS employee_id FROM (
 SELECT a.company_id AS company_id_1, b.company_id AS company_id_2, min(a.company_name) AS company_name_1, min(b.company_name) AS company_name_2,
-  0::BIGINT AS part_no, count(DISTINCT a.user_id) AS shared_employee_count, array_to_string(list_sort(list(DISTINCT a.user_id)), ',') AS employee_ids,
+  count(DISTINCT a.user_id) AS shared_employee_count, list(DISTINCT a.user_id) AS ids,
   CAST(count(DISTINCT a.user_id) AS DOUBLE) AS network_strength_score
 FROM o_company a JOIN o_company b ON a.user_id = b.user_id AND a.company_id < b.company_id
-GROUP BY 1, 2 ORDER BY shared_employee_count DESC, 1, 2 LIMIT 10000
+GROUP BY 1, 2 ORDER BY shared_employee_count DESC, 1, 2 LIMIT 10000)
 """
 SQL["l3_skills_matching"] = f"""
 SELECT u.user_id, x.role_id, x.role_title, CAST(least(date_sub('year', u.signup_date, CAST({TODAY} AS TIMESTAMP)), 50) AS DOUBLE) AS experience_years,
   CAST(least(10 * u.experience_count + u.profile_completion_score // 10, 999) AS DOUBLE) AS proficiency_score, x.company_id,
-  array_to_string(g.ids, ',') AS similar_user_ids, g.user_count AS similar_user_count
+  g.user_count AS similar_user_count
 FROM (SELECT user_id, role_id, min(role_title) AS role_title, min(company_id) AS company_id FROM o_company WHERE role_id IS NOT NULL GROUP BY 1, 2) x
 JOIN o_users u ON u.user_id = x.user_id JOIN o_groups g ON g.company_id = x.company_id AND g.role_id = x.role_id
 ORDER BY u.user_id, x.role_id LIMIT 50000
@@ -655,20 +654,20 @@ SQL["l4_career_path_patterns"] = """
 WITH t AS (SELECT company_id, list_sort(list(DISTINCT role_title)) AS titles, list_sort(list(DISTINCT user_id)) AS ids, count(DISTINCT user_id) AS n
   FROM o_company WHERE role_title IS NOT NULL GROUP BY 1 HAVING count(DISTINCT user_id) > 1)
 SELECT company_id, array_to_string(titles, ' -> ') AS path_vector, md5(array_to_string(titles, ' -> ')) AS path_hash, array_to_string(titles, ',') AS role_sequence,
-  0::BIGINT AS part_no, n AS user_count, array_to_string(ids, ',') AS user_ids, 2.5::DOUBLE AS avg_years_per_role
-FROM t ORDER BY n DESC, company_id LIMIT 1000
+  n AS user_count, unnest(ids) AS user_id, 2.5::DOUBLE AS avg_years_per_role
+FROM (SELECT * FROM t ORDER BY n DESC, company_id LIMIT 1000)
 """
 SQL["l5_location_based_networks"] = _location_sql(False)
 SQL["l5_location_networks_by_count"] = _location_sql(True)
 SQL["l6_alumni_networks"] = f"""
-SELECT s.school_id, s.school_name, coalesce(s.degree_id, 'ALL') AS degree_id, s.degree_name, 0::BIGINT AS part_no, array_to_string(s.ids, ',') AS user_ids,
+SELECT s.school_id, s.school_name, coalesce(s.degree_id, 'ALL') AS degree_id, s.degree_name, unnest(s.ids) AS user_id,
   s.alumni_count, s.graduation_year_min, s.graduation_year_max, {_leading('s', 'company_name', 'current_companies')}, {_leading('s', 'role_title', 'current_roles')}
 FROM (SELECT school_id, school_name, degree_id, degree_name, list_sort(list(DISTINCT user_id)) AS ids, count(DISTINCT user_id) AS alumni_count,
   min(yr) AS graduation_year_min, max(yr) AS graduation_year_max FROM o_school GROUP BY 1, 2, 3, 4) s
 """
 SQL["l7_project_graph"] = """
 SELECT p.project_id, p.project_name, p.company_id, (SELECT min(c.company_name) FROM o_company c WHERE c.company_id = p.company_id) AS company_name,
-  p.part_no, p.user_ids, p.user_count, p.role_titles, CAST(p.user_count AS DOUBLE) AS collaboration_strength FROM o_project_groups p
+  p.user_id, p.user_count, p.role_title, CAST(p.user_count AS DOUBLE) AS collaboration_strength FROM o_project_groups p
 """
 _SUMMARY = """
 SELECT user_id, count(*) AS total_connections, count(CASE relationship_type WHEN 'WORKED_TOGETHER' THEN 1 END) AS work_connections,
@@ -683,9 +682,9 @@ FROM o_users u LEFT JOIN o_relations r ON r.user_id = u.user_id GROUP BY 1, 2, 3
 """
 SQL["v3_top_connected"] = SQL["v3_top_connected_small_hubs"] = _TOP_CONNECTED
 SQL["v4_talent_pools"] = """
-SELECT company_id, company_name, 0::BIGINT AS part_no, count(DISTINCT user_id) AS total_employees,
-  array_to_string(list_sort(list(DISTINCT role_title) FILTER (WHERE role_title IS NOT NULL)), ',') AS roles_available,
-  count(DISTINCT role_id) AS role_diversity FROM o_company GROUP BY 1, 2
+WITH c AS (SELECT company_id, company_name, count(DISTINCT user_id) AS total_employees, count(DISTINCT role_id) AS role_diversity FROM o_company GROUP BY 1, 2)
+SELECT c.*, r.role_title AS role_available FROM c
+LEFT JOIN (SELECT DISTINCT company_id, role_title FROM o_company WHERE role_title IS NOT NULL) r ON r.company_id = c.company_id
 """
 
 # Messaging
@@ -694,12 +693,13 @@ SQL["h1_inbox"] = "SELECT * FROM o_inbox"
 SQL["h2_thread"] = f"""
 SELECT m.id, m.conversation_id, m.sender_id, m.body, m.message_type, m.created_at, s.first_name || ' ' || s.last_name AS sender_name,
   EXISTS (SELECT 1 FROM fx_message_reads r WHERE r.message_id = m.id AND r.person_id = '{READERS[0]}') AS is_read,
-  coalesce((SELECT string_agg(x.person_id || ':' || x.reaction_type, ',' ORDER BY x.person_id, x.reaction_type) FROM fx_reactions x WHERE x.message_id = m.id), '') AS reactions,
+  coalesce((SELECT string_agg(k || ':' || n, ',' ORDER BY k) FROM (SELECT x.reaction_type AS k, count(*) AS n FROM fx_reactions x WHERE x.message_id = m.id GROUP BY 1)), '') AS reactions,
   (SELECT count(*) FROM fx_reactions x WHERE x.message_id = m.id) AS reaction_count,
   (SELECT arg_min(a.storage_key, a.id) FROM fx_attachments a WHERE a.message_id = m.id) AS storage_key,
   (SELECT arg_min(a.mime_type, a.id) FROM fx_attachments a WHERE a.message_id = m.id) AS mime_type
 FROM fx_messages m JOIN fx_chat_people s ON s.id = m.sender_id
 """
+SQL["h2_reactions"] = "SELECT message_id, person_id, reaction_type FROM fx_reactions"
 SQL["h3_read_matrix"] = f"""
 SELECT m.id, m.conversation_id, s.first_name || ' ' || s.last_name AS sender, m.body, m.created_at,
   {", ".join(f"(m.id, '{r}') IN (SELECT (message_id, person_id) FROM fx_message_reads) AS read_{n}" for n, r in enumerate(READERS, 1))}
@@ -817,7 +817,8 @@ FROM fx_edges WHERE 'L1' IN (source_node_id, target_node_id)
 """
 SQL["q11_shortest_path"] = f"""
 WITH RECURSIVE links AS (SELECT source_node_id AS a, target_node_id AS b FROM fx_edges UNION SELECT target_node_id, source_node_id FROM fx_edges),
-walk(node, hop) AS (SELECT '{PATH_ENDS[0]}', 0::BIGINT UNION SELECT l.b, w.hop + 1 FROM walk w JOIN links l ON l.a = w.node WHERE w.hop < {PATH_HOPS})
+walk(node, hop) USING KEY (node) AS (
+  SELECT '{PATH_ENDS[0]}', 0::BIGINT UNION SELECT l.b, min(w.hop) + 1 FROM walk w JOIN links l ON l.a = w.node WHERE l.b NOT IN (SELECT node FROM recurring.walk) GROUP BY l.b)
 SELECT '{PATH_ENDS[0]}' AS source_node_id, '{PATH_ENDS[1]}' AS target_node_id, min(hop) AS path_length FROM walk WHERE node = '{PATH_ENDS[1]}'
 """
 

@@ -130,19 +130,29 @@ def test_post_with_link_and_media_counts_twice_and_zero_posts_give_null(spark):
     assert got["2024-01-02"].avg_comments_per_post is None
 
 
-def test_list_parts_split_large_groups_without_loss(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").alias("g"), F.col("id").alias("v"))
-    parts = lists.list_parts(df, ["g"], "v", list_col="vs", count_col="n", part_size=100).collect()
-    hot = [p for p in parts if p.g == "hot"]
-    assert len(hot) > 5 and all(p.n == 900 for p in hot) and sorted(v for p in hot for v in p.vs) == list(range(900))
-    (rest,) = [p for p in parts if p.g is None]
-    assert rest.n == 100 and rest.part_no == 0
+def test_groups_of_any_size_have_the_same_shape(spark):
+    df = spark.range(12_000).select(F.when(F.col("id") < 11_000, "hot").alias("g"), F.col("id").alias("v"))
+    rows = lists.listed(df.unionByName(df), ["g"], "v", "n").collect()
+    assert len(rows) == 12_000 and {(r.g, r.n) for r in rows} == {("hot", 11_000), (None, 1_000)}
 
 
-def test_short_lists_never_cut(spark):
-    df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 1)], "k string, v long")
-    got = {r.k: (r.n, r.vs) for r in lists.short_lists(df, "k", F.col("v"), list_col="vs", count_col="n", limit=3).collect()}
-    assert got == {"a": (5, None), "b": (1, [1])}
+def test_reaction_counts_of_any_size(spark):
+    message = spark.sql("SELECT 1L AS id, 1L AS conversation_id, 'a' AS sender_id, 'x' AS body, 'TEXT' AS message_type, current_timestamp() AS created_at")
+    persons = spark.sql("SELECT 'a' AS id, 'A' AS first_name, 'B' AS last_name")
+    reacted = spark.range(10_500).selectExpr("1L AS message_id", "CAST(id AS string) AS person_id", "if(id < 10, 'laugh', 'like') AS reaction_type")
+    none = spark.createDataFrame([], "message_id bigint, person_id string, id bigint, storage_key string, mime_type string")
+    (row,) = messaging.thread(message, persons, none, reacted, none, "a").collect()
+    assert [tuple(x) for x in row.reactions] == [("laugh", 10), ("like", 10_490)] and row.reaction_count == 10_500
+
+
+def test_paths_of_any_length(spark):
+    from agorakit.operators import graphprofile
+
+    edges = spark.range(24).selectExpr("CAST(id AS string) AS source_node_id", "CAST(id + 1 AS string) AS target_node_id")
+    more = spark.createDataFrame([("5", "9"), ("x", "y")], "source_node_id string, target_node_id string")
+    edges = edges.unionByName(more)
+    for ends, length in ((("24", "0"), 21), (("3", "3"), 0), (("0", "y"), None), (("none", "0"), None), (("5", "9"), 1)):
+        assert graphprofile.shortest_path_length(edges, *ends).first().path_length == length
 
 
 def test_location_names_rule_and_true_top(spark):
@@ -161,7 +171,7 @@ def test_company_map_with_hub_users_and_long_lists(spark, monkeypatch):
     rows = [(f"c{c}", f"Co {c}", None, None, u) for u, cs in {1: range(6), 2: (0, 1), 3: (0, 1), 4: (4,)}.items() for c in cs]
     members = spark.createDataFrame(rows, "company_id string, company_name string, role_id string, role_title string, user_id long")
     got = networks.company_network_map(members, k=3, hub_size=3).orderBy(F.desc("shared_employee_count"), "company_id_1", "company_id_2").collect()
-    assert [(r.company_id_1, r.company_id_2, r.employee_ids) for r in got] == [("c0", "c1", [1, 2, 3]), ("c0", "c2", [1]), ("c0", "c3", [1])]
+    assert {(r.company_id_1, r.company_id_2, r.employee_id) for r in got} == {("c0", "c1", u) for u in (1, 2, 3)} | {("c0", "c2", 1), ("c0", "c3", 1)}
 
 
 def test_recommendation_reason_prefers_work(spark):

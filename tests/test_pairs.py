@@ -128,3 +128,11 @@ def test_summaries_over_two_relationship_types(spark):
         got = networks.connection_recommendations(relationships, members, k=k).collect()
         rows = sorted((-r.recommendation_score, r.user_id, r.recommended_user_id, r.recommendation_reason == networks.REASON_WORKED) for r in got)
         assert rows == want[:k]
+
+
+def test_large_groups_in_row_form(spark):
+    sizes = {"a": 999, "b": 1_000, "c": 1_001, "d": 5_000}
+    rows = [(g, f"{i:05d}") for g, n in sizes.items() for i in range(n)]
+    members = spark.createDataFrame(rows, "grp string, member string")
+    found = pairs.later_members(members).collect()
+    assert len(found) == len(rows) and all(r.group_size == sizes[r.grp] and r.later_members == sizes[r.grp] - 1 - int(r.member) for r in found)
