@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agorakit.llm.arrow import with_columns_of_text
+from agorakit.llm.arrow import Recent, with_columns_of_text
 
 #: The character that stands for a space in pieces (fixed value).
 SPACE = "▁"
-KNOWN = 400_000
+KNOWN = 800_000
 KNOWN_LENGTH = 48
 NONE = float("-inf")
 ID_COLUMNS = [("ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType())]
@@ -46,13 +46,14 @@ class PieceEncoder:
             self.text.append("" if library.is_control(i) or library.is_byte(i) else " ⁇ " if library.is_unknown(i) else piece.replace(SPACE, " "))
         self.byte_of = {i: b for b, i in self.byte.items()}
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
+        self.characters = set().union(*self.ids)
+        for piece in self.characters.union(self.ids):  # a character that is no piece may still join others
             self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
         self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         # Texts can be cut before each run of spaces if no piece goes on after other characters with a space.
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.words = Recent(KNOWN)
         self.fit: dict[tuple[str, str], bool] = {}
         self.edge: dict[str, tuple[list[tuple[str, float]], list[tuple[str, float]]] | None] = {}
 
@@ -104,65 +105,61 @@ class PieceEncoder:
             self.fit[left, right] = known
         return known
 
-    def pieces_of(self, text: str) -> list[str]:
-        last = [""] * (len(text) + 1)
-
-        def settle(end: int, piece: str) -> None:
-            start = end - len(piece)
-            if not last[end] and (last[start] or not start) and self.fits(last[start], piece):
-                last[end] = piece
-
-        done = 0
+    def known_ids(self, text: str) -> list[int]:
+        """Ids of a text all of whose characters are in pieces: the table of last tokens, and the way back through it."""
+        last: list[str | None] = [None] * (len(text) + 1)
+        last[0] = ""
+        fit = self.fit
         for at, piece in self.automaton.iter(text):
-            while done < at:  # a character that is no piece stands for itself
-                done += 1
-                if not last[done]:
-                    settle(done, text[done - 1])
-            settle(at + 1, piece)
-        while done < len(text):
-            done += 1
-            if not last[done]:
-                settle(done, text[done - 1])
-        found, end = [], len(text)
+            if last[at + 1] is None:
+                left = last[at + 1 - len(piece)]
+                if left is not None:
+                    fits = fit.get((left, piece))
+                    if fits or (fits is None and self.fits(left, piece)):
+                        last[at + 1] = piece
+        found, end, ids = [], len(text), self.ids
         while end:
-            found.append(last[end])
-            end -= len(last[end])
+            piece = last[end]
+            end -= len(piece)
+            if piece in ids:
+                found.append(ids[piece])
+            else:
+                found += [self.byte[b] for b in reversed(piece.encode())]
         return found[::-1]
 
-    def ids_of(self, pieces: list[str]) -> tuple[int, ...]:
-        out: list[int] = []
-        for piece in pieces:
-            if piece in self.ids:
-                out.append(self.ids[piece])
-            else:
-                out += [self.byte[b] for b in piece.encode()]
-        return tuple(out)
+    def ids_of(self, text: str) -> tuple[int, ...]:
+        if self.characters.issuperset(text):
+            return tuple(self.known_ids(text))
+        # Characters that are in no piece join nothing and stand for their bytes.
+        return tuple(chain.from_iterable(
+            self.known_ids("".join(run)) if known else (self.byte[b] for b in "".join(run).encode())
+            for known, run in groupby(text, self.characters.__contains__)
+        ))
 
     def part(self, word: str) -> tuple[int, ...]:
         """Ids of a space and what follows it up to the next one. Short parts are kept for their next time."""
         body, end = word, ""
         while len(body) > 1 and body[-1] in ".,;:!?\n" and body[-2:] not in self.inside:  # no piece spans this place
             body, end = body[:-1], body[-1] + end
-        ids = self.known.get(body) if end else None
+        ids = self.words.known.get(body) if end else None
         if ids is None:
-            ids = self.ids_of(self.pieces_of(SPACE + body))
+            ids = self.ids_of(SPACE + body)
             if end and len(body) <= KNOWN_LENGTH:
-                self.known[body] = ids
-        return ids + self.ids_of(self.pieces_of(end)) if end else ids
+                self.words.known[body] = ids
+        return ids + self.ids_of(end) if end else ids
 
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
         if not self.cuts:
-            return list(self.ids_of(self.pieces_of(SPACE + text.replace(" ", SPACE))))
+            return list(self.ids_of(SPACE + text.replace(" ", SPACE)))
         if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
             words = [x[1:] for x in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))]
         else:
             words = text.split(" ")
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        for word in set(words).difference(known):
+        new = self.words.missing(set(words))
+        known = self.words.known
+        for word in new:
             if len(word) <= KNOWN_LENGTH:
                 known[word] = self.part(word)
         if any(len(w) > KNOWN_LENGTH for w in words):
