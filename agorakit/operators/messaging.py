@@ -143,14 +143,20 @@ def unread_total(participants: DataFrame, messages: DataFrame, reads: DataFrame)
 def unread_by_conversation(
     conversations: DataFrame, participants: DataFrame, messages: DataFrame, reads: DataFrame, persons: DataFrame
 ) -> DataFrame:
-    """Unread messages per person and conversation, with the other participant's name."""
-    people = persons.select(F.col("id").alias("other_person_id"), full_name().alias("other_person"))
+    """Unread messages per person and conversation, with the number of participants.
+
+    The other participant is named in conversations of two; in larger ones nobody is the other one.
+    """
+    people = persons.select(F.col("id").alias("other_person_id"), full_name().alias("_name"))
     known = conversations.select(F.col("id").alias("conversation_id"))
+    members = participants.join(known, "conversation_id", "left_semi")
+    sizes = members.select("conversation_id", "person_id").distinct().groupBy("conversation_id").agg(F.count(F.lit(1)).alias("participants"))
     return (
-        _unread(participants.join(known, "conversation_id", "left_semi"), messages, reads)
+        _unread(members, messages, reads)
+        .join(sizes, "conversation_id")
         .join(_other_participant(participants), ["conversation_id", "person_id"])
-        .join(people, "other_person_id")
-        .select("person_id", "conversation_id", "other_person", "unread_count")
+        .join(people, "other_person_id", "left")
+        .select("person_id", "conversation_id", "participants", F.when(F.col("participants") == 2, F.col("_name")).alias("other_person"), "unread_count")
     )
 
 

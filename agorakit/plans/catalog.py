@@ -63,6 +63,7 @@ def _(i: Inputs) -> DataFrame:
         "work": ("person_id", persons), "study": ("person_id", persons), "votes": ("voter_id", persons),
         "collections": ("person_id", persons), "views": ("person_id", persons), "posts": ("person_id", social),
         "comments": ("person_id", social), "group_members": ("person_id", social), "mentions": ("mentioned_person_id", social),
+        "groups": ("created_by", social),
     }
     counts = [
         scans.keep_owned(i[f"fx_{name}"], owners, key, "id").agg(F.count(F.lit(1)).alias("kept"))

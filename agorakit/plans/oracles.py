@@ -71,25 +71,28 @@ LEFT JOIN (SELECT person_id AS k, count(*) FILTER (WHERE deleted_at IS NULL) AS
 WHERE p.deleted_at IS NULL
 """
 
+#: Points of a filled profile, by the test that fills it.
+_POINTS = {
+    "length(first_name) > 0": 10, "length(last_name) > 0": 10, "email IS NOT NULL": 10, "length(headline_description) > 10": 15,
+    "linked_in_url IS NOT NULL": 10, "experience_count > 0": 20, "education_count > 0": 15, "location_id IS NOT NULL": 10,
+}
+#: Stages in the order in which they are tried, on the days without activity (w), the days since signup (age) and the first activities (seen).
+_STAGES = (("CHURNED", "w > 90"), ("DORMANT", "w > 30"), ("ENGAGED", "len(seen) > 0"), ("NEW", "age <= 7"), ("ACTIVATED", "TRUE"))
 PARTS["o_users"] = f"""
+WITH timed AS (
+  SELECT *, list_filter([pf, vf, lf], lambda x: x IS NOT NULL) AS seen, list_min(list_filter([pf, cf, vf, lf], lambda x: x IS NOT NULL)) AS opened,
+    list_max(list_filter([updated_at, created_at, pl, vl], lambda x: x IS NOT NULL)) AS moved,
+    list_max(list_filter([updated_at, created_at, pl, ccl, vl, ll], lambda x: x IS NOT NULL)) AS latest
+  FROM o_people
+), aged AS (SELECT *, datediff('hour', moved, {NOW}) // 24 AS w, extract(day FROM ({NOW} - created_at)) AS age FROM timed)
 SELECT user_id, engagement_person_id, person_id, email, first_name, last_name, has_finder, user_type, experience_count, education_count,
-  CAST((10 * (coalesce(first_name, '') <> '')::INT) + (10 * (coalesce(last_name, '') <> '')::INT) + (10 * (email IS NOT NULL)::INT)
-    + (15 * (length(coalesce(headline_description, '')) > 10)::INT) + (10 * (linked_in_url IS NOT NULL)::INT)
-    + (20 * (experience_count > 0)::INT) + (15 * (education_count > 0)::INT) + (10 * (location_id IS NOT NULL)::INT) AS BIGINT)
-    AS profile_completion_score,
+  CAST(list_sum([{", ".join(f"CASE WHEN {test} THEN {n} ELSE 0 END" for test, n in _POINTS.items())}]) AS BIGINT) AS profile_completion_score,
   posts_created, comments_made, votes_cast, collections_created, mentions_received, groups_joined, views_given,
-  created_at AS signup_date,
-  greatest(updated_at, coalesce(pl, created_at), coalesce(ccl, created_at), coalesce(vl, created_at), coalesce(ll, created_at)) AS last_activity_date,
-  pf AS first_post_date, vf AS first_vote_date,
-  extract(day FROM ({NOW} - created_at)) AS days_since_signup,
-  extract(day FROM (least(pf, cf, vf, lf) - created_at)) AS days_to_first_activity,
-  CASE WHEN extract(day FROM ({NOW} - greatest(updated_at, coalesce(pl, created_at), coalesce(vl, created_at)))) > 90 THEN 'CHURNED'
-    WHEN extract(day FROM ({NOW} - greatest(updated_at, coalesce(pl, created_at), coalesce(vl, created_at)))) > 30 THEN 'DORMANT'
-    WHEN coalesce(pf, vf, lf) IS NOT NULL THEN 'ENGAGED'
-    WHEN extract(day FROM ({NOW} - created_at)) <= 7 THEN 'NEW' ELSE 'ACTIVATED' END AS user_lifecycle_stage,
-  coalesce(pf, vf, lf) IS NOT NULL AS activation_status, least(pf, cf, vf, lf) AS activated_at, is_test_account,
-  created_at, updated_at, deleted_at
-FROM o_people
+  created_at AS signup_date, latest AS last_activity_date, pf AS first_post_date, vf AS first_vote_date, age AS days_since_signup,
+  extract(day FROM (opened - created_at)) AS days_to_first_activity,
+  list_filter([{", ".join(f"{{'stage': '{stage}', 'holds': {test}}}" for stage, test in _STAGES)}], lambda x: x.holds)[1].stage AS user_lifecycle_stage,
+  len(seen) > 0 AS activation_status, opened AS activated_at, is_test_account, created_at, updated_at, deleted_at
+FROM aged
 """
 
 PARTS["o_std"] = "SELECT * FROM o_users WHERE NOT is_test_account AND deleted_at IS NULL"
@@ -143,16 +146,20 @@ PARTS["o_signups"] = """
 SELECT CAST(signup_date AS DATE) AS signup_date, count(*) AS new_users, count(*) FILTER (WHERE has_finder) AS new_finders,
   count(*) FILTER (WHERE NOT has_finder) AS new_standards FROM o_std GROUP BY 1
 """
-PARTS["o_activity"] = """
-SELECT CAST(activity_date AS DATE) AS activity_date, count(DISTINCT user_id) AS dau,
-  count(*) FILTER (WHERE activity_type = 'post') AS posts_created, count(*) FILTER (WHERE activity_type = 'comment') AS comments_created,
-  count(*) FILTER (WHERE activity_type = 'vote') AS votes_cast, count(*) FILTER (WHERE activity_type = 'collection') AS collections_created,
-  count(*) FILTER (WHERE activity_type = 'view') AS views_given,
-  count(DISTINCT CASE WHEN activity_type = 'post' THEN user_id END) AS active_posters,
-  count(DISTINCT CASE WHEN activity_type = 'comment' THEN user_id END) AS active_commenters,
-  count(DISTINCT CASE WHEN activity_type = 'vote' THEN user_id END) AS active_voters,
-  count(DISTINCT CASE WHEN activity_type = 'collection' THEN user_id END) AS active_collectors
-FROM o_events GROUP BY 1
+#: Daily columns of each kind of activity: how many there were, and by how many users.
+_KINDS = {
+    "post": ("posts_created", "active_posters"), "comment": ("comments_created", "active_commenters"), "vote": ("votes_cast", "active_voters"),
+    "collection": ("collections_created", "active_collectors"), "view": ("views_given", None),
+}
+PARTS["o_user_days"] = """
+SELECT CAST(activity_date AS DATE) AS activity_date, user_id, activity_type, count(*) AS n FROM o_events GROUP BY ALL
+"""
+PARTS["o_activity"] = f"""
+WITH kinds AS (SELECT activity_date, map_from_entries(list({{'k': activity_type, 'v': {{'n': n, 'users': users}}}})) AS m FROM (
+    SELECT activity_date, activity_type, sum(n) AS n, count(*) AS users FROM o_user_days GROUP BY ALL) GROUP BY 1),
+people AS (SELECT activity_date, len(list_distinct(list(user_id))) AS dau FROM o_user_days GROUP BY 1)
+SELECT activity_date, dau, {", ".join(f"CAST(coalesce(m['{k}'].{part}, 0) AS BIGINT) AS {name}" for k, names in _KINDS.items() for part, name in zip(("n", "users"), names) if name)}
+FROM kinds JOIN people USING (activity_date)
 """
 PARTS["o_by_type"] = """
 SELECT CAST(e.activity_date AS DATE) AS activity_date, count(DISTINCT CASE WHEN u.has_finder THEN e.user_id END) AS finder_active,
@@ -163,27 +170,41 @@ PARTS["o_cumulative"] = """
 SELECT d.metric_date, (SELECT count(*) FROM o_std u WHERE CAST(u.signup_date AS DATE) <= d.metric_date) AS total_users_cumulative
 FROM o_dates d
 """
+#: Daily table: output column and the measure it shows; a measure without a row for the day is 0.
+_DAILY = {
+    "new_signups": "new_users", "total_users": "new_users", "dau": "dau", **{name: name for names in _KINDS.values() for name in names if name},
+    "finder_active": "finder_active", "standard_active": "standard_active", "new_finder_signups": "new_finders", "new_standard_signups": "new_standards",
+}
+
+
+def _long(view: str, day: str, *measures: str) -> str:
+    entries = ", ".join(f"{{'k': '{m}', 'v': CAST({m} AS BIGINT)}}" for m in measures)
+    return f"SELECT {day} AS metric_date, unnest([{entries}]) AS e FROM {view}"
+
+
+_MEASURES = " UNION ALL ".join((
+    _long("o_signups", "signup_date", "new_users", "new_finders", "new_standards"), _long("o_by_type", "activity_date", "finder_active", "standard_active"),
+    _long("o_activity", "activity_date", "dau", *[name for names in _KINDS.values() for name in names if name]),
+    _long("o_cumulative", "metric_date", "total_users_cumulative"),
+))
 PARTS["o_daily"] = f"""
-SELECT d.metric_date, coalesce(s.new_users, 0) AS new_signups, coalesce(s.new_users, 0) AS total_users, c.total_users_cumulative,
-  coalesce(a.dau, 0) AS dau, coalesce(a.posts_created, 0) AS posts_created, coalesce(a.comments_created, 0) AS comments_created,
-  coalesce(a.votes_cast, 0) AS votes_cast, coalesce(a.collections_created, 0) AS collections_created,
-  coalesce(a.views_given, 0) AS views_given, coalesce(a.active_posters, 0) AS active_posters,
-  coalesce(a.active_commenters, 0) AS active_commenters, coalesce(a.active_voters, 0) AS active_voters,
-  coalesce(a.active_collectors, 0) AS active_collectors, coalesce(t.finder_active, 0) AS finder_active,
-  coalesce(t.standard_active, 0) AS standard_active, coalesce(s.new_finders, 0) AS new_finder_signups,
-  coalesce(s.new_standards, 0) AS new_standard_signups,
-  CASE WHEN c.total_users_cumulative > 0 THEN {_pct('a.dau', 'c.total_users_cumulative')} ELSE 0.0 END AS engagement_rate,
-  CASE WHEN a.dau > 0 THEN {_pct('a.active_posters + a.active_commenters', 'a.dau')} ELSE 0.0 END AS social_engagement_rate
-FROM o_dates d LEFT JOIN o_signups s ON s.signup_date = d.metric_date LEFT JOIN o_activity a ON a.activity_date = d.metric_date
-LEFT JOIN o_by_type t ON t.activity_date = d.metric_date JOIN o_cumulative c ON c.metric_date = d.metric_date
-"""
-PARTS["o_rollup"] = """
-SELECT CAST(date_trunc('month', metric_date) AS DATE) AS metric_month, CAST(sum(new_signups) AS BIGINT) AS new_signups,
-  max(total_users_cumulative) AS total_users_end_of_month, count(DISTINCT CASE WHEN dau > 0 THEN metric_date END) AS active_days,
-  count(DISTINCT metric_date) AS total_days, avg(dau) AS avg_dau, CAST(sum(dau) AS BIGINT) AS sum_dau, CAST(sum(posts_created) AS BIGINT) AS total_posts,
-  CAST(sum(comments_created) AS BIGINT) AS total_comments, CAST(sum(votes_cast) AS BIGINT) AS total_votes,
-  CAST(sum(collections_created) AS BIGINT) AS total_collections, max(finder_active) AS finder_mau, max(standard_active) AS standard_mau
-FROM o_daily GROUP BY 1
+WITH days AS (SELECT metric_date, map_from_entries(list(e)) AS m FROM ({_MEASURES}) SEMI JOIN o_dates USING (metric_date) GROUP BY 1),
+named AS (SELECT metric_date, m['total_users_cumulative'] AS total_users_cumulative, m['dau'] AS seen, {", ".join(f"coalesce(m['{k}'], 0) AS {name}" for name, k in _DAILY.items())} FROM days)
+SELECT * EXCLUDE seen, if(total_users_cumulative = 0, 0.0, {_pct('seen', 'total_users_cumulative')}) AS engagement_rate, coalesce({_pct('active_posters + active_commenters', 'dau')}, 0.0) AS social_engagement_rate
+FROM named
+"""
+#: Monthly table: output column, and what is taken of the month's days.
+_SUMS = {
+    "new_signups": "new_signups", "sum_dau": "dau", "total_posts": "posts_created", "total_comments": "comments_created", "total_votes": "votes_cast",
+    "total_collections": "collections_created",
+}
+_PEAKS = {"total_users_end_of_month": "total_users_cumulative", "finder_mau": "finder_active", "standard_mau": "standard_active"}
+PARTS["o_rollup"] = f"""
+WITH months AS (SELECT CAST(date_trunc('month', metric_date) AS DATE) AS metric_month, list(d) AS days FROM o_daily d GROUP BY 1)
+SELECT metric_month, len(days) AS total_days, len(list_filter(days, lambda d: d.dau > 0)) AS active_days, list_avg(list_transform(days, lambda d: d.dau)) AS avg_dau,
+  {", ".join(f"CAST(list_sum(list_transform(days, lambda d: d.{k})) AS BIGINT) AS {name}" for name, k in _SUMS.items())},
+  {", ".join(f"list_max(list_transform(days, lambda d: d.{k})) AS {name}" for name, k in _PEAKS.items())}
+FROM months
 """
 PARTS["o_mau"] = """
 SELECT CAST(date_trunc('month', activity_date) AS DATE) AS metric_month, count(DISTINCT user_id) AS mau, count(*) AS total_activities
@@ -226,28 +247,27 @@ SELECT user_id, email, first_name, last_name, has_finder, {_SCORE} AS engagement
   {NOW} AS updated_at
 FROM o_std
 """
+_YEAR = f"CAST(signup_date AS DATE) >= CAST(date_trunc('month', {TODAY}) AS DATE) - INTERVAL 12 MONTH"
 PARTS["o_f1"] = f"""
-SELECT user_id, has_finder, experience_count, education_count, profile_completion_score,
-  extract(dow FROM signup_date) AS signup_day_of_week, extract(hour FROM signup_date) AS signup_hour,
-  extract(month FROM signup_date) AS signup_month,
-  CASE WHEN days_to_first_activity <= 7 THEN days_to_first_activity END AS days_to_first_activity_7d,
-  coalesce(days_to_first_activity <= 1, FALSE) AS activated_within_24h, activation_status AS activated,
-  posts_created + comments_made > 0 AS activated_social, votes_cast + collections_created > 0 AS activated_finder,
-  {_ACTIONS} >= 3 AS became_engaged, days_to_first_activity, CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month,
-  signup_date, created_at, {NOW} AS generated_at
-FROM o_std WHERE signup_date >= date_trunc('month', {NOW} - INTERVAL 12 MONTH)
+WITH parts AS (SELECT *, date_part(['dow', 'hour', 'month'], signup_date) AS t, days_to_first_activity AS d FROM o_std WHERE {_YEAR})
+SELECT user_id, signup_date, created_at, CAST(signup_date - (day(signup_date) - 1) * INTERVAL 1 DAY AS DATE) AS cohort_month, {NOW} AS generated_at,
+  has_finder, experience_count, education_count, profile_completion_score, t.dow AS signup_day_of_week, t.hour AS signup_hour, t.month AS signup_month,
+  d AS days_to_first_activity, list_filter([d], lambda x: x <= 7)[1] AS days_to_first_activity_7d, len(list_filter([d], lambda x: x <= 1)) = 1 AS activated_within_24h,
+  activation_status AS activated, greatest(posts_created, comments_made) > 0 AS activated_social, greatest(votes_cast, collections_created) > 0 AS activated_finder,
+  list_sum([posts_created, comments_made, votes_cast, collections_created]) > 2 AS became_engaged
+FROM parts
 """
 PARTS["o_f2"] = f"""
-SELECT u.user_id, u.has_finder, u.profile_completion_score, u.experience_count, u.education_count, u.days_since_signup,
-  (SELECT count(*) FROM o_events e WHERE e.user_id = u.user_id AND e.days_since_signup <= 30) AS first_30d_activities,
-  (SELECT count(DISTINCT e.activity_type) FROM o_events e WHERE e.user_id = u.user_id AND e.days_since_signup <= 30) AS first_30d_activity_types,
-  u.profile_completion_score >= 50 AS completed_profile, u.experience_count > 0 AS added_experience,
-  u.education_count > 0 AS added_education, coalesce(l.engagement_level IN ('ACTIVE', 'POWER_USER'), FALSE) AS became_power_user,
-  coalesce(l.engagement_score, 0) AS engagement_score_90d, u.last_activity_date >= u.signup_date + INTERVAL 90 DAY AS retained_90d,
-  u.user_lifecycle_stage = 'CHURNED' AS churned, coalesce(l.engagement_level, 'INACTIVE') AS final_engagement_level,
-  CAST(date_trunc('month', u.signup_date) AS DATE) AS cohort_month, u.signup_date, u.last_activity_date, {NOW} AS generated_at
-FROM o_std u LEFT JOIN o_levels l ON l.user_id = u.user_id
-WHERE u.days_since_signup >= 90 AND u.signup_date >= date_trunc('month', {NOW} - INTERVAL 12 MONTH)
+WITH early AS (SELECT user_id, sum(n) AS acts, count(*) AS kinds FROM (
+    SELECT user_id, activity_type, count(*) AS n FROM o_events WHERE days_since_signup <= 30 GROUP BY ALL) GROUP BY 1)
+SELECT user_id, s.has_finder, s.profile_completion_score, s.experience_count, s.education_count, s.days_since_signup,
+  CAST(coalesce(acts, 0) AS BIGINT) AS first_30d_activities, coalesce(kinds, 0) AS first_30d_activity_types,
+  NOT s.profile_completion_score < 50 AS completed_profile, sign(s.experience_count) = 1 AS added_experience, sign(s.education_count) = 1 AS added_education,
+  l.engagement_score >= 20 AS became_power_user, l.engagement_score AS engagement_score_90d,
+  datediff('day', s.signup_date, s.last_activity_date) >= 90 AND s.last_activity_date - INTERVAL 90 DAY >= s.signup_date AS retained_90d,
+  s.user_lifecycle_stage IN ('CHURNED') AS churned, l.engagement_level AS final_engagement_level,
+  CAST(s.signup_date - (day(s.signup_date) - 1) * INTERVAL 1 DAY AS DATE) AS cohort_month, s.signup_date, s.last_activity_date, {NOW} AS generated_at
+FROM (SELECT * FROM o_std WHERE {_YEAR} AND days_since_signup > 89) s JOIN o_levels l USING (user_id) LEFT JOIN early USING (user_id)
 """
 
 PARTS["o_nodes_of"] = "SELECT n.node_id, u.user_id FROM fx_nodes n JOIN o_users u ON n.node_type = 'Person' AND n.name = u.email"
@@ -347,29 +367,46 @@ SELECT company_id, company_name, role_id, role_title, list_sort(list(DISTINCT us
 FROM o_company GROUP BY 1, 2, 3, 4
 """
 
-def _leading(owner: str, name: str, out: str, by_count: bool = False) -> str:
-    """Per owner group: the first ten names, largest overlapping group first."""
+def _leading(groups: str, keys: str, name: str, by_count: bool = False) -> str:
+    """Ten names for each owner group, of the largest overlapping group first."""
     choose = "size DESC, nm" if by_count else "nm"
-    return f"""(SELECT string_agg(nm, ',' ORDER BY size DESC, nm) FROM (SELECT nm, size FROM (
-      SELECT g.{name} AS nm, max(g.user_count) AS size FROM o_groups g WHERE list_has_any(g.ids, {owner}.ids) AND g.{name} IS NOT NULL GROUP BY 1)
-      ORDER BY {choose} LIMIT 10)) AS {out}"""
+    return f"""
+SELECT {keys}, string_agg(nm, ',' ORDER BY size DESC, nm) AS names FROM (
+  SELECT {keys}, nm, size, row_number() OVER (PARTITION BY {keys} ORDER BY {choose}) AS place FROM (
+    SELECT {keys}, {name} AS nm, max(user_count) AS size FROM {groups} WHERE {name} IS NOT NULL GROUP BY ALL)) WHERE place <= 10 GROUP BY ALL
+"""
+
+
+PARTS["o_located"] = """
+SELECT DISTINCT l.location_id, l.country, c.company_id, c.role_id, c.company_name, c.role_title, g.user_count
+FROM o_location l JOIN o_company c USING (user_id)
+JOIN o_groups g ON g.company_id = c.company_id AND g.role_id IS NOT DISTINCT FROM c.role_id
+"""
+PARTS["o_schooled"] = """
+SELECT DISTINCT s.school_id, coalesce(s.degree_id, '') AS degree, c.company_name, c.role_title, g.user_count
+FROM o_school s JOIN o_company c USING (user_id)
+JOIN o_groups g ON g.company_id = c.company_id AND g.role_id IS NOT DISTINCT FROM c.role_id
+"""
 
 
 def _location_sql(by_count: bool) -> str:
     return f"""
-SELECT l.location_id, l.country, unnest(l.ids) AS user_id, l.user_count,
-  CAST((SELECT count(DISTINCT g.company_id) FROM o_groups g WHERE list_has_any(g.ids, l.ids)) AS DOUBLE) AS company_diversity_score,
-  CAST((SELECT count(DISTINCT g.role_id) FROM o_groups g WHERE list_has_any(g.ids, l.ids)) AS DOUBLE) AS role_diversity_score,
-  {_leading('l', 'company_name', 'top_companies', by_count)}, {_leading('l', 'role_title', 'top_roles', by_count)}
-FROM (SELECT location_id, country, list_sort(list(DISTINCT user_id)) AS ids, count(DISTINCT user_id) AS user_count FROM o_location GROUP BY 1, 2) l
+WITH kinds AS (SELECT location_id, len(list_distinct(list(company_id))) AS companies, len(list_distinct(list(role_id))) AS roles FROM o_located GROUP BY 1),
+firms AS ({_leading('o_located', 'location_id', 'company_name', by_count)}), jobs AS ({_leading('o_located', 'location_id', 'role_title', by_count)})
+SELECT location_id, country, user_id, count(*) OVER (PARTITION BY location_id) AS user_count, CAST(coalesce(companies, 0) AS DOUBLE) AS company_diversity_score,
+  CAST(coalesce(roles, 0) AS DOUBLE) AS role_diversity_score, firms.names AS top_companies, jobs.names AS top_roles
+FROM (SELECT DISTINCT location_id, country, user_id FROM o_location) LEFT JOIN kinds USING (location_id) LEFT JOIN firms USING (location_id) LEFT JOIN jobs USING (location_id)
 """
 
 
 PARTS["o_inbox_unread"] = """
-SELECT p.*, (SELECT count(*) FROM fx_messages m WHERE m.conversation_id = p.conversation_id AND m.sender_id <> p.person_id
-  AND NOT EXISTS (SELECT 1 FROM fx_message_reads r WHERE r.message_id = m.id AND r.person_id = p.person_id)) AS unread_count,
-  (SELECT min(q.person_id) FROM fx_members q WHERE q.conversation_id = p.conversation_id AND q.person_id <> p.person_id) AS other_person_id
-FROM fx_members p
+WITH due AS (
+  SELECT p.person_id, m.conversation_id, m.id FROM fx_members p JOIN fx_messages m USING (conversation_id) WHERE m.sender_id <> p.person_id
+  EXCEPT SELECT r.person_id, m.conversation_id, m.id FROM fx_message_reads r JOIN fx_messages m ON m.id = r.message_id
+), waiting AS (SELECT person_id, conversation_id, count(*) AS n FROM due GROUP BY ALL),
+rooms AS (SELECT conversation_id, list_sort(list(DISTINCT person_id)) AS ids FROM fx_members GROUP BY 1)
+SELECT p.*, coalesce(n, 0) AS unread_count, list_filter(ids, lambda x: x <> p.person_id)[1] AS other_person_id, len(ids) AS participants
+FROM fx_members p JOIN rooms USING (conversation_id) LEFT JOIN waiting USING (person_id, conversation_id)
 """
 PARTS["o_inbox"] = """
 SELECT p.person_id, p.conversation_id, c.conversation_type, c.updated_at, p.folder, p.last_read_at, p.notification_level,
@@ -396,7 +433,7 @@ SQL["a2_orphan_filter_all"] = " UNION ALL ".join(
         *[(n, k, "SELECT id FROM fx_persons WHERE deleted_at IS NULL") for n, k in (
             ("work", "person_id"), ("study", "person_id"), ("votes", "voter_id"), ("collections", "person_id"), ("views", "person_id"))],
         *[(n, k, "SELECT id FROM fx_engagement_persons") for n, k in (
-            ("posts", "person_id"), ("comments", "person_id"), ("group_members", "person_id"), ("mentions", "mentioned_person_id"))],
+            ("posts", "person_id"), ("comments", "person_id"), ("group_members", "person_id"), ("mentions", "mentioned_person_id"), ("groups", "created_by"))],
     ]
 )
 SQL["a3_full_refresh"] = "SELECT id, person_id, company_id, created_at FROM fx_work WHERE deleted_at IS NULL"
@@ -484,16 +521,18 @@ SELECT p.id, p.person_id, NOT EXISTS (SELECT 1 FROM fx_posts q WHERE q.person_id
 """
 SQL["e8_hex_id"] = "SELECT s.id, CAST('0x' || substr(replace(s.id, '-', ''), 1, 15) AS BIGINT) AS source_id FROM fx_comments s"
 SQL["e9_event_day"] = "SELECT user_id, activity_type, source_id, days_since_signup FROM o_events"
+_AFTER = (30, 60, 90)
 SQL["c1_user_cohorts"] = f"""
-SELECT CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month, count(*) AS total_users, count(*) FILTER (WHERE has_finder) AS finder_users,
-  count(*) FILTER (WHERE NOT has_finder) AS standard_users, {_mean('profile_completion_score')} AS avg_profile_completion,
-  {_mean('experience_count')} AS avg_experience_count, {_mean('education_count')} AS avg_education_count,
-  count(*) FILTER (WHERE activation_status) AS activated_users,
-  {_pct("count(*) FILTER (WHERE activation_status)", "count(*)")} AS activation_rate,
-  {_mean('days_to_first_activity', 'days_to_first_activity < 10000')} AS avg_days_to_activation,
-  {", ".join(f"count(*) FILTER (WHERE last_activity_date >= signup_date + INTERVAL {d} DAY) AS retained_{d}d" for d in (30, 60, 90))},
-  {", ".join(_pct(f"count(*) FILTER (WHERE last_activity_date >= signup_date + INTERVAL {d} DAY)", "count(*)") + f" AS retention_rate_{d}d" for d in (30, 60, 90))}
-FROM o_std GROUP BY 1
+WITH months AS (SELECT CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month, has_finder, profile_completion_score AS score, experience_count AS jobs,
+    education_count AS schools, activation_status AS active, days_to_first_activity AS wait,
+    list_filter([{", ".join(map(str, _AFTER))}], lambda d: last_activity_date >= signup_date + d * INTERVAL 1 DAY) AS stayed FROM o_std),
+counted AS (SELECT cohort_month, count(*) AS total_users, CAST(count_if(has_finder) AS BIGINT) AS finder_users, CAST(count_if(active) AS BIGINT) AS activated_users,
+    {_mean('score')} AS avg_profile_completion, {_mean('jobs')} AS avg_experience_count, {_mean('schools')} AS avg_education_count,
+    {_mean('wait', 'wait < 10000')} AS avg_days_to_activation, {", ".join(f"CAST(count_if(list_contains(stayed, {d})) AS BIGINT) AS retained_{d}d" for d in _AFTER)}
+  FROM months GROUP BY 1)
+SELECT *, total_users - finder_users AS standard_users, {_pct('activated_users', 'total_users')} AS activation_rate,
+  {", ".join(f"{_pct(f'retained_{d}d', 'total_users')} AS retention_rate_{d}d" for d in _AFTER)}
+FROM counted
 """
 
 # KPIs
@@ -563,15 +602,16 @@ SELECT CAST(activity_date AS DATE) AS metric_date, count(*) AS total_collections
   count(CASE privacy WHEN 'PRIVATE' THEN 1 END) AS private_collections, count(DISTINCT user_id) AS unique_collectors
 FROM o_collections GROUP BY 1
 """
+_ADDED = {"profiles_updated": ("fx_persons", "updated_at", "updated_at IS DISTINCT FROM created_at"), "experiences_added": ("fx_work", "created_at", "TRUE"),
+          "education_added": ("fx_study", "created_at", "TRUE")}
+_WITH = {"headline": "p.headline_description IS NOT NULL", "linkedin": "p.linked_in_url IS NOT NULL", "location": "p.location_id IS NOT NULL",
+         "experience": "u.experience_count > 0", "education": "u.education_count > 0"}
 SQL["k4_profile_metrics"] = f"""
-SELECT {SNAP_DAY} AS metric_date,
-  (SELECT count(*) FROM fx_persons WHERE deleted_at IS NULL AND updated_at::DATE = {SNAP_DAY} AND updated_at IS DISTINCT FROM created_at) AS profiles_updated,
-  (SELECT count(*) FROM fx_work WHERE deleted_at IS NULL AND created_at::DATE = {SNAP_DAY}) AS experiences_added,
-  (SELECT count(*) FROM fx_study WHERE deleted_at IS NULL AND created_at::DATE = {SNAP_DAY}) AS education_added,
-  {_mean('u.profile_completion_score')} AS avg_profile_completion_score, count(p.headline_description) AS profiles_with_headline,
-  count(p.linked_in_url) AS profiles_with_linkedin, count(p.location_id) AS profiles_with_location,
-  count(CASE WHEN u.experience_count > 0 THEN 1 END) AS profiles_with_experience, count(CASE WHEN u.education_count > 0 THEN 1 END) AS profiles_with_education
-FROM o_std u, fx_persons p WHERE p.id = u.user_id
+WITH added AS (SELECT {", ".join(f"CAST(count_if(k = '{k}') AS BIGINT) AS {k}" for k in _ADDED)} FROM (
+    {" UNION ALL ".join(f"SELECT '{k}' AS k FROM {view} WHERE deleted_at IS NULL AND {at}::DATE = {SNAP_DAY} AND {test}" for k, (view, at, test) in _ADDED.items())}) x)
+SELECT {SNAP_DAY} AS metric_date, a.*, b.* FROM added a, (
+  SELECT {_mean('u.profile_completion_score')} AS avg_profile_completion_score, {", ".join(f"CAST(count_if({test}) AS BIGINT) AS profiles_with_{name}" for name, test in _WITH.items())}
+  FROM o_std u JOIN fx_persons p ON p.id = u.user_id) b
 """
 SQL["k5_funnel_metrics"] = f"""
 WITH t AS (SELECT count(*) AS n, count(CASE WHEN first_name IS NOT NULL AND last_name IS NOT NULL AND email IS NOT NULL THEN 1 END) AS basic,
@@ -660,10 +700,12 @@ FROM (SELECT * FROM t ORDER BY n DESC, company_id LIMIT 1000)
 SQL["l5_location_based_networks"] = _location_sql(False)
 SQL["l5_location_networks_by_count"] = _location_sql(True)
 SQL["l6_alumni_networks"] = f"""
-SELECT s.school_id, s.school_name, coalesce(s.degree_id, 'ALL') AS degree_id, s.degree_name, unnest(s.ids) AS user_id,
-  s.alumni_count, s.graduation_year_min, s.graduation_year_max, {_leading('s', 'company_name', 'current_companies')}, {_leading('s', 'role_title', 'current_roles')}
-FROM (SELECT school_id, school_name, degree_id, degree_name, list_sort(list(DISTINCT user_id)) AS ids, count(DISTINCT user_id) AS alumni_count,
-  min(yr) AS graduation_year_min, max(yr) AS graduation_year_max FROM o_school GROUP BY 1, 2, 3, 4) s
+WITH firms AS ({_leading('o_schooled', 'school_id, degree', 'company_name')}), jobs AS ({_leading('o_schooled', 'school_id, degree', 'role_title')}),
+years AS (SELECT school_id, coalesce(degree_id, '') AS degree, min(yr) AS low, max(yr) AS high FROM o_school GROUP BY ALL)
+SELECT school_id, school_name, coalesce(degree_id, 'ALL') AS degree_id, degree_name, user_id, count(*) OVER (PARTITION BY school_id, degree) AS alumni_count,
+  low AS graduation_year_min, high AS graduation_year_max, firms.names AS current_companies, jobs.names AS current_roles
+FROM (SELECT DISTINCT school_id, school_name, degree_id, degree_name, user_id, coalesce(degree_id, '') AS degree FROM o_school)
+JOIN years USING (school_id, degree) LEFT JOIN firms USING (school_id, degree) LEFT JOIN jobs USING (school_id, degree)
 """
 SQL["l7_project_graph"] = """
 SELECT p.project_id, p.project_name, p.company_id, (SELECT min(c.company_name) FROM o_company c WHERE c.company_id = p.company_id) AS company_name,
@@ -706,14 +748,11 @@ SELECT m.id, m.conversation_id, s.first_name || ' ' || s.last_name AS sender, m.
 FROM fx_messages m JOIN fx_chat_people s ON s.id = m.sender_id
 """
 SQL["h4_unread_total"] = """
-SELECT p.person_id, count(DISTINCT m.id) AS unread_count FROM (SELECT * FROM fx_members WHERE folder <> 'RESTRICTED') p
-LEFT JOIN fx_messages m ON m.conversation_id = p.conversation_id AND m.sender_id <> p.person_id
-  AND NOT EXISTS (SELECT 1 FROM fx_message_reads r WHERE r.message_id = m.id AND r.person_id = p.person_id)
-GROUP BY 1
+SELECT person_id, CAST(sum(unread_count) AS BIGINT) AS unread_count FROM o_inbox_unread WHERE folder IN ('MAIN', 'REQUEST') GROUP BY 1
 """
 SQL["h5_unread_by_conversation"] = """
-SELECT u.person_id, u.conversation_id, o.first_name || ' ' || o.last_name AS other_person, u.unread_count
-FROM o_inbox_unread u JOIN fx_chat_people o ON o.id = u.other_person_id
+SELECT u.person_id, u.conversation_id, u.participants, CASE WHEN u.participants = 2 THEN o.first_name || ' ' || o.last_name END AS other_person, u.unread_count
+FROM o_inbox_unread u SEMI JOIN fx_conversations c ON c.id = u.conversation_id LEFT JOIN fx_chat_people o ON o.id = u.other_person_id
 """
 SQL["h6_folder_badges"] = "SELECT person_id, folder, CAST(sum(unread_count) AS BIGINT) AS unread_count FROM o_inbox GROUP BY 1, 2"
 SQL["h7_folder_distribution"] = "SELECT person_id, folder, count(*) AS conversation_count FROM fx_members GROUP BY 1, 2"

@@ -105,6 +105,12 @@ UNION ALL SELECT 'L' || CAST(n_nationkey AS STRING), 'Location', n_name FROM nat
 UNION ALL SELECT DISTINCT 'G' || lang, 'Language', lang FROM documents
 """
 
+VIEWS["fx_groups"] = """
+SELECT CAST(s_suppkey AS STRING) AS id, s_name AS name, 'e' || CAST((s_suppkey * 37) % 997 + 1 AS STRING) AS created_by,
+  CASE WHEN s_suppkey % 19 = 0 THEN TIMESTAMP '2001-01-01 00:00:00' END AS deleted_at
+FROM supplier
+"""
+
 VIEWS["fx_messages"] = """
 SELECT conv_id * 100 + turn AS id, conv_id AS conversation_id, role || '-' || CAST(conv_id % 40 AS STRING) AS sender_id,
   text AS body, turn, CASE WHEN turn % 4 = 3 THEN 'FILE' ELSE 'TEXT' END AS message_type,
