@@ -202,6 +202,38 @@ def search_users(persons: DataFrame, queries: Sequence[tuple[str, str]], n: int
     )
 
 
+def _grams(text: Column, n: int) -> Column:
+    """The different parts of n characters of a text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length(text) - (n - 1), F.lit(1)))
+    return F.filter(F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))), lambda g: F.char_length(g) == n)
+
+
+def search_user_table(persons: DataFrame, queries: DataFrame, n: int = SEARCH_HITS) -> DataFrame:
+    """As ``search_users``, for a table of queries (query, searcher_id) of any size.
+
+    A person can only match if their name or email has each part of the query. Queries meet persons on their rarest part of three
+    characters (two for queries of two) by an equality join, and are then checked. Equal queries are answered once, with one
+    hit more than asked for, as the person who searches is left out.
+    """
+    asked = queries.select(F.trim("query").alias("query"), F.col("searcher_id").cast("string").alias("searcher_id")).distinct()
+    asked = asked.where(F.char_length("query") >= MIN_QUERY_CHARS)
+    name, email = F.lower(F.coalesce(full_name(), F.lit(""))), F.lower(F.coalesce("email", F.lit("")))
+    parts = F.array_distinct(F.concat(*[_grams(text, k) for text in (name, email) for k in (2, 3)]))
+    people = persons.select("id", name.alias("_name"), email.alias("_email"), F.explode(parts).alias("_part"))
+    counts = people.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    needle = F.lower("query")
+    wanted = asked.select("query").distinct().withColumn("_part", F.explode(F.when(F.char_length(needle) == 2, F.array(needle)).otherwise(_grams(needle, 3))))
+    rarest = wanted.join(counts, "_part").groupBy("query").agg(F.min_by("_part", F.struct("_n", "_part")).alias("_part"))
+    met = rarest.join(people, "_part").where(F.col("_name").contains(needle) | F.col("_email").contains(needle)).select("query", "id")
+    first = Window.partitionBy("query").orderBy("id")
+    few = met.withColumn("_place", F.row_number().over(first)).where(F.col("_place") <= n + 1).drop("_place")
+    hits = asked.join(few, "query").where(F.col("id").cast("string") != F.col("searcher_id"))
+    place = F.row_number().over(Window.partitionBy("query", "searcher_id").orderBy("id"))
+    named = persons.select("id", "first_name", "last_name", full_name().alias("full_name"), "email")
+    found = hits.withColumn("_place", place).where(F.col("_place") <= n).join(named, "id")
+    return found.select("query", "searcher_id", "id", "first_name", "last_name", "full_name", "email")
+
+
 def direct_conversations(conversations: DataFrame, participants: DataFrame) -> DataFrame:
     """The direct conversation of each person pair, least id first. A direct conversation has two members, so their
     least and greatest ids are the pair and no self join is needed."""

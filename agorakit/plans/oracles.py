@@ -768,6 +768,12 @@ SELECT query, searcher_id, id, first_name, last_name, full_name, email FROM (
   JOIN fx_chat_people p ON p.id <> q.searcher_id AND (instr(lower(p.first_name || ' ' || p.last_name), lower(q.query)) > 0 OR instr(lower(p.email), lower(q.query)) > 0)
   WHERE length(q.query) >= 2) x WHERE rn <= 20
 """
+SQL["h9_user_search_table"] = """
+WITH asked AS (SELECT 'l' || id AS query, CAST(id AS VARCHAR) AS searcher_id FROM fx_persons WHERE id % 20 = 0),
+met AS (SELECT a.*, p.id, p.first_name, p.last_name, p.first_name || ' ' || p.last_name AS full_name, p.email FROM asked a JOIN fx_persons p
+  ON CAST(p.id AS VARCHAR) <> a.searcher_id AND (contains(lower(p.first_name || ' ' || p.last_name), a.query) OR contains(lower(p.email), a.query)))
+SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY query, searcher_id ORDER BY id) <= 20
+"""
 SQL["h10_direct_conversations"] = """
 SELECT a.person_id AS person_1, b.person_id AS person_2, min(a.conversation_id) AS conversation_id, count(*) AS conversations
 FROM fx_members a JOIN fx_members b ON a.conversation_id = b.conversation_id AND a.person_id < b.person_id

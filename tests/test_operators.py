@@ -229,3 +229,17 @@ def test_message_types(spark, mime, kind):
 
 def test_export_columns_are_complete(spark):
     assert len(segments.ACTIVATION_EXPORT) == 14 and len(segments.ENGAGEMENT_EXPORT) == 16
+
+
+def test_many_searches_at_once(spark):
+    people = spark.range(6_000).selectExpr("id", "'Ann' AS first_name", "concat('Lee', id) AS last_name", "if(id = 7, NULL, concat('Mail', id, '@x.org')) AS email")
+    searches = spark.range(5_000).selectExpr("concat(' LEE', id, ' ') AS query", "CAST(id AS string) AS searcher_id").unionByName(
+        spark.createDataFrame([("l", "1"), ("zz", "1"), ("nn", "3"), (None, "3"), ("il5", "5")], "query string, searcher_id string"))
+    found = {}
+    for r in messaging.search_user_table(people, searches).collect():
+        found.setdefault((r.query, r.searcher_id), []).append(r.id)
+    for i in (0, 7, 45, 599, 4_999):
+        want = [k for k in range(6_000) if str(k).startswith(str(i)) and k != i][:20]
+        assert sorted(found.get((f"LEE{i}", str(i)), [])) == want
+    assert sorted(found["nn", "3"]) == [k for k in range(22) if k != 3][:20] and sorted(found["il5", "5"]) == [k for k in range(6_000) if str(k).startswith("5") and k != 5][:20]
+    assert {q for q, _ in found} & {"l", "zz"} == set()
