@@ -13,7 +13,7 @@ VIEWS: dict[str, str] = {}
 VIEWS["fx_persons"] = """
 SELECT c_custkey AS id, CASE WHEN c_custkey % 23 <> 0 THEN md5(CAST(c_custkey AS STRING)) END AS person_id,
   CAST(DATE '1995-01-01' + CAST((c_custkey * 253) % 2404 AS INT) AS TIMESTAMP) AS created_at,
-  COALESCE(o.last_order, CAST(DATE '1995-01-01' + CAST((c_custkey * 253) % 2404 AS INT) AS TIMESTAMP)) AS updated_at,
+  COALESCE(CASE WHEN c_custkey % 3 <> 0 THEN o.last_order END, CAST(DATE '1995-01-01' + CAST((c_custkey * 253) % 2404 AS INT) AS TIMESTAMP)) AS updated_at,
   CASE WHEN c_custkey % 97 = 5 THEN TIMESTAMP '2001-08-01 00:00:00' END AS deleted_at,
   lower(c_name) || '@example.com' AS email,
   CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 'F' || CAST(c_custkey AS STRING) END AS first_name,
@@ -24,7 +24,7 @@ SELECT c_custkey AS id, CASE WHEN c_custkey % 23 <> 0 THEN md5(CAST(c_custkey AS
   CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE c_mktsegment IN ('BUILDING','MACHINERY') END AS has_finder
 FROM customer LEFT JOIN (
   SELECT o_custkey, MAX(o_orderdate) AS last_order FROM orders
-  WHERE o_orderdate >= CAST(DATE '1995-01-01' + CAST((o_custkey * 253) % 2404 AS INT) AS TIMESTAMP) AND o_custkey % 3 <> 0
+  WHERE o_orderdate >= CAST(DATE '1995-01-01' + CAST((o_custkey * 253) % 2404 AS INT) AS TIMESTAMP)
   GROUP BY o_custkey) o ON c_custkey = o.o_custkey
 """
 
@@ -60,22 +60,24 @@ FROM lineitem WHERE l_returnflag <> 'R'
 """
 
 VIEWS["fx_experiences"] = """
-SELECT id, person_id, CAST(supp AS STRING) || '-' || brand AS company_id, role_id, brand || '/' || CAST(size AS STRING) AS project_id,
+SELECT id, person_id, CAST(supp AS STRING) || '-' || brand || '-' || CAST(size % 5 AS STRING) AS company_id, role_id, brand || '/' || CAST(size AS STRING) AS project_id,
   CASE WHEN id % 3 = 0 THEN CAST(CAST(d AS DATE) AS STRING)
        WHEN id % 3 = 1 THEN CAST(month(d) AS STRING) || '-' || CAST(year(d) AS STRING)
        ELSE 'n/a' END AS start_date
-FROM (SELECT l_orderkey AS id, MIN(o_custkey) AS person_id, MIN(l_suppkey) AS supp, MIN(p_brand) AS brand,
-        MIN(p_type) AS role_id, MIN(p_size) AS size, MIN(o_orderdate) AS d
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-      WHERE l_linenumber = 1 AND l_orderkey % 5 = 0 GROUP BY l_orderkey) x
+FROM (SELECT l_orderkey AS id, MIN(o_custkey) AS person_id, MIN_BY(l_suppkey, line) AS supp, MIN_BY(p_brand, line) AS brand,
+        MIN_BY(p_type, line) AS role_id, MIN_BY(p_size, line) AS size, MIN(o_orderdate) AS d
+      FROM (SELECT *, CAST(l_linenumber AS BIGINT) * 1000000000000 + CAST(l_partkey AS BIGINT) * 100000 + l_suppkey AS line FROM lineitem) li
+      JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+      GROUP BY l_orderkey) x
 """
 
 VIEWS["fx_education"] = """
-SELECT o_orderkey AS id, o_custkey AS person_id, 'S' || CAST((o_custkey * 7 + o_orderkey) % 600 AS STRING) AS school_id,
+SELECT o_orderkey AS id, o_custkey AS person_id,
+  CASE WHEN o_orderkey % 100 = 0 THEN 'S0' ELSE 'S' || CAST(CAST(floor(o_orderkey / 16) AS BIGINT) + 1 AS STRING) END AS school_id,
   o_orderpriority AS degree_id,
   CASE WHEN o_orderkey % 12 = 0 THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
        ELSE CAST(month(o_orderdate) AS STRING) || '-' || CAST(year(o_orderdate) AS STRING) END AS end_date
-FROM orders WHERE o_orderkey % 6 = 0
+FROM orders
 """
 
 VIEWS["fx_edges"] = """
