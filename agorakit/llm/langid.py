@@ -24,6 +24,7 @@ from agorakit.session import cut
 ORDER = 4
 #: Different labelled texts of a language that are learned at most: those with the least hash.
 SAMPLE = 300
+PARTS = 64
 KNOWN = 300_000
 UNKNOWN = "und"
 #: Bits a byte of letters above which a text is in none of the learned languages: more than equal bytes and an escape cost.
@@ -137,8 +138,11 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: i
     order_by, limit = fresh(labelled, "_order", "_limit")
     known = labelled.where(F.col(lang).isNotNull()).withColumn(order_by, F.xxhash64(text_of(text)))
     first = known.select(lang, order_by).distinct()
-    turn = F.row_number().over(Window.partitionBy(lang).orderBy(order_by))
-    limits = cut(first.withColumn(limit, turn).where(F.col(limit) <= sample).groupBy(lang).agg(F.max(order_by).alias(limit)), "sample-limits")
+    # The least of each of PARTS parts of a language, then the least of those: no task sees a whole language.
+    part = F.pmod(F.xxhash64(order_by), F.lit(PARTS))
+    for group in ([lang, part], [lang]):
+        first = first.withColumn(limit, F.row_number().over(Window.partitionBy(*group).orderBy(order_by))).where(F.col(limit) <= sample)
+    limits = cut(first.groupBy(lang).agg(F.max(order_by).alias(limit)), "sample-limits")
     picked = known.join(limits, lang).where(F.col(order_by) <= F.col(limit)).dropDuplicates([lang, order_by])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
