@@ -16,6 +16,8 @@ WORDS = 5
 #: One in SCALE shingles is kept, and the LEAST smallest hashes in any case, so that short documents have sketches too.
 SCALE = 32
 LEAST = 32
+#: Stands for a null id while documents are in order.
+NO_ID = -(1 << 63)
 
 
 def _limit(scale: int) -> int:
@@ -109,7 +111,8 @@ def query(docs: DataFrame) -> DataFrame:
     of them gets its results.
     """
     key = ["_id", "_hash"]
-    rows = docs.select("doc_id", text_of().alias("text")).withColumns({"_id": F.coalesce("doc_id", F.lit(-(1 << 63))), "_hash": F.xxhash64("text")})
+    # Both joins read the same columns, so that Spark shuffles the texts once.
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), text_of().alias("text")).withColumn("_hash", F.xxhash64("text"))
     order = following(rows.select(*key, F.char_length("text").alias("n")), key, "n")
     # What the document before needs of this one: the beginning and the sketch. Of repeated rows one is enough.
     once = F.row_number().over(Window.partitionBy(*key).orderBy("_id"))
@@ -122,7 +125,7 @@ def query(docs: DataFrame) -> DataFrame:
     both = fingerprint(rows.join(heads, key).withColumn("edited", edited))
     both = fingerprint(both, "edited", "edited_sketch")
     return both.select(
-        "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("sketch")).alias("fingerprint"),
+        F.when(F.col("_id") != NO_ID, F.col("_id")).alias("doc_id"), n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("sketch")).alias("fingerprint"),
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"), likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
     )
