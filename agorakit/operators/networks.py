@@ -336,7 +336,7 @@ def location_based_networks(
 ) -> DataFrame:
     """Users per location with the diversity of their companies and roles and two lists of names."""
     keys = ["location_id", "country"]
-    overlaps = _overlapping_groups(members, companies, keys)
+    overlaps = cut(_overlapping_groups(members, companies, keys), "overlaps")  # read once for each list
     result = listed(members, keys, "user_id", "user_count")
     for extra in (
         _distinct_count(overlaps, keys, "company_id", "company_diversity_score"),
@@ -353,7 +353,7 @@ def alumni_networks(
 ) -> DataFrame:
     """Alumni per (school, degree) with their companies and roles; a missing degree reads ``ALL``."""
     keys = ["school_id", "school_name", "degree_id", "degree_name"]
-    overlaps = _overlapping_groups(members, companies, keys)
+    overlaps = cut(_overlapping_groups(members, companies, keys), "overlaps")  # read once for each list
     result = education_networks(members)
     for extra in (
         _leading_names(overlaps, keys, "company_name", "current_companies", n, by_count),
