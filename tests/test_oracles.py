@@ -35,3 +35,18 @@ def test_entry_has_these_queries():
 def test_entry_is_the_daily_table(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "metric_date" and len(df.columns) == 20
+
+
+@pytest.mark.parametrize("name", ["d5_daily_metrics", "h1_inbox", "u12_unified_users"])
+def test_generated_code_gives_the_same_rows(spark, duck, sf_dir, name):
+    """The other tests run without generated code, which production uses."""
+    modes = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {key: spark.conf.get(key) for key in modes}
+    try:
+        for key, value in modes.items():
+            spark.conf.set(key, value)
+        _, problems = compare.compare(spark, duck, sf_dir, name, QUERIES[name], ORACLES[name])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert not problems
