@@ -25,7 +25,7 @@ ORDER = 4
 #: Different labelled texts of a language that are learned at most: those with the least hash.
 SAMPLE = 300
 PARTS = 64
-KNOWN = 300_000
+KNOWN = 200_000
 UNKNOWN = "und"
 #: Bits a byte of letters above which a text is in none of the learned languages: more than equal bytes and an escape cost.
 REJECT_BITS = 10.0

@@ -24,7 +24,7 @@ from agorakit.llm.arrow import Recent, with_columns_of_text
 
 #: The character that stands for a space in pieces (fixed value).
 SPACE = "▁"
-KNOWN = 800_000
+KNOWN = 500_000
 KNOWN_LENGTH = 48
 NONE = float("-inf")
 ID_COLUMNS = [("ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType())]
