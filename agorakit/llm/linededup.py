@@ -10,27 +10,33 @@ from agorakit.session import cut
 
 RATIO = 0.03
 MIN_PAGES = 20
+#: Pages (different texts with `once`) on which a line must stand in any case: on fewer it is a chance hit, however small the host.
+LEAST = 3
 
 
-def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                least: int = LEAST, once: bool = False) -> DataFrame:
     """One row per host: `lines`, the hashes of its boilerplate lines.
 
     A line, without outer white space and not blank, is boilerplate if the pages of its host that have it are more than
-    `ratio` of the host's pages. Hosts with fewer than `min_pages` pages have none: there any line would be frequent. Null hosts
-    are one host. A host with L lines a page has at most L / ratio such lines, so the arrays do not grow with the host.
+    `ratio` of the host's pages, and `least` pages at least. Hosts with fewer than `min_pages` pages have none. With `once`, pages of
+    a host with equal texts are one page (by XXH64), so copies of a document do not make its lines boilerplate. Null hosts are one host. A host with L lines a page has at most L / ratio such lines, so the arrays do not grow with the host.
     Lines are told apart by XXH64; a page's line of another text is taken for a boilerplate line with a chance of 2^-64.
     """
     page, lines, line, n, total = "_h", "_lines", "_line", "_n", "_total"
     hashes = F.array_distinct(F.transform(F.filter(F.transform(F.split(F.col(text), "\n"), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x)))
-    seen = docs.select(F.col(host).alias(page), hashes.alias(lines))
-    totals = docs.groupBy(F.col(host).alias(page)).agg(F.count(F.lit(1)).alias(total)).where(F.col(total) >= min_pages)
-    often = seen.select(page, F.explode(lines).alias(line)).groupBy(page, line).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) >= ratio * min_pages)
+    seen = docs.select(F.col(host).alias(page), F.xxhash64(text).alias("_text"), hashes.alias(lines))
+    if once:
+        seen = seen.dropDuplicates([page, "_text"])
+    totals = seen.groupBy(page).agg(F.count(F.lit(1)).alias(total)).where(F.col(total) >= min_pages)
+    often = seen.select(page, F.explode(lines).alias(line)).groupBy(page, line).agg(F.count(F.lit(1)).alias(n)).where((F.col(n) >= least) & (F.col(n) >= ratio * min_pages))
     totals = totals.select(F.col(page).alias("_site"), total)
     over = often.join(totals, F.col(page).eqNullSafe(F.col("_site"))).where(F.col(n) > F.col(total) * ratio)
     return over.groupBy(page).agg(F.sort_array(F.collect_list(line)).alias("_drop"))
 
 
-def line_dedup(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def line_dedup(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+               least: int = LEAST, once: bool = False) -> DataFrame:
     """docs with boilerplate lines taken out of the text, and n_lines and n_dropped.
 
     Every row stays, also one whose lines all go (its text is then empty). A text without boilerplate stays as it is;
@@ -39,7 +45,7 @@ def line_dedup(docs: DataFrame, host: str = "source", text: str = "text", ratio:
     """
     kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     hit, site, drop = fresh(docs, "_hit", "_site", "_drops")
-    rules = cut(boilerplate(docs, host, text, ratio, min_pages), "boilerplate").select(F.col("_h").alias(site), F.col("_drop").alias(drop))
+    rules = cut(boilerplate(docs, host, text, ratio, min_pages, least, once), "boilerplate").select(F.col("_h").alias(site), F.col("_drop").alias(drop))
     found = docs.select(*kept).join(rules, F.col(host).eqNullSafe(F.col(site)), "left")
     lines = F.split(F.col(text), "\n")
     hashes = F.transform(lines, lambda x: F.xxhash64(F.trim(x)))

@@ -109,6 +109,12 @@ def test_line_dedup(spark, messy, none):
     assert linededup.line_dedup(none).count() == 0
 
 
+@pytest.mark.parametrize("pages", [20, 25, 33, 34, 66])
+def test_unique_lines_are_no_boilerplate(spark, pages):
+    docs = spark.createDataFrame([(i, f"one {i}\ntwo {i}\npair {i // 2}", "host") for i in range(pages)], "doc_id bigint, text string, source string")
+    assert {(r.doc_id, r.text) for r in linededup.query(docs).collect()} == {(r.doc_id, r.text) for r in docs.collect()}
+
+
 def test_pieces_match_the_library(messy, none):
     import sentencepiece
 
