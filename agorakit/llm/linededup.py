@@ -12,6 +12,8 @@ RATIO = 0.03
 MIN_PAGES = 20
 #: Pages (different texts with `once`) on which a line must stand in any case: on fewer it is a chance hit, however small the host.
 LEAST = 3
+#: The corpus pipeline's rule, at every size of a host: lines on more than this share of its different texts.
+CORPUS_RATIO = 0.3
 
 
 def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
@@ -60,7 +62,7 @@ def line_dedup(docs: DataFrame, host: str = "source", text: str = "text", ratio:
 
 def query(docs: DataFrame) -> DataFrame:
     """Each document with its source as host: its lines, how many went, and the text that is left."""
-    return line_dedup(docs.select("doc_id", "source", "text")).select("doc_id", "source", "n_lines", "n_dropped", "text")
+    return line_dedup(docs.select("doc_id", "source", "text"), once=True).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
 ORACLE = f"""

@@ -57,3 +57,18 @@ def test_pipeline(spark, sf_dir, texts):
     assert len(last) == len(mixed)
     whole = {r.doc_id: r.text for r in mixed}
     assert all(r.ids == tool.encode(whole[r.doc_id] or "") and r.n_tokens == len(r.ids) for r in last)
+
+
+def test_line_dedup_in_the_pipeline(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text", "n_chars").schema
+    copy = "\n".join(f"line {k} of the copied document" for k in range(8))
+    near = [f"{copy.replace('copied', 'edited')}\nown end {i}" for i in range(5)]
+    texts = {"copies": [copy] * 40 + [f"clean {i}\nother {i}" for i in range(20)] + near, "small": [f"story {i}\nfooter" for i in range(19)]}
+    rows = [(source, text) for source, found in texts.items() for text in found]
+    docs = spark.createDataFrame([(i, s, t, len(t)) for i, (s, t) in enumerate(rows)], schema)
+    lines = corpus_pipeline.line_dedup(spark, docs, sf_dir)
+    kept = corpus_pipeline.near_dedup(spark, lines, sf_dir).collect()
+    assert sum(r.text == copy for r in kept) == 1
+    out = {r.doc_id: r for r in lines.collect()}
+    assert all(out[i].text == (t if s == "copies" else t.removesuffix("\nfooter")) for i, (s, t) in enumerate(rows))
+    assert all(r.n_chars == len(r.text) for r in out.values())
