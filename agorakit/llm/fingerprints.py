@@ -73,9 +73,9 @@ def likeness(one: Column, other: Column, scale: int = SCALE, least: int = LEAST)
 
 
 def containment(one: Column, other: Column, scale: int = SCALE, least: int = LEAST) -> Column:
-    """Estimated share of the one's shingles that the other has; 1 if the one has none."""
+    """Estimated share of the one's shingles that the other has; 1 if the one has none, null if none of its hashes is within reach of both."""
     a, _, both = _common(one, other, scale, least)
-    return F.when(a == 0, F.lit(1.0)).otherwise(both / a)
+    return F.when(F.size(one) == 0, F.lit(1.0)).when(a > 0, both / a)
 
 
 def fingerprint(df: DataFrame, text: str = "text", out: str = "sketch", **options: int) -> DataFrame:

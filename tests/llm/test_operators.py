@@ -216,6 +216,14 @@ def test_sketches(spark, messy, none):
     assert fingerprints.fingerprint(none).count() == 0
 
 
+def test_unrelated_short_texts_are_not_contained(spark):
+    whole = " ".join(f"w{i}" for i in range(6000))
+    rows = [(" ".join(f"v{n}x{i}" for i in range(n + 4)), whole) for n in range(20, 101)] + [("", whole)]
+    df = spark.createDataFrame(rows, "a string, b string").select(fingerprints.sketch(F.col("a")).alias("a"), fingerprints.sketch(F.col("b")).alias("b"))
+    got = [r.c for r in df.select(fingerprints.containment(F.col("a"), F.col("b")).alias("c")).collect()]
+    assert got[-1] == 1.0 and set(got[:-1]) == {None, 0.0}
+
+
 def test_merged_sketches_are_those_of_all_shingles(spark):
     hashes = [random.Random(7).randrange(-(2**63), 2**63) for _ in range(900)]
     of = lambda h: (lambda below: below if len(below) >= fingerprints.LEAST else sorted(set(h))[: fingerprints.LEAST])(sorted(x for x in set(h) if x < -(2**63) + 2**64 // fingerprints.SCALE))
