@@ -1,12 +1,18 @@
 """Mixing sources to target weights by Pfair scheduling (Baruah et al., 1996) on blocks of documents.
 
 Block j of a source with share w is released at slot floor(j / w) and due at slot ceil((j + 1) / w). Of the released blocks
-the one that is due first takes the next slot, so after any number of slots each source is less than one block from its share.
+the one that is due first takes the next slot. Shares are never rounded. Slots are dealt in stretches of PERIOD that are scheduled by themselves;
+how many blocks a source has before a stretch comes from halving the slots down a Huffman tree of the weights, so a source is at most
+four blocks from its share there, however long the mix is, and less than one while stretches and shares agree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import heapq
+import json
+from math import ceil, fsum
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,10 +21,13 @@ from agorakit.session import cut
 
 #: Documents in a block.
 BLOCK = 8
-#: Slots after which the order of sources repeats, about; shares are multiples of one slot, and each source has one at least.
+#: Slots that are scheduled at once.
 PERIOD = 1_000
 #: Default weights are the numbers of documents to this power: small sources gain a little.
 POWER = 0.9
+#: Times are exact to so many slots: what is nearer to a whole number is that number.
+NEAR = 1e-6
+SHARES = "array<struct<gap:double,path:array<struct<f:double,light:boolean>>>>"
 
 
 def share_weights(docs: DataFrame, source: str = "source", power: float = POWER) -> DataFrame:
@@ -26,41 +35,93 @@ def share_weights(docs: DataFrame, source: str = "source", power: float = POWER)
     return docs.groupBy(F.col(source).alias("source")).agg(F.pow(F.count(F.lit(1)).cast("double"), F.lit(power)).alias("weight"))
 
 
-def _earliest_deadlines(parts: Column, period: Column) -> Column:
-    """The source (index in parts) that takes each slot of one period."""
-    begin = F.struct(F.transform(parts, lambda _: F.lit(0).cast("bigint")).alias("done"), F.array().cast("array<int>").alias("picks"))
+def _paths(weights: list[float]) -> list[list[tuple[float, bool]]]:
+    """The way from the root of the Huffman tree to each weight: the lighter child's share at each node, and whether the way goes to it."""
+    paths: list[list[tuple[float, bool]]] = [[] for _ in weights]
+    heap = [(w, i, [i]) for i, w in enumerate(weights)]
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        (low, i, light), (high, _, heavy) = heapq.heappop(heap), heapq.heappop(heap)
+        for members, to_light in ((light, True), (heavy, False)):
+            for k in members:
+                paths[k].append((low / (low + high), to_light))
+        heapq.heappush(heap, (low + high, i, light + heavy))
+    return [p[::-1] for p in paths]
+
+
+def _blocks_before(t: int, path: list[tuple[float, bool]]) -> int:
+    """How many blocks a source has in the first t slots: at each node the lighter child has its share, rounded up."""
+    for f, light in path:
+        part = ceil(t * f - NEAR)
+        t = part if light else t - part
+    return t
+
+
+def _stretches(blocks: int, path: list[tuple[float, bool]], period: int) -> int:
+    """The least number of stretches in which a source has so many blocks."""
+    high = 1
+    while _blocks_before(high * period, path) < blocks:
+        high *= 2
+    low = high // 2
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if _blocks_before(middle * period, path) < blocks else (low, middle)
+    return high
+
+
+def _release(j: Column, gap: Column) -> Column:
+    return F.floor(j * gap + NEAR)
+
+
+def _deadline(j: Column, gap: Column) -> Column:
+    return F.ceil((j + 1) * gap - NEAR)
+
+
+def _earliest_deadlines(sources: Column, begin: Column, end: Column) -> Column:
+    """The source (its place in sources) and block that take each slot from begin up to end; sources have k, gap, done and until.
+
+    A block that is not released yet comes only if no other is left for the slot. Ties go to the first source.
+    """
+    state = F.struct(F.transform(sources, lambda x: x["done"]).alias("done"), F.array().cast("array<struct<i:int,j:bigint>>").alias("picks"))
 
     def slot(state: Column, t: Column) -> Column:
-        released = F.zip_with(state["done"], parts, lambda j, p: F.when(j * period < (t + 1) * p, F.ceil((j + 1) * period / p)))
-        due = F.filter(F.transform(released, lambda d, i: F.struct(d.alias("d"), i.alias("i"))), lambda x: x["d"].isNotNull())
-        pick = F.array_min(due)["i"]
+        def urgency(j: Column, x: Column) -> Column:
+            release = _release(j, x["gap"])
+            early = release > t
+            return F.when(j < x["until"], F.struct(early.alias("early"), F.when(early, release).otherwise(_deadline(j, x["gap"])).alias("at")))
+
+        due = F.transform(F.zip_with(state["done"], sources, urgency), lambda u, i: F.when(u.isNotNull(), F.struct(u["early"].alias("early"), u["at"].alias("at"), i.alias("i"))))
         # One element, so that the pick is computed once.
-        return F.get(F.transform(F.array(pick), lambda k: F.struct(
-            F.transform(state["done"], lambda j, i: j + (i == k).cast("bigint")).alias("done"), F.concat(state["picks"], F.array(k)).alias("picks"),
+        return F.get(F.transform(F.array(F.array_min(F.filter(due, lambda u: u.isNotNull()))["i"]), lambda k: F.struct(
+            F.transform(state["done"], lambda j, i: j + (i == k).cast("bigint")).alias("done"),
+            F.concat(state["picks"], F.array(F.struct(k.alias("i"), F.get(state["done"], k).alias("j")))).alias("picks"),
         )), F.lit(0))
 
-    return F.aggregate(F.sequence(F.lit(0).cast("bigint"), period - 1), begin, slot, lambda s: s["picks"])
+    return F.aggregate(F.sequence(begin, end - 1), state, slot, lambda s: s["picks"])
 
 
-def pattern(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """One period: (source, parts, period, turn, slot), the slot of each of a source's blocks. About max(period, sources) rows.
+def schedule(spark: SparkSession, weights: list[float], blocks: list[int], period: int = PERIOD) -> DataFrame:
+    """(k, block, slot) of all slots of the stretches in which source k, in the order of the lists, has so many blocks. A row a slot.
 
-    Sources without a positive weight are left out. Ties of deadlines go to the first source in order, nulls first.
+    A stretch is worked on by itself, so the cost is linear in the slots and shared by all tasks.
     """
-    known = weights.where(F.col("weight") > 0)
-    whole = Window.partitionBy(F.lit(1))  # one row a source
-    parts = known.withColumn("parts", F.greatest(F.lit(1), F.round(F.col("weight") / F.sum("weight").over(whole) * period)).cast("bigint"))
-    one = parts.agg(F.sort_array(F.collect_list(F.struct("source", "parts"))).alias("s"))
-    one = one.where(F.size("s") > 0).withColumn("period", F.aggregate("s", F.lit(0).cast("bigint"), lambda a, x: a + x["parts"]))
-    picks = one.select("s", "period", F.posexplode(_earliest_deadlines(F.col("s.parts"), F.col("period"))).alias("slot", "k"))
-    rows = picks.select(F.get("s", F.col("k")).alias("x"), "period", F.col("slot").cast("bigint").alias("slot"))
-    turn = F.row_number().over(Window.partitionBy("x.source").orderBy("slot")) - 1
-    return rows.select("x.source", "x.parts", "period", turn.cast("bigint").alias("turn"), "slot")
+    paths, whole = _paths(weights), fsum(weights)
+    n = max((_stretches(b, p, period) for b, p in zip(blocks, paths)), default=0)
+    shares = F.from_json(F.lit(json.dumps([{"gap": whole / w, "path": [{"f": f, "light": x} for f, x in p]} for w, p in zip(weights, paths)])), SHARES)
+
+    def before(t: Column, path: Column) -> Column:
+        def down(t: Column, e: Column) -> Column:
+            part = F.ceil(t * e["f"] - NEAR)
+            return F.when(e["light"], part).otherwise(t - part)
 
+        return F.aggregate(path, t, down)
 
-def _slot(turns: Column, j: Column, parts: Column, period: Column) -> Column:
-    """The slot of block j: whole periods before it, and its slot in the period."""
-    return F.floor(j / parts) * period + F.get(turns, (j % parts).cast("int"))
+    begin = F.col("id") * period
+    each = F.transform(shares, lambda x, k: F.struct(k.alias("k"), x["gap"].alias("gap"), before(begin, x["path"]).alias("done"), before(begin + period, x["path"]).alias("until")))
+    # The sources that have a block in the stretch: as many as it has slots at most.
+    stretches = spark.range(n).select("id", F.filter(each, lambda x: x["until"] > x["done"]).alias("s"))
+    picks = stretches.select("id", "s", F.posexplode(_earliest_deadlines(F.col("s"), begin, begin + period)).alias("at", "x"))
+    return picks.select(F.get("s", F.col("x.i"))["k"].alias("k"), F.col("x.j").alias("block"), (begin + F.col("at")).alias("slot"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights: DataFrame | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
@@ -72,39 +133,36 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights
     have weights and no documents do not count. Repeated ids and rows are mixed like others; an empty table stays
     empty. Columns with the names of the new ones are replaced.
 
-    A source with a third of all documents is numbered in 4,096 parts. What is known of a source is one row each, and the
-    period is a table of bounded length.
+    A source with a third of all documents is numbered in 4,096 parts. What is known of a source is one row each, and comes to the
+    driver; the schedule is a table with a row a slot.
     """
     new = ("epoch", "block", "slot", "release", "deadline", "position")
     kept = [c for c in docs.columns if c.lower() not in new]
-    site, rank, n, parts, span, turns, blocks = fresh(docs, "_site", "_rank", "_n", "_parts", "_period", "_turns", "_blocks")
+    site, rank, n, gap, own, blocks = fresh(docs, "_site", "_rank", "_n", "_gap", "_own", "_blocks")
     rows = docs.select(*kept)
     counts = rows.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n"))
     given = share_weights(docs, source) if weights is None else weights.select("source", "weight")
-    here = F.col("c.source").eqNullSafe(F.col("w.source"))
-    present = given.alias("w").join(counts.alias("c"), here).select("w.source", "weight", "n")
-    held = cut(present, "mix-weights")
-    order = pattern(held.select("source", "weight"), period).groupBy("source", "parts", "period").agg(F.sort_array(F.collect_list("slot")).alias("turns"))
-    known = held.alias("c").join(order.alias("w"), here).select("c.source", "n", "parts", "period", "turns")
-    whole = Window.partitionBy(F.lit(1))  # one row a source
-    last = _slot(F.col("turns"), F.ceil(F.col("n") / block) - 1, F.col("parts"), F.col("period"))
-    length = F.max(last).over(whole) + 1
-    known = known.withColumn("length", length)
-    full = F.floor(F.col("length") / F.col("period")) * F.col("parts")
-    known = known.withColumn("blocks", full + F.size(F.filter("turns", lambda t: t < F.col("length") % F.col("period"))))
-    known = cut(known.select(F.col("source").alias(site), F.col("n").alias(n), F.col("parts").alias(parts), F.col("period").alias(span),
-                             F.col("turns").alias(turns), F.col("blocks").alias(blocks)), "mix-sources")
+    present = given.alias("w").join(counts.alias("c"), F.col("c.source").eqNullSafe(F.col("w.source"))).where(F.col("weight") > 0)
+    whole = Window.orderBy(F.col("w.source").asc_nulls_first())  # one row a source
+    held = cut(present.select("w.source", F.col("weight").cast("double").alias("weight"), "n", (F.row_number().over(whole) - 1).alias("k")), "mix-weights")
+    known = held.orderBy("k").select("weight", "n").collect()
+    spark, total = docs.sparkSession, fsum(r["weight"] for r in known)
+    slots = cut(schedule(spark, [r["weight"] for r in known], [-(-r["n"] // block) for r in known], period), "mix-slots")
+    last = slots.join(held.select("k", (F.ceil(F.col("n") / block) - 1).alias("block")), ["k", "block"])
+    length = last.agg(F.coalesce(F.max("slot") + 1, F.lit(0)).alias("x")).first()["x"]
+    sizes = slots.where(F.col("slot") < length).groupBy("k").agg(F.count(F.lit(1)).alias("b"))
+    sized = held.join(sizes, "k").select(F.col("source").alias(site), F.col("n").alias(n), (F.lit(total) / F.col("weight")).alias(gap), F.col("k").alias(own), F.col("b").alias(blocks))
 
     mixed = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     numbered = dense_rank_in(rows, [source], F.substring(mixed, 1, 3), [mixed, F.col(id_col).asc_nulls_last()], rank)
-    placed = numbered.join(known, F.col(source).eqNullSafe(F.col(site)))
+    placed = numbered.join(cut(sized, "mix-sources"), F.col(source).eqNullSafe(F.col(site)))
     times = F.floor((F.col(blocks) * block - 1 - F.col(rank)) / F.col(n))
     each = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), times)))
     each = each.withColumn("_q", F.col(rank) + F.col("epoch") * F.col(n)).withColumn("block", F.floor(F.col("_q") / block))
-    each = each.withColumn("slot", _slot(F.col(turns), F.col("block"), F.col(parts), F.col(span)))
+    each = each.join(slots.select(F.col("k").alias(own), "block", "slot"), [own, "block"])
     return each.select(
-        *kept, "epoch", "block", "slot", F.floor(F.col("block") * F.col(span) / F.col(parts)).alias("release"),
-        F.ceil((F.col("block") + 1) * F.col(span) / F.col(parts)).alias("deadline"), (F.col("slot") * block + F.col("_q") % block).alias("position"),
+        *kept, "epoch", "block", "slot", _release(F.col("block"), F.col(gap)).alias("release"), _deadline(F.col("block"), F.col(gap)).alias("deadline"),
+        (F.col("slot") * block + F.col("_q") % block).alias("position"),
     )
 
 

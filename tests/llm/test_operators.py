@@ -263,6 +263,21 @@ def test_mix_stays_within_one_block_of_its_weights(spark, messy, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mix_follows_weights_that_are_no_parts_of_the_period(spark):
+    docs = spark.range(2401).selectExpr("id AS doc_id", "IF(id = 2400, 'one', concat('big', id % 3)) AS source")
+    rows = mixing.mix(docs, period=100).collect()
+    assert {r.doc_id for r in rows} == set(range(2401)) and sorted(r.position for r in rows) == list(range(len(rows)))
+    assert sum(r.source == "one" for r in rows) <= 8 and len(rows) < 2500
+    docs = spark.range(6000).selectExpr("id AS doc_id", "IF(id < 4000, 'a', IF(id < 5500, 'b', concat('t', id % 15))) AS source")
+    share = {"a": 0.5371, "b": 0.3133} | {f"t{i}": 0.1496 / 15 for i in range(15)}
+    rows = mixing.mix(docs, weights=spark.createDataFrame(list(share.items()), "source string, weight double"), block=1, period=10).collect()
+    assert sorted(r.position for r in rows) == list(range(len(rows))) and {r.doc_id for r in rows} == set(range(6000))
+    seen = Counter()
+    for t, r in enumerate(sorted(rows, key=lambda r: r.position)):
+        seen[r.source] += 1
+        assert all(abs(seen[s] - w * (t + 1)) < 4 for s, w in share.items())
+
+
 def naive_bits(counts, word, order):
     """The code length of a word by the definition, from its language's word counts."""
     line, total = b" " + word.encode() + b" ", 0.0
