@@ -28,8 +28,9 @@ def as_strings(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
 
 
 def parts(batch: pa.RecordBatch, column: int, most: int = MOST_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in order, in parts with at most so many bytes in a column of texts, or of one row."""
-    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy().astype(np.int64)
+    """The rows of a batch in order, in parts with at most so many bytes in a column of texts, or items in one of lists, or of one row."""
+    of = batch.column(column)
+    sizes = (pc.list_value_length if pa.types.is_list(of.type) else pc.binary_length)(of).fill_null(0).to_numpy().astype(np.int64)
     ends, at = np.cumsum(sizes), 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
