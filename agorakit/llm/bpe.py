@@ -23,9 +23,11 @@ from agorakit.llm.arrow import Recent
 from agorakit.llm.common import fresh
 from agorakit.llm.flat import parts, sums_before
 
-KNOWN, KNOWN_LENGTH = 800_000, 48
+KNOWN, KNOWN_LENGTH = 300_000, 48
+#: Bytes of text that are encoded at once.
+MOST_BYTES = 1 << 20
 #: Symbols of words that join their pairs together.
-TOGETHER = 200_000
+TOGETHER = 100_000
 NONE = np.int64(1) << 62
 
 
@@ -121,8 +123,6 @@ class WordBpe:
         self.merges = Merges(self.vocab, merges)
         self.special = {t["content"]: t["id"] for t in added}
         self.marked = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        names = {i: t for t, i in (self.vocab | self.special).items()}
-        self.names = pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.string())
         self.words = Recent(KNOWN)
 
     def pieces(self, word: str) -> list[str | int]:
@@ -168,17 +168,29 @@ class WordBpe:
                 del known[word]
         return out
 
-    def decode(self, ids: pa.ListArray) -> pa.Array:
-        """The texts of lists of ids: the names of all tokens, joined by spaces, as a file without a decoder has it."""
-        cuts = sums_before(pc.list_value_length(ids).to_numpy()).astype(np.int32)
-        return pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), self.names.take(ids.flatten())), " ")
 
-
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@lru_cache(maxsize=1)
+def token_names(path: str) -> pa.Array:
+    """The name of each id. Only files without a decoder are known here; another one raises an error."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    if described["decoder"]:
+        raise ValueError(f"{path} has a decoder of its own")
+    names = {i: t for t, i in described["model"]["vocab"].items()} | {t["id"]: t["content"] for t in described["added_tokens"]}
+    return pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.string())
+
+
+def decode_lists(names: pa.Array, ids: pa.ListArray) -> pa.Array:
+    """The texts of lists of ids: the names of all tokens, joined by spaces, as a file without a decoder has it."""
+    cuts = sums_before(pc.list_value_length(ids).to_numpy()).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), names.take(ids.flatten())), " ")
+
+
 def id_lists(encoded: list[bytes]) -> pa.ListArray:
     """An Arrow list of ids for each row of bytes."""
     cuts = sums_before(np.array([len(x) // 4 for x in encoded], np.int64))
@@ -197,7 +209,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = tokenizer(path)
         for whole in batches:
-            for batch in parts(whole, len(keep)):
+            for batch in parts(whole, len(keep), MOST_BYTES):
                 ids = id_lists(tool.encode([x or "" for x in batch.column(len(keep)).to_pylist()]))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], [*keep, "ids"])
 
@@ -211,10 +223,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     (own,) = fresh(df, "_own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = tokenizer(path)
+        names = token_names(path)
         for whole in batches:
-            for batch in parts(whole, len(keep)):
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], tool.decode(batch.column(len(keep)))], [*keep, out])
+            for batch in parts(whole, len(keep), MOST_BYTES):
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], decode_lists(names, batch.column(len(keep)))], [*keep, out])
 
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out, T.StringType())])
     return df.select(*keep, F.coalesce(F.col(ids), F.array()).cast("array<int>").alias(own)).mapInArrow(run, schema)
