@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorakit.llm import bpe, exactdedup, fillmiddle, fingerprints, langid, linededup, mixing, pieces, secrets, sharding, simhash, tokenfiles
+from agorakit.llm import alignment, bpe, exactdedup, fillmiddle, fingerprints, langid, linededup, mixing, pieces, secrets, sharding, simhash, tokenfiles
 from agorakit.llm.common import documents
 
 _MODULES = {
@@ -20,6 +20,7 @@ _MODULES = {
     "op8_line_dedup": linededup,
     "op9_language_id": langid,
     "op10_simhash": simhash,
+    "op11_alignment": alignment,
     "op12_bpe": bpe,
     "op13_fill_in_middle": fillmiddle,
 }
