@@ -6,11 +6,13 @@ the sorted keys of all pairs. Words without a pair that joins leave the array.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,11 @@ from agorakit.llm.arrow import Recent
 from agorakit.llm.common import fresh
 from agorakit.llm.flat import parts, sums_before
 
-KNOWN, KNOWN_LENGTH = 300_000, 48
+KNOWN, KNOWN_LENGTH = 200_000, 48
 #: Bytes of text that are encoded at once.
 MOST_BYTES = 1 << 20
-#: Symbols of words that join their pairs together.
-TOGETHER = 100_000
+#: Words that are encoded together.
+TOGETHER = 5_000
 NONE = np.int64(1) << 62
 
 
@@ -116,45 +118,66 @@ class WordBpe:
         odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "ignore_merges", "byte_fallback") if model.get(k)]
         added = described["added_tokens"]
         odd += [t["content"] for t in added if t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]]
-        if model["type"] != "BPE" or odd or described["decoder"] or [x for x, _ in self.split("a \n\tb")] != ["a", "b"]:
+        if model["type"] != "BPE" or odd or described["decoder"] or [x for x, _ in self.split(f"{ascii_letters} \n\tb")] != [ascii_letters, "b"]:
             raise ValueError(f"{path} is not a plain BPE file with words: {odd}")
         self.vocab, self.end = model["vocab"], model["end_of_word_suffix"] or ""
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.merges = Merges(self.vocab, merges)
         self.special = {t["content"]: t["id"] for t in added}
         self.marked = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        self.words = Recent(KNOWN)
+        # Symbols of byte-level characters, in a word and at its end.
+        byte_level = [c for c in self.vocab if len(c) == 1]
+        self.inside, self.last = (np.zeros(max(map(ord, byte_level)) + 1, np.int64) for _ in "ab")
+        for c in byte_level:
+            self.inside[ord(c)], self.last[ord(c)] = self.vocab[c], self.vocab[c + self.end]
+        self.words, self.pieces = Recent(KNOWN), Recent(KNOWN)
+
+    def parted(self, words: list[str]) -> list[list[str | int]]:
+        """The byte-level pieces of each word without a space or line end, and the ids of added tokens in it."""
+        together = "\n".join(words)
+        normal = self.normalize(together).split(" ")
+        if len(normal) != len(words) or self.marked.search(together):  # some word holds other white space or an added token
+            return list(map(self.pieces_of, words))
+        out = [[x] for x in normal]
+        # A run of ASCII letters is a piece of its own.
+        others = [k for k, x in enumerate(normal) if not (x.isascii() and x.isalpha())]
+        rest = [normal[k] for k in others]
+        begins = sums_before(np.array([len(x) + 1 for x in rest], np.int64))
+        found = self.split(" ".join(rest))
+        ends = np.searchsorted([at for _, (at, _) in found], begins).tolist()
+        for k, a, b in zip(others, ends, ends[1:]):
+            out[k] = [x for x, _ in found[a:b]]
+        return out
 
-    def pieces(self, word: str) -> list[str | int]:
-        """The byte-level words of a text without a space or line end, and the ids of added tokens in it."""
+    def pieces_of(self, word: str) -> list[str | int]:
         out, at = [], 0
         for m in self.marked.finditer(word):
             out += [x for x, _ in self.split(self.normalize(word[at : m.start()]))] + [self.special[m[0]]]
             at = m.end()
         return out + [x for x, _ in self.split(self.normalize(word[at:]))]
 
+    def learn_pieces(self, pieces: list[str]) -> None:
+        """Merge rounds over all pieces at once."""
+        codes = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)
+        cuts = sums_before(np.array([len(x) for x in pieces], np.int64))
+        symbols = self.inside[codes]
+        symbols[cuts[1:] - 1] = self.last[codes[cuts[1:] - 1]]
+        joined, cuts = self.merges.join(symbols, cuts)
+        flat, cuts = joined.astype(np.uint32).tobytes(), (4 * cuts).tolist()
+        self.pieces.known.update((x, flat[a:b]) for x, a, b in zip(pieces, cuts, cuts[1:]))
+
     def encode_words(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of each word, as unsigned 32-bit integers."""
-        vocab, end = self.vocab, self.end
-        at = 0
-        while at < len(words):
-            ids, sizes, owners, first = [], [], [], at
-            while at < len(words) and (at == first or len(ids) < TOGETHER):
-                for piece in self.pieces(words[at]):
-                    if isinstance(piece, int):
-                        ids.append(piece)
-                        sizes.append(1)
-                    else:
-                        ids += map(vocab.__getitem__, piece[:-1])
-                        ids.append(vocab[piece[-1] + end])
-                        sizes.append(len(piece))
-                    owners.append(at - first)
-                at += 1
-            joined, cuts = self.merges.join(np.array(ids, np.int64), sums_before(np.array(sizes, np.int64)))
-            flat = joined.astype(np.uint32)
-            ends = np.searchsorted(np.array(owners), np.arange(at - first + 1))
-            for a, b in zip(cuts[ends[:-1]].tolist(), cuts[ends[1:]].tolist()):
-                yield flat[a:b].tobytes()
+        """Ids of each word, as unsigned 32-bit integers. Pieces are encoded once and kept, as words are."""
+        for at in range(0, len(words), TOGETHER):
+            parted = self.parted(words[at : at + TOGETHER])
+            new = list(self.pieces.missing({x for word in parted for x in word if isinstance(x, str)}))
+            self.learn_pieces(new)
+            known = self.pieces.known
+            for word in parted:
+                yield known[word[0]] if len(word) == 1 and isinstance(word[0], str) else b"".join(known[x] if isinstance(x, str) else x.to_bytes(4, "little") for x in word)
+            for piece in new:
+                if len(piece) > KNOWN_LENGTH:
+                    del known[piece]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as unsigned 32-bit integers. Words between spaces and line ends are encoded once and kept."""
@@ -171,6 +194,7 @@ class WordBpe:
 
 @lru_cache(maxsize=1)
 def tokenizer(path: str) -> WordBpe:
+    gc.disable()  # a worker keeps many words and makes no cycles: looking through the words again and again costs more than to encode them
     return WordBpe(path)
 
 
