@@ -6,9 +6,11 @@ with the one that ends first. Finished documents leave the vector. Long document
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -16,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,15 +28,17 @@ from pyspark.sql.window import Window
 from agorakit.llm.arrow import Recent
 from agorakit.llm.common import fresh
 from agorakit.llm.flat import flat_bytes, parts, sums_before
-from agorakit.llm.pieces import SPACE, PieceEncoder
+from agorakit.llm.pieces import SPACE
 from agorakit.session import cut
 
 #: Tokens of A after which a lane ends at the next cut.
 LANE = 512
 KNOWN, KNOWN_LENGTH, TOGETHER = 300_000, 48, 500
-#: Between these characters a single space begins a word of its own, and a single line end closes one: visible ASCII, Latin, Greek and Cyrillic letters.
-VISIBLE = "!-~À-ÖØ-öø-ɏΑ-Ρα-ωА-я"
-WORDS = re.compile(f"(?<=[{VISIBLE}])(?= [{VISIBLE}])|(?<=[{VISIBLE}]\n)(?=[{VISIBLE}])")
+#: Bytes of text that are worked on at once, if the texts are not longer.
+MOST_BYTES = 2 << 20
+#: A space beside white space or at an end of the text. Where there is none, both tokenizers begin a token at each space and at no other place
+#: look beyond it, so words between spaces can be encoded one by one.
+IRREGULAR = re.compile(rf"^\s|\s\Z|\s | \s|{SPACE}")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -57,42 +62,53 @@ class Pair:
             raise ValueError(f"{a_path} is not a byte-level file")
         self.library = Tokenizer.from_file(a_path)
         self.library.encode_special_tokens = True
+        self.other = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.words = Recent(KNOWN)
-        alphabet = byte_alphabet()
-        vocab = described["model"]["vocab"]
+        alphabet, vocab = byte_alphabet(), described["model"]["vocab"]
         a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             a_bytes[i] = bytes(alphabet[c] for c in token)
-        self.encoder = PieceEncoder(b_path)
-        self.encoder.words = Recent(KNOWN)
-        piece_of = {i: p for p, i in self.encoder.ids.items()}
-        b_bytes = [piece_of[i].replace(SPACE, " ").encode() if i in piece_of else bytes([self.encoder.byte_of[i]]) if i in self.encoder.byte_of else b""
-                   for i in range(len(self.encoder.text))]
+        pieces = [self.other.id_to_piece(i) for i in range(self.other.get_piece_size())]
+        b_bytes = [
+            bytes([int(x[3:5], 16)]) if self.other.is_byte(i) else b"" if self.other.is_control(i) or self.other.is_unknown(i) else x.replace(SPACE, " ").encode()
+            for i, x in enumerate(pieces)
+        ]
+        #: Whether no piece goes on with a space after other characters.
+        self.cuts = not any(SPACE in x.lstrip(SPACE) for x in pieces)
         self.a_bytes, self.b_bytes = pa.array(a_bytes, pa.large_binary()), pa.array(b_bytes, pa.large_binary())
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (a_bytes, b_bytes))
         # Ids as text with what follows them: "," or "|" after A, "," or ";" or nothing after B.
         self.shown = pa.array([f"{i}{e}" for i in range(len(a_bytes)) for e in ",|"] + [f"{i}{e}" for i in range(len(b_bytes)) for e in (",", ";", "")])
 
-    def a_ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of A for a space and each text. Words between single spaces are encoded once and kept."""
-        split = [WORDS.split(" " + x) if x else [] for x in texts]
-        new = list(self.words.missing(set().union(*split)))
-        known = self.words.known
-        for at in range(0, len(new), TOGETHER):
-            some = new[at : at + TOGETHER]
-            for word, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = np.array(found.ids, np.int32).tobytes()
-        out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in split]
-        for word in new:
-            if len(word) > KNOWN_LENGTH:
-                del known[word]
-        return out
+    def learn_words(self, words: list[str]) -> None:
+        """Ids of A and of B for each word, as bytes. A encodes many words in a row, as a token begins at each space."""
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            a = np.array(self.library.encode(" " + " ".join(some), add_special_tokens=False).ids, np.int32)
+            ends = np.cumsum([len(w.encode()) + 1 for w in some])
+            cuts = np.append(0, np.searchsorted(np.cumsum(self.a_size[a]), ends) + 1).tolist()
+            for word, first, last, b in zip(some, cuts, cuts[1:], self.other.encode(some, num_threads=1)):
+                self.words.known[word] = a[first:last].tobytes(), array("i", b).tobytes()
+
+    def ids(self, text: str, words: list[str] | None) -> tuple[np.ndarray, np.ndarray]:
+        if words:
+            a, b = (b"".join(x) for x in zip(*map(self.words.known.__getitem__, words)))
+            return np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)
+        if not text:
+            return np.empty(0, np.int32), np.empty(0, np.int32)
+        return np.array(self.library.encode(" " + text, add_special_tokens=False).ids, np.int32), np.array(self.other.encode(text), np.int32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and their cuts by text, and the same of B. Texts whose tokens do not join to a space and the text have none."""
         data, cuts = flat_bytes(texts)
         as_text = [x or "" for x in texts.to_pylist()]
-        a, b = self.a_ids(as_text), [np.array(self.encoder.encode(x), np.int32) for x in as_text]
+        split = [x.split(" ") if x and self.cuts and not IRREGULAR.search(x) else None for x in as_text]
+        new = list(self.words.missing(set().union(*filter(None, split))))
+        self.learn_words(new)
+        a, b = map(list, zip(*map(self.ids, as_text, split)))
+        for word in new:
+            if len(word) > KNOWN_LENGTH:
+                del self.words.known[word]
         for k, (x, y) in enumerate(zip(a, b)):
             whole = b" " + data[cuts[k] : cuts[k + 1]].tobytes() if as_text[k] else b""
             if joined(self.a_bytes, x) != whole or joined(self.b_bytes, y) != whole:
@@ -107,6 +123,7 @@ def joined(table: pa.Array, ids: np.ndarray) -> bytes:
 
 @lru_cache(maxsize=1)
 def pair(a_path: str, b_path: str) -> Pair:
+    gc.disable()  # a worker keeps many words and makes no cycles: looking through the words again and again costs more than to encode them
     return Pair(a_path, b_path)
 
 
@@ -202,7 +219,7 @@ def align(df: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = pair(a_path, b_path)
         for whole in batches:
-            for batch in parts(whole, len(keep)):
+            for batch in parts(whole, len(keep), MOST_BYTES):
                 a, a_cuts, b, b_cuts = tool.encode(batch.column(len(keep)))
                 found = lockstep(tool.a_size[a], a_cuts, tool.b_size[b], b_cuts)
                 order = np.lexsort((found.b_link, found.a_link))
@@ -238,7 +255,7 @@ def _linked(df: DataFrame, keep: list[str], held: list[str], a_path: str, b_path
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, number = pair(a_path, b_path), TaskContext.get().partitionId() << 32
         for whole in batches:
-            for batch in parts(whole, len(keep)):
+            for batch in parts(whole, len(keep), MOST_BYTES):
                 n = batch.num_rows
                 a, a_cuts, b, b_cuts = tool.encode(batch.column(len(keep)))
                 found = lockstep(tool.a_size[a], a_cuts, tool.b_size[b], b_cuts)

@@ -96,10 +96,15 @@ def digest_columns(rows):
     return Counter((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in rows)
 
 
-def test_ids_of_a_match_the_library():
-    tool, texts = alignment.Pair(A, B), [t for t in hard_texts(4000) if t]
-    for text, ids in zip(texts, tool.a_ids(texts)):
-        assert ids.tolist() == ONE.encode(" " + text, add_special_tokens=False).ids, text
+def test_ids_match_the_libraries(monkeypatch):
+    monkeypatch.setattr(alignment, "KNOWN", 40)
+    tool, texts = alignment.Pair(A, B), hard_texts(4000)
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        a, a_cuts, b, b_cuts = tool.encode(alignment.pa.array(some))
+        for k, text in enumerate(some):
+            want = tokens(text)
+            assert [x[0] for x in want[0]] == a[a_cuts[k] : a_cuts[k + 1]].tolist() and [x[0] for x in want[1]] == b[b_cuts[k] : b_cuts[k + 1]].tolist(), text
 
 
 @pytest.mark.parametrize("lane", [1, 3, 10_000])
