@@ -40,14 +40,14 @@ CLASSES = (
     CharacterClass("entropy_hex", DIGITS + "abcdefABCDEF", 20, 2.9),
     CharacterClass("entropy_text", DIGITS + LOWER + UPPER + "+/_-", 24, 3.8),
 )
-#: Candidates that are left alone: words and words joined by separators, numbers, UUIDs, runs of the alphabet, and placeholders.
+#: Candidates that are left alone: words and words joined by separators, numbers, UUIDs. No group repeats without a bound: Java would go one call deeper each time.
 ALLOWED = (
-    r"^[A-Za-z]+([+/_-]+[A-Za-z]*)*$",
+    r"^[A-Za-z][A-Za-z+/_-]*$",
     r"^[0-9+/_-]+$",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"(?i)0123456789|abcdefghij",
-    r"(?i)example|placeholder|dummy|changeme|xxxx",
 )
+#: Words with a placeholder or a run of the alphabet part a candidate: they are left alone, and what stands on either side is looked at by itself.
+PLACEHOLDERS = r"(?i)(?<![A-Za-z0-9])[A-Za-z0-9]*?(?:example|placeholder|dummy|changeme|xxxx|0123456789|abcdefghij)[A-Za-z0-9]*"
 
 
 def _located(text: Column, pattern: str, matches: Column) -> Column:
@@ -113,22 +113,40 @@ def hot_windows(candidate: Column, of: CharacterClass) -> Column:
     return F.flatten(F.transform(F.array(codes), ranges))
 
 
-def _entropy_spans(kind: int, located: Column, candidates: Column, of: CharacterClass, allowed: tuple[str, ...]) -> Column:
+def _between(run: Column, pattern: str) -> Column:
+    """(at, text) of the parts of a run between matches of the pattern."""
+    gaps, hits = F.split(run, pattern, -1), F.regexp_extract_all(run, F.lit(pattern), F.lit(0))
+    empty = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<at:int,text:string>>").alias("out"))
+    each = F.transform(gaps, lambda gap, k: F.struct(gap.alias("gap"), F.coalesce(F.char_length(F.get(hits, k)), F.lit(0)).alias("hit")))
+    step = lambda s, x: F.struct(
+        (s["end"] + F.char_length(x["gap"]) + x["hit"]).alias("end"), F.concat(s["out"], F.array(F.struct(s["end"].alias("at"), x["gap"].alias("text")))).alias("out"),
+    )
+    return F.aggregate(each, empty, step, lambda s: s["out"])
+
+
+def _entropy_spans(kind: int, located: Column, candidates: Column, of: CharacterClass, allowed: tuple[str, ...], placeholders: str | None) -> Column:
+    def parts(run: Column) -> Column:
+        whole = F.array(F.struct(F.lit(0).alias("at"), run.alias("text")))
+        found = F.when(F.rlike(run, F.lit(placeholders)), _between(run, placeholders)).otherwise(whole) if placeholders else whole
+        fits = lambda x: reduce(Column.__and__, [F.char_length(x["text"]) >= of.window, *[~F.rlike(x["text"], F.lit(p)) for p in allowed]])
+        return F.filter(found, fits)
+
+    def spans(start: Column, part: Column) -> Column:
+        return F.transform(hot_windows(part["text"], of), lambda r: F.struct(
+            (start + part["at"] + r["start"]).alias("start"), F.lit(kind).alias("kind"), (start + part["at"] + r["end"]).alias("end"),
+        ))
+
     each = F.arrays_zip(located.alias("s"), candidates.alias("c"))
-    if allowed:
-        each = F.filter(each, lambda x: ~reduce(Column.__or__, [F.rlike(x["c"], F.lit(p)) for p in allowed]))
-    return F.flatten(F.transform(each, lambda x: F.transform(
-        hot_windows(x["c"], of),
-        lambda r: F.struct((x["s"]["start"] + r["start"]).alias("start"), F.lit(kind).alias("kind"), (x["s"]["start"] + r["end"]).alias("end")),
-    )))
+    return F.flatten(F.transform(each, lambda x: F.flatten(F.transform(parts(x["c"]), lambda part: spans(x["s"]["start"], part)))))
 
 
-def find_secrets(df: DataFrame, text: str = "text", classes: tuple[CharacterClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+def find_secrets(df: DataFrame, text: str = "text", classes: tuple[CharacterClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED,
+                 placeholders: str | None = PLACEHOLDERS) -> DataFrame:
     """df with `secrets`: an array of (start, kind, end), in code points, end exclusive, ordered by start, kind and end.
 
     Kinds 0 to 2 are the base patterns: matches from the left that do not overlap, without those that are too short; the span is the whole
     match. Kinds from 3 on are the character classes: the parts of a run of class characters that windows of high
-    entropy cover. The allow-list suppresses those, never base spans. Null and empty texts have no secrets. Texts are never
+    entropy cover, each of the parts between words with a placeholder by itself. The allow-list suppresses those, never base spans. Null and empty texts have no secrets. Texts are never
     cut short, and a row is computed by itself: repeated rows, other columns and empty tables need nothing. A column named
     secrets is replaced.
     """
@@ -148,7 +166,7 @@ def find_secrets(df: DataFrame, text: str = "text", classes: tuple[CharacterClas
         (assign, _spans(0, _located(F.col(body), ASSIGN, F.col(assign)), long_enough)),
         (access, _spans(1, _located(F.col(body), f"{ACCESS[:-1]}{{{ACCESS_LENGTH - 4},}}", F.col(access)), all_kept(access))),
         (hexes, _spans(2, _located(F.col(body), f"{HEX[:-1]}{{{HEX_LENGTH},}}", F.col(hexes)), all_kept(hexes))),
-        *[(run, _entropy_spans(3 + i, _located(F.col(body), c.pattern, F.col(run)), F.col(run), c, allowed)) for i, (run, c) in enumerate(zip(runs, classes))],
+        *[(run, _entropy_spans(3 + i, _located(F.col(body), c.pattern, F.col(run)), F.col(run), c, allowed, placeholders)) for i, (run, c) in enumerate(zip(runs, classes))],
     ]
     parts = [F.when(F.size(column) > 0, found_spans).otherwise(none) for column, found_spans in spans]
     return found.select(*[c for c in df.columns if c.lower() != "secrets"], F.sort_array(F.concat(*parts)).alias("secrets"))
