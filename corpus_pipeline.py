@@ -21,12 +21,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand in too many different texts of a source of any size are taken out; all documents stay, also if no line is left.
+    """Lines that stand on too many pages of a source of any size are taken out; all documents stay, also if no line is left.
 
-    Exact copies count once. Near copies are told apart here, so a group of them with more than CORPUS_RATIO of a source's
-    different texts still loses the lines that they share.
+    The rule is that of the registered query: pages count by what else is on them, so copies and near copies do not wipe their own lines.
     """
-    found = linededup.line_dedup(docs, ratio=linededup.CORPUS_RATIO, min_pages=linededup.LEAST, once=True)
+    found = linededup.line_dedup(docs)
     length = F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return found.withColumn("n_chars", length).select(*docs.columns)
 
