@@ -98,17 +98,54 @@ def test_exact_dedup_tells_same_length_and_prefix_apart(spark):
 
 def test_line_dedup(spark, messy, none):
     pages = [(i, f"Home | About\n\nStory {i}\n  Home | About " if i % 2 else f"Story {i}", "big") for i in range(40)] + [(100, "Home | About\nx", "small"), (101, None, "big")]
-    rows = {r.doc_id: r for r in linededup.line_dedup(spark.createDataFrame(pages, "doc_id bigint, text string, source string"), ratio=0.4, min_pages=20).collect()}
+    rows = {r.doc_id: r for r in linededup.line_dedup(spark.createDataFrame(pages, "doc_id bigint, text string, source string"), ratio=0.4).collect()}
     assert rows[1].text == "\nStory 1" and (rows[1].n_lines, rows[1].n_dropped) == (4, 2)
     assert rows[2].text == "Story 2" and rows[100].text == "Home | About\nx" and (rows[101].text, rows[101].n_lines) == (None, 0)
-    assert not linededup.boilerplate(spark.createDataFrame(pages, "doc_id bigint, text string, source string"), ratio=0.5, min_pages=20).count()
+    assert not linededup.boilerplate(spark.createDataFrame(pages, "doc_id bigint, text string, source string"), ratio=0.5).count()
     kept = linededup.line_dedup(messy)
     assert text_by_row(kept.collect(), "doc_id", "text") == Counter((a, b) for a, b, *_ in TEXTS)
-    all_null = messy.select(F.lit(None).cast("string").alias("source"), F.lit("one line").alias("text"))
-    assert {r.text for r in linededup.line_dedup(all_null, min_pages=3).collect()} == {""}
+    all_null = messy.select(F.lit(None).cast("string").alias("source"), F.concat(F.lit("one line\n"), "text").alias("text")).where("text IS NOT NULL")
+    assert not any(line == "one line" for r in linededup.line_dedup(all_null).collect() for line in r.text.split("\n"))
     assert linededup.line_dedup(none).count() == 0
 
 
+def by_rule(rows, ratio=linededup.RATIO, least=linededup.LEAST):
+    """Boilerplate lines of each host, by definition."""
+    key = lambda line: int(hashlib.md5(line.encode()).hexdigest()[:15], 16)
+    found = []
+    for back in (False, True):
+        totals, stands = {}, {}
+        for _, text, host in rows:
+            lines = sorted({x.strip(" ") for x in (text or "").split("\n")} - {""}, key=key, reverse=back)
+            totals.setdefault(host, set()).add(tuple(lines[:2]))
+            for x in lines:
+                stands.setdefault((host, x), set()).add(next((y for y in lines if y != x), None))
+        found.append({(h, x) for (h, x), others in stands.items() if len(others) >= least and len(others) > len(totals[h]) * ratio})
+    return found[0] & found[1]
+
+
+def test_line_dedup_by_definition(spark):
+    draw = random.Random(14)
+    common = [f"common {k}" for k in range(6)]
+    rows = []
+    for host, n in (("one", 1), ("two", 2), ("three", 3), ("small", 19), ("mid", 40), ("big", 150), (None, 30)):
+        for i in range(n):
+            own = [f"{host} line {i} {k}" for k in range(draw.randint(0, 4))]
+            shared = [c for k, c in enumerate(common) if draw.random() < (0.9, 0.5, 0.2, 0.1, 0.05, 0.02)[k]]
+            rows.append((len(rows), "\n".join(draw.sample(own + shared, len(own + shared))), host))
+    body = [f"body {k}" for k in range(12)]
+    for i in range(80):  # near copies of one page, each with a line of its own
+        rows.append((len(rows), "\n".join([*body[: i % 12], f"edit {i}", *body[i % 12 + 1 :]]), "big"))
+    rows += [(len(rows) + i, rows[-1][1], "big") for i in range(60)]
+    want = by_rule(rows)
+    assert len(want) > 10 and not {x for _, x in want} & set(body) and ("small", common[0]) in want
+    out = linededup.line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    for r in out:
+        lines = rows[r.doc_id][1].split("\n")
+        kept = [x for x in lines if (r.source, x.strip(" ")) not in want]
+        assert r.text == "\n".join(kept) and r.n_dropped == len(lines) - len(kept) and r.n_lines == len(lines)
+
+
 @pytest.mark.parametrize("pages", [20, 25, 33, 34, 66])
 def test_unique_lines_are_no_boilerplate(spark, pages):
     docs = spark.createDataFrame([(i, f"one {i}\ntwo {i}\npair {i // 2}", "host") for i in range(pages)], "doc_id bigint, text string, source string")
