@@ -16,10 +16,13 @@ PIECES = 1_024
 
 
 def survivors(narrow: DataFrame, size: str, head: str) -> DataFrame:
-    """(length, prefix hash) of groups with more than one row: lengths seen twice first, then prefixes seen twice."""
-    by_length = narrow.groupBy(size).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(size)
-    again = narrow.join(by_length, size, "left_semi")
-    return again.groupBy(size, head).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(size, head)
+    """(length, prefix hash) of groups with more than one row: lengths seen twice first, then prefixes seen twice.
+
+    Rows are counted by both before anything is shuffled by length alone, so a copied text is one row in each step.
+    """
+    counted = narrow.groupBy(size, head).agg(F.count(F.lit(1)).alias("_n"))
+    by_length = counted.groupBy(size).agg(F.sum("_n").alias("_all")).where("_all > 1").select(size)
+    return counted.join(by_length, size, "left_semi").where("_n > 1").select(size, head)
 
 
 def _place(key: Column, pieces: int) -> Column:
@@ -48,18 +51,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     partial sums and joined back by key. An empty table stays empty; columns named keep_id, group_size or kept are replaced.
     """
     kept = [c for c in docs.columns if c != text_col and c.lower() not in ("keep_id", "group_size", "kept")]
-    size, head, full = fresh(docs, "_size", "_head", "_full")
+    size, head, full, piece, held = fresh(docs, "_size", "_head", "_full", "_piece", "_bits")
     text = text_of(text_col)
     keys = {size: F.octet_length(text), head: F.xxhash64(F.substring(text, 1, prefix))}
     groups = survivors(docs.select(*[k.alias(c) for c, k in keys.items()]), size, head)
     key = F.xxhash64(F.col(size), F.col(head))
-    bits = cut(group_filter(groups, key, pieces), "surviving-groups")
+    bits = cut(group_filter(groups, key, pieces), "surviving-groups").toDF(piece, held)
 
     keyed = docs.withColumns(keys)
     at = _place(key, pieces)
     # The filter has at most `pieces` rows of 4 KiB, whatever the input.
-    found = keyed.join(F.broadcast(bits), F.floor(at / PIECE_BITS).cast("int") == F.col("_piece"), "left")
-    hashed = found.select(*kept, size, head, F.when(_is_set(F.col("_bits"), at), F.sha2(text, 256)).otherwise(F.lit("")).alias(full))
+    found = keyed.join(F.broadcast(bits), F.floor(at / PIECE_BITS).cast("int") == F.col(piece), "left")
+    hashed = found.select(*kept, size, head, F.when(_is_set(F.col(held), at), F.sha2(text, 256)).otherwise(F.lit("")).alias(full))
     rows = cut(hashed, "refined")
     best = rows.groupBy(size, head, full).agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     return rows.join(best, [size, head, full]).select(*kept, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"))

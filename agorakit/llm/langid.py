@@ -174,12 +174,14 @@ def _scorer(key: str, tree, order: int) -> Scorer:
     return _SCORERS[key]
 
 
-def identify(df: DataFrame, tree: Tree, keep: list[str], text: str = "text", order: int = ORDER) -> DataFrame:
-    """The columns `keep` and lang_pred, score (0 to 1), bits and n_bytes of each row's whole text.
+def identify(df: DataFrame, tree: Tree, keep: list[str], text: str = "text", order: int = ORDER, names: list[str] | None = None) -> DataFrame:
+    """The columns `keep` and lang_pred, score (0 to 1), bits and n_bytes, or other `names` for them, of each row's whole text.
 
     Null texts and texts without a letter are `und` with score 0, and so are all texts if nothing was learned. Nothing but the text
-    takes part in a prediction; repeated rows get the same one, and an empty table stays empty.
+    takes part in a prediction; repeated rows get the same one, and an empty table stays empty. Columns with the names of the new ones are replaced.
     """
+    fields = [(n, t) for n, (_, t) in zip(names or [n for n, _ in FIELDS], FIELDS)]
+    keep = [c for c in keep if c.lower() not in {n.lower() for n, _ in fields}]
     key = hashlib.sha256(pickle.dumps(sorted((k, sorted(v[0].items())) for k, v in tree.items()))).hexdigest()
     shared = df.sparkSession.sparkContext.broadcast(tree)  # bounded by the sample
 
@@ -192,7 +194,7 @@ def identify(df: DataFrame, tree: Tree, keep: list[str], text: str = "text", ord
 
         return compute
 
-    return with_columns_of_text(df, text, make, FIELDS, keep)
+    return with_columns_of_text(df, text, make, fields, keep)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -201,10 +203,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def in_language(docs: DataFrame) -> DataFrame:
-    """The documents whose text is in a learned language: it has letters and a code below REJECT_BITS bits a byte."""
-    tree = learn(docs.where(~held_out()))
-    found = identify(docs, tree, docs.columns)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("bits") <= REJECT_BITS * F.col("n_bytes"))).select(*docs.columns)
+    """The documents whose text is in a learned language: it has letters and a code of REJECT_BITS bits a byte at most."""
+    names = fresh(docs, *[n for n, _ in FIELDS])
+    predicted, _, bits, size = names
+    found = identify(docs, learn(docs.where(~held_out())), docs.columns, names=names)
+    return found.where((F.col(predicted) != UNKNOWN) & (F.col(bits) <= REJECT_BITS * F.col(size))).select(*docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights
     """
     new = ("epoch", "block", "slot", "release", "deadline", "position")
     kept = [c for c in docs.columns if c.lower() not in new]
-    site, rank, n, gap, own, blocks = fresh(docs, "_site", "_rank", "_n", "_gap", "_own", "_blocks")
+    site, rank, n, gap, own, blocks, q = fresh(docs, "_site", "_rank", "_n", "_gap", "_own", "_blocks", "_q")
     rows = docs.select(*kept)
     counts = rows.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n"))
     given = share_weights(docs, source) if weights is None else weights.select("source", "weight")
@@ -158,11 +158,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", weights
     placed = numbered.join(cut(sized, "mix-sources"), F.col(source).eqNullSafe(F.col(site)))
     times = F.floor((F.col(blocks) * block - 1 - F.col(rank)) / F.col(n))
     each = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), times)))
-    each = each.withColumn("_q", F.col(rank) + F.col("epoch") * F.col(n)).withColumn("block", F.floor(F.col("_q") / block))
+    each = each.withColumn(q, F.col(rank) + F.col("epoch") * F.col(n)).withColumn("block", F.floor(F.col(q) / block))
     each = each.join(slots.select(F.col("k").alias(own), "block", "slot"), [own, "block"])
     return each.select(
         *kept, "epoch", "block", "slot", _release(F.col("block"), F.col(gap)).alias("release"), _deadline(F.col("block"), F.col(gap)).alias("deadline"),
-        (F.col("slot") * block + F.col("_q") % block).alias("position"),
+        (F.col("slot") * block + F.col(q) % block).alias("position"),
     )
 
 

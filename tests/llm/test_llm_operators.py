@@ -28,7 +28,7 @@ TEXTS = [
 ]
 SCHEMA = "doc_id bigint, text string, lang string, source string"
 #: Columns whose names the operators use themselves.
-CLASHES = "shard slot grown_shard size text_crc32 keep_id group_size kept n_lines N_Dropped ids decoded secrets sketch epoch position _bucket _key _tie _size _body _site fp".split()
+CLASHES = "shard slot grown_shard size text_crc32 keep_id group_size kept n_lines N_Dropped ids decoded secrets sketch epoch position release deadline block shard_ bits Score lang_pred n_bytes _piece _bits _q _rank _n _gap _own _blocks _order _limit _head _full _drops _hit _ident _a _v _k _h _c0 _start _bucket _key _tie _size _body _site fp".split()
 
 
 @pytest.fixture(scope="module")
@@ -86,7 +86,7 @@ def test_exact_dedup(messy, none):
         keep = max((k for k in ids if k is not None), default=None)
         want[i, keep, len(ids), i == keep] += 1
     assert text_by_row(rows, "doc_id", "keep_id", "group_size", "kept") == want
-    assert rows[0]["_key"] == "own _key"
+    assert all(rows[0][c] == f"own {c}" for c in CLASHES if c[0] == "_")
     assert exactdedup.exact_dedup(none).count() == 0
 
 
@@ -309,6 +309,7 @@ def test_mix_stays_within_one_block_of_its_weights(spark, messy, none):
         seen[source] += 1
         assert all(abs(seen[s] - w * (t + 1)) < 1 for s, w in share.items())
     assert all(r.release <= r.slot < r.deadline for r in rows)
+    assert {tuple(r[c] for c in CLASHES if c[0] == "_") for r in mixing.mix(messy).collect()} == {tuple(f"own {c}" for c in CLASHES if c[0] == "_")}
     left_out = mixing.mix(docs, weights=weights.where("source = 'big'")).select("source").distinct().collect()
     assert [r.source for r in left_out] == ["big"]
     assert {(r.doc_id, r.text) for r in mixing.mix(messy).collect()} == {(a, b) for a, b, *_ in TEXTS}
@@ -369,7 +370,10 @@ def test_language_id(messy, none):
     assert langid.words_of("²") == [] and langid.words_of("a²") == ["a²"]
     assert langid.identify(none, tree, ["doc_id"]).count() == 0
     assert {r.lang_pred for r in langid.identify(messy, langid.learn(none), ["doc_id"]).collect()} == {"und"}
-    stays = {r.doc_id for r in langid.in_language(messy).select("doc_id").collect()}
+    kept = langid.in_language(messy).collect()
+    assert all(r[c] == f"own {c}" for r in kept for c in CLASHES) and langid.in_language(messy).columns == messy.columns
+    assert langid.identify(messy, tree, messy.columns).first()["bits"] != "own bits"
+    stays = {r.doc_id for r in kept}
     assert not stays & {3, 4, 5, 11} and {1, 2, 8} <= stays
 
 
