@@ -83,42 +83,30 @@ def _context_titles(edges: DataFrame, nodes: DataFrame, users: DataFrame, kind:
     )
 
 
-def relationship_members(
-    edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, *, hop: str = "two",
-    hub_size: int = pairs.HUB_SIZE, max_hubs: int = pairs.MAX_HUBS,
-) -> DataFrame:
-    """Stored memberships from which the listed pairs and the hub members of one kind are read."""
-    members = cut(target_members(edges, nodes, users, kind, hop=hop))
-    return pairs.annotate(members, hub_size=hub_size, max_hubs=max_hubs)
+def relationship_members(edges: DataFrame, nodes: DataFrame, users: DataFrame, *, hop: str = "two") -> DataFrame:
+    """Memberships behind both kinds of relationship in one frame; groups are told apart by kind."""
+    found = [target_members(edges, nodes, users, kind, hop=hop).withColumn("kind", F.lit(kind["type"])) for kind in (WORKED, STUDIED)]
+    return found[0].unionByName(found[1]).withColumn("grp", F.concat("kind", F.lit("/"), "grp"))
 
 
-def shared_target_pairs(edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, members: DataFrame) -> DataFrame:
-    """User pairs that share a company (``WORKED``) or a school (``STUDIED``), with strength, context and first date.
+def shared_target_pairs(edges: DataFrame, nodes: DataFrame, users: DataFrame, kind: dict, *, hop: str = "two") -> DataFrame:
+    """Every pair of users that share a company (``WORKED``) or a school (``STUDIED``), with strength, context and first date.
 
-    ``members`` comes from ``relationship_members``. Lists every pair except those that meet only in targets above its
-    hub size; ``shared_target_hubs`` holds these in linear form, ``relationships_of`` lists them for chosen users, and
-    the summaries in ``networks`` take both. ``hub_strength`` is the part of the strength the hub frame repeats.
+    The result is quadratic in the size of a company or school. ``relationship_groups`` holds the same relation in linear form, and
+    ``relationships_of`` lists it for chosen users.
     """
     titles = _context_titles(edges, nodes, users, kind).withColumnRenamed("user_id", "first")
     targets, extras = kind["names"]
     context = F.struct(
         F.col("labels").alias(targets), F.coalesce("titles", F.array().cast("array<string>")).alias(extras)
     )
-    return pairs.listed_pairs(members).join(titles, "first", "left").select(
+    return pairs.all_pairs(cut(target_members(edges, nodes, users, kind, hop=hop), "members")).join(titles, "first", "left").select(
         F.col("first").alias("user_id"),
         F.col("second").alias("related_user_id"),
         F.lit(kind["type"]).alias("relationship_type"),
         F.col("strength").alias("relationship_strength"),
         json_text(context).alias("connection_context"),
         F.col("since").alias("first_connected_at"),
-        "hub_strength",
-    )
-
-
-def shared_target_hubs(kind: dict, members: DataFrame) -> DataFrame:
-    """Members of the targets too large to list pairs of: (relationship_type, user_id, ord, hubs)."""
-    return pairs.hub_members(members).select(
-        F.lit(kind["type"]).alias("relationship_type"), F.col("member").alias("user_id"), "ord", "hubs"
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,47 +22,18 @@ SHORT_LIST = 64
 TOP_RECOMMENDATIONS, TOP_COMPANY_PAIRS, TOP_SKILLS, TOP_PATHS, TOP_USERS, TOP_NAMES = 100_000, 10_000, 50_000, 1_000, 100, 10
 
 
-def _hub_counts(hubs: DataFrame) -> DataFrame:
-    """Partner counts and strength sums per (relationship_type, user) from the hub frame."""
-    tagged = hubs.select(
-        F.struct("relationship_type", "user_id").alias("member"), "ord",
-        F.transform("hubs", lambda h: F.concat("relationship_type", F.lit("/"), h)).alias("hubs"),
-    )
-    return pairs.hub_partner_counts(tagged).select(
-        F.col("member.relationship_type").alias("relationship_type"), F.col("member.user_id").alias("user_id"),
-        "hub_partners", "hub_strength_sum",
-    )
-
+def connection_summary(members: DataFrame, **limits: int) -> DataFrame:
+    """Connections per user by kind and their mean strength. A pair counts for its first user.
 
-def _per_type(relationships: DataFrame, hubs: DataFrame | None) -> DataFrame:
-    """Connections and strength per (user, relationship type), hub pairs included and counted once."""
-    has_hubs = "hub_strength" in relationships.columns
-    through_hub = F.col("hub_strength") if has_hubs and hubs is not None else F.lit(0)
-    listed = relationships.groupBy("user_id", "relationship_type").agg(
-        F.count_if(through_hub == 0).alias("connections"),
-        F.sum(F.col("relationship_strength") - through_hub).alias("strength"),
-    )
-    if hubs is None:
-        return listed
-    counted = _hub_counts(hubs).select(
-        "user_id", "relationship_type", F.col("hub_partners").alias("connections"), F.col("hub_strength_sum").alias("strength")
-    )
-    return (
-        listed.unionByName(counted)
-        .groupBy("user_id", "relationship_type")
-        .agg(F.sum("connections").alias("connections"), F.sum("strength").alias("strength"))
-        .where(F.col("connections") > 0)
-    )
-
-
-def connection_summary(relationships: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
-    """Connections per user by kind and their mean strength. A pair counts for its first user."""
+    ``members`` are the memberships behind all relationships; no pair is listed.
+    """
 
     def of_type(name: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("relationship_type") == name, F.col("connections"))), F.lit(0)).cast("bigint")
+        return F.coalesce(F.sum(F.when(F.col("kind") == name, F.col("partners"))), F.lit(0)).cast("bigint")
 
-    total = F.sum("connections")
-    return _per_type(relationships, hubs).groupBy("user_id").agg(
+    total = F.sum("partners")
+    counted = pairs.partner_counts(members, **limits).where(F.col("kind").isNotNull())
+    return counted.groupBy(F.col("member").alias("user_id")).agg(
         total.alias("total_connections"),
         of_type("WORKED_TOGETHER").alias("work_connections"),
         of_type("STUDIED_TOGETHER").alias("school_connections"),
@@ -73,45 +42,18 @@ def connection_summary(relationships: DataFrame, hubs: DataFrame | None = None)
     )
 
 
-def _distinct_partners(relationships: DataFrame, hubs: DataFrame | None) -> DataFrame:
-    """Distinct related users per user over all relationship types.
-
-    A pair listed for one type may meet in a hub of another, where the rank counts include it. So listed pairs count
-    here only if the two users share no hub of any type.
-    """
-    listed = relationships.select("user_id", "related_user_id").distinct()
-    if hubs is None:
-        return listed.groupBy("user_id").agg(F.count(F.lit(1)).alias("partners"))
-    tagged = F.transform("hubs", lambda h: F.concat("relationship_type", F.lit("/"), h))
-    combined = hubs.groupBy(F.col("user_id").alias("member")).agg(
-        F.min("ord").alias("ord"), F.sort_array(F.flatten(F.collect_list(tagged))).alias("hubs")
-    )
-    mine = combined.select(F.col("member").alias("user_id"), F.col("hubs").alias("_mine"))
-    theirs = combined.select(F.col("member").alias("related_user_id"), F.col("hubs").alias("_theirs"))
-    meet = F.coalesce(F.arrays_overlap("_mine", "_theirs"), F.lit(False))
-    outside = (
-        listed.join(mine, "user_id", "left").join(theirs, "related_user_id", "left")
-        .groupBy("user_id").agg(F.count_if(~meet).alias("partners"))
-    )
-    counted = pairs.hub_partner_counts(combined).select(
-        F.col("member").alias("user_id"), F.col("hub_partners").alias("partners")
-    )
-    return outside.unionByName(counted).groupBy("user_id").agg(F.sum("partners").alias("partners"))
-
-
-def top_connected(
-    users: DataFrame, relationships: DataFrame, hubs: DataFrame | None = None, k: int = TOP_USERS
-) -> DataFrame:
+def top_connected(users: DataFrame, members: DataFrame, k: int = TOP_USERS, **limits: int) -> DataFrame:
     """Users with the most distinct related users; users without any count 0 and have no mean strength."""
-    strengths = (
-        _per_type(relationships, hubs).groupBy("user_id")
-        .agg(F.sum("strength").alias("_strength"), F.sum("connections").alias("_pairs"))
+    counted = pairs.partner_counts(members, **limits)
+    of_all = F.col("kind").isNull()
+    mine = counted.groupBy(F.col("member").alias("user_id")).agg(
+        F.max(F.when(of_all, F.col("partners"))).alias("partners"),
+        F.sum(F.when(~of_all, F.col("strength"))).alias("_strength"), F.sum(F.when(~of_all, F.col("partners"))).alias("_pairs"),
     )
     return (
         users.where(F.col("deleted_at").isNull())
         .select("user_id", "email", "first_name", "last_name")
-        .join(_distinct_partners(relationships, hubs), "user_id", "left")
-        .join(strengths, "user_id", "left")
+        .join(mine, "user_id", "left")
         .select(
             "user_id", "email", "first_name", "last_name",
             F.coalesce("partners", F.lit(0)).cast("bigint").alias("connection_count"),
@@ -122,57 +64,15 @@ def top_connected(
     )
 
 
-def connection_recommendations(
-    relationships: DataFrame, hubs: DataFrame | None = None, k: int = TOP_RECOMMENDATIONS
-) -> DataFrame:
+def connection_recommendations(members: DataFrame, k: int = TOP_RECOMMENDATIONS, **limits: int) -> DataFrame:
     """The ``k`` best pairs by ten times their largest strength, with the reason of the leading relationship type.
 
-    The lists of shared names are taken from the listed pairs' context; the published columns keep them empty.
+    The published columns have no shared names; ``recommendation_context`` adds them.
     """
-    low, high = F.least("user_id", "related_user_id"), F.greatest("user_id", "related_user_id")
-    listed = relationships.where(F.col("relationship_strength") > 0).groupBy(low.alias("low"), high.alias("high")).agg(
-        F.max("relationship_strength").alias("strength"),
-        F.max(F.col("relationship_type") == "WORKED_TOGETHER").alias("worked"),
-        F.max(F.col("relationship_type") == "STUDIED_TOGETHER").alias("studied"),
-    )
-
-    def best(df: DataFrame) -> DataFrame:
-        return df.orderBy(F.desc("strength"), "low", "high").limit(k)
-
-    if hubs is None:
-        chosen = best(listed)
-    else:
-        kinds = ("WORKED_TOGETHER", "STUDIED_TOGETHER")
-        profiles = {
-            kind: hubs.where(F.col("relationship_type") == kind).select(F.col("user_id").alias("member"), "ord", "hubs")
-            for kind in kinds
-        }
-        candidates = [
-            pairs.top_hub_pairs(profiles[kind], k).withColumns(
-                {"worked": F.lit(kind == kinds[0]), "studied": F.lit(kind == kinds[1])}
-            )
-            for kind in kinds
-        ]
-        # k rows: a pair found by one route may also be related through another, which only affects its reason.
-        chosen = best(
-            reduce(DataFrame.unionByName, [best(listed), *candidates])
-            .groupBy("low", "high")
-            .agg(F.max("strength").alias("strength"), F.max("worked").alias("worked"), F.max("studied").alias("studied"))
-        )
-        also = listed.select("low", "high", F.col("worked").alias("_w"), F.col("studied").alias("_s"))
-        chosen = chosen.join(also, ["low", "high"], "left").select(
-            "low", "high", "strength", (F.col("worked") | F.coalesce("_w", F.lit(False))).alias("worked"),
-            (F.col("studied") | F.coalesce("_s", F.lit(False))).alias("studied"),
-        )
-        for kind, flag in zip(kinds, ("worked", "studied")):
-            mine = profiles[kind].select(F.col("member").alias("low"), F.col("hubs").alias("_low_hubs"))
-            theirs = profiles[kind].select(F.col("member").alias("high"), F.col("hubs").alias("_high_hubs"))
-            meet = F.coalesce(F.arrays_overlap("_low_hubs", "_high_hubs"), F.lit(False))
-            chosen = (
-                chosen.join(mine, "low", "left").join(theirs, "high", "left")
-                .withColumn(flag, F.col(flag) | meet).drop("_low_hubs", "_high_hubs")
-            )
-    return chosen.select(
+    chosen = cut(pairs.top_pairs(members, k, **limits), "chosen-pairs")
+    worked, studied = (F.max(F.col("kind") == kind) for kind in ("WORKED_TOGETHER", "STUDIED_TOGETHER"))
+    kinds = pairs.meetings(members, chosen).groupBy("low", "high").agg(worked.alias("worked"), studied.alias("studied"))
+    return chosen.join(kinds, ["low", "high"]).select(
         F.col("low").alias("user_id"), F.col("high").alias("recommended_user_id"),
         (F.col("strength") * SCORE_PER_STRENGTH).cast("double").alias("recommendation_score"),
         F.when(F.col("worked"), REASON_WORKED).when(F.col("studied"), REASON_STUDIED).otherwise(REASON_OTHER)
@@ -180,18 +80,15 @@ def connection_recommendations(
     )
 
 
-def recommendation_context(recommendations: DataFrame, relationships: DataFrame) -> DataFrame:
-    """Add the shared companies, roles and schools of listed pairs to recommendations."""
-    low, high = F.least("user_id", "related_user_id"), F.greatest("user_id", "related_user_id")
+def recommendation_context(recommendations: DataFrame, members: DataFrame) -> DataFrame:
+    """Add the names of the companies and schools through which recommended users are related, in alphabetical order."""
+    ends = recommendations.select(F.col("user_id").alias("low"), F.col("recommended_user_id").alias("high"))
 
-    def names(kind: str, path: str, out: str) -> Column:
-        text = F.when(F.col("relationship_type") == kind, F.get_json_object("connection_context", f"$.{path}"))
-        return F.max(F.from_json(text, "array<string>")).alias(out)
+    def names(kind: str, out: str) -> Column:
+        return F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.col("label")))).alias(out)
 
-    context = relationships.groupBy(low.alias("user_id"), high.alias("recommended_user_id")).agg(
-        names("WORKED_TOGETHER", "companies", "common_companies"),
-        names("WORKED_TOGETHER", "roles", "common_roles"),
-        names("STUDIED_TOGETHER", "schools", "common_schools"),
+    context = pairs.meetings(members, ends).groupBy(F.col("low").alias("user_id"), F.col("high").alias("recommended_user_id")).agg(
+        names("WORKED_TOGETHER", "common_companies"), names("STUDIED_TOGETHER", "common_schools"),
     )
     return recommendations.join(context, ["user_id", "recommended_user_id"], "left")
 
@@ -216,16 +113,14 @@ def _shared_staff(employment: DataFrame, top: DataFrame) -> DataFrame:
     return short.unionByName(looked_up)
 
 
-def company_network_map(
-    members: DataFrame, k: int = TOP_COMPANY_PAIRS, *, hub_size: int = pairs.HUB_SIZE
-) -> DataFrame:
+def company_network_map(members: DataFrame, k: int = TOP_COMPANY_PAIRS, **limits: int) -> DataFrame:
     """Company pairs with the most shared employees, one row for each of these.
 
-    Companies of one employee pair up as users of one company do; an employee of very many companies is the hub.
+    Companies of one employee pair up as users of one company do.
     """
     employment = cut(members.select("company_id", "user_id").distinct())
     by_user = employment.select(F.col("user_id").cast("string").alias("grp"), F.col("company_id").alias("member"))
-    top = cut(pairs.top_pairs(pairs.annotate(by_user, hub_size=hub_size), k))
+    top = cut(pairs.top_pairs(by_user, k, **limits))
     shared = _shared_staff(employment, top)
     staff = listed(shared, ["low", "high"], "user_id", "shared_employee_count")
     names = members.groupBy("company_id").agg(F.min("company_name").alias("name"))
@@ -248,14 +143,12 @@ def skills_matching(
     The company is the least one. Who is in the group is in ``company_networks`` under the same company and role.
     """
     roles = members.where(F.col("role_id").isNotNull())
-    picked = (
+    held = (
         roles.groupBy("user_id", "role_id")
         .agg(F.min_by(F.struct("company_id", "role_title"), "company_id").alias("_group"))
         .join(users.select("user_id", "signup_date", "experience_count", "profile_completion_score"), "user_id")
-        .orderBy("user_id", "role_id")
-        .limit(k)
-        .select("*", "_group.company_id", "_group.role_title")
     )
+    picked = cut(pairs.first_rows(held, [F.col("user_id"), F.col("role_id")], k), "picked").select("*", "_group.company_id", "_group.role_title")
     wanted = picked.select("company_id", "role_id").distinct()
     held = roles.join(wanted, ["company_id", "role_id"], "left_semi").select("company_id", "role_id", "user_id").distinct()
     groups = held.groupBy("company_id", "role_id").agg(F.count(F.lit(1)).alias("similar_user_count"))

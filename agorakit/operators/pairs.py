@@ -1,4 +1,4 @@
-"""Members that share groups: exact pair strengths, partner counts and top pairs without expanding large groups.
+"""Members that share groups: exact partner counts, pair strengths and top pairs without a row for each pair.
 
 Input everywhere is a membership frame with one row per (group, member):
 
@@ -6,55 +6,38 @@ Input everywhere is a membership frame with one row per (group, member):
     member  member key, the id that results carry
     ord     sort key of the member; in a pair the member with the smaller ``ord`` comes first
     leads   whether the member may come first in a pair through this group
+    kind    optional kind of group; groups of different kinds have different keys
     label, since   optional group name and date carried into pair rows
 
-Two members are a pair if they share a group that the first one leads. Pair strength is the number of such
-groups. Listing the pairs of a group is quadratic in its size, so groups above ``hub_size`` (hubs, of which there are
-at most rows / hub_size) are never listed. Their pairs stay in the linear (hub, member) form and every consumer here
-handles them exactly:
+Two members are a pair if they share a group that the first one leads. Pair strength is the number of such groups.
 
-* strengths of listed pairs add the hubs both members share, read off each member's short hub list;
-* partner counts use ranks inside hubs, corrected for pairs that share several hubs by inclusion-exclusion;
-* top-k pairs take from each hub only its first k pairs in result order.
+Listing the pairs of a group is quadratic in its size. What is counted here goes the other way, from groups that share members:
 
-Members of more than ``MAX_HUBS`` hubs, or with a hub they do not lead, are "wide": there are few, and their pairs are
-listed, one join row per partner.
+* a member has as many later partners in a group as the group has later members, a rank;
+* a pair that shares several groups is in all their intersections, so alternating sums of ranks inside intersections count
+  it once. Few sets of groups share two members, and only those are looked at (``shared_sets``);
+* members with more groups than that is good for ("wide": over ``DEGREE`` groups, or over ``MOST_SHARED`` groups that share two members
+  with another of theirs) take the union of their groups as bitmaps of member ranks, one bit a partner (``bitmap_partners``).
 
-``annotate`` stores the memberships once with what the other functions need; these take its result.
+Both limits choose between two exact ways; no group, member or pair is left out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorakit.session import cut
 
-HUB_SIZE = 1_000
-MAX_HUBS = 6
+#: Groups of a member above which its pairs of groups are not formed, and groups shared with others above which its subsets are not.
+DEGREE, MOST_SHARED = 64, 6
 RANGE_BUCKETS = 256
-SALT_LEVELS = (1024, 32, 1)
-
-
-def _hubs(members: DataFrame, hub_size: int) -> DataFrame:
-    return (
-        members.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hub_size).select("grp")
-    )
-
-
-def _hub_profiles(hub_members: DataFrame, max_hubs: int) -> DataFrame:
-    """Per member of any hub: its hubs, the hubs it leads with their names and dates, and whether it is wide."""
-    details = F.struct("grp", F.col("label").alias("label"), F.col("since").alias("since"))
-    return (
-        hub_members.groupBy("member")
-        .agg(
-            F.sort_array(F.collect_list("grp")).alias("hubs"),
-            F.collect_list(F.when(F.col("leads"), details)).alias("led"),
-            F.every("leads").alias("_leads_all"),
-        )
-        .withColumn("wide", (F.size("hubs") > max_hubs) | ~F.col("_leads_all"))
-        .drop("_leads_all")
-    )
+#: Bits of one of Spark's bitmaps.
+BITS = 32_768
+#: Members of a block: a group is paired up block by block where all its pairs are the result.
+BLOCK = 1_000
 
 
 def with_defaults(members: DataFrame) -> DataFrame:
@@ -65,85 +48,132 @@ def with_defaults(members: DataFrame) -> DataFrame:
         members = members.withColumn("leads", F.lit(True))
     if "ord" not in members.columns:
         members = members.withColumn("ord", F.col("member"))
+    if "kind" not in members.columns:
+        members = members.withColumn("kind", F.lit(""))
     return members
 
 
-def annotate(members: DataFrame, *, hub_size: int = HUB_SIZE, max_hubs: int = MAX_HUBS) -> DataFrame:
-    """Stored memberships with ``in_hub`` and the member's ``hubs``, ``led`` and ``wide`` on every row."""
-    members = with_defaults(members)
-    hubs = _hubs(members, hub_size).withColumn("_hub", F.lit(True))
-    marked = members.join(hubs, "grp", "left").withColumn("in_hub", F.coalesce("_hub", F.lit(False))).drop("_hub")
-    profiles = _hub_profiles(marked.where("in_hub"), max_hubs)
-    return cut(marked.join(profiles, "member", "left").withColumn("wide", F.coalesce("wide", F.lit(False))))
+def all_pairs(members: DataFrame) -> DataFrame:
+    """Every pair with its strength, group names and first date: (first, second, strength, labels, since).
 
+    The result is quadratic in groups by nature. Groups are dealt out in blocks of members, one block of first members against the
+    group at a time, so that no task pairs up a large group alone.
+    """
+    rows = with_defaults(members)
+    sizes = rows.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks")).where("_blocks > 1")
+    rows = rows.join(sizes, "grp", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    first = rows.where("leads").select("grp", F.pmod(F.xxhash64("member"), "_blocks").alias("_block"), F.col("member").alias("first"), F.col("ord").alias("_ord"), "label", "since")
+    second = rows.select("grp", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("_blocks") - 1).cast("bigint"))).alias("_block"), F.col("member").alias("second"), F.col("ord").alias("_other"))
+    met = first.join(second, ["grp", "_block"]).where((F.col("_ord") < F.col("_other")) & (F.col("first") != F.col("second")))
+    return met.groupBy("first", "second").agg(
+        F.count(F.lit(1)).alias("strength"), F.array_sort(F.collect_set("label")).alias("labels"), F.min("since").alias("since"),
+    )
 
-def listed_pairs(annotated: DataFrame) -> DataFrame:
-    """Pairs that share an ordinary group or involve a wide member, with their full strength.
 
-    ``strength`` counts all shared groups, hubs included. ``hub_strength`` is the part that ``hub_members`` also
-    describes (0 if either member is wide), so that consumers of both never count a pair twice.
-    """
+def _subsets(groups: Column) -> Column:
+    """All subsets of two groups and more, each in order."""
+    nothing = F.array(F.array().cast("array<struct<grp:string,leads:boolean,kind:string>>"))
+    found = F.aggregate(groups, nothing, lambda done, g: F.concat(done, F.transform(done, lambda s: F.array_append(s, g))))
+    return F.filter(found, lambda s: F.size(s) > 1)
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        columns = ["member", "ord", "leads", "label", "since", "hubs", "led", "wide"]
-        return df.select("grp", *[F.col(c).alias(f"{name}_{c}") for c in columns])
-
-    rows = annotated.where(~F.col("in_hub"))
-    hub_rows = annotated.where("in_hub")
-    wide_rows = hub_rows.where("wide")
-    meets = (F.col("a_ord") < F.col("b_ord")) & F.col("a_leads") & (F.col("a_member") != F.col("b_member"))
-    through_ordinary = side(rows, "a").join(side(rows, "b"), "grp").where(meets).withColumn("ordinary", F.lit(1))
-    wide_first = side(wide_rows, "a").join(side(hub_rows, "b"), "grp").where(meets)
-    wide_second = side(hub_rows.where(~F.col("wide")), "a").join(side(wide_rows, "b"), "grp").where(meets)
-    through_wide = wide_first.unionByName(wide_second).withColumn("ordinary", F.lit(0))
-
-    label = F.when(F.col("ordinary") == 1, F.col("a_label"))
-    since = F.when(F.col("ordinary") == 1, F.col("a_since"))
-    empty = F.array().cast("array<string>")
-    shared = F.filter("a_led", lambda hub: F.array_contains(F.coalesce(F.col("b_hubs"), empty), hub["grp"]))
-    narrow = ~F.col("a_wide") & ~F.col("b_wide")
-    return (
-        through_ordinary.unionByName(through_wide)
-        .groupBy(F.col("a_member").alias("first"), F.col("b_member").alias("second"))
-        .agg(
-            F.sum("ordinary").alias("_ordinary"),
-            F.collect_set(label).alias("_labels"),
-            F.min(since).alias("_since"),
-            F.any_value("a_led").alias("a_led"),
-            F.any_value("b_hubs").alias("b_hubs"),
-            F.any_value("a_wide").alias("a_wide"),
-            F.any_value("b_wide").alias("b_wide"),
-        )
-        .withColumn("_shared", F.coalesce(shared, F.array().cast("array<struct<grp:string,label:string,since:timestamp>>")))
-        .select(
-            "first", "second",
-            (F.col("_ordinary") + F.size("_shared")).cast("bigint").alias("strength"),
-            F.when(narrow, F.size("_shared")).otherwise(0).cast("bigint").alias("hub_strength"),
-            F.array_sort(F.array_union("_labels", F.filter(F.transform("_shared", lambda h: h["label"]), lambda x: x.isNotNull())))
-            .alias("labels"),
-            F.least("_since", F.array_min(F.transform("_shared", lambda h: h["since"]))).alias("since"),
-        )
-    )
 
+def _held(members: DataFrame) -> DataFrame:
+    """Memberships in groups of two members and more, with the number of later members."""
+    narrow = with_defaults(members).select("grp", "member", "ord", "leads", "kind")
+    return cut(later_members(narrow).where("group_size > 1"), "held")
 
-def hub_members(annotated: DataFrame) -> DataFrame:
-    """The pairs inside hubs in linear form: one row per member that is in a hub and not wide, with its hub list."""
-    return annotated.where(F.col("in_hub") & ~F.col("wide")).groupBy("member").agg(
-        F.min("ord").alias("ord"), F.any_value("hubs").alias("hubs")
-    )
 
+def shared_sets(held: DataFrame, *, degree: int = DEGREE, most_shared: int = MOST_SHARED) -> tuple[DataFrame, DataFrame]:
+    """Sets of groups that share members, and the wide members.
 
-def hub_subsets(profiles: DataFrame) -> DataFrame:
-    """One row per member and non-empty subset of its hubs; at most 2^MAX_HUBS rows a member and kind of group."""
-    nothing = F.array(F.array().cast("array<string>"))
-    subsets = F.aggregate(
-        "hubs", nothing, lambda done, hub: F.concat(done, F.transform(done, lambda s: F.array_append(s, hub)))
-    )
-    return (
-        profiles.select("member", "ord", F.explode(subsets).alias("subset"))
-        .where(F.size("subset") > 0)
-        .select("member", "ord", "subset", F.size("subset").alias("level"))
-    )
+    The first frame has a row per (set, member that is in all its groups): key, level (groups in the set), member, ord, leads (whether the
+    member leads all of them), kind (null if they differ), wide. All sets of a member that is not wide are there, whose groups two by two have two
+    members in common. ``held`` are memberships in groups of two members and more.
+    """
+    rows = held.select("grp", "member", "ord", "leads", "kind")
+    degrees = rows.groupBy("member").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    of_many = cut(degrees.where(F.col("_n") > degree).select("member"), "many-groups")
+    group = F.struct("grp", "leads", "kind")
+    profiles = cut(rows.join(degrees.where(F.col("_n") <= degree).select("member"), "member").groupBy("member").agg(
+        F.min("ord").alias("ord"), F.sort_array(F.collect_list(group)).alias("_groups"),
+    ), "group-lists")
+    later = lambda groups, g: F.filter(groups, lambda h: h["grp"] > g["grp"])
+    # Pairs of groups are told apart by a hash here; a collision only looks at more sets.
+    hashes = F.flatten(F.transform("_groups", lambda g: F.transform(later(F.col("_groups"), g), lambda h: F.xxhash64(g["grp"], h["grp"]))))
+    often = profiles.select(F.explode(hashes).alias("_both")).groupBy("_both").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_both")
+    one = profiles.select("member", "ord", "_groups", F.explode("_groups").alias("g"))
+    two = one.select("member", "ord", "g", F.explode(later(F.col("_groups"), F.col("g"))).alias("h")).withColumn("_both", F.xxhash64("g.grp", "h.grp"))
+    many = cut(rows.join(of_many, "member", "left_semi").select("grp", "member"), "groups-of-many")
+    seen = two.select("_both", F.col("g.grp").alias("grp"), F.col("h.grp").alias("_h")).join(many, "grp")
+    seen = seen.select("_both", "member", F.col("_h").alias("grp")).join(many, ["grp", "member"], "left_semi").select("_both")
+    shared = two.join(cut(often.union(seen).distinct(), "shared-pairs"), "_both", "left_semi")
+    own = shared.groupBy("member").agg(F.min("ord").alias("ord"), F.sort_array(F.array_distinct(F.concat(F.collect_list("g"), F.collect_list("h")))).alias("_groups"))
+    own = cut(own, "shared-groups")
+    wide = of_many.union(own.where(F.size("_groups") > most_shared).select("member"))
+    sets = own.where(F.size("_groups") <= most_shared).select("member", "ord", F.explode(_subsets(F.col("_groups"))).alias("_set"))
+    kinds = F.array_distinct(F.transform("_set", lambda g: g["kind"]))
+    narrow = cut(sets.select(
+        F.transform("_set", lambda g: g["grp"]).alias("key"), F.size("_set").alias("level"), "member", "ord",
+        F.forall("_set", lambda g: g["leads"]).alias("leads"), F.when(F.size(kinds) == 1, F.get(kinds, F.lit(0))).alias("kind"), F.lit(False).alias("wide"),
+    ), "shared-sets")
+    wide = cut(wide, "wide-members")
+    wide_rows = rows.join(wide, "member", "left_semi")
+    found = narrow.select("key", "level", "kind").distinct().withColumn("grp", F.explode("key")).join(wide_rows.drop("kind"), "grp")
+    inside = found.groupBy("key", "level", "kind", "member").agg(F.min("ord").alias("ord"), F.every("leads").alias("leads"), F.count(F.lit(1)).alias("_n")).where("_n = level")
+    return narrow.unionByName(inside.drop("_n").withColumn("wide", F.lit(True))), wide
+
+
+def _bits_before(bits: Column, at: Column) -> Column:
+    """Set bits of a bitmap below a position."""
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    low = byte.bitwiseAND(F.expr("shiftleft(1, CAST(`_at` % 8 AS INT)) - 1"))
+    return F.bitmap_count(F.substring(bits, F.lit(1), F.floor(at / 8).cast("int"))) + F.bit_count(low)
+
+
+def bitmap_partners(held: DataFrame, wide: DataFrame) -> DataFrame:
+    """Distinct later partners of the wide members, per kind and (kind null) over all kinds: (member, kind, partners).
+
+    Members are numbered from the last on, so later ones have smaller numbers. Each group has a bitmap for each stretch of 32,768 numbers
+    that it has a member in; a wide member takes the union of its groups' bitmaps up to its own number.
+    """
+    led = held.where("leads").join(wide, "member", "left_semi").select("grp", "member", "kind")
+    rows = held.join(led.select("grp").distinct(), "grp", "left_semi").select("grp", "member", "ord")
+    everyone = later_members(rows.select(F.lit("").alias("grp"), "member", "ord").distinct())
+    places = cut(everyone.select("member", F.col("later_members").alias("_place")), "member-places")
+    stretch, bit = F.floor(F.col("_place") / BITS), F.pmod("_place", F.lit(BITS))
+    bitmaps = rows.join(places, "member").groupBy("grp", stretch.alias("_stretch")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    mine = led.join(places.withColumnsRenamed({"_place": "_own"}), "member")
+    met = mine.join(bitmaps, "grp").where(F.col("_stretch") <= F.floor(F.col("_own") / BITS))
+    by_kind = cut(met.groupBy("member", "kind", "_own", "_stretch").agg(F.bitmap_or_agg("_bits").alias("_bits")), "partner-bitmaps")
+    over_all = by_kind.groupBy("member", "_own", "_stretch").agg(F.bitmap_or_agg("_bits").alias("_bits")).withColumn("kind", F.lit(None).cast("string"))
+    counted = by_kind.unionByName(over_all).withColumn("_at", F.pmod("_own", F.lit(BITS)))
+    whole = F.col("_stretch") < F.floor(F.col("_own") / BITS)
+    n = F.when(whole, F.bitmap_count("_bits")).otherwise(_bits_before(F.col("_bits"), F.col("_at")))
+    return counted.groupBy("member", "kind").agg(F.sum(n).cast("bigint").alias("partners"))
+
+
+def partner_counts(members: DataFrame, *, degree: int = DEGREE, most_shared: int = MOST_SHARED) -> DataFrame:
+    """Per member, and per kind of group or (kind null) over all kinds: distinct partners it is first with, and the sum of those pairs' strengths.
+
+    Members that are first in no pair have no row.
+    """
+    held = _held(members)
+    sets, wide = shared_sets(held, degree=degree, most_shared=most_shared)
+    ranked = rows_after(sets, "key", "ord", "after").where("leads AND NOT wide")
+    sign = F.when(F.col("level") % 2 == 1, F.col("after")).otherwise(-F.col("after"))
+    led = held.where("leads").join(wide.withColumn("_wide", F.lit(True)), "member", "left")
+    # Strengths sum over groups for all; partners likewise for those that are not wide, less what sets of groups count twice.
+    once = F.when(F.col("_wide").isNull(), F.col("later_members")).otherwise(0)
+    zero = F.lit(0).cast("bigint")
+    parts = led.select("member", "kind", once.alias("partners"), F.col("later_members").alias("strength"))
+    within = ranked.where("kind IS NOT NULL").select("member", "kind", sign.alias("partners"), zero.alias("strength"))
+    across = ranked.select("member", F.lit(None).cast("string").alias("kind"), sign.alias("partners"), zero.alias("strength"))
+    per_kind = parts.unionByName(within)
+    over_all = parts.withColumn("kind", F.lit(None).cast("string")).unionByName(across)
+    found = per_kind.unionByName(over_all)
+    if not wide.isEmpty():
+        found = found.unionByName(bitmap_partners(held, wide).withColumn("strength", zero))
+    return found.groupBy("member", "kind").agg(F.sum("partners").alias("partners"), F.sum("strength").alias("strength")).where("partners > 0")
 
 
 def rows_after(df: DataFrame, key: str, order: str, out: str) -> DataFrame:
@@ -172,65 +202,71 @@ def rows_after(df: DataFrame, key: str, order: str, out: str) -> DataFrame:
     )
 
 
-def hub_partner_counts(profiles: DataFrame) -> DataFrame:
-    """Per member: how many later members share one of its hubs, and the sum of those pairs' strengths.
+def first_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    """The first k rows in a total order, found without a task that merges k rows of each partition.
 
-    Later members in each subset of hubs are counted by rank; the alternating sum over subsets counts a
-    pair once however many hubs it shares.
+    Rows are dealt by ranges of the order. Ranges before the one in which the k-th row is are taken whole, and of that one its first rows.
     """
-    ranked = rows_after(hub_subsets(profiles), "subset", "ord", "after")
-    sign = F.when(F.col("level") % 2 == 1, 1).otherwise(-1)
-    return ranked.groupBy("member").agg(
-        F.sum(sign * F.col("after")).alias("hub_partners"),
-        F.sum(F.when(F.col("level") == 1, F.col("after")).otherwise(0)).alias("hub_strength_sum"),
-    )
-
-
-def top_hub_pairs(profiles: DataFrame, k: int) -> DataFrame:
-    """At least the first ``k`` hub pairs by (strength descending, smaller id, larger id); strengths are hubs shared.
-
-    Pairs that share a subset of hubs of size s have at least strength s. Within one subset only its first k pairs in
-    id order can be among the first k overall, and those involve only its k + 1 smallest ids. The cut is taken in
-    salted steps, so no task sees a whole hub.
+    ranged = cut(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    starts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select("_range", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < k)
+    kept = ranged.join(starts, "_range")
+    whole = kept.where(F.col("_before") + F.col("_n") <= k)
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    border = kept.where(F.col("_before") + F.col("_n") > k).withColumn("_place", place).where(F.col("_before") + F.col("_place") <= k)
+    return whole.unionByName(border.drop("_place")).drop("_range", "_n", "_before")
+
+
+def _first_lows(rows: DataFrame, k: int) -> DataFrame:
+    """Per level the largest member that can be the lower end of one of the first k pairs by (low, high): (level, _most).
+
+    ``rows`` has key, level, member and after, the number of pairs of the set with the member as lower end at least. The most of any one set
+    is a lower bound for the member's pairs, so members up to the one at which the bounds reach k have k pairs among them.
     """
-    lowest = hub_subsets(profiles).select("subset", "level", "member")
-    for salts in SALT_LEVELS:
-        salt = F.pmod(F.xxhash64("member"), F.lit(salts))
-        place = F.row_number().over(Window.partitionBy("subset", "_salt").orderBy("member"))
-        lowest = lowest.withColumn("_salt", salt).withColumn("_i", place).where(F.col("_i") <= k + 1)
-    size = F.count(F.lit(1)).over(Window.partitionBy("subset"))
-    placed = lowest.select("subset", "level", "member", F.col("_i").cast("bigint").alias("i")).withColumn("m", size)
-    before = (F.col("i") - 1) * F.col("m") - F.expr("i * (i - 1) div 2")
-    last = F.col("i") + F.least(F.col("m") - F.col("i"), F.lit(k) - before)
-    firsts = (
-        placed.where((before < k) & (F.col("i") < F.col("m")))
-        .select("subset", "level", F.col("member").alias("low"), F.explode(F.sequence(F.col("i") + 1, last)).alias("i"))
-    )
-    seconds = placed.select("subset", "i", F.col("member").alias("high"))
-    return (
-        firsts.join(seconds, ["subset", "i"])
-        .groupBy("low", "high")
-        .agg(F.max("level").cast("bigint").alias("strength"))
-        .orderBy(F.desc("strength"), "low", "high")
-        .limit(k)
-    )
-
-
-def top_pairs(annotated: DataFrame, k: int) -> DataFrame:
-    """The ``k`` strongest pairs (low, high, strength), ties by ids. Exact: hubs contribute their own best pairs.
-
-    A pair found in both inputs keeps its larger, full strength.
+    ends = rows.groupBy("level", "member").agg(F.max("after").alias("_n"))
+    ranged = cut(ends.repartitionByRange("level", "member").withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy("level").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a level and range
+    sums = ranged.groupBy("level", "_range").agg(F.sum("_n").alias("_sum"))
+    sums = sums.select("level", "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < k)
+    running = F.sum("_n").over(Window.partitionBy("level", "_range").orderBy("member").rowsBetween(Window.unboundedPreceding, -1))
+    reached = ranged.join(sums, ["level", "_range"]).withColumn("_run", F.coalesce(running, F.lit(0)) + F.col("_before"))
+    return reached.where(F.col("_run") < k).groupBy("level").agg(F.max("member").alias("_most"))
+
+
+def top_pairs(members: DataFrame, k: int, *, degree: int = DEGREE, most_shared: int = MOST_SHARED) -> DataFrame:
+    """The ``k`` strongest pairs (low, high, strength), the strength within one kind of group, ties by ids.
+
+    A pair of strength s is in a set of s groups. At each level only members up to a bound can be the lower end of one of the first k
+    pairs, and only those are paired up, so the rows are about k times the groups of a member whatever the size of the groups. Pairs of
+    two wide members are the exception: they are counted group by group.
     """
-    listed = listed_pairs(annotated).select(
-        F.least("first", "second").alias("low"), F.greatest("first", "second").alias("high"), "strength"
-    )
-    return (
-        listed.unionByName(top_hub_pairs(hub_members(annotated), k))
-        .groupBy("low", "high")
-        .agg(F.max("strength").alias("strength"))
-        .orderBy(F.desc("strength"), "low", "high")
-        .limit(k)
-    )
+    held = _held(members)
+    sets, wide = shared_sets(held, degree=degree, most_shared=most_shared)
+    columns = ["key", "level", "member", "ord", "leads"]
+    levels = cut(sets.where("kind IS NOT NULL").select(*columns).unionByName(held.select(F.array("grp").alias("key"), F.lit(1).alias("level"), *columns[2:])), "levels")
+    # Any two members that lead a set are a pair; those are enough for the bound.
+    bounds = _first_lows(rows_after(levels.where("leads"), "key", "member", "after"), k)
+    lows = levels.join(bounds, "level", "left").where(F.col("_most").isNull() | (F.col("member") <= F.col("_most")))
+    low = lows.select("key", "level", F.col("member").alias("low"), F.col("ord").alias("_low_ord"), F.col("leads").alias("_low_leads"))
+    high = levels.select("key", F.col("member").alias("high"), F.col("ord").alias("_high_ord"), F.col("leads").alias("_high_leads"))
+    first_leads = F.when(F.col("_low_ord") < F.col("_high_ord"), F.col("_low_leads")).otherwise(F.col("_high_leads"))
+    near = low.join(high, "key").where((F.col("low") < F.col("high")) & first_leads).select("low", "high", F.col("level").cast("bigint").alias("strength"))
+    of_wide = held.join(wide, "member", "left_semi")
+    a = of_wide.select("grp", "kind", F.col("member").alias("low"), F.col("ord").alias("_low_ord"), F.col("leads").alias("_low_leads"))
+    b = of_wide.select("grp", F.col("member").alias("high"), F.col("ord").alias("_high_ord"), F.col("leads").alias("_high_leads"))
+    dense = a.join(b, "grp").where((F.col("low") < F.col("high")) & first_leads).groupBy("low", "high", "kind").agg(F.count(F.lit(1)).alias("strength")).drop("kind")
+    best = near.unionByName(dense).groupBy("low", "high").agg(F.max("strength").alias("strength"))
+    return first_rows(best, [F.desc("strength"), F.col("low"), F.col("high")], k)
+
+
+def meetings(members: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The groups through which chosen pairs (low, high) are pairs: one row for each."""
+    rows = with_defaults(members).select("grp", "kind", "label", "member", "ord", "leads")
+    one = chosen.select("low", "high").join(rows.withColumnsRenamed({"member": "low", "ord": "_low_ord", "leads": "_low_leads"}), "low")
+    other = rows.select("grp", F.col("member").alias("high"), F.col("ord").alias("_high_ord"), F.col("leads").alias("_high_leads"))
+    first_leads = F.when(F.col("_low_ord") < F.col("_high_ord"), F.col("_low_leads")).otherwise(F.col("_high_leads"))
+    return one.join(other, ["grp", "high"]).where(first_leads).select("low", "high", "grp", "kind", "label")
 
 
 def later_members(members: DataFrame) -> DataFrame:

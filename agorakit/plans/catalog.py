@@ -20,7 +20,8 @@ from agorakit.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 SNAPSHOT_AS_OF = "2001-08-01 12:00:00"
-SMALL_HUB = 4
+#: Limits so low that most members take the way of wide ones.
+FEW = {"degree": 6, "most_shared": 1}
 PATH_ENDS = ("P1", "P2")
 SEARCHES = (("user-1", "user-1"), ("ASSIST", "user-2"), ("no3", "user-3"), ("@chat", "system-4"), ("x", "user-5"))
 READERS = ("user-1", "assistant-1")
@@ -412,8 +413,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _listed(i: Inputs, kind: dict, **options) -> DataFrame:
-    members = graph.relationship_members(*i.graph, kind, **options)
-    return graph.shared_target_pairs(*i.graph, kind, members).drop("hub_strength")
+    return graph.shared_target_pairs(*i.graph, kind, **options)
 
 
 @_query("n1_worked_together")
@@ -478,12 +478,18 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("l1_connection_recommendations")
 def _(i: Inputs) -> DataFrame:
-    return networks.connection_recommendations(*i.relationships())
+    return networks.connection_recommendations(i.relationship_members)
 
 
 @_query("l1_recommendations_small_hubs")
 def _(i: Inputs) -> DataFrame:
-    return networks.connection_recommendations(*i.relationships(SMALL_HUB))
+    return networks.connection_recommendations(i.relationship_members, **FEW)
+
+
+@_query("l1_shared_names")
+def _(i: Inputs) -> DataFrame:
+    found = networks.recommendation_context(networks.connection_recommendations(i.relationship_members), i.relationship_members)
+    return _joined(found.select("user_id", "recommended_user_id", "common_companies", "common_schools"), "common_companies", "common_schools")
 
 
 @_query("l2_company_network_map")
@@ -527,25 +533,25 @@ def _(i: Inputs) -> DataFrame:
 
 @_query("v2_connection_summary")
 def _(i: Inputs) -> DataFrame:
-    summary = networks.connection_summary(*i.relationships())
+    summary = networks.connection_summary(i.relationship_members)
     return summary.withColumn("avg_connection_strength", F.round("avg_connection_strength", 4))
 
 
 @_query("v2_summary_small_hubs")
 def _(i: Inputs) -> DataFrame:
-    summary = networks.connection_summary(*i.relationships(SMALL_HUB))
+    summary = networks.connection_summary(i.relationship_members, **FEW)
     return summary.withColumn("avg_connection_strength", F.round("avg_connection_strength", 4))
 
 
 @_query("v3_top_connected")
 def _(i: Inputs) -> DataFrame:
-    top = networks.top_connected(i.lazy_users, *i.relationships())
+    top = networks.top_connected(i.lazy_users, i.relationship_members)
     return top.withColumn("avg_connection_strength", F.round("avg_connection_strength", 4))
 
 
 @_query("v3_top_connected_small_hubs")
 def _(i: Inputs) -> DataFrame:
-    top = networks.top_connected(i.lazy_users, *i.relationships(SMALL_HUB))
+    top = networks.top_connected(i.lazy_users, i.relationship_members, **FEW)
     return top.withColumn("avg_connection_strength", F.round("avg_connection_strength", 4))
 
 

@@ -10,7 +10,6 @@ from agorakit.operators import events as ev
 from agorakit.operators import graph as gr
 from agorakit.operators import kpis, segments
 from agorakit.operators import users as us
-from agorakit.operators.pairs import HUB_SIZE
 from agorakit.session import cut
 from agorakit.sources.bindings import VIEWS, placeholders
 from agorakit.sources.schemas import fixture_schema
@@ -105,13 +104,9 @@ class Inputs:
     def project_members(self) -> DataFrame:
         return cut(gr.project_members(*self.graph), "project-members")
 
-    def relationships(self, hub_size: int = HUB_SIZE) -> tuple[DataFrame, DataFrame]:
-        """Listed pairs and hub members of both relationship kinds."""
-        kinds = (gr.WORKED, gr.STUDIED)
-        members = [gr.relationship_members(*self.graph, kind, hub_size=hub_size) for kind in kinds]
-        listed = [gr.shared_target_pairs(*self.graph, kind, stored) for kind, stored in zip(kinds, members)]
-        hubs = [gr.shared_target_hubs(kind, stored) for kind, stored in zip(kinds, members)]
-        return cut(listed[0].unionByName(listed[1])), cut(hubs[0].unionByName(hubs[1]))
+    @cached_property
+    def relationship_members(self) -> DataFrame:
+        return cut(gr.relationship_members(*self.graph), "relationship-members")
 
     def chat(self, *names: str) -> list[DataFrame]:
         return [self[f"fx_{name}"] for name in names]

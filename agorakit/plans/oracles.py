@@ -674,6 +674,14 @@ SELECT least(user_id, related_user_id) AS user_id, greatest(user_id, related_use
 FROM o_relations GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 100000
 """
 SQL["l1_connection_recommendations"] = SQL["l1_recommendations_small_hubs"] = _RECOMMENDATIONS
+SQL["l1_shared_names"] = f"""
+WITH best AS ({_RECOMMENDATIONS}),
+named AS (SELECT least(user_id, related_user_id) AS low, greatest(user_id, related_user_id) AS high, relationship_type AS kind,
+  CAST(coalesce(json_extract(connection_context, '$.companies'), json_extract(connection_context, '$.schools')) AS VARCHAR[]) AS names FROM o_relations)
+SELECT user_id, recommended_user_id, coalesce(max(array_to_string(names, ',')) FILTER (WHERE kind = 'WORKED_TOGETHER'), '') AS common_companies,
+  coalesce(max(array_to_string(names, ',')) FILTER (WHERE kind = 'STUDIED_TOGETHER'), '') AS common_schools
+FROM best JOIN named ON low = user_id AND high = recommended_user_id GROUP BY 1, 2
+"""
 SQL["l2_company_network_map"] = """
 SELECT * EXCLUDE ids, unnest(ids) AS employee_id FROM (
 SELECT a.company_id AS company_id_1, b.company_id AS company_id_2, min(a.company_name) AS company_name_1, min(b.company_name) AS company_name_2,

@@ -60,23 +60,12 @@ def _users(w: Warehouse) -> DataFrame:
     return users.unified_users(*[w[n] for n in names.split()], as_of=w.as_of, test_emails=w.test_emails)
 
 
-def _relationship_members(w: Warehouse, kind: dict) -> DataFrame:
-    return graph.relationship_members(w["graph_edges"], w["graph_nodes"], w["unified_users"], kind)
-
-
 def _relationships(w: Warehouse) -> DataFrame:
-    worked, studied = (
-        graph.shared_target_pairs(w["graph_edges"], w["graph_nodes"], w["unified_users"], kind, w[stored])
-        for kind, stored in ((WORKED, "work_relationship_members"), (STUDIED, "study_relationship_members"))
-    )
+    """Both kinds in linear form, a row for each group and member."""
+    worked, studied = (graph.relationship_groups(w["graph_edges"], w["graph_nodes"], w["unified_users"], kind) for kind in (WORKED, STUDIED))
     return worked.unionByName(studied)
 
 
-def _relationship_hubs(w: Warehouse) -> DataFrame:
-    worked = graph.shared_target_hubs(WORKED, w["work_relationship_members"])
-    return worked.unionByName(graph.shared_target_hubs(STUDIED, w["study_relationship_members"]))
-
-
 def _graph_stage(build: Callable[..., DataFrame]) -> Callable[[Warehouse], DataFrame]:
     return lambda w: build(w["graph_edges"], w["graph_nodes"], w["unified_users"])
 
@@ -92,10 +81,8 @@ STAGES: tuple[Stage, ...] = (
         ("unified_users",),
     ),
     Stage("user_cohorts", lambda w: cohorts.user_cohorts(w["unified_users"]), ("unified_users",)),
-    Stage("work_relationship_members", lambda w: _relationship_members(w, WORKED), _GRAPH),
-    Stage("study_relationship_members", lambda w: _relationship_members(w, STUDIED), _GRAPH),
-    Stage("user_relationships", _relationships, (*_GRAPH, "work_relationship_members", "study_relationship_members")),
-    Stage("relationship_hubs", _relationship_hubs, ("work_relationship_members", "study_relationship_members")),
+    Stage("relationship_members", _graph_stage(graph.relationship_members), _GRAPH),
+    Stage("user_relationships", _relationships, _GRAPH),
     Stage("company_members", _graph_stage(graph.company_members), _GRAPH),
     Stage("company_networks", lambda w: graph.company_networks(w["company_members"]), ("company_members",)),
     Stage("school_members", _graph_stage(graph.school_members), _GRAPH),
@@ -135,8 +122,8 @@ STAGES: tuple[Stage, ...] = (
     Stage("funnel_metrics", lambda w: kpis.funnel_metrics(w["unified_users"], w.as_of), ("unified_users",)),
     Stage(
         "connection_recommendations",
-        lambda w: networks.connection_recommendations(w["user_relationships"], w["relationship_hubs"]),
-        ("user_relationships", "relationship_hubs"),
+        lambda w: networks.connection_recommendations(w["relationship_members"]),
+        ("relationship_members",),
     ),
     Stage("company_network_map", lambda w: networks.company_network_map(w["company_members"]), ("company_members",)),
     Stage(
@@ -162,13 +149,13 @@ STAGES: tuple[Stage, ...] = (
     ),
     Stage(
         "connection_summary",
-        lambda w: networks.connection_summary(w["user_relationships"], w["relationship_hubs"]),
-        ("user_relationships", "relationship_hubs"),
+        lambda w: networks.connection_summary(w["relationship_members"]),
+        ("relationship_members",),
     ),
     Stage(
         "top_connected_users",
-        lambda w: networks.top_connected(w["unified_users"], w["user_relationships"], w["relationship_hubs"]),
-        ("unified_users", "user_relationships", "relationship_hubs"),
+        lambda w: networks.top_connected(w["unified_users"], w["relationship_members"]),
+        ("unified_users", "relationship_members"),
     ),
     Stage("company_talent_pools", lambda w: networks.talent_pools(w["company_members"]), ("company_members",)),
     Stage("user_engagement_levels", lambda w: segments.engagement_levels(w["unified_users"], w.as_of), ("unified_users",)),

@@ -166,17 +166,18 @@ def test_location_names_rule_and_true_top(spark):
     assert rule.company_diversity_score == 12.0 and rule.role_diversity_score == 0.0 and rule.top_roles is None
 
 
-def test_company_map_with_hub_users_and_long_lists(spark, monkeypatch):
+def test_company_map_with_wide_companies_and_long_lists(spark, monkeypatch):
     monkeypatch.setattr(networks, "SHORT_LIST", 2)
     rows = [(f"c{c}", f"Co {c}", None, None, u) for u, cs in {1: range(6), 2: (0, 1), 3: (0, 1), 4: (4,)}.items() for c in cs]
     members = spark.createDataFrame(rows, "company_id string, company_name string, role_id string, role_title string, user_id long")
-    got = networks.company_network_map(members, k=3, hub_size=3).orderBy(F.desc("shared_employee_count"), "company_id_1", "company_id_2").collect()
+    got = networks.company_network_map(members, k=3, degree=2).orderBy(F.desc("shared_employee_count"), "company_id_1", "company_id_2").collect()
     assert {(r.company_id_1, r.company_id_2, r.employee_id) for r in got} == {("c0", "c1", u) for u in (1, 2, 3)} | {("c0", "c2", 1), ("c0", "c3", 1)}
 
 
 def test_recommendation_reason_prefers_work(spark):
-    rows = [(1, 2, "STUDIED_TOGETHER", 3), (2, 1, "WORKED_TOGETHER", 1), (5, 4, "STUDIED_TOGETHER", 1)]
-    df = spark.createDataFrame(rows, "user_id long, related_user_id long, relationship_type string, relationship_strength long")
+    rows = [(f"s{n}", m, "STUDIED_TOGETHER") for n in range(3) for m in (1, 2)] + [("w", 2, "WORKED_TOGETHER"), ("w", 1, "WORKED_TOGETHER")]
+    rows += [("s9", m, "STUDIED_TOGETHER") for m in (5, 4)]
+    df = spark.createDataFrame(rows, "grp string, member long, kind string")
     got = [tuple(r) for r in networks.connection_recommendations(df).collect()]
     assert got == [(1, 2, 30.0, networks.REASON_WORKED), (4, 5, 10.0, networks.REASON_STUDIED)]
 

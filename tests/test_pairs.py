@@ -33,40 +33,29 @@ def _brute(rows):
     return strength
 
 
+#: Usual limits; every member with a shared group is wide; every member with two groups is wide.
+LIMITS = [{"degree": 64, "most_shared": 6}, {"degree": 64, "most_shared": 1}, {"degree": 1, "most_shared": 1}, {"degree": 3, "most_shared": 2}]
+
+
 @pytest.mark.parametrize("seed,followers", [(1, False), (2, True)])
-@pytest.mark.parametrize("hub_size,max_hubs", [(1000, 6), (3, 6), (3, 1)])
-def test_pairs_match_brute_force(spark, seed, followers, hub_size, max_hubs):
+@pytest.mark.parametrize("limits", LIMITS)
+def test_pairs_match_brute_force(spark, seed, followers, limits):
     rows = _memberships(seed, followers)
-    members = spark.createDataFrame(rows, "grp string, member bigint, ord string, leads boolean").cache()
+    members = spark.createDataFrame(rows, "grp string, member bigint, ord string, leads boolean")
     expected = _brute(rows)
+    listed = {(r.first, r.second): r.strength for r in pairs.all_pairs(members).collect()}
+    assert listed == expected
 
-    annotated = pairs.annotate(members, hub_size=hub_size, max_hubs=max_hubs)
-    listed = pairs.listed_pairs(annotated).collect()
-    assert len({(r.first, r.second) for r in listed}) == len(listed)
-    for r in listed:
-        assert expected[(r.first, r.second)] == r.strength
-    if hub_size == 1000:
-        assert len(listed) == len(expected)
-
-    # Partner counts and strength sums, listed and hub parts together.
-    profiles = pairs.hub_members(annotated)
-    counts, sums = {}, {}
-    for r in listed:
-        counts[r.first] = counts.get(r.first, 0) + (r.hub_strength == 0)
-        sums[r.first] = sums.get(r.first, 0) + r.strength - r.hub_strength
-    for r in pairs.hub_partner_counts(profiles).collect():
-        counts[r.member] = counts.get(r.member, 0) + r.hub_partners
-        sums[r.member] = sums.get(r.member, 0) + r.hub_strength_sum
+    counted = [r for r in pairs.partner_counts(members, **limits).collect() if r.kind is None]
     want_counts, want_sums = {}, {}
     for (a, _), s in expected.items():
         want_counts[a] = want_counts.get(a, 0) + 1
         want_sums[a] = want_sums.get(a, 0) + s
-    assert {a: n for a, n in counts.items() if n} == want_counts
-    assert {a: n for a, n in sums.items() if n} == want_sums
+    assert {r.member: r.partners for r in counted} == want_counts and {r.member: r.strength for r in counted} == want_sums
 
     best = sorted((-s, min(p), max(p)) for p, s in expected.items())
-    for k in (1, 50):
-        got = pairs.top_pairs(annotated, k).collect()
+    for k in (1, 50, 5000):
+        got = pairs.top_pairs(members, k, **limits).collect()
         assert sorted((-r.strength, r.low, r.high) for r in got) == best[:k]
 
     focus = spark.createDataFrame([(3,), (17,)], "member bigint")
@@ -74,7 +63,47 @@ def test_pairs_match_brute_force(spark, seed, followers, hub_size, max_hubs):
     assert got == {
         (f, b if a == f else a): s for (a, b), s in expected.items() for f in (3, 17) if f in (a, b)
     }
-    members.unpersist()
+
+
+def test_blocks_of_a_group_meet_each_other(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 7)
+    rows = _memberships(3, True)
+    members = spark.createDataFrame(rows, "grp string, member bigint, ord string, leads boolean")
+    assert {(r.first, r.second): r.strength for r in pairs.all_pairs(members).collect()} == _brute(rows)
+
+
+def test_bitmaps_over_many_stretches(spark, monkeypatch):
+    """Members 1, 2 and 70,000 are wide: their groups reach over three stretches of member numbers."""
+    rows = [("a", i) for i in range(0, 80_000, 2)] + [("b", i) for i in range(0, 80_000, 3)] + [("c", i) for i in (1, 2, 70_000, 79_999)]
+    members = spark.createDataFrame(rows, "grp string, member bigint").withColumn("ord", F.format_string("%06d", F.col("member")))
+    held = pairs.later_members(pairs.with_defaults(members))
+    wide = spark.createDataFrame([(1,), (2,), (70_000,)], "member bigint")
+    got = {r.member: r.partners for r in pairs.bitmap_partners(held, wide).collect() if r.kind is None}
+    groups = {g: {m for h, m in rows if h == g} for g in "abc"}
+    assert got == {m: len({x for s in groups.values() if m in s for x in s if x > m}) for m in (1, 2, 70_000)}
+
+
+def test_a_large_group_of_followers_lists_no_pair(spark):
+    """20,000 members of one group, half of which may not come first; a few share a second one."""
+    n = 20_000
+    members = spark.range(n).selectExpr("'g' AS grp", "id AS member", "format_string('%05d', id) AS ord", "id % 2 = 0 AS leads")
+    second = spark.range(0, n, 1000).selectExpr("'h' AS grp", "id AS member", "format_string('%05d', id) AS ord", "true AS leads")
+    found = pairs.partner_counts(members.union(second))
+    counted = {r.member: (r.partners, r.strength) for r in found.where("kind IS NULL").collect()}
+    assert counted == {i: (n - 1 - i, n - 1 - i + (19 - i // 1000 if i % 1000 == 0 else 0)) for i in range(0, n - 1, 2)}
+    top = pairs.top_pairs(members.union(second), 200)
+    rows = sorted((-r.strength, r.low, r.high) for r in top.collect())
+    twice = [(-2, a, b) for a in range(0, n, 1000) for b in range(a + 1000, n, 1000)]
+    assert rows == (twice + [(-1, 0, b) for b in range(1, n) if b % 1000])[:200]
+
+
+def test_first_rows_in_a_total_order(spark):
+    df = spark.range(5000).select((F.col("id") % 7).alias("a"), F.col("id").alias("b")).repartition(6)
+    want = sorted((-(i % 7), i) for i in range(5000))
+    for k in (1, 700, 1000, 5000, 9999):
+        got = sorted((-r.a, r.b) for r in pairs.first_rows(df, [F.desc("a"), F.col("b")], k).collect())
+        assert got == want[:k]
+    assert pairs.first_rows(df.where("false"), [F.col("b")], 5).count() == 0
 
 
 def test_rows_after_is_a_reverse_rank(spark):
@@ -83,33 +112,28 @@ def test_rows_after_is_a_reverse_rank(spark):
     assert got == {i: 499 - i for i in range(500)}
 
 
-def test_summaries_over_two_relationship_types(spark):
-    """Pairs may be listed for one type and meet only in a hub of the other."""
+@pytest.mark.parametrize("limits", LIMITS[:3])
+def test_summaries_over_two_relationship_types(spark, limits):
+    """Pairs may meet in groups of either kind or of both."""
     from agorakit.operators import networks
 
     kinds = {"WORKED_TOGETHER": 5, "STUDIED_TOGETHER": 6}
     rng = random.Random(9)
     order = {m: f"n{rng.random():.6f}" for m in range(40)}
-    strengths, listed, hubs = {}, [], []
+    strengths, found = {}, []
     for kind, seed in kinds.items():
-        rows = [(g, m, order[m], leads) for g, m, _, leads in _memberships(seed, False)]
+        rows = [(f"{kind}/{g}", m, order[m], leads) for g, m, _, leads in _memberships(seed, False)]
         for pair, s in _brute(rows).items():
             strengths[(kind, *pair)] = s
-        annotated = pairs.annotate(spark.createDataFrame(rows, "grp string, member bigint, ord string, leads boolean"), hub_size=4)
-        listed += [(r.first, r.second, kind, r.strength, r.hub_strength) for r in pairs.listed_pairs(annotated).collect()]
-        hubs += [(kind, r.member, r.ord, r.hubs) for r in pairs.hub_members(annotated).collect()]
-    relationships = spark.createDataFrame(
-        listed, "user_id long, related_user_id long, relationship_type string, relationship_strength long, hub_strength long"
-    )
-    members = spark.createDataFrame(hubs, "relationship_type string, user_id long, ord string, hubs array<string>")
-    assert len(listed) < len(strengths)
+        found += [(kind, *r) for r in rows]
+    members = spark.createDataFrame(found, "kind string, grp string, member long, ord string, leads boolean").withColumn("label", F.col("grp"))
 
     people = spark.range(40).select(
         F.col("id").alias("user_id"), *[F.lit("x").alias(c) for c in ("email", "first_name", "last_name")],
         F.lit(None).cast("timestamp").alias("deleted_at"),
     )
-    found = {r.user_id: r for r in networks.top_connected(people, relationships, members).collect()}
-    summary = {r.user_id: r for r in networks.connection_summary(relationships, members).collect()}
+    found = {r.user_id: r for r in networks.top_connected(people, members, **limits).collect()}
+    summary = {r.user_id: r for r in networks.connection_summary(members, **limits).collect()}
     for user in range(40):
         mine = {(k, b): s for (k, a, b), s in strengths.items() if a == user}
         assert found[user].connection_count == len({b for _, b in mine})
@@ -125,9 +149,16 @@ def test_summaries_over_two_relationship_types(spark):
         best[key] = (max(top, s), worked or kind == "WORKED_TOGETHER")
     want = sorted((-10.0 * s, a, b, worked) for (a, b), (s, worked) in best.items())
     for k in (20, 400):
-        got = networks.connection_recommendations(relationships, members, k=k).collect()
-        rows = sorted((-r.recommendation_score, r.user_id, r.recommended_user_id, r.recommendation_reason == networks.REASON_WORKED) for r in got)
+        got = networks.connection_recommendations(members, k=k, **limits)
+        rows = sorted((-r.recommendation_score, r.user_id, r.recommended_user_id, r.recommendation_reason == networks.REASON_WORKED) for r in got.collect())
         assert rows == want[:k]
+    named = networks.recommendation_context(got, members).collect()
+    groups = {}
+    for r in members.collect():
+        groups.setdefault(r.member, set()).add(r.grp)
+    for r in named:
+        both = groups[r.user_id] & groups[r.recommended_user_id]
+        assert r.common_companies == sorted(g for g in both if g.startswith("WORKED")) and r.common_schools == sorted(g for g in both if g.startswith("STUDIED"))
 
 
 def test_large_groups_in_row_form(spark):
