@@ -439,8 +439,9 @@ SQL["a2_orphan_filter_all"] = " UNION ALL ".join(
 SQL["a3_full_refresh"] = "SELECT id, person_id, company_id, created_at FROM fx_work WHERE deleted_at IS NULL"
 SQL["a4_upsert"] = """
 SELECT coalesce(o.id, c.c_custkey) AS id, o.version, CASE WHEN o.id IS NULL THEN c.c_acctbal ELSE o.amount END AS amount
-FROM (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c FULL JOIN (
-  SELECT o_custkey AS id, max(o_orderkey) AS version, arg_max(o_totalprice, o_orderkey) AS amount FROM orders GROUP BY 1) o ON o.id = c.c_custkey
+FROM customer c FULL JOIN (
+  SELECT CASE o_orderstatus WHEN 'O' THEN -o_custkey ELSE o_custkey END AS id, max(o_orderkey) AS version, arg_max(o_totalprice, o_orderkey) AS amount
+  FROM orders GROUP BY 1) o ON o.id = c.c_custkey
 """
 SQL["a5_json_text"] = """
 SELECT id, CAST(json_object('headline_description', headline_description, 'linked_in_url', linked_in_url, 'location_id', location_id) AS VARCHAR) AS profile

@@ -12,7 +12,7 @@ from agorakit.operators import cohorts, events, graph, kpis, networks, segments,
 from agorakit.operators.graph import STUDIED, WORKED
 from agorakit.sources.schemas import OWNERS
 from agorakit.sources.scans import keep_owned
-from agorakit.sources.sinks import missing_tables, write_full
+from agorakit.sources.sinks import missing_tables, read_full, write_full
 
 METRICS_SCHEMA = "step bigint, stage string, status string, rows bigint, seconds double, error string"
 
@@ -37,14 +37,14 @@ class Warehouse:
                 key, parent, parent_key = OWNERS[name]
                 return keep_owned(source, self[parent], key, parent_key)
             return source
-        return self.spark.read.parquet(self.path(name))
+        return read_full(self.spark, self.path(name))
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
     def store(self, name: str, df: DataFrame) -> int:
         rows = write_full(df, self.path(name), keep_old_if_empty=False)
-        self.written[name] = self.spark.read.schema(df.schema).parquet(self.path(name))
+        self.written[name] = read_full(self.spark, self.path(name), df.schema)
         return rows
 
 

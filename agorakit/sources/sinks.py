@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agorakit.sources.published import BUCKETS, KeyedTable, publish, read_published
+
 RUN_LOG_SCHEMA = (
     "extraction_type string, nodes_extracted bigint, relationships_extracted bigint, started_at timestamp, "
     "completed_at timestamp, status string, error_message string"
@@ -20,30 +21,14 @@ def write_full(
 ) -> int:
     """Replace the table at ``path`` and return the rows written. Empty input leaves old data unless told otherwise.
 
-    The frame is computed once, into a folder beside the table, and counted on the way. Only a whole new table takes the old one's place, so
-    a write that fails leaves the old one as it was.
+    Readers use ``read_full``: the new version is current once its pointer is written, and the one before stays whole until then.
     """
-    spark, path = df.sparkSession, path.rstrip("/")
-    new, old = (f"{path}.{name}-{uuid.uuid4().hex}" for name in ("new", "old"))
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(new)
-    rows = int(seen.get["rows"])
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not rows and keep_old_if_empty:
-        files.delete(at(new), True)
-        return 0
-    had = files.exists(at(path))
-    if had and not files.rename(at(path), at(old)):
-        raise OSError(f"{path} cannot be moved; the new table is at {new}")
-    if not files.rename(at(new), at(path)):
-        raise OSError(f"{new} cannot take its place; the old table is at {old}")
-    if had:
-        files.delete(at(old), True)
-    return rows
+    return publish(df, path, keep_old_if_empty=keep_old_if_empty, partition_by=partition_by, fmt=fmt)
+
+
+def read_full(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The current version of a table that ``write_full`` or ``refresh`` wrote."""
+    return read_published(spark, path, schema)
 
 
 def latest_per_key(incoming: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
@@ -64,12 +49,12 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order:
     return fresh.unionByName(current.join(fresh.select(*keys), list(keys), "left_anti"))
 
 
-def newest(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key: that with the largest ``order``, stored or incoming; of equals an incoming one. NULL is the smallest."""
-    rows = current.withColumn("_in", F.lit(0)).unionByName(incoming.withColumn("_in", F.lit(1)))
-    rest = [c for c in incoming.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, "_in")).alias("_row"))
-    return last.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in incoming.columns])
+def upsert_table(path: str, current: DataFrame, incoming: DataFrame, keys: Sequence[str], order: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Load ``current`` into a new keyed table, merge ``incoming`` into it, and return the table. Later loads merge into their buckets only."""
+    table = KeyedTable(path, keys, current.schema, order, buckets)
+    table.merge(current, 0)
+    table.merge(incoming, 1)
+    return table.read(current.sparkSession)
 
 
 def prune(current: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -86,12 +71,6 @@ def log_run(
     spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").parquet(path)
 
 
-def observed_write(df: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """Write a frame once and return the stored copy with its row count."""
-    rows = write_full(df, path, keep_old_if_empty=False)
-    return df.sparkSession.read.schema(df.schema).parquet(path), rows
-
-
 def refresh(build: Callable[[], DataFrame], path: str) -> int:
     """Recompute a derived table, replace the stored copy and return its row count."""
     return write_full(build(), path, keep_old_if_empty=False)

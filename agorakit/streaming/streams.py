@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from agorakit.sources.schemas import fixture_schema
-from agorakit.sources.sinks import newest, upsert
+from agorakit.sources.published import DayLog, KeyedTable
 
 
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int = 64) -> DataFrame:
@@ -30,88 +30,18 @@ def stream_daily_activity(stream: DataFrame) -> DataFrame:
     return stream.groupBy(F.to_date("ts").alias("metric_date"), "event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system of a path and the path, as Hadoop has them."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def committed(spark: SparkSession, path: str) -> list[int]:
-    """The batches whose folder was written to its end, in order."""
-    files, at = _files(spark, f"{path.rstrip('/')}/batch=*/_SUCCESS")
-    found = files.globStatus(at) or []
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
-
-
-class PairLog:
-    """Distinct rows of a stream. Each batch adds a folder with the rows that no earlier batch has.
-
-    A batch that runs again reads the batches before it and writes its own folder anew, so the result is the same.
-    """
-
-    def __init__(self, path: str, schema):
-        self.path, self.schema = path.rstrip("/"), schema
-
-    def _of(self, spark: SparkSession, batches: list[int]) -> DataFrame:
-        if not batches:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(*[f"{self.path}/batch={b}" for b in batches])
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        spark, names = batch.sparkSession, batch.columns
-        before = self._of(spark, [b for b in committed(spark, self.path) if b < batch_id])
-        # Null values are values, so rows are told apart null-safely.
-        match = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in names]
-        new = batch.distinct().alias("n").join(before.alias("o"), match, "left_anti")
-        new.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self._of(spark, committed(spark, self.path))
-
-
 def stream_daily_users(stream: DataFrame, path: str, *, checkpoint: str) -> DataFrame:
     """Exact distinct users per day over all available input, open days and late rows included.
 
-    One row per (user, day) is kept in the shared folder. A run without new input gives the same result.
+    One row per (user, day) is kept in the shared folder. A batch reads the stored rows of its own days only, whatever the order of files, and
+    a run without new input gives the same result.
     """
     pairs = stream.select("user_id", F.to_date("ts").alias("metric_date"))
-    log = PairLog(path, pairs.schema)
+    log = DayLog(path, pairs.schema, "metric_date")
     _run(pairs, log.merge, checkpoint, "append")
     return log.read(stream.sparkSession).groupBy("metric_date").agg(F.count("user_id").alias("dau"))
 
 
-class UpsertTable:
-    """A table kept by micro-batches, each of which merges into the version before it.
-
-    Each batch writes a folder of its own from the last folder that was written to its end, so a batch that runs again starts from
-    the same input and gives the same result, and readers see whole versions only. Of the older versions one is kept.
-
-    With ``order`` the row with the largest value of it stays, whether it is stored or comes in (of equals the one that comes in); without, the row that
-    comes in.
-    """
-
-    def __init__(self, path: str, keys: Sequence[str], schema, order: str | None = None):
-        self.path, self.keys, self.schema, self.order = path.rstrip("/"), list(keys), schema, order
-
-    def _of(self, spark: SparkSession, batches: list[int]) -> DataFrame:
-        if not batches:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(f"{self.path}/batch={batches[-1]}")
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = [b for b in committed(spark, self.path) if b < batch_id]
-        current = self._of(spark, before)
-        merged = upsert(current, batch, self.keys) if self.order is None else newest(current, batch, self.keys, self.order)
-        merged.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-        for old in before[:-1]:
-            files, at = _files(spark, f"{self.path}/batch={old}")
-            files.delete(at, True)
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self._of(spark, committed(spark, self.path))
-
-
 def _run(stream: DataFrame, merge, checkpoint: str, mode: str) -> StreamingQuery:
     """Process what is available now."""
     query = (
@@ -124,7 +54,10 @@ def _run(stream: DataFrame, merge, checkpoint: str, mode: str) -> StreamingQuery
 def run_to_table(
     stream: DataFrame, path: str, keys: Sequence[str], *, checkpoint: str, order: str | None = None, mode: str = "append"
 ) -> DataFrame:
-    """Merge a stream's available input into a keyed table and return its last whole version, also if nothing came in."""
-    table = UpsertTable(path, keys, stream.schema, order)
+    """Merge a stream's available input into a keyed table and return its last whole version, also if nothing came in.
+
+    Each batch rewrites the buckets of its own keys.
+    """
+    table = KeyedTable(path, keys, stream.schema, order)
     _run(stream, table.merge, checkpoint, mode)
     return table.read(stream.sparkSession)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from agorakit.plans.catalog import warehouse
 from agorakit.plans.inputs import Inputs
 from agorakit.plans.pipeline import STAGES, Stage, run
-from agorakit.sources import scans, sinks
+from agorakit.sources import published, scans, sinks
 from agorakit.streaming import streams
 
 
@@ -13,10 +13,10 @@ def test_full_refresh_keeps_old_rows_when_empty(spark, tmp_path):
     path = str(tmp_path / "t")
     assert sinks.write_full(spark.range(3), path) == 3
     assert sinks.write_full(spark.range(0), path) == 0
-    assert spark.read.parquet(path).count() == 3
+    assert sinks.read_full(spark, path).count() == 3
     assert sinks.write_full(spark.range(2), path) == 2
     assert sinks.write_full(spark.range(0), path, keep_old_if_empty=False) == 0
-    assert spark.read.schema("id long").parquet(path).count() == 0
+    assert sinks.read_full(spark, path, "id long").count() == 0
 
 
 def test_upsert_last_row_wins_and_prune(spark):
@@ -56,7 +56,7 @@ def test_whole_refresh(spark, sf_dir, tmp_path):
     got = {r.stage: r for r in metrics.collect()}
     assert status == 0, [(r.stage, r.error) for r in got.values() if r.error]
     assert set(got) == {s.name for s in STAGES}
-    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    read = lambda name: sinks.read_full(spark, str(tmp_path / name))
     daily, monthly, people = read("daily_metrics"), read("monthly_metrics"), read("unified_users")
     assert daily.agg(F.sum("posts_created")).first() == monthly.agg(F.sum("total_posts")).first()
     assert people.groupBy("user_lifecycle_stage").count().agg(F.sum("count")).first()[0] == people.count()
@@ -113,7 +113,7 @@ def test_streams_do_not_depend_on_the_order_of_files(spark, tmp_path):
 
 def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     schema = "id int, v int"
-    table = streams.UpsertTable(str(tmp_path / "t"), ["id"], spark.createDataFrame([], schema).schema, "v")
+    table = published.KeyedTable(str(tmp_path / "t"), ["id"], spark.createDataFrame([], schema).schema, "v")
     first, second = spark.createDataFrame([(1, 5)], schema), spark.createDataFrame([(1, 3), (2, 2)], schema)
     assert table.read(spark).count() == 0
     for batch, batch_id in ((first, 0), (second, 1), (second, 1)):
@@ -128,9 +128,97 @@ def test_a_failed_full_refresh_keeps_the_old_table(spark, tmp_path):
     assert sinks.write_full(spark.range(3), path) == 3
     with pytest.raises(Exception):
         sinks.write_full(spark.range(3).selectExpr("CAST(assert_true(id < 2) IS NULL AS bigint) AS id"), path)
-    assert spark.read.parquet(path).count() == 3
-    assert sinks.write_full(spark.range(0), path) == 0 and spark.read.parquet(path).count() == 3
-    assert sinks.write_full(spark.range(0), path, keep_old_if_empty=False) == 0 and spark.read.parquet(path).count() == 0
+    assert sinks.read_full(spark, path).count() == 3
+    assert sinks.write_full(spark.range(0), path) == 0 and sinks.read_full(spark, path).count() == 3
+    assert sinks.write_full(spark.range(0), path, keep_old_if_empty=False) == 0 and sinks.read_full(spark, path).count() == 0
+
+
+def test_a_writer_that_dies_between_steps_leaves_a_whole_table(spark, tmp_path, monkeypatch):
+    import pytest
+
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_full(spark, path)
+    for n in (3, 4, 5):
+        assert sinks.write_full(spark.range(n), path) == n
+    reader = sinks.read_full(spark, path)
+    names = lambda: sorted(p.name for p in (tmp_path / "t" / "versions").iterdir())
+    assert len(names()) == published.KEPT
+    real = published.Pointers.set
+
+    def dies(self, number, said):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(published.Pointers, "set", dies)  # after the data, before the pointer
+    with pytest.raises(RuntimeError):
+        sinks.write_full(spark.range(6), path)
+    assert sinks.read_full(spark, path).count() == reader.count() == 5
+
+    def dies_within(self, number, said):
+        at = self._path(f"{self.folder}/{number:012d}.json")
+        out = self.files.create(at, False)
+        out.write(bytearray(b'{"versi'))
+        out.close()
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(published.Pointers, "set", dies_within)  # within the pointer
+    with pytest.raises(RuntimeError):
+        sinks.write_full(spark.range(7), path)
+    assert sinks.read_full(spark, path).count() == 5
+    monkeypatch.setattr(published.Pointers, "set", real)
+    assert sinks.write_full(spark.range(8), path) == 8 and sinks.read_full(spark, path).count() == 8
+
+
+def test_one_key_changes_one_bucket(spark, tmp_path):
+    schema = "id long, v long"
+    table = published.KeyedTable(str(tmp_path / "t"), ["id"], spark.createDataFrame([], schema).schema, "v", buckets=8)
+    files = lambda: {str(p.relative_to(tmp_path)): p.stat().st_mtime_ns for p in (tmp_path / "t" / "versions").rglob("*.parquet")}
+    assert len(table.merge(spark.range(1000).selectExpr("id", "0L AS v"), 0)) == 8
+    before = files()
+    (bucket,) = table.merge(spark.createDataFrame([(17, 5)], schema), 1)
+    added = {f: t for f, t in files().items() if f not in before}
+    assert added and all(f"batch=1/_bucket={bucket}/" in f for f in added) and before.items() <= files().items()
+    want = [(i, 5 if i == 17 else 0) for i in range(1000)]
+    for _ in range(2):  # a replay changes nothing
+        assert table.merge(spark.createDataFrame([(17, 9)], schema), 1) == []
+        assert sorted(tuple(r) for r in table.read(spark).collect()) == want
+    for k in range(2, 6):
+        table.merge(spark.createDataFrame([(17, k + 10), (None, k)], schema), k)
+    assert sorted((tuple(r) for r in table.read(spark).collect()), key=str) == sorted([(i, 15 if i == 17 else 0) for i in range(1000)] + [(None, 5)], key=str)
+    assert sum(f"_bucket={bucket}/" in f for f in files()) <= published.KEPT * 8  # what no pointer names is gone
+
+
+def test_a_batch_that_died_before_its_pointer_runs_again(spark, tmp_path, monkeypatch):
+    import pytest
+
+    schema = "id long, v long"
+    table = published.KeyedTable(str(tmp_path / "t"), ["id"], spark.createDataFrame([], schema).schema, "v", buckets=4)
+    table.merge(spark.createDataFrame([(1, 1), (2, 1)], schema), 0)
+    real = published.Pointers.set
+    monkeypatch.setattr(published.Pointers, "set", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        table.merge(spark.createDataFrame([(1, 2), (3, 2)], schema), 1)
+    assert sorted(tuple(r) for r in table.read(spark).collect()) == [(1, 1), (2, 1)]
+    monkeypatch.setattr(published.Pointers, "set", real)
+    table.merge(spark.createDataFrame([(1, 2), (3, 2)], schema), 1)
+    assert sorted(tuple(r) for r in table.read(spark).collect()) == [(1, 2), (2, 1), (3, 2)]
+
+
+def test_a_batch_reads_its_own_days_only(spark, tmp_path):
+    schema = spark.createDataFrame([], "user_id long, day date").schema
+    log = published.DayLog(str(tmp_path / "log"), schema, "day", most=3)
+    rows = lambda *found: spark.createDataFrame(found, "user_id long, day string").selectExpr("user_id", "CAST(day AS date) AS day")
+    assert log.merge(rows((1, "2024-01-01"), (2, "2024-01-02"), (2, "2024-01-02")), 0) == []
+    assert log.merge(rows((9, "2024-01-03"), (None, "2024-01-03"), (5, None)), 1) == []
+    assert log.merge(rows((2, "2024-01-02"), (3, "2024-01-02")), 2) == ["batch=0/_part=2024-01-02"]  # late rows
+    assert log.merge(rows((3, "2024-01-02"), (4, "2024-01-02"), (None, "2024-01-03"), (5, None)), 3) and log.merge(rows((7, "2024-01-02")), 3) == []
+    want = [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02"), (4, "2024-01-02"), (5, None), (9, "2024-01-03"), (None, "2024-01-03")]
+    found = lambda: sorted(((r.user_id, r.day and str(r.day)) for r in log.read(spark).collect()), key=str)
+    assert found() == sorted(want, key=str)
+    assert len(log.merge(rows((8, "2024-01-02")), 4)) == 3  # three parts: written anew
+    said = published.Pointers(spark, str(tmp_path / "log")).current()[1]["days"]
+    assert said["2024-01-02"] == {"batches": [4], "rows": 4} and said["2024-01-03"] == {"batches": [1], "rows": 2}
+    assert found() == sorted([*want, (8, "2024-01-02")], key=str)
 
 
 def test_a_cluster_must_name_a_shared_folder():
