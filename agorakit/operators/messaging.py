@@ -91,15 +91,18 @@ def inbox(
 def thread(
     messages: DataFrame, persons: DataFrame, reads: DataFrame, reactions: DataFrame, attachments: DataFrame, reader: str
 ) -> DataFrame:
-    """Messages with sender name, the reader's read flag, reaction counts by type and the first attachment.
+    """Messages with status and times, sender name, the reader's read flag, reaction counts by type and the first attachment.
+
+    The name of an attached file is a member of its JSON metadata; text that is no JSON, and JSON without a name, give none.
 
     Who reacted is in ``reactions`` itself, row by row; here is one count for each of the few types.
     """
     mine = reads.where(F.col("person_id") == reader).select(F.col("message_id").alias("id"), F.lit(True).alias("_read")).distinct()
     by_type = reactions.groupBy(F.col("message_id").alias("id"), F.col("reaction_type").alias("reaction")).agg(F.count(F.lit(1)).alias("n"))
     reacted = by_type.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("reaction", "n"))).alias("reactions"), F.sum("n").alias("reaction_count"))
+    file_name = F.try_variant_get(F.try_parse_json("metadata"), "$.file_name", "string").alias("file_name")
     first = attachments.groupBy(F.col("message_id").alias("id")).agg(
-        F.min_by(F.struct("storage_key", "mime_type"), "id").alias("_file")
+        F.min_by(F.struct("storage_key", "mime_type", "file_size_bytes", file_name), "id").alias("_file")
     )
     senders = persons.select(F.col("id").alias("sender_id"), full_name().alias("sender_name"))
     nothing = F.expr("cast(array() as array<struct<reaction:string,n:bigint>>)")
@@ -110,10 +113,10 @@ def thread(
         .join(reacted, "id", "left")
         .join(first, "id", "left")
         .select(
-            "id", "conversation_id", "sender_id", "body", "message_type", "created_at", "sender_name",
+            "id", "conversation_id", "sender_id", "body", "message_type", "status", "created_at", "updated_at", "sender_name",
             F.coalesce("_read", F.lit(False)).alias("is_read"), counts.alias("reactions"),
             F.coalesce("reaction_count", F.lit(0)).cast("bigint").alias("reaction_count"),
-            F.col("_file.storage_key").alias("storage_key"), F.col("_file.mime_type").alias("mime_type"),
+            *[F.col(f"_file.{c}").alias(c) for c in ("storage_key", "mime_type", "file_size_bytes", "file_name")],
         )
     )
 

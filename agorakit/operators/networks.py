@@ -193,35 +193,38 @@ def _distinct_count(rows: DataFrame, keys: list[str], value: str, out: str) -> D
     return present.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias(out))
 
 
-def _leading_names(
-    overlaps: DataFrame, keys: list[str], name: str, out: str, n: int, by_count: bool
-) -> DataFrame:
+def _leading_names(met: DataFrame, name: str, out: str, n: int, by_count: bool) -> DataFrame:
     """Names among overlapping groups, largest group first.
 
     The published rule takes the first ``n`` names in alphabetical order and then sorts those by count;
     ``by_count=True`` picks the ``n`` with the highest counts instead.
     """
-    sizes = overlaps.where(F.col(name).isNotNull()).groupBy(*keys, name).agg(F.max("user_count").alias("_size"))
+    sizes = met.where(F.col(name).isNotNull()).groupBy("_key", name).agg(F.max("user_count").alias("_size"))
     order = [F.desc("_size"), F.col(name)] if by_count else [F.col(name)]
-    kept = sizes.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_place") <= n)
+    kept = sizes.withColumn("_place", F.row_number().over(Window.partitionBy("_key").orderBy(*order))).where(F.col("_place") <= n)
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("_size")).alias("size"), F.col(name).alias("name"))))
-    return kept.groupBy(*keys).agg(F.transform(ranked, lambda x: x["name"]).alias(out))
+    return kept.groupBy("_key").agg(F.transform(ranked, lambda x: x["name"]).alias(out))
 
 
-def _overlapping_groups(members: DataFrame, companies: DataFrame, keys: list[str]) -> DataFrame:
-    """(group, company, role) triples that share a user, with the size of the (company, role) group.
+def _meetings(members: DataFrame, companies: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Numbered groups (_key, keys), and the companies and roles of their members: (_key, company_id, company_name, role_id, role_title, user_count).
 
-    Exploded memberships meet on the user and collapse at once; array overlap would compare every pair of groups.
+    Memberships meet on the user under the number of the group alone; array overlap would compare every pair of groups. user_count is the size of
+    the (company, role) group. What takes the most or the distinct of these rows needs no distinct rows.
     """
     group = ["company_id", "company_name", "role_id", "role_title"]
     sizes = companies.groupBy(*group).agg(F.count(F.lit(1)).alias("user_count"))
-    met = (
-        members.select(*keys, "user_id").distinct()
-        .join(companies, "user_id")
-        .select(*keys, *group)
-        .distinct()
-    )
-    return null_safe_join(met, sizes, group)
+    staff = null_safe_join(companies, sizes, group)
+    numbered = cut(members.select(*keys).distinct().withColumn("_key", F.monotonically_increasing_id()), "group-numbers")
+    mine = null_safe_join(members.select(*keys, "user_id").distinct(), numbered, keys).select("_key", "user_id")
+    return numbered, cut(mine.join(staff, "user_id").drop("user_id"), "meetings")  # read once for each list
+
+
+def _with_lists(result: DataFrame, numbered: DataFrame, keys: list[str], lists: list[DataFrame]) -> DataFrame:
+    extras = numbered
+    for extra in lists:
+        extras = extras.join(extra, "_key", "left")
+    return null_safe_join(result, extras.drop("_key"), keys, "left")
 
 
 def location_based_networks(
@@ -229,15 +232,13 @@ def location_based_networks(
 ) -> DataFrame:
     """Users per location with the diversity of their companies and roles and two lists of names."""
     keys = ["location_id", "country"]
-    overlaps = cut(_overlapping_groups(members, companies, keys), "overlaps")  # read once for each list
-    result = listed(members, keys, "user_id", "user_count")
-    for extra in (
-        _distinct_count(overlaps, keys, "company_id", "company_diversity_score"),
-        _distinct_count(overlaps, keys, "role_id", "role_diversity_score"),
-        _leading_names(overlaps, keys, "company_name", "top_companies", n, by_count),
-        _leading_names(overlaps, keys, "role_title", "top_roles", n, by_count),
-    ):
-        result = null_safe_join(result, extra, keys, "left")
+    numbered, met = _meetings(members, companies, keys)
+    result = _with_lists(listed(members, keys, "user_id", "user_count"), numbered, keys, [
+        _distinct_count(met, ["_key"], "company_id", "company_diversity_score"),
+        _distinct_count(met, ["_key"], "role_id", "role_diversity_score"),
+        _leading_names(met, "company_name", "top_companies", n, by_count),
+        _leading_names(met, "role_title", "top_roles", n, by_count),
+    ])
     return result.fillna(0.0, ["company_diversity_score", "role_diversity_score"])
 
 
@@ -246,13 +247,11 @@ def alumni_networks(
 ) -> DataFrame:
     """Alumni per (school, degree) with their companies and roles; a missing degree reads ``ALL``."""
     keys = ["school_id", "school_name", "degree_id", "degree_name"]
-    overlaps = cut(_overlapping_groups(members, companies, keys), "overlaps")  # read once for each list
-    result = education_networks(members)
-    for extra in (
-        _leading_names(overlaps, keys, "company_name", "current_companies", n, by_count),
-        _leading_names(overlaps, keys, "role_title", "current_roles", n, by_count),
-    ):
-        result = null_safe_join(result, extra, keys, "left")
+    numbered, met = _meetings(members, companies, keys)
+    result = _with_lists(education_networks(members), numbered, keys, [
+        _leading_names(met, "company_name", "current_companies", n, by_count),
+        _leading_names(met, "role_title", "current_roles", n, by_count),
+    ])
     return result.withColumn("degree_id", F.coalesce("degree_id", F.lit("ALL"))).withColumnRenamed("user_count", "alumni_count")
 
 

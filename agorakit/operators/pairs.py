@@ -117,10 +117,16 @@ def shared_sets(held: DataFrame, *, degree: int = DEGREE, most_shared: int = MOS
         F.forall("_set", lambda g: g["leads"]).alias("leads"), F.when(F.size(kinds) == 1, F.get(kinds, F.lit(0))).alias("kind"), F.lit(False).alias("wide"),
     ), "shared-sets")
     wide = cut(wide, "wide-members")
-    wide_rows = rows.join(wide, "member", "left_semi")
-    found = narrow.select("key", "level", "kind").distinct().withColumn("grp", F.explode("key")).join(wide_rows.drop("kind"), "grp")
-    inside = found.groupBy("key", "level", "kind", "member").agg(F.min("ord").alias("ord"), F.every("leads").alias("leads"), F.count(F.lit(1)).alias("_n")).where("_n = level")
-    return narrow.unionByName(inside.drop("_n").withColumn("wide", F.lit(True))), wide
+    wide_rows = rows.join(wide, "member", "left_semi").select("grp", "member", "ord", "leads")
+    # Wide members of a set are looked for in that of its groups which has the fewest of them.
+    few = wide_rows.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
+    ends = narrow.select("key", "level", "kind").distinct().withColumn("grp", F.explode("key")).join(few, "grp")
+    rarest = ends.groupBy("key", "level", "kind").agg(F.min_by("grp", "_n").alias("grp"), F.count(F.lit(1)).alias("_of")).where("_of = level")
+    maybe = rarest.join(wide_rows.select("grp", "member"), "grp").select("key", "level", "kind", "member", F.explode("key").alias("grp"))
+    inside = maybe.join(wide_rows, ["grp", "member"]).groupBy("key", "level", "kind", "member").agg(
+        F.min("ord").alias("ord"), F.every("leads").alias("leads"), F.count(F.lit(1)).alias("_of"),
+    ).where("_of = level").drop("_of")
+    return cut(narrow.unionByName(inside.withColumn("wide", F.lit(True))), "all-sets"), wide
 
 
 def _bits_before(bits: Column, at: Column) -> Column:

@@ -13,7 +13,7 @@ from agorakit.functions.exprs import hex_key
 from agorakit.operators import cohorts, events, graph, graphprofile, kpis, messaging, networks, segments, users
 from agorakit.operators.graph import STUDIED, WORKED
 from agorakit.plans.inputs import AS_OF, Inputs
-from agorakit.plans.pipeline import STAGES, Warehouse, run
+from agorakit.plans.pipeline import STAGES, STAGING_STAGES, Warehouse, run
 from agorakit.session import scratch_path
 from agorakit.sources import scans, sinks
 from agorakit.streaming import streams
@@ -195,7 +195,9 @@ def warehouse(i: Inputs, root: str) -> Warehouse:
 @_query("a15_stage_runner")
 def _(i: Inputs) -> DataFrame:
     wanted = ["unified_users", "glossary_terms", "activity_events", "daily_metrics", "user_engagement_levels"]
-    metrics, _ = run(warehouse(i, scratch_path(i.spark, "warehouse")), STAGES, only=wanted)
+    held = warehouse(i, scratch_path(i.spark, "warehouse"))
+    staging = [s for s in STAGING_STAGES if s.needs[0] in held.sources]
+    metrics, _ = run(held, [*staging, *STAGES], only=[*[s.name for s in staging], *wanted], together=4)
     return metrics.select("stage", "status", "rows")
 
 

@@ -483,6 +483,15 @@ SQL["a15_stage_runner"] = " UNION ALL ".join(
     for stage, table in (
         ("unified_users", "o_users"), ("activity_events", "o_all_owned_events"), ("daily_metrics", "o_dates"),
         ("user_engagement_levels", "o_std"), ("glossary_terms", "o_terms"),
+        ("staging_persons", "(SELECT * FROM fx_persons WHERE deleted_at IS NULL) p"), ("staging_social_persons", "fx_engagement_persons"),
+        *[(f"staging_{name}", f"(SELECT c.* FROM {view} c SEMI JOIN {owners} o ON CAST(o.id AS VARCHAR) = CAST(c.{key} AS VARCHAR) WHERE c.deleted_at IS NULL) s")
+          for name, view, key, owners in (
+              *[(name, view, key, "(SELECT * FROM fx_persons WHERE deleted_at IS NULL)") for name, view, key in (
+                  ("experiences", "fx_work", "person_id"), ("education", "fx_study", "person_id"), ("collections", "fx_collections", "person_id"),
+                  ("query_votes", "fx_votes", "voter_id"), ("view_access", "fx_views", "person_id"))], ("posts", "fx_posts", "person_id", "fx_engagement_persons"),
+              ("comments", "fx_comments", "person_id", "fx_engagement_persons"), ("group_members", "fx_group_members", "person_id", "fx_engagement_persons"),
+              ("mentions", "fx_mentions", "mentioned_person_id", "fx_engagement_persons"))],
+        ("staging_glossary", "fx_glossary"), ("staging_graph_nodes", "fx_nodes"), ("staging_graph_edges", "fx_edges"),
     )
 )
 PARTS["o_terms"] = """
@@ -742,12 +751,14 @@ LEFT JOIN (SELECT DISTINCT company_id, role_title FROM o_company WHERE role_titl
 
 SQL["h1_inbox"] = "SELECT * FROM o_inbox"
 SQL["h2_thread"] = f"""
-SELECT m.id, m.conversation_id, m.sender_id, m.body, m.message_type, m.created_at, s.first_name || ' ' || s.last_name AS sender_name,
+SELECT m.id, m.conversation_id, m.sender_id, m.body, m.message_type, m.status, m.created_at, m.updated_at, s.first_name || ' ' || s.last_name AS sender_name,
   EXISTS (SELECT 1 FROM fx_message_reads r WHERE r.message_id = m.id AND r.person_id = '{READERS[0]}') AS is_read,
   coalesce((SELECT string_agg(k || ':' || n, ',' ORDER BY k) FROM (SELECT x.reaction_type AS k, count(*) AS n FROM fx_reactions x WHERE x.message_id = m.id GROUP BY 1)), '') AS reactions,
   (SELECT count(*) FROM fx_reactions x WHERE x.message_id = m.id) AS reaction_count,
   (SELECT arg_min(a.storage_key, a.id) FROM fx_attachments a WHERE a.message_id = m.id) AS storage_key,
-  (SELECT arg_min(a.mime_type, a.id) FROM fx_attachments a WHERE a.message_id = m.id) AS mime_type
+  (SELECT arg_min(a.mime_type, a.id) FROM fx_attachments a WHERE a.message_id = m.id) AS mime_type,
+  (SELECT arg_min(a.file_size_bytes, a.id) FROM fx_attachments a WHERE a.message_id = m.id) AS file_size_bytes,
+  (SELECT json_extract_string(arg_min(coalesce(a.metadata, '{{}}'), a.id), '$.file_name') FROM fx_attachments a WHERE a.message_id = m.id) AS file_name
 FROM fx_messages m JOIN fx_chat_people s ON s.id = m.sender_id
 """
 SQL["h2_reactions"] = "SELECT message_id, person_id, reaction_type FROM fx_reactions"

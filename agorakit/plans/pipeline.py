@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from agorakit.operators import cohorts, events, graph, kpis, networks, segments, users
 from agorakit.operators.graph import STUDIED, WORKED
 from agorakit.sources.schemas import OWNERS
-from agorakit.sources.scans import keep_owned
+from agorakit.sources.published import is_published
+from agorakit.sources.scans import keep_owned, scan_active
 from agorakit.sources.sinks import missing_tables, read_full, write_full
 
 METRICS_SCHEMA = "step bigint, stage string, status string, rows bigint, seconds double, error string"
@@ -168,31 +170,87 @@ STAGES: tuple[Stage, ...] = (
 )
 
 
+STAGED = tuple(f"staging_{name}" for name in ("persons", "social_persons", *OWNERS, "glossary", "graph_nodes", "graph_edges"))
+
+
+def _stage_source(name: str) -> Callable[[Warehouse], DataFrame]:
+    """A source as it is kept: rows that are not deleted, and of child tables those with a kept owner."""
+
+    def build(w: Warehouse) -> DataFrame:
+        source = w.sources[name]
+        if "deleted_at" not in source.columns:
+            return source
+        rows = scan_active(source, source.columns)
+        if name not in OWNERS:
+            return rows
+        key, parent, parent_key = OWNERS[name]
+        return keep_owned(rows, w[f"staging_{parent}"], key, parent_key)
+
+    return build
+
+
+#: One stage for each source; child tables come after their parents.
+STAGING_STAGES: tuple[Stage, ...] = tuple(
+    Stage(s, _stage_source(name), (name, *([f"staging_{OWNERS[name][1]}"] if name in OWNERS else [])))
+    for s in STAGED for name in [s.removeprefix("staging_")]
+)
+
+
+def ordered(stages: Sequence[Stage]) -> list[list[Stage]]:
+    """Stages in waves: each wave needs only what earlier waves write, so its stages are independent. A cycle raises an error."""
+    waiting, names, done, waves = list(stages), {s.name for s in stages}, set(), []
+    while waiting:
+        wave = [s for s in waiting if not (set(s.needs) & names) - done]
+        if not wave:
+            raise ValueError(f"stages need each other: {', '.join(s.name for s in waiting)}")
+        waves.append(wave)
+        done |= {s.name for s in wave}
+        waiting = [s for s in waiting if s not in wave]
+    return waves
+
+
 def run(
-    warehouse: Warehouse, stages: Sequence[Stage] = STAGES, only: Sequence[str] | None = None
+    warehouse: Warehouse, stages: Sequence[Stage] = STAGES, only: Sequence[str] | None = None, *, resume: bool = False, together: int = 1
 ) -> tuple[DataFrame, int]:
-    """Run stages in order and return their metrics and an exit status (0 if all went well).
+    """Run stages by their needs and return their metrics and an exit status (0 if all went well).
 
     A failed stage does not stop the run, but stages that need its table are skipped, as are stages whose source tables
-    are absent. ``only`` picks stages by name; what these need is read from the warehouse folder.
+    are absent. ``only`` picks stages by name; what these need is read from the warehouse folder. Up to ``together`` stages that do not
+    need each other run at once. The run log is kept in the warehouse; with ``resume`` a stage that the last log has as ok, and that needs
+    nothing that runs again, keeps its table and is logged as "kept".
     """
     known = {stage.name for stage in stages}
+    chosen = [s for s in stages if only is None or s.name in only]
+    log = warehouse.path("run_log")
+    before = {r.stage: r for r in read_full(warehouse.spark, log).collect()} if resume and is_published(warehouse.spark, log) else {}
     failed: set[str] = set()
-    rows = []
-    for step, stage in enumerate(s for s in stages if only is None or s.name in only):
+    again: set[str] = set()
+    rows: dict[str, tuple] = {}
+
+    def one(stage: Stage) -> tuple:
         started = time.monotonic()
+        last = before.get(stage.name)
+        if last is not None and last.status in ("ok", "kept") and not again.intersection(stage.needs):
+            return "kept", last.rows, 0.0, None
         absent = [n for n in stage.needs if n not in known and n not in warehouse.sources]
         absent = missing_tables(warehouse.spark, absent)
         broken = [n for n in stage.needs if n in failed]
         if absent or broken:
-            failed.add(stage.name)
-            rows.append((step, stage.name, "skipped", 0, 0.0, f"missing: {', '.join(absent + broken)}"))
-            continue
+            return "skipped", 0, 0.0, f"missing: {', '.join(absent + broken)}"
         try:
             count = warehouse.store(stage.name, stage.build(warehouse))
-            rows.append((step, stage.name, "ok", count, time.monotonic() - started, None))
+            return "ok", count, time.monotonic() - started, None
         except Exception as error:  # a stage may fail for any reason; the run goes on and reports it
-            failed.add(stage.name)
-            rows.append((step, stage.name, "failed", 0, time.monotonic() - started, str(error)[:500]))
-    metrics = warehouse.spark.createDataFrame(rows, METRICS_SCHEMA)
+            return "failed", 0, time.monotonic() - started, str(error)[:500]
+
+    with ThreadPoolExecutor(max(together, 1)) as pool:
+        for wave in ordered(chosen):
+            for stage, found in zip(wave, pool.map(one, wave)):
+                rows[stage.name] = found
+                if found[0] != "kept":
+                    again.add(stage.name)
+                if found[0] in ("failed", "skipped"):
+                    failed.add(stage.name)
+    metrics = warehouse.spark.createDataFrame([(step, s.name, *rows[s.name]) for step, s in enumerate(chosen)], METRICS_SCHEMA)
+    write_full(metrics, log, keep_old_if_empty=False)
     return metrics, int(bool(failed))

@@ -116,6 +116,8 @@ FROM supplier
 VIEWS["fx_messages"] = """
 SELECT conv_id * 100 + turn AS id, conv_id AS conversation_id, role || '-' || CAST(conv_id % 40 AS STRING) AS sender_id,
   text AS body, turn, CASE WHEN turn % 4 = 3 THEN 'FILE' ELSE 'TEXT' END AS message_type,
+  CASE turn % 5 WHEN 0 THEN 'EDITED' WHEN 1 THEN 'SENT' ELSE 'DELIVERED' END AS status,
+  CASE WHEN turn % 5 = 0 THEN TIMESTAMP '2024-01-02 00:00:00' + (conv_id * 60 + turn) * INTERVAL '1' MINUTE END AS updated_at,
   TIMESTAMP '2024-01-01 00:00:00' + (conv_id * 60 + turn) * INTERVAL '1' MINUTE AS created_at
 FROM conversations
 """
@@ -140,7 +142,8 @@ WHERE m.turn % 3 = 0
 
 VIEWS["fx_attachments"] = """
 SELECT id * 10 AS id, id AS message_id, 'k' || CAST(id AS STRING) AS storage_key,
-  CASE id % 4 WHEN 0 THEN 'image/png' WHEN 1 THEN 'video/mp4' WHEN 2 THEN 'audio/ogg' ELSE 'application/pdf' END AS mime_type
+  CASE id % 4 WHEN 0 THEN 'image/png' WHEN 1 THEN 'video/mp4' WHEN 2 THEN 'audio/ogg' ELSE 'application/pdf' END AS mime_type, id * 37 % 100000 AS file_size_bytes,
+  CASE id % 3 WHEN 0 THEN '{"file_name": "file ' || CAST(id AS STRING) || '.bin", "pages": 3}' WHEN 1 THEN '{"width": 640}' END AS metadata
 FROM fx_messages WHERE message_type = 'FILE'
 """
 
@@ -290,4 +293,5 @@ def with_clause(sql: str, views: dict[str, str] = VIEWS) -> str:
 def placeholders(sql: str) -> tuple[str, list[str]]:
     """``sql`` with its tables as ``{name}`` placeholders for ``spark.sql``, and their names."""
     pattern = re.compile(r"\b(FROM|JOIN)\s+([A-Za-z_]\w*)")
-    return pattern.sub(r"\1 {\2}", sql), sorted({m.group(2) for m in pattern.finditer(sql)})
+    plain = sql.replace("{", "{{").replace("}", "}}")
+    return pattern.sub(r"\1 {\2}", plain), sorted({m.group(2) for m in pattern.finditer(sql)})

@@ -137,10 +137,10 @@ def test_groups_of_any_size_have_the_same_shape(spark):
 
 
 def test_reaction_counts_of_any_size(spark):
-    message = spark.sql("SELECT 1L AS id, 1L AS conversation_id, 'a' AS sender_id, 'x' AS body, 'TEXT' AS message_type, current_timestamp() AS created_at")
+    message = spark.sql("SELECT 1L AS id, 1L AS conversation_id, 'a' AS sender_id, 'x' AS body, 'TEXT' AS message_type, 'SENT' AS status, current_timestamp() AS created_at, NULL AS updated_at")
     persons = spark.sql("SELECT 'a' AS id, 'A' AS first_name, 'B' AS last_name")
     reacted = spark.range(10_500).selectExpr("1L AS message_id", "CAST(id AS string) AS person_id", "if(id < 10, 'laugh', 'like') AS reaction_type")
-    none = spark.createDataFrame([], "message_id bigint, person_id string, id bigint, storage_key string, mime_type string")
+    none = spark.createDataFrame([], "message_id bigint, person_id string, id bigint, storage_key string, mime_type string, file_size_bytes bigint, metadata string")
     (row,) = messaging.thread(message, persons, none, reacted, none, "a").collect()
     assert [tuple(x) for x in row.reactions] == [("laugh", 10), ("like", 10_490)] and row.reaction_count == 10_500
 
@@ -203,9 +203,14 @@ def test_sample_conversation_has_one_unread_message(spark):
     assert (box["ana"].unread_count, box["bo"].unread_count) == (0, 1)
     assert box["bo"].other_name == "Ana A" and box["bo"].last_message_id == 13
     reactions = spark.createDataFrame([(13, "bo", "like")], "message_id long, person_id string, reaction_type string")
-    files = spark.createDataFrame([], "id long, message_id long, storage_key string, mime_type string")
-    lines = {r.id: r for r in messaging.thread(messages, people, reads, reactions, files, "bo").collect()}
-    assert not lines[13].is_read and lines[13].reaction_count == 1 and lines[1].reactions == []
+    found = [(1, 2, "k", "a/b", 10, '{"file_name": "one.png", "size": [1, {"x": 2}]}'), (0, 2, "k0", "a/b", 11, '{"file_name": "first.png"}'),
+             (2, 3, "k", "a/b", 12, "no json"), (3, 4, "k", "a/b", 13, None), (4, 5, "k", "a/b", None, '{"file_name": null}')]
+    files = spark.createDataFrame(found, "id long, message_id long, storage_key string, mime_type string, file_size_bytes long, metadata string")
+    sent = messages.withColumns({"status": F.lit("SENT"), "updated_at": F.lit(None).cast("timestamp")})
+    lines = {r.id: r for r in messaging.thread(sent, people, reads, reactions, files, "bo").collect()}
+    assert not lines[13].is_read and lines[13].reaction_count == 1 and lines[1].reactions == [] and lines[1].status == "SENT"
+    assert {i: (lines[i].file_name, lines[i].file_size_bytes) for i in (1, 2, 3, 4, 5)} == {
+        1: (None, None), 2: ("first.png", 11), 3: (None, 12), 4: (None, 13), 5: (None, None)}
 
 
 def test_folder_log_request_keeps_the_level(spark):

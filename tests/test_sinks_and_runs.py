@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from agorakit.plans.catalog import warehouse
 from agorakit.plans.inputs import Inputs
-from agorakit.plans.pipeline import STAGES, Stage, run
+from agorakit.plans.pipeline import STAGES, STAGING_STAGES, Stage, ordered, run
 from agorakit.sources import published, scans, sinks
 from agorakit.streaming import streams
 
@@ -51,6 +51,42 @@ def test_runner_goes_on_after_a_failure_and_skips_dependants(spark, sf_dir, tmp_
     assert got == {"bad": ("failed", 0), "child": ("skipped", 0), "fine": ("ok", 4), "needs_absent": ("skipped", 0)}
 
 
+def test_a_failed_run_resumes(spark, sf_dir, tmp_path):
+    import pytest
+
+    built, fails = [], [True]
+
+    def stage(name, *needs):
+        def build(w):
+            built.append(name)
+            if name == "b" and fails[0]:
+                raise RuntimeError("no")
+            return spark.range(len(name) + len(needs))
+
+        return Stage(name, build, needs)
+
+    stages = (stage("late", "b", "a"), stage("a"), stage("b", "a"), stage("other"))  # in any order
+    assert [sorted(s.name for s in wave) for wave in ordered(stages)] == [["a", "other"], ["b"], ["late"]]
+    with pytest.raises(ValueError):
+        ordered([stage("x", "y"), stage("y", "x")])
+    statuses = lambda found: {r.stage: r.status for r in found.collect()}
+    metrics, status = run(warehouse(Inputs(spark, sf_dir), str(tmp_path)), stages, together=4)
+    assert status == 1 and statuses(metrics) == {"a": "ok", "b": "failed", "late": "skipped", "other": "ok"}
+    fails[0], built[:] = False, []
+    metrics, status = run(warehouse(Inputs(spark, sf_dir), str(tmp_path)), stages, resume=True)
+    assert status == 0 and built == ["b", "late"] and statuses(metrics) == {"a": "kept", "b": "ok", "late": "ok", "other": "kept"}
+    built.clear()
+    metrics, _ = run(warehouse(Inputs(spark, sf_dir), str(tmp_path)), stages, resume=True)
+    assert built == [] and {r.stage: r.rows for r in metrics.collect()} == {"a": 1, "b": 2, "late": 6, "other": 5}
+    run(warehouse(Inputs(spark, sf_dir), str(tmp_path)), stages)
+    assert sorted(built) == ["a", "b", "late", "other"]
+
+
+def test_staging_stages_come_after_their_owners():
+    waves = [{s.name for s in wave} for wave in ordered(STAGING_STAGES)]
+    assert {"staging_persons", "staging_social_persons", "staging_glossary"} <= waves[0] and {"staging_posts", "staging_experiences"} <= waves[1]
+
+
 def test_whole_refresh(spark, sf_dir, tmp_path):
     metrics, status = run(warehouse(Inputs(spark, sf_dir), str(tmp_path)))
     got = {r.stage: r for r in metrics.collect()}
