@@ -13,9 +13,10 @@ from agorakit.llm.common import text_of
 from agorakit.session import cut
 
 WORDS = 5
-#: One in SCALE shingles is kept, and the LEAST smallest hashes in any case, so that short documents have sketches too.
-SCALE = 32
-LEAST = 32
+#: One in SCALE shingles is kept: the threshold decides for all documents of some dozens of words. Only below LEAST hashes, in texts of about
+#: LEAST * SCALE words and fewer, the smallest hashes come in beside those below the threshold, so that short documents have sketches too.
+SCALE = 4
+LEAST = 8
 #: Stands for a null id while documents are in order.
 NO_ID = -(1 << 63)
 
