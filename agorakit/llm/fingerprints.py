@@ -5,6 +5,8 @@ Sketches of unequal documents are merged and compared without regard to their le
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -60,23 +62,27 @@ def _reach(s: Column, scale: int, least: int) -> Column:
     return F.when(F.size(s) < least, F.lit((1 << 63) - 1)).otherwise(F.greatest(F.array_max(s), F.lit(_limit(scale) - 1)))
 
 
-def _common(one: Column, other: Column, scale: int, least: int) -> tuple[Column, Column, Column]:
-    """How many hashes up to the lesser reach are in the one, the other, and both."""
+def _compared(one: Column, other: Column, scale: int, least: int, result: Callable[[Column, Column, Column], Column]) -> Column:
+    """A result from how many hashes up to the lesser reach are in the one, the other, and both."""
     reach = F.least(_reach(one, scale, least), _reach(other, scale, least))
-    a, b = (F.size(F.filter(s, lambda x: x <= reach)) for s in (one, other))
-    return a, b, F.size(F.filter(F.array_intersect(one, other), lambda x: x <= reach))
+
+    def counts(r: Column) -> Column:
+        a, b, both = (F.size(F.filter(s, lambda x: x <= r)) for s in (one, other, F.array_intersect(one, other)))
+        return F.struct(a.alias("a"), b.alias("b"), both.alias("both"))
+
+    # Arrays of one element, so that the reach and the counts are computed once and not for each hash.
+    return F.get(F.transform(F.transform(F.array(reach), counts), lambda c: result(c["a"], c["b"], c["both"])), F.lit(0))
 
 
 def likeness(one: Column, other: Column, scale: int = SCALE, least: int = LEAST) -> Column:
     """Estimated share of common shingles among all of both, 0 to 1. Two texts without a word are alike, one without is like none with."""
-    a, b, both = _common(one, other, scale, least)
-    return F.when(a + b == 0, (F.size(one) == F.size(other)).cast("double")).otherwise(both / (a + b - both))
+    same = (F.size(one) == F.size(other)).cast("double")
+    return _compared(one, other, scale, least, lambda a, b, both: F.when(a + b == 0, same).otherwise(both / (a + b - both)))
 
 
 def containment(one: Column, other: Column, scale: int = SCALE, least: int = LEAST) -> Column:
     """Estimated share of the one's shingles that the other has; 1 if the one has none, null if none of its hashes is within reach of both."""
-    a, _, both = _common(one, other, scale, least)
-    return F.when(F.size(one) == 0, F.lit(1.0)).when(a > 0, both / a)
+    return F.when(F.size(one) == 0, F.lit(1.0)).otherwise(_compared(one, other, scale, least, lambda a, b, both: F.when(a > 0, both / a)))
 
 
 def fingerprint(df: DataFrame, text: str = "text", out: str = "sketch", **options: int) -> DataFrame:
