@@ -9,16 +9,17 @@ file in the whole order is its base, a prefix sum over the files before it.
 from __future__ import annotations
 
 import gc
+import json
 import os
-import sys
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,45 +31,118 @@ from agorakit.session import cut, scratch_path
 
 MAGIC = b"TOKENIX1"
 HEADER = len(MAGIC) + 24
-KNOWN = 800_000
+KNOWN = 1_600_000
 KNOWN_LENGTH = 48
 ROWS = 256
 TOGETHER = 500
+#: Bytes of text that are encoded at once (or one text, if it is longer).
+TEXT_BYTES = 8 << 20
+#: The pattern of the tokenizer file that RUNS follows, on lower-case words of PLAIN letters, whose normal form they are.
+KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = "^[!-~À-ÖØ-öø-ÿ]*$"
+RUNS = "('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+)"
 MOST_READERS = 10_000
 END_ID = 2
 
 
+class Rows(NamedTuple):
+    """The ids of many entries, one after the other, and the number of ids of each."""
+
+    flat: np.ndarray
+    sizes: np.ndarray
+
+    def at(self, index: np.ndarray) -> Rows:
+        """The entries at these places."""
+        sizes, starts = self.sizes[index], np.cumsum(self.sizes) - self.sizes
+        before = np.cumsum(sizes) - sizes
+        return Rows(self.flat[np.repeat(starts[index] - before, sizes) + np.arange(sizes.sum())], sizes)
+
+    def joined(self, offsets: np.ndarray) -> Rows:
+        """Entries between neighbouring offsets as one entry each."""
+        return Rows(self.flat, np.diff(np.concatenate([np.zeros(1, np.int64), np.cumsum(self.sizes)])[offsets]))
+
+
 class WordTokenizer:
-    """A tokenizers file whose pre-tokenizer drops white space: words between spaces and line ends are encoded one by one and kept."""
+    """A tokenizers file whose pre-tokenizer drops white space: texts are split at spaces and line ends, equal words of a batch are coded once.
+
+    Words of PLAIN letters are split further by Arrow, into runs that the file's pattern never joins, if the file has the rules which that
+    split knows. A worker keeps the ids of runs; many new runs are encoded in one text, which the end-of-word mark of their last
+    tokens parts again. Other words are kept and encoded whole. NumPy puts ids of runs together to words, and those of words to texts.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.words = Recent(KNOWN)
+        rules, vocab = json.loads(self.tokenizer.to_str()), self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = 2 if len(vocab) <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+        self.added = [x["content"] for x in rules["added_tokens"]]
+        patterns = [x.get("pattern", {}).get("Regex") for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        lower = {"type": "Lowercase"} in (rules["normalizer"] or {}).get("normalizers", [])
+        mark = rules["model"].get("end_of_word_suffix")
+        self.by_runs = bool(mark) and lower and KNOWN_PATTERN in patterns
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        if mark:
+            self.last[[i for x, i in vocab.items() if x.endswith(mark)]] = True
+        self.words, self.runs = Recent(KNOWN), Recent(KNOWN)
 
-    def _encode(self, words: list[str]) -> Iterator[bytes]:
+    def _whole(self, words: list[str]) -> Iterator[bytes]:
         """Ids of each word; no offsets are asked for."""
-        kind = "H" if self.width == 2 else "I"
         for at in range(0, len(words), TOGETHER):
             for x in self.tokenizer.encode_batch_fast(words[at : at + TOGETHER], add_special_tokens=False):
-                ids = array(kind, x.ids)
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                yield ids.tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [x.replace("\n", " ").split(" ") for x in texts]
-        new = list(self.words.missing(set().union(*split)))
-        known = self.words.known
-        known.update(zip(new, self._encode(new)))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > KNOWN_LENGTH:
-                del known[word]
-        return out
+                yield np.array(x.ids, self.kind).tobytes()
+
+    def _together(self, runs: list[str]) -> Iterator[bytes]:
+        """Ids of each run, from texts of many."""
+        for at in range(0, len(runs), TOGETHER):
+            some = runs[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = (np.flatnonzero(self.last[ids]) + 1) * self.width
+            if len(ends) != len(some):  # an empty run among them
+                yield from self._whole(some)
+                continue
+            raw, first = ids.tobytes(), 0
+            for end in ends.tolist():
+                yield raw[first:end]
+                first = end
+
+    def _rows(self, strings: pa.Array, kept: Recent, ids_of: Callable[[list[str]], Iterator[bytes]]) -> Rows:
+        """The ids of strings, which are different ones."""
+        listed = strings.to_numpy(zero_copy_only=False).tolist()
+        new = list(kept.missing(set(listed)))
+        known = kept.known
+        known.update(zip(new, ids_of(new)))
+        each = list(map(known.__getitem__, listed))
+        for x in new:
+            if len(x) > KNOWN_LENGTH:
+                del known[x]
+        return Rows(np.frombuffer(b"".join(each), self.kind), np.fromiter(map(len, each), np.int64, len(each)) // self.width)
+
+    def _words(self, words: pa.Array) -> Rows:
+        """The ids of words, which are different ones."""
+        if not self.by_runs:
+            return self._rows(words, self.words, self._whole)
+        plain = pc.match_substring_regex(words, PLAIN)
+        for x in self.added:
+            plain = pc.and_not(plain, pc.match_substring(words, x))
+        runs = pc.split_pattern(pc.replace_substring_regex(pc.utf8_lower(words.filter(plain)), RUNS, r"\1 "), " ")
+        coded = runs.flatten().dictionary_encode()
+        split = self._rows(coded.dictionary, self.runs, self._together).at(coded.indices.to_numpy()).joined(runs.offsets.to_numpy())
+        whole = self._rows(words.filter(pc.invert(plain)), self.words, self._whole)
+        first = plain.to_numpy(zero_copy_only=False)
+        place = np.where(first, np.cumsum(first) - 1, len(split.sizes) + np.cumsum(~first) - 1)
+        return Rows(np.concatenate([split.flat, whole.flat]), np.concatenate([split.sizes, whole.sizes])).at(place)
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> Rows:
+        """The ids of all texts, with the end id behind each text if there is one."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        found = self._words(coded.dictionary).at(coded.indices.to_numpy()).joined(split.offsets.to_numpy())
+        if end_id is None:
+            return found
+        return Rows(np.insert(found.flat, np.cumsum(found.sizes), end_id), found.sizes + 1)
 
 
 @lru_cache(maxsize=2)
@@ -101,22 +175,23 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _tokenizer(tokenizer)
-        end = b"" if end_id is None else end_id.to_bytes(tool.width, "little")
         context = TaskContext.get()
         part = context.partitionId()
         final, mine = f"{at}/{part:06d}", f"{at}/{part:06d}.{context.taskAttemptId()}.tmp"
         ids, sizes, nulls, out = [], [], 0, None
         for batch in batches:
-            for first in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(first, ROWS)
+            bytes_to = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64) // TEXT_BYTES
+            firsts = np.flatnonzero(np.diff(bytes_to, prepend=-1)).tolist()
+            for first, last in zip(firsts, [*firsts[1:], batch.num_rows]):
+                rows = batch.slice(first, last - first)
                 if out is None:
                     os.makedirs(at, exist_ok=True)
                     out = open(f"{mine}.bin", "wb")
                 nulls += rows.column(0).null_count
                 ids.append(rows.column(0).fill_null(0).to_numpy())
-                found = [x + end for x in tool.encode(rows.column(1).to_pylist())]
-                sizes.append(np.array([len(x) // tool.width for x in found], np.uint64))
-                out.write(b"".join(found))
+                found = tool.encode(rows.column(1), end_id)
+                sizes.append(found.sizes.astype(np.uint64))
+                out.write(found.flat.tobytes())
         if out is not None:
             out.close()
             n = sum(map(len, ids))
