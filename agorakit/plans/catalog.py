@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorakit.functions.exprs import hex_key
-from agorakit.operators import cohorts, events, graph, graphprofile, kpis, messaging, networks, segments, users
+from agorakit.functions.exprs import hex_key, standard_population
+from agorakit.operators import cohorts, events, graph, graphprofile, kpis, messaging, networks, segments, users, usersets
 from agorakit.operators.graph import STUDIED, WORKED
 from agorakit.plans.inputs import AS_OF, Inputs
 from agorakit.plans.pipeline import STAGES, STAGING_STAGES, Warehouse, run
@@ -333,6 +333,26 @@ def _(i: Inputs) -> DataFrame:
     return kpis.retained_from_previous(i.events, SNAPSHOT_AS_OF)
 
 
+def _user_sets(i: Inputs) -> usersets.UserSets:
+    """Sets of all events from two loads; days 16 to 20 of each month come in both."""
+    store, day = usersets.UserSets(scratch_path(i.spark, "user-sets"), i.stored_events.schema["user_id"].dataType), F.dayofmonth("activity_date")
+    store.load(i.stored_events.where(day > 15), 0)
+    store.load(i.stored_events.where(day <= 20), 1)
+    return store
+
+
+@_query("m2_active_from_sets")
+def _(i: Inputs) -> DataFrame:
+    store = _user_sets(i)
+    months = usersets.within(usersets.by_month(store.read(i.spark)), store.population(standard_population(i.lazy_users)))
+    return usersets.sizes(months, "metric_month", "mau")
+
+
+@_query("m4_retained_by_month")
+def _(i: Inputs) -> DataFrame:
+    return usersets.retained_by_month(usersets.by_month(_user_sets(i).read(i.spark)))
+
+
 @_query("m5_monthly_metrics")
 def _(i: Inputs) -> DataFrame:
     daily = kpis.daily_metrics(i.lazy_users, i.stored_events, AS_OF)

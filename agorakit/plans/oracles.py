@@ -557,6 +557,13 @@ SQL["m1_monthly_rollup"] = "SELECT * EXCLUDE (sum_dau) REPLACE (round(avg_dau, 4
 SQL["m2_monthly_active"] = "SELECT * FROM o_mau"
 SQL["m3_monthly_activation"] = "SELECT * FROM o_activation"
 SQL["m4_retained_from_previous"] = _retained(SNAP_DAY)
+SQL["m2_active_from_sets"] = "SELECT metric_month, mau FROM o_mau"
+SQL["m4_retained_by_month"] = """
+WITH active AS (SELECT DISTINCT CAST(date_trunc('month', activity_date) AS DATE) AS metric_month, user_id FROM o_events)
+SELECT a.metric_month, count(b.user_id) AS retained_from_prev
+FROM active a LEFT JOIN active b ON b.user_id = a.user_id AND b.metric_month = CAST(a.metric_month - INTERVAL 1 MONTH AS DATE)
+GROUP BY 1
+"""
 SQL["m5_monthly_metrics"] = f"""
 WITH joined AS (SELECT r.*, m.mau, m.total_activities, a.cohort_users, a.activated_users, t.retained_from_prev,
     lag(r.total_users_end_of_month) OVER (ORDER BY r.metric_month) AS before_total, lag(m.mau) OVER (ORDER BY r.metric_month) AS before_mau
