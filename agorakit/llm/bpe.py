@@ -24,10 +24,11 @@ from pyspark.sql import types as T
 from agorakit.llm.arrow import Recent
 from agorakit.llm.common import fresh
 from agorakit.llm.flat import parts, sums_before
+from agorakit.llm.words import Rows, by_runs, by_words, known_rules, of_strings
 
-KNOWN, KNOWN_LENGTH = 200_000, 48
+KNOWN, KNOWN_RUNS, KNOWN_LENGTH = 200_000, 500_000, 48
 #: Bytes of text that are encoded at once.
-MOST_BYTES = 1 << 20
+MOST_BYTES = 4 << 20
 #: Words that are encoded together.
 TOGETHER = 5_000
 NONE = np.int64(1) << 62
@@ -103,7 +104,7 @@ class Merges:
 class WordBpe:
     """Encodes and decodes as the library does with a file of this kind: BPE with word ends whose pre-tokenizer drops white space.
 
-    The file's own normalizer and pre-tokenizer make the words; what follows is done here. Another kind of file raises an error.
+    Words of plain letters are split here, others by the file's own normalizer and pre-tokenizer; what follows is done here. Another kind of file raises an error.
     """
 
     def __init__(self, path: str):
@@ -130,7 +131,10 @@ class WordBpe:
         self.inside, self.last = (np.zeros(max(map(ord, byte_level)) + 1, np.int64) for _ in "ab")
         for c in byte_level:
             self.inside[ord(c)], self.last[ord(c)] = self.vocab[c], self.vocab[c + self.end]
-        self.words, self.pieces = Recent(KNOWN), Recent(KNOWN)
+        self.words, self.pieces, self.runs = Recent(KNOWN), Recent(KNOWN), Recent(KNOWN_RUNS)
+        self.by_runs = known_rules(described)
+        #: The byte-level form of letters beyond ASCII in runs.
+        self.letters = {n: self.split(chr(n))[0][0] for n in range(ord("ß"), ord("ÿ") + 1) if chr(n).isalpha()}
 
     def parted(self, words: list[str]) -> list[list[str | int]]:
         """The byte-level pieces of each word without a space or line end, and the ids of added tokens in it."""
@@ -156,40 +160,48 @@ class WordBpe:
             at = m.end()
         return out + [x for x, _ in self.split(self.normalize(word[at:]))]
 
-    def learn_pieces(self, pieces: list[str]) -> None:
-        """Merge rounds over all pieces at once."""
+    def merged(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece by merge rounds over all pieces at once."""
         codes = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)
         cuts = sums_before(np.array([len(x) for x in pieces], np.int64))
         symbols = self.inside[codes]
         symbols[cuts[1:] - 1] = self.last[codes[cuts[1:] - 1]]
         joined, cuts = self.merges.join(symbols, cuts)
         flat, cuts = joined.astype(np.uint32).tobytes(), (4 * cuts).tolist()
-        self.pieces.known.update((x, flat[a:b]) for x, a, b in zip(pieces, cuts, cuts[1:]))
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def merged_runs(self, runs: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(runs), TOGETHER):
+            yield from self.merged([x if x.isascii() else x.translate(self.letters) for x in runs[at : at + TOGETHER]])
 
     def encode_words(self, words: list[str]) -> Iterator[bytes]:
         """Ids of each word, as unsigned 32-bit integers. Pieces are encoded once and kept, as words are."""
         for at in range(0, len(words), TOGETHER):
             parted = self.parted(words[at : at + TOGETHER])
             new = list(self.pieces.missing({x for word in parted for x in word if isinstance(x, str)}))
-            self.learn_pieces(new)
             known = self.pieces.known
+            known.update(zip(new, self.merged(new)))
             for word in parted:
                 yield known[word[0]] if len(word) == 1 and isinstance(word[0], str) else b"".join(known[x] if isinstance(x, str) else x.to_bytes(4, "little") for x in word)
             for piece in new:
                 if len(piece) > KNOWN_LENGTH:
                     del known[piece]
 
+    def _word_rows(self, words: pa.Array) -> Rows:
+        return of_strings(words, self.words, self.encode_words, "<u4", KNOWN_LENGTH)
+
+    def _run_rows(self, runs: pa.Array) -> Rows:
+        return of_strings(runs, self.runs, self.merged_runs, "<u4", KNOWN_LENGTH)
+
+    def encode_array(self, texts: pa.Array) -> Rows:
+        """Ids of texts without nulls. Different words between spaces and line ends are encoded once, plain ones from their runs."""
+        return by_words(texts, lambda x: by_runs(x, list(self.special), self._run_rows, self._word_rows) if self.by_runs else self._word_rows(x))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as unsigned 32-bit integers. Words between spaces and line ends are encoded once and kept."""
-        split = [x.replace("\n", " ").split(" ") for x in texts]
-        new = list(self.words.missing(set().union(*split)))
-        known = self.words.known
-        known.update(zip(new, self.encode_words(new)))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > KNOWN_LENGTH:
-                del known[word]
-        return out
+        """Ids of each text, as unsigned 32-bit integers."""
+        found = self.encode_array(pa.array(texts, pa.string()))
+        flat, cuts = found.flat.tobytes(), (4 * sums_before(found.sizes)).tolist()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -215,10 +227,9 @@ def decode_lists(names: pa.Array, ids: pa.ListArray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), names.take(ids.flatten())), " ")
 
 
-def id_lists(encoded: list[bytes]) -> pa.ListArray:
-    """An Arrow list of ids for each row of bytes."""
-    cuts = sums_before(np.array([len(x) // 4 for x in encoded], np.int64))
-    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+def id_lists(found: Rows) -> pa.ListArray:
+    """An Arrow list of the ids of each row."""
+    return pa.ListArray.from_arrays(pa.array(sums_before(found.sizes).astype(np.int32)), pa.array(found.flat.astype(np.int32)))
 
 
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -234,7 +245,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         tool = tokenizer(path)
         for whole in batches:
             for batch in parts(whole, len(keep), MOST_BYTES):
-                ids = id_lists(tool.encode([x or "" for x in batch.column(len(keep)).to_pylist()]))
+                ids = id_lists(tool.encode_array(pc.fill_null(batch.column(len(keep)), "")))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], [*keep, "ids"])
 
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])

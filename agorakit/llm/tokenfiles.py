@@ -12,9 +12,8 @@ import gc
 import json
 import os
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from typing import NamedTuple
 from urllib.parse import urlparse
 
 import numpy as np
@@ -27,6 +26,7 @@ from pyspark.sql.window import Window
 
 from agorakit.llm.arrow import Recent
 from agorakit.llm.common import fresh, text_of
+from agorakit.llm.words import Rows, by_runs, by_words, known_rules, of_strings
 from agorakit.session import cut, scratch_path
 
 MAGIC = b"TOKENIX1"
@@ -37,31 +37,10 @@ ROWS = 256
 TOGETHER = 500
 #: Bytes of text that are encoded at once (or one text, if it is longer).
 TEXT_BYTES = 8 << 20
-#: The pattern of the tokenizer file that RUNS follows, on lower-case words of PLAIN letters, whose normal form they are.
-KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PLAIN = "^[!-~À-ÖØ-öø-ÿ]*$"
-RUNS = "('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+)"
 MOST_READERS = 10_000
 END_ID = 2
 
 
-class Rows(NamedTuple):
-    """The ids of many entries, one after the other, and the number of ids of each."""
-
-    flat: np.ndarray
-    sizes: np.ndarray
-
-    def at(self, index: np.ndarray) -> Rows:
-        """The entries at these places."""
-        sizes, starts = self.sizes[index], np.cumsum(self.sizes) - self.sizes
-        before = np.cumsum(sizes) - sizes
-        return Rows(self.flat[np.repeat(starts[index] - before, sizes) + np.arange(sizes.sum())], sizes)
-
-    def joined(self, offsets: np.ndarray) -> Rows:
-        """Entries between neighbouring offsets as one entry each."""
-        return Rows(self.flat, np.diff(np.concatenate([np.zeros(1, np.int64), np.cumsum(self.sizes)])[offsets]))
-
-
 class WordTokenizer:
     """A tokenizers file whose pre-tokenizer drops white space: texts are split at spaces and line ends, equal words of a batch are coded once.
 
@@ -79,10 +58,8 @@ class WordTokenizer:
         self.width = 2 if len(vocab) <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.added = [x["content"] for x in rules["added_tokens"]]
-        patterns = [x.get("pattern", {}).get("Regex") for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        lower = {"type": "Lowercase"} in (rules["normalizer"] or {}).get("normalizers", [])
         mark = rules["model"].get("end_of_word_suffix")
-        self.by_runs = bool(mark) and lower and KNOWN_PATTERN in patterns
+        self.by_runs = bool(mark) and known_rules(rules)
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         if mark:
             self.last[[i for x, i in vocab.items() if x.endswith(mark)]] = True
@@ -100,7 +77,7 @@ class WordTokenizer:
             some = runs[at : at + TOGETHER]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             ends = (np.flatnonzero(self.last[ids]) + 1) * self.width
-            if len(ends) != len(some):  # an empty run among them
+            if len(ends) != len(some):
                 yield from self._whole(some)
                 continue
             raw, first = ids.tobytes(), 0
@@ -108,38 +85,18 @@ class WordTokenizer:
                 yield raw[first:end]
                 first = end
 
-    def _rows(self, strings: pa.Array, kept: Recent, ids_of: Callable[[list[str]], Iterator[bytes]]) -> Rows:
-        """The ids of strings, which are different ones."""
-        listed = strings.to_numpy(zero_copy_only=False).tolist()
-        new = list(kept.missing(set(listed)))
-        known = kept.known
-        known.update(zip(new, ids_of(new)))
-        each = list(map(known.__getitem__, listed))
-        for x in new:
-            if len(x) > KNOWN_LENGTH:
-                del known[x]
-        return Rows(np.frombuffer(b"".join(each), self.kind), np.fromiter(map(len, each), np.int64, len(each)) // self.width)
+    def _whole_rows(self, words: pa.Array) -> Rows:
+        return of_strings(words, self.words, self._whole, self.kind, KNOWN_LENGTH)
+
+    def _run_rows(self, runs: pa.Array) -> Rows:
+        return of_strings(runs, self.runs, self._together, self.kind, KNOWN_LENGTH)
 
     def _words(self, words: pa.Array) -> Rows:
-        """The ids of words, which are different ones."""
-        if not self.by_runs:
-            return self._rows(words, self.words, self._whole)
-        plain = pc.match_substring_regex(words, PLAIN)
-        for x in self.added:
-            plain = pc.and_not(plain, pc.match_substring(words, x))
-        runs = pc.split_pattern(pc.replace_substring_regex(pc.utf8_lower(words.filter(plain)), RUNS, r"\1 "), " ")
-        coded = runs.flatten().dictionary_encode()
-        split = self._rows(coded.dictionary, self.runs, self._together).at(coded.indices.to_numpy()).joined(runs.offsets.to_numpy())
-        whole = self._rows(words.filter(pc.invert(plain)), self.words, self._whole)
-        first = plain.to_numpy(zero_copy_only=False)
-        place = np.where(first, np.cumsum(first) - 1, len(split.sizes) + np.cumsum(~first) - 1)
-        return Rows(np.concatenate([split.flat, whole.flat]), np.concatenate([split.sizes, whole.sizes])).at(place)
+        return by_runs(words, self.added, self._run_rows, self._whole_rows) if self.by_runs else self._whole_rows(words)
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> Rows:
         """The ids of all texts, with the end id behind each text if there is one."""
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        coded = split.flatten().dictionary_encode()
-        found = self._words(coded.dictionary).at(coded.indices.to_numpy()).joined(split.offsets.to_numpy())
+        found = by_words(texts, self._words)
         if end_id is None:
             return found
         return Rows(np.insert(found.flat, np.cumsum(found.sizes), end_id), found.sizes + 1)
