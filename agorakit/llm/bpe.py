@@ -32,6 +32,8 @@ MOST_BYTES = 2 << 20
 #: Words that are encoded together.
 TOGETHER = 5_000
 NONE = np.int64(1) << 62
+#: White space within words.
+OTHER_SPACE = re.compile(r"[^\S\n]")
 
 
 class Merges:
@@ -140,7 +142,7 @@ class WordBpe:
         """The byte-level pieces of each word without a space or line end, and the ids of added tokens in it."""
         together = "\n".join(words)
         normal = self.normalize(together).split(" ")
-        if len(normal) != len(words) or self.marked.search(together):  # some word holds other white space or an added token
+        if len(normal) != len(words) or OTHER_SPACE.search(together) or self.marked.search(together):  # some word holds other white space or an added token
             return list(map(self.pieces_of, words))
         out = [[x] for x in normal]
         # A run of ASCII letters is a piece of its own.
