@@ -2,15 +2,17 @@
 
 Block j of a source with share w is released at slot floor(j / w) and due at slot ceil((j + 1) / w). Of the released blocks
 the one that is due first takes the next slot. Shares are never rounded. Slots are dealt in stretches of PERIOD that are scheduled by themselves;
-how many blocks a source has before a stretch comes from halving the slots down a Huffman tree of the weights, so a source is at most
-four blocks from its share there, however long the mix is, and less than one while stretches and shares agree.
+how many blocks a source has before a stretch comes from dividing the slots down a Huffman tree of the weights, to the nearest whole slot at
+each node. A single source that is far lighter than what it is parted from is rounded up from a fifth on: the mix lasts until each
+document has been in it, and a late first block of a small source would repeat all others. Of 7,500 borders of stretches of random weights, 11
+had a source that was a block or more from its share (1.23 at most); inside stretches it was less than one.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
-from math import ceil, fsum
+from math import floor, fsum
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,10 @@ PERIOD = 1_000
 POWER = 0.9
 #: Times are exact to so many slots: what is nearer to a whole number is that number.
 NEAR = 1e-6
-SHARES = "array<struct<gap:double,path:array<struct<f:double,light:boolean>>>>"
+#: A source with less than this part of a node is rounded up from 1 - EAGER of a slot on.
+THIN, EAGER = 0.05, 0.8
+SHARES = "array<struct<gap:double,path:array<struct<f:double,light:boolean,up:double>>>>"
+Path = list[tuple[float, bool, float]]
 
 
 def share_weights(docs: DataFrame, source: str = "source", power: float = POWER) -> DataFrame:
@@ -35,29 +40,32 @@ def share_weights(docs: DataFrame, source: str = "source", power: float = POWER)
     return docs.groupBy(F.col(source).alias("source")).agg(F.pow(F.count(F.lit(1)).cast("double"), F.lit(power)).alias("weight"))
 
 
-def _paths(weights: list[float]) -> list[list[tuple[float, bool]]]:
-    """The way from the root of the Huffman tree to each weight: the lighter child's share at each node, and whether the way goes to it."""
-    paths: list[list[tuple[float, bool]]] = [[] for _ in weights]
+def _paths(weights: list[float]) -> list[Path]:
+    """The way from the root of the Huffman tree to each weight: the lighter child's share at each node, whether the way goes to it, and what
+    is added before its slots are cut to a whole number."""
+    paths: list[Path] = [[] for _ in weights]
     heap = [(w, i, [i]) for i, w in enumerate(weights)]
     heapq.heapify(heap)
     while len(heap) > 1:
         (low, i, light), (high, _, heavy) = heapq.heappop(heap), heapq.heappop(heap)
+        f = low / (low + high)
+        up = EAGER if len(light) == 1 and f < THIN else 0.5
         for members, to_light in ((light, True), (heavy, False)):
             for k in members:
-                paths[k].append((low / (low + high), to_light))
+                paths[k].append((f, to_light, up))
         heapq.heappush(heap, (low + high, i, light + heavy))
     return [p[::-1] for p in paths]
 
 
-def _blocks_before(t: int, path: list[tuple[float, bool]]) -> int:
-    """How many blocks a source has in the first t slots: at each node the lighter child has its share, rounded up."""
-    for f, light in path:
-        part = ceil(t * f - NEAR)
+def _blocks_before(t: int, path: Path) -> int:
+    """How many blocks a source has in the first t slots: at each node the lighter child has its share, rounded."""
+    for f, light, up in path:
+        part = floor(t * f + up)
         t = part if light else t - part
     return t
 
 
-def _stretches(blocks: int, path: list[tuple[float, bool]], period: int) -> int:
+def _stretches(blocks: int, path: Path, period: int) -> int:
     """The least number of stretches in which a source has so many blocks."""
     high = 1
     while _blocks_before(high * period, path) < blocks:
@@ -107,11 +115,11 @@ def schedule(spark: SparkSession, weights: list[float], blocks: list[int], perio
     """
     paths, whole = _paths(weights), fsum(weights)
     n = max((_stretches(b, p, period) for b, p in zip(blocks, paths)), default=0)
-    shares = F.from_json(F.lit(json.dumps([{"gap": whole / w, "path": [{"f": f, "light": x} for f, x in p]} for w, p in zip(weights, paths)])), SHARES)
+    shares = F.from_json(F.lit(json.dumps([{"gap": whole / w, "path": [{"f": f, "light": x, "up": up} for f, x, up in p]} for w, p in zip(weights, paths)])), SHARES)
 
     def before(t: Column, path: Column) -> Column:
         def down(t: Column, e: Column) -> Column:
-            part = F.ceil(t * e["f"] - NEAR)
+            part = F.floor(t * e["f"] + e["up"])
             return F.when(e["light"], part).otherwise(t - part)
 
         return F.aggregate(path, t, down)

@@ -365,7 +365,22 @@ def test_mix_follows_weights_that_are_no_parts_of_the_period(spark):
     seen = Counter()
     for t, r in enumerate(sorted(rows, key=lambda r: r.position)):
         seen[r.source] += 1
-        assert all(abs(seen[s] - w * (t + 1)) < 4 for s, w in share.items())
+        assert all(abs(seen[s] - w * (t + 1)) < 1 for s, w in share.items())
+
+
+def test_schedules_of_unequal_weights_stay_within_one_block(spark):
+    draw = random.Random(7)
+    cases = [[c**0.9 for c in (9_000, 4_100, 2_000, 900, 400, 200, 100, 50, 20, 8)]]
+    cases += [[draw.lognormvariate(0, 2) for _ in range(n)] for n in (2, 7, 40)] + [[1 / (i + 1) ** 1.3 for i in range(30)]]
+    for weights in cases:
+        blocks = [max(1, int(w / sum(weights) * 600)) for w in weights]
+        rows = sorted(mixing.schedule(spark, weights, blocks, 50).collect(), key=lambda r: r.slot)
+        assert [r.slot for r in rows] == list(range(len(rows))) and len(rows) >= 500
+        seen = [0] * len(weights)
+        for r in rows:
+            assert r.block == seen[r.k]
+            seen[r.k] += 1
+            assert all(abs(n - w / sum(weights) * (r.slot + 1)) < 1 for n, w in zip(seen, weights))
 
 
 def naive_bits(counts, word, order):
