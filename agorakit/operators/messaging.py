@@ -18,6 +18,8 @@ RESTRICTED, REQUEST, MAIN = "RESTRICTED", "REQUEST", "MAIN"
 MUTED, ALL = "MUTED", "ALL"
 MEDIA_PREFIXES = {"image/": "IMAGE", "video/": "VIDEO", "audio/": "AUDIO"}
 MAX_QUERIES, MIN_QUERY_CHARS, SEARCH_HITS = 1_000, 2, 20
+#: Characters of the longest part that is listed; persons in a block of a long posting list.
+PART_CHARS, POSTING_BLOCK = 3, 4_096
 
 
 
@@ -211,25 +213,45 @@ def _grams(text: Column, n: int) -> Column:
     return F.filter(F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))), lambda g: F.char_length(g) == n)
 
 
-def search_user_table(persons: DataFrame, queries: DataFrame, n: int = SEARCH_HITS) -> DataFrame:
+def _postings(persons: DataFrame) -> DataFrame:
+    """A row for each different part of two or three characters of a person's name or email, in lower case."""
+    name, email = F.lower(F.coalesce(full_name(), F.lit(""))), F.lower(F.coalesce("email", F.lit("")))
+    parts = F.array_distinct(F.concat(*[_grams(text, k) for text in (name, email) for k in (2, 3)]))
+    return persons.select("id", name.alias("_name"), email.alias("_email"), F.explode(parts).alias("_part"))
+
+
+def _least_ids(hits: DataFrame, key: str, n: int) -> DataFrame:
+    """The n least ids of each key. Each task keeps n rows of a key before rows are shuffled, so a key that everybody has stays small."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy("id"))
+    return hits.select(key, "id").withColumn("_place", place).where(F.col("_place") <= n).select(key, "id")
+
+
+def search_user_table(persons: DataFrame, queries: DataFrame, n: int = SEARCH_HITS, block: int = POSTING_BLOCK) -> DataFrame:
     """As ``search_users``, for a table of queries (query, searcher_id) of any size.
 
-    A person can only match if their name or email has each part of the query. Queries meet persons on their rarest part of three
-    characters (two for queries of two) by an equality join, and are then checked. Equal queries are answered once, with one
-    hit more than asked for, as the person who searches is left out.
+    A query of two or three characters is itself a part, so its hits are the part's posting list, of which only the least ids are kept.
+    A longer query can only match persons who have all its parts of three characters. It meets those of its rarest part by an equality join
+    and is checked against their texts, which holds all its other parts too. The posting list of a hot part is dealt into
+    blocks of about ``block`` persons, and its queries go to each block, so no task holds the list of a part that everybody has. Equal queries are
+    answered once, with one hit more than asked for, as the person who searches is left out.
     """
     asked = queries.select(F.trim("query").alias("query"), F.col("searcher_id").cast("string").alias("searcher_id")).distinct()
     asked = asked.where(F.char_length("query") >= MIN_QUERY_CHARS)
-    name, email = F.lower(F.coalesce(full_name(), F.lit(""))), F.lower(F.coalesce("email", F.lit("")))
-    parts = F.array_distinct(F.concat(*[_grams(text, k) for text in (name, email) for k in (2, 3)]))
-    people = persons.select("id", name.alias("_name"), email.alias("_email"), F.explode(parts).alias("_part"))
-    counts = people.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    needle = F.lower("query")
-    wanted = asked.select("query").distinct().withColumn("_part", F.explode(F.when(F.char_length(needle) == 2, F.array(needle)).otherwise(_grams(needle, 3))))
-    rarest = wanted.join(counts, "_part").groupBy("query").agg(F.min_by("_part", F.struct("_n", "_part")).alias("_part"))
-    met = rarest.join(people, "_part").where(F.col("_name").contains(needle) | F.col("_email").contains(needle)).select("query", "id")
-    first = Window.partitionBy("query").orderBy("id")
-    few = met.withColumn("_place", F.row_number().over(first)).where(F.col("_place") <= n + 1).drop("_place")
+    needle, postings = F.lower("query"), _postings(persons)
+    different = asked.select("query").distinct().withColumn("_part", needle)
+    short = different.where(F.char_length("_part") <= PART_CHARS)
+    of_parts = _least_ids(postings.join(short.select("_part").distinct(), "_part", "left_semi"), "_part", n + 1)
+
+    wanted = different.where(F.char_length("_part") > PART_CHARS).withColumn("_part", F.explode(_grams(needle, PART_CHARS)))
+    counts = postings.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = wanted.join(counts, "_part").groupBy("query").agg(F.min(F.struct("_n", "_part")).alias("_least"))
+    rarest = rarest.select("query", F.col("_least._part").alias("_part"), F.ceil(F.col("_least._n") / block).alias("_blocks"))
+    blocks = rarest.select("_part", "_blocks").distinct()
+    dealt = postings.join(blocks, "_part").withColumn("_block", F.pmod(F.xxhash64("id"), "_blocks")).drop("_blocks")
+    sent = rarest.select("query", "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)).alias("_block"))
+    met = sent.join(dealt, ["_part", "_block"]).where(F.col("_name").contains(needle) | F.col("_email").contains(needle))
+
+    few = short.join(of_parts, "_part").select("query", "id").unionByName(_least_ids(met, "query", n + 1))
     hits = asked.join(few, "query").where(F.col("id").cast("string") != F.col("searcher_id"))
     place = F.row_number().over(Window.partitionBy("query", "searcher_id").orderBy("id"))
     named = persons.select("id", "first_name", "last_name", full_name().alias("full_name"), "email")

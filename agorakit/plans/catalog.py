@@ -642,6 +642,12 @@ def _(i: Inputs) -> DataFrame:
     return messaging.search_user_table(i["fx_persons"], searches)
 
 
+@_query("h9_user_search_parts")
+def _(i: Inputs) -> DataFrame:
+    searches = i["fx_persons"].where("id % 20 = 0").selectExpr("right(CAST(id AS string), 2) AS query", "CAST(id AS string) AS searcher_id")
+    return messaging.search_user_table(i["fx_persons"], searches)
+
+
 @_query("h10_direct_conversations")
 def _(i: Inputs) -> DataFrame:
     return messaging.direct_conversations(*i.chat("conversations", "members"))

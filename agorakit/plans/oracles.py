@@ -801,6 +801,7 @@ met AS (SELECT a.*, p.id, p.first_name, p.last_name, p.first_name || ' ' || p.la
   ON CAST(p.id AS VARCHAR) <> a.searcher_id AND (contains(lower(p.first_name || ' ' || p.last_name), a.query) OR contains(lower(p.email), a.query)))
 SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY query, searcher_id ORDER BY id) <= 20
 """
+SQL["h9_user_search_parts"] = SQL["h9_user_search_table"].replace("'l' || id AS query", "right(CAST(id AS VARCHAR), 2) AS query").replace("id % 20 = 0", "id % 20 = 0 AND id > 9")
 SQL["h10_direct_conversations"] = """
 SELECT a.person_id AS person_1, b.person_id AS person_2, min(a.conversation_id) AS conversation_id, count(*) AS conversations
 FROM fx_members a JOIN fx_members b ON a.conversation_id = b.conversation_id AND a.person_id < b.person_id

@@ -249,3 +249,15 @@ def test_many_searches_at_once(spark):
         assert sorted(found.get((f"LEE{i}", str(i)), [])) == want
     assert sorted(found["nn", "3"]) == [k for k in range(22) if k != 3][:20] and sorted(found["il5", "5"]) == [k for k in range(6_000) if str(k).startswith("5") and k != 5][:20]
     assert {q for q, _ in found} & {"l", "zz"} == set()
+
+
+def test_hot_parts_of_names(spark):
+    people = [(i, ["Ann", "", None][i % 3], f"Lee{i % 40}", None if i % 5 else f"İ{i}@X.org") for i in range(400)]
+    texts = ["el", "lee", "lee1", "ann lee3", "n ", "x.org", "İ1", "5@x", "25@x", "q", "leeq", "ann"]
+    asked = [(q, str(k)) for q in texts for k in (0, 3, 399)] + [("lee", "3")]
+    people_df = spark.createDataFrame(people, "id bigint, first_name string, last_name string, email string")
+    found = messaging.search_user_table(people_df, spark.createDataFrame(asked, "query string, searcher_id string"), n=7, block=16)
+    plain = messaging.search_users(people_df, sorted(set(asked)), n=7)
+    rows = [sorted((r.query, r.searcher_id, r.id, r.full_name, r.email or "") for r in f.collect()) for f in (found, plain)]
+    assert rows[0] == rows[1] and {r[0] for r in rows[0]} == {q.strip() for q in texts} - {"q", "el", "leeq", "n"}
+    assert "WindowGroupLimit" in found._jdf.queryExecution().toString()
