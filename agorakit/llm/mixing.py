@@ -5,7 +5,7 @@ the one that is due first takes the next slot. Shares are never rounded. Slots a
 how many blocks a source has before a stretch comes from dividing the slots down a Huffman tree of the weights, to the nearest whole slot at
 each node. A single source that is far lighter than what it is parted from is rounded up from a fifth on: the mix lasts until each
 document has been in it, and a late first block of a small source would repeat all others. Of 7,500 borders of stretches of random weights, 11
-had a source that was a block or more from its share (1.23 at most); inside stretches it was less than one.
+had a source that was a block or more from its share (1.23 at most); in the first 300 slots after 800 borders it was less than one.
 """
 
 from __future__ import annotations
