@@ -65,6 +65,53 @@ def test_pairs_match_brute_force(spark, seed, followers, limits):
     }
 
 
+@pytest.mark.parametrize("small,limits", [(0, LIMITS[0]), (8, LIMITS[2])])
+def test_pairs_of_small_and_large_groups(spark, monkeypatch, small, limits):
+    """Whatever counts as a small group, and in blocks, all operators find the same pairs in groups of 2 to 30 members of two kinds."""
+    monkeypatch.setattr(pairs, "BLOCK", 5)
+    rows = [(f"{m % 2 if g != 'g0' else 0}/{g}", m, o, leads) for g, m, o, leads in _memberships(4, True)]
+    members = spark.createDataFrame(rows, "grp string, member bigint, ord string, leads boolean").withColumn("kind", F.substring("grp", 1, 1)).withColumn("label", F.col("grp"))
+    expected = _brute(rows)
+    groups = {}
+    for g, m, _, leads in rows:
+        groups.setdefault(m, {})[g] = leads
+    found = pairs.all_pairs(members, own=["ord"], small=small).collect()
+    assert len(found) == len(expected) and {(r.first, r.second): r.strength for r in found} == expected
+    for r in found:
+        assert r.labels == sorted(g for g, leads in groups[r.first].items() if leads and g in groups[r.second])
+        assert r.ord == next(o for _, m, o, _ in rows if m == r.first)
+    focus = spark.createDataFrame([(3,), (17,)], "member bigint")
+    met = pairs.pairs_of(members, focus, small=small).collect()
+    want = {(f, b if a == f else a): s for (a, b), s in expected.items() for f in (3, 17) if f in (a, b)}
+    assert len(met) == len(want) and {(r.member, r.partner): r.strength for r in met} == want
+
+    by_kind = {k: _brute([r for r in rows if r[0].startswith(k)]) for k in "01"} | {None: expected}
+    want = {}
+    for kind, strengths in by_kind.items():
+        for (a, _), s in strengths.items():
+            n, total = want.get((a, kind), (0, 0))
+            want[a, kind] = (n + 1, total + s)
+    counted = pairs.partner_counts(members, small=small, **limits).collect()
+    assert {(r.member, r.kind): (r.partners, r.strength) for r in counted} == want
+    strongest = {}
+    for kind in "01":
+        for p, s in by_kind[kind].items():
+            strongest[tuple(sorted(p))] = max(s, strongest.get(tuple(sorted(p)), 0))
+    best = sorted((-s, *p) for p, s in strongest.items())
+    for k in (5, 5000):
+        got = pairs.top_pairs(members, k, small=small, **limits).collect()
+        assert sorted((-r.strength, r.low, r.high) for r in got) == best[:k]
+
+
+def test_a_large_group_meets_without_a_shuffle_of_pairs(spark):
+    """2,000 members of one group, a few of which share a second one: all other pairs come from a join with no exchange above it."""
+    n = 2_000
+    members = spark.range(n).selectExpr("'g' AS grp", "id AS member").union(spark.range(0, n, 500).selectExpr("'h' AS grp", "id AS member"))
+    alone, several = pairs._met(members.withColumns({"ord": F.col("member"), "leads": F.lit(True)}), members.withColumns({"ord": F.col("member"), "leads": F.lit(True)}), F.col("_ord") < F.col("_p_ord"), [], 64)
+    assert alone.count() == n * (n - 1) // 2 - 6 and several.count() == 12
+    assert pairs.all_pairs(members).where("strength = 2").count() == 6
+
+
 def test_blocks_of_a_group_meet_each_other(spark, monkeypatch):
     monkeypatch.setattr(pairs, "BLOCK", 7)
     rows = _memberships(3, True)
