@@ -26,7 +26,8 @@ from agorakit.llm.common import fresh
 from agorakit.llm.flat import parts, sums_before
 from agorakit.llm.words import Rows, by_runs, by_words, known_rules, of_strings
 
-KNOWN, KNOWN_RUNS, KNOWN_LENGTH = 200_000, 500_000, 48
+#: What a worker keeps, in words (twice: words and pieces) and runs, and the longest of them. At some 250 bytes each it is below 50 MB, as an executor has a worker a core.
+KNOWN, KNOWN_RUNS, KNOWN_LENGTH = 40_000, 100_000, 48
 #: Bytes of text that are encoded at once.
 MOST_BYTES = 2 << 20
 #: Words that are encoded together.

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -101,3 +102,15 @@ def test_query(spark, sf_dir):
         want.add((i, len(ids), sha(" ".join(map(str, ids))), sha(LIBRARY.decode(ids, skip_special_tokens=False))))
     rows = [tuple(r) for r in bpe.query(docs).collect()]
     assert set(rows) == want and len(rows) == len(want)
+
+
+def test_kept_words_stay_small():
+    """A worker that sees ever new words keeps at most 50 MB of them; an executor has one such worker a core."""
+    tool, letters = bpe.WordBpe(PATH), "abcdefghij"
+    for begin in range(0, 240_000, 40_000):
+        names = ["".join(letters[int(c)] for c in str(n)) for n in range(begin, begin + 40_000)]
+        tool.encode([" ".join(f"{x}日" if k % 2 else x for k, x in enumerate(names))])
+    kept = [x for recent in (tool.words, tool.pieces, tool.runs) for x in (recent.known, recent.older)]
+    entries = [recent.most for recent in (tool.words, tool.pieces, tool.runs)]
+    each = max(sys.getsizeof(k) + sys.getsizeof(v) for held in kept for k, v in held.items()) + 104
+    assert sum(entries) * each < 50 << 20 and max(map(len, kept)) <= 40_000 + max(entries) // 2
