@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorakit.functions.exprs import contains_ignoring_case
+from agorakit.session import cut
 
 # Folders, notification levels and message types.
 RESTRICTED, REQUEST, MAIN = "RESTRICTED", "REQUEST", "MAIN"
@@ -208,16 +209,14 @@ def search_users(persons: DataFrame, queries: Sequence[tuple[str, str]], n: int
 
 
 def _grams(text: Column, n: int) -> Column:
-    """The different parts of n characters of a text."""
-    starts = F.sequence(F.lit(1), F.greatest(F.char_length(text) - (n - 1), F.lit(1)))
-    return F.filter(F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))), lambda g: F.char_length(g) == n)
+    """The different parts of n characters of a text. Each match looks n characters ahead and takes one."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), 1))
 
 
-def _postings(persons: DataFrame) -> DataFrame:
-    """A row for each different part of two or three characters of a person's name or email, in lower case."""
-    name, email = F.lower(F.coalesce(full_name(), F.lit(""))), F.lower(F.coalesce("email", F.lit("")))
-    parts = F.array_distinct(F.concat(*[_grams(text, k) for text in (name, email) for k in (2, 3)]))
-    return persons.select("id", name.alias("_name"), email.alias("_email"), F.explode(parts).alias("_part"))
+def _postings(persons: DataFrame, *texts: str) -> DataFrame:
+    """A row for each different part of two or three characters of a person's name or email, with these columns of the person."""
+    parts = F.array_distinct(F.concat(*[_grams(F.col(text), k) for text in ("_name", "_email") for k in (2, 3)]))
+    return persons.select("id", *texts, F.explode(parts).alias("_part"))
 
 
 def _least_ids(hits: DataFrame, key: str, n: int) -> DataFrame:
@@ -237,17 +236,23 @@ def search_user_table(persons: DataFrame, queries: DataFrame, n: int = SEARCH_HI
     """
     asked = queries.select(F.trim("query").alias("query"), F.col("searcher_id").cast("string").alias("searcher_id")).distinct()
     asked = asked.where(F.char_length("query") >= MIN_QUERY_CHARS)
-    needle, postings = F.lower("query"), _postings(persons)
+    # Persons are few bytes and become many parts, so they are dealt out before that: a small file would be read by one task.
+    name, email = F.lower(F.coalesce(full_name(), F.lit(""))), F.lower(F.coalesce("email", F.lit("")))
+    people = persons.select("id", name.alias("_name"), email.alias("_email")).repartition("id", "_name", "_email")
+    needle, listed = F.lower("query"), _postings(people)
     different = asked.select("query").distinct().withColumn("_part", needle)
     short = different.where(F.char_length("_part") <= PART_CHARS)
-    of_parts = _least_ids(postings.join(short.select("_part").distinct(), "_part", "left_semi"), "_part", n + 1)
+    # Parts that are asked for are stored, so that Spark knows how few they are: the lists of all others, with everybody in some, are left
+    # out before a shuffle.
+    parts = cut(short.select("_part").distinct(), "short-parts")
+    of_parts = _least_ids(listed.join(parts, "_part", "left_semi"), "_part", n + 1)
 
     wanted = different.where(F.char_length("_part") > PART_CHARS).withColumn("_part", F.explode(_grams(needle, PART_CHARS)))
-    counts = postings.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = listed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     rarest = wanted.join(counts, "_part").groupBy("query").agg(F.min(F.struct("_n", "_part")).alias("_least"))
-    rarest = rarest.select("query", F.col("_least._part").alias("_part"), F.ceil(F.col("_least._n") / block).alias("_blocks"))
-    blocks = rarest.select("_part", "_blocks").distinct()
-    dealt = postings.join(blocks, "_part").withColumn("_block", F.pmod(F.xxhash64("id"), "_blocks")).drop("_blocks")
+    rarest = cut(rarest.select("query", F.col("_least._part").alias("_part"), F.ceil(F.col("_least._n") / block).alias("_blocks")), "rarest-parts")
+    blocks = cut(rarest.select("_part", "_blocks").distinct(), "part-blocks")
+    dealt = _postings(people, "_name", "_email").join(blocks, "_part").withColumn("_block", F.pmod(F.xxhash64("id"), "_blocks")).drop("_blocks")
     sent = rarest.select("query", "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)).alias("_block"))
     met = sent.join(dealt, ["_part", "_block"]).where(F.col("_name").contains(needle) | F.col("_email").contains(needle))
 

@@ -261,3 +261,16 @@ def test_hot_parts_of_names(spark):
     rows = [sorted((r.query, r.searcher_id, r.id, r.full_name, r.email or "") for r in f.collect()) for f in (found, plain)]
     assert rows[0] == rows[1] and {r[0] for r in rows[0]} == {q.strip() for q in texts} - {"q", "el", "leeq", "n"}
     assert "WindowGroupLimit" in found._jdf.queryExecution().toString()
+
+
+def test_persons_are_dealt_out_before_their_parts(spark):
+    """A small file of persons is one task; the parts of their names are not made there, and lists with texts are not shuffled by part."""
+    people = spark.range(400).selectExpr("id", "concat('F', id) AS first_name", "concat('𝒳\n', id) AS last_name", "concat('c', id, '@x.org') AS email").coalesce(1)
+    searches = spark.createDataFrame([("𝒳\n39", "1"), ("𝒳\n7", "7"), ("c12", "12"), ("c123@", "5"), ("@x.org", "2")], "query string, searcher_id string")
+    found = messaging.search_user_table(people, searches, n=7, block=16)
+    plain = messaging.search_users(people, [tuple(r) for r in searches.collect()], n=7)
+    rows = [sorted((r.query, r.searcher_id, r.id) for r in f.collect()) for f in (found, plain)]
+    assert rows[0] == rows[1] and ("𝒳\n39", "1", 39) in rows[0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    initial = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert "REPARTITION_BY_COL" in initial and "hashpartitioning(_part" not in "".join(x for x in initial.splitlines() if "_email" in x)
