@@ -53,8 +53,13 @@ def _ends(edges: DataFrame) -> DataFrame:
 
 
 def orphans(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Nodes without any edge, counted per label."""
-    return label_counts(nodes.join(_ends(edges).distinct(), "node_id", "left_anti")).withColumnRenamed("node_count", "orphan_count")
+    """Nodes without any edge, counted per label.
+
+    A left join and not an anti join, which Spark would make for each part of a union of nodes by itself, with all ends each time.
+    """
+    linked = _ends(edges).distinct().withColumn("_linked", F.lit(True))
+    alone = nodes.select("node_id", "node_type").join(linked, "node_id", "left").where(F.col("_linked").isNull())
+    return label_counts(alone).withColumnRenamed("node_count", "orphan_count")
 
 
 def hubs(nodes: DataFrame, edges: DataFrame, k: int = HUBS) -> DataFrame:
@@ -121,11 +126,11 @@ def neighbourhood(edges: DataFrame, node_id: str) -> DataFrame:
 
 
 def _undirected(edges: DataFrame) -> DataFrame:
-    ways = F.array(
-        F.struct(F.col("source_node_id").alias("a"), F.col("target_node_id").alias("b")),
-        F.struct(F.col("target_node_id").alias("a"), F.col("source_node_id").alias("b")),
-    )
-    return edges.select(F.inline(ways)).where(F.col("a") != F.col("b")).distinct()
+    """Different links, both ways. Each pair of ends is shuffled once and turned round after that."""
+    apart = edges.where(F.col("source_node_id") != F.col("target_node_id"))
+    pairs = apart.select(F.least("source_node_id", "target_node_id").alias("_x"), F.greatest("source_node_id", "target_node_id").alias("_y")).distinct()
+    ways = F.array(F.struct(F.col("_x").alias("a"), F.col("_y").alias("b")), F.struct(F.col("_y").alias("a"), F.col("_x").alias("b")))
+    return pairs.select(F.inline(ways))
 
 
 def shortest_path_length(edges: DataFrame, src: str, dst: str) -> DataFrame:
