@@ -10,6 +10,16 @@ from pyspark.sql import types as T
 
 ROWS = 256
 
+_TOOL: dict[tuple, object] = {}
+
+
+def tool_of_worker(key: tuple, make: Callable[[], object]) -> object:
+    """The tool with this key, and what it already knows about words. A worker process keeps one: that of the operator before it goes."""
+    if key not in _TOOL:
+        _TOOL.clear()
+        _TOOL[key] = make()
+    return _TOOL[key]
+
 
 class Recent:
     """What a worker knows about words: `known`, the newer half of `most` entries, and the older half, from which words in use come back."""

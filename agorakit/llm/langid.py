@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from agorakit.llm.arrow import ROWS, with_columns_of_text
+from agorakit.llm.arrow import ROWS, tool_of_worker, with_columns_of_text
 from agorakit.llm.common import fresh, text_of
 from agorakit.session import cut
 
@@ -163,17 +163,6 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: i
     return context_tree(counts, order)
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(key: str, tree, order: int) -> Scorer:
-    """One scorer a worker process, with what it already knows about words."""
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(tree.value, order)
-    return _SCORERS[key]
-
-
 def identify(df: DataFrame, tree: Tree, keep: list[str], text: str = "text", order: int = ORDER, names: list[str] | None = None) -> DataFrame:
     """The columns `keep` and lang_pred, score (0 to 1), bits and n_bytes, or other `names` for them, of each row's whole text.
 
@@ -186,7 +175,7 @@ def identify(df: DataFrame, tree: Tree, keep: list[str], text: str = "text", ord
     shared = df.sparkSession.sparkContext.broadcast(tree)  # bounded by the sample
 
     def make():
-        scorer = _scorer(key, shared, order)
+        scorer = tool_of_worker(("langid", key, order), lambda: Scorer(shared.value, order))
 
         def compute(texts: list[str]) -> list[pa.Array]:
             langs, scores, bits, sizes = zip(*map(scorer.score, texts))

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain, groupby
 
 import ahocorasick
@@ -20,11 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agorakit.llm.arrow import Recent, with_columns_of_text
+from agorakit.llm.arrow import Recent, tool_of_worker, with_columns_of_text
 
 #: The character that stands for a space in pieces (fixed value).
 SPACE = "▁"
-KNOWN = 500_000
+#: Words, and pairs of tokens, that a worker keeps at most.
+KNOWN, KNOWN_PAIRS = 300_000, 150_000
 KNOWN_LENGTH = 48
 NONE = float("-inf")
 ID_COLUMNS = [("ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType())]
@@ -100,7 +100,7 @@ class PieceEncoder:
             else:
                 score = self.score
                 known = not any(a > x and a >= y for r, x in one[1] for l, y in two[0] if (a := score.get(r + l, NONE)) > NONE)
-            if len(self.fit) >= KNOWN:
+            if len(self.fit) >= KNOWN_PAIRS:
                 self.fit.clear()
             self.fit[left, right] = known
         return known
@@ -196,11 +196,6 @@ def _characters(data: bytes) -> str:
     return "".join(out)
 
 
-@lru_cache(maxsize=2)
-def encoder(model: str) -> PieceEncoder:
-    return PieceEncoder(model)
-
-
 def encode(df: DataFrame, model: str, text: str = "text") -> DataFrame:
     """df with `ids` and `decoded`, the text that decoding the ids gives back.
 
@@ -210,7 +205,7 @@ def encode(df: DataFrame, model: str, text: str = "text") -> DataFrame:
     """
 
     def make():
-        tool = encoder(model)
+        tool = tool_of_worker(("pieces", model), lambda: PieceEncoder(model))
 
         def compute(texts: list[str]) -> list[pa.Array]:
             ids = [tool.encode(x) for x in texts]
