@@ -1,10 +1,12 @@
 """What queries leave on disk while they run: no shuffle files of stored tables, no stored graph, rows of companies and roles dealt out once."""
 
+import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from agorakit.operators import graph
+from agorakit.operators import graph, networks
 from agorakit.plans import inputs
 from agorakit.session import CLEANUP_KEY, cut
 
@@ -40,3 +42,47 @@ def test_networks_store_no_edges_and_kinds_apart(spark, sf_dir, monkeypatch):
     i.relationship_members  # noqa: B018
     assert "graph-edges" not in {label for label, _ in stored}
     assert [label for label, _ in of_graph].count("relationship-members") == 2
+
+
+def _people(seed):
+    """Users with up to nine companies and five roles, rows that come twice, and missing names and roles."""
+    rng = random.Random(seed)
+    staff = []
+    for user in range(30):
+        firms, jobs = rng.sample(range(14), rng.choice([1, 3, 9])), rng.sample(range(8), rng.choice([0, 2, 5]))
+        for c in firms:
+            for r in jobs or [None]:
+                row = (f"c{c}", None if c == 5 else f"C{c % 12}", None if r is None else f"r{r}", None if r in (None, 3) else f"R{r % 7}", user)
+                staff += [row] * rng.choice([1, 1, 2])
+    return staff, [(f"s{rng.randrange(4)}", "S", rng.choice([None, "d"]), rng.choice([None, "D"]), user, 2000 + user % 3) for user in range(30) for _ in range(2)]
+
+
+COMPANIES = "company_id string, company_name string, role_id string, role_title string, user_id long"
+
+
+@pytest.mark.parametrize("by_count", [False, True])
+def test_first_names_of_users_give_those_of_groups(spark, monkeypatch, by_count):
+    staff, schooled = _people(7)
+    companies = spark.createDataFrame(staff, COMPANIES)
+    members = spark.createDataFrame(schooled, "school_id string, school_name string, degree_id string, degree_name string, user_id long, graduation_year long").distinct()
+    stored, met = _recorded(monkeypatch, networks), []
+    leading = networks._leading_names
+    monkeypatch.setattr(networks, "_leading_names", lambda rows, *a: met.append(rows) or leading(rows, *a))
+    found = networks.alumni_networks(members, companies, 3, by_count=by_count).collect()
+    sizes = {}
+    for row in set(staff):
+        sizes.setdefault(row[:4], set()).add(row[4])
+    for r in found:
+        users = {s[4] for s in schooled if (s[0], s[2] or "ALL", s[3]) == (r.school_id, r.degree_id, r.degree_name)}
+        for column, names in ((1, r.current_companies), (3, r.current_roles)):
+            most = {}
+            for row in staff:
+                if row[4] in users and row[column] is not None:
+                    most[row[column]] = max(most.get(row[column], 0), len(sizes[row[:4]]))
+            first = sorted(most, key=lambda x: (-most[x], x) if by_count else x)[:3]
+            assert (names or []) == sorted(first, key=lambda x: (-most[x], x))
+    assert {(r.school_id, r.degree_id, r.degree_name, r.user_id) for r in found} == {(s[0], s[2] or "ALL", s[3], s[4]) for s in schooled}
+    # A user brings three names to each of its groups at most, and rows are dealt by (company, role) once for distinct rows and sizes.
+    assert all(rows.groupBy("_key", "user_id").count().where("count > 3").isEmpty() for rows in met)
+    (dealt,) = [df for label, df in stored if label == "staff"]
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
