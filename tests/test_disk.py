@@ -86,3 +86,16 @@ def test_first_names_of_users_give_those_of_groups(spark, monkeypatch, by_count)
     assert all(rows.groupBy("_key", "user_id").count().where("count > 3").isEmpty() for rows in met)
     (dealt,) = [df for label, df in stored if label == "staff"]
     assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_talent_pools_of_repeated_rows(spark, monkeypatch):
+    staff, _ = _people(8)
+    stored = _recorded(monkeypatch, networks)
+    found = sorted(map(tuple, networks.talent_pools(spark.createDataFrame(staff, COMPANIES)).collect()), key=str)
+    want = []
+    for firm in {row[:2] for row in staff}:
+        mine = [row for row in staff if row[:2] == firm]
+        n, ids = len({row[4] for row in mine}), len({row[2] for row in mine} - {None})
+        want += [(*firm, n, title, ids) for title in {row[3] for row in mine} - {None} or {None}]
+    assert found == sorted(want, key=str)
+    assert [label for label, _ in stored] == ["staff-counts", "offered-roles", "role-counts"]  # none of them shuffles beside another
