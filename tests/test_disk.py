@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from agorakit.operators import graph, networks
 from agorakit.plans import inputs
+from agorakit.plans.catalog import queries
 from agorakit.session import CLEANUP_KEY, cut
 
 
@@ -99,3 +100,18 @@ def test_talent_pools_of_repeated_rows(spark, monkeypatch):
         want += [(*firm, n, title, ids) for title in {row[3] for row in mine} - {None} or {None}]
     assert found == sorted(want, key=str)
     assert [label for label, _ in stored] == ["staff-counts", "offered-roles", "role-counts"]  # none of them shuffles beside another
+
+
+def test_skills_of_repeated_rows(spark, sf_dir, monkeypatch):
+    staff, _ = _people(9)
+    users = spark.range(30).selectExpr("id AS user_id", "TIMESTAMP '2000-01-01 00:00:00' AS signup_date", "1L AS experience_count", "50L AS profile_completion_score")
+    found = networks.skills_matching(spark.createDataFrame(staff, COMPANIES), users, "2001-08-02 12:00:00", 40).collect()
+    first = {}
+    for c, _, r, title, user in staff:
+        if r is not None:
+            first[user, r] = min(first.get((user, r), (c, title)), (c, title))
+    want = [(u, r, title, c, len({row[4] for row in staff if (row[0], row[2]) == (c, r)})) for (u, r), (c, title) in sorted(first.items())[:40]]
+    assert sorted((x.user_id, x.role_id, x.role_title, x.company_id, x.similar_user_count) for x in found) == want
+    stored = _recorded(monkeypatch, inputs)
+    queries()["l3_skills_matching"](spark, sf_dir)
+    assert "company-members" not in {label for label, _ in stored}
