@@ -41,6 +41,7 @@ def test_networks_store_no_edges_and_kinds_apart(spark, sf_dir, monkeypatch):
     i.company_rows, i.school_members, i.location_members  # noqa: B018
     assert "graph-nodes" not in {label for label, _ in stored}
     i.relationship_members  # noqa: B018
+    queries()["n2_listed_pairs"](spark, sf_dir)
     assert "graph-edges" not in {label for label, _ in stored}
     assert [label for label, _ in of_graph].count("relationship-members") == 2
 
