@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from agorakit.operators import graph, networks
+from agorakit.operators import graph, networks, pairs
 from agorakit.plans import inputs
 from agorakit.plans.catalog import queries
 from agorakit.session import CLEANUP_KEY, cut
@@ -116,3 +116,20 @@ def test_skills_of_repeated_rows(spark, sf_dir, monkeypatch):
     stored = _recorded(monkeypatch, inputs)
     queries()["l3_skills_matching"](spark, sf_dir)
     assert "company-members" not in {label for label, _ in stored}
+
+
+def test_blocks_of_a_large_group_are_many_tasks(spark, monkeypatch):
+    """Ten blocks of a group of 100: their pairs come out of as many partitions as the session shuffles to, not out of one that fits the rows."""
+    monkeypatch.setattr(pairs, "BLOCK", 10)
+    members = pairs.with_defaults(spark.createDataFrame([("g", i) for i in range(100)], "grp string, member long"))
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        alone, _ = pairs._met(members, members, F.col("_ord") < F.col("_p_ord"), [], 64)
+        tasks = alone.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert alone.count() == 100 * 99 // 2 and tasks > 3
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
